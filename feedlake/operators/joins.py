@@ -1,0 +1,21 @@
+"""Join helpers: broadcast only behind a size check."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Dimension tables (source registry, rule tables, run lists) are broadcast
+# only when a bounded count proves they hold at most this many rows.
+BROADCAST_MAX_ROWS = 100_000
+
+
+def sized_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Mark ``df`` for broadcast if it has at most ``max_rows`` rows.
+
+    The check reads at most ``max_rows + 1`` rows. Beyond the bound the
+    DataFrame is returned unchanged and the planner (with AQE's runtime
+    statistics) picks a shuffle join.
+    """
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df

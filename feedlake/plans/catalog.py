@@ -43,3 +43,10 @@ def q_daily_top(spark, base):
     v = fx.daily_verdicts(spark, base)
     return sel.daily_top(v).select("run_ts", F.col("rank").cast("int"), "entry_id", "hash",
                                    "severity", "score", "category")
+
+
+def _load_all() -> None:
+    from feedlake.plans import q_scalar  # noqa: F401
+
+
+_load_all()

@@ -129,7 +129,7 @@ def responses(spark: SparkSession, base: str) -> DataFrame:
                            i["raw_score"].alias("score"),
                            i["kept"].alias("kept"),
                            i["raw_category"].alias("category")))
-    return (r.groupBy(day.alias("day"))
+    return (r.withColumn("day", day).groupBy("day")
             .agg(F.to_json(F.struct(
                 F.concat(F.lit("day "), F.col("day").cast("string")).alias("headline"),
                 items.alias("items"))).alias("doc")))
@@ -146,3 +146,45 @@ def daily_verdicts(spark: SparkSession, base: str) -> DataFrame:
     return (verdicts(spark, base)
             .withColumn("run_ts", run_of(F.col("published_at")))
             .withColumn("response_pos", F.col("entry_id")))
+
+
+def daily_items(spark: SparkSession, base: str) -> DataFrame:
+    """Items as scored by each run, in arrival order ``entry_pos``."""
+    return (daily_verdicts(spark, base)
+            .withColumn("entry_pos", F.col("entry_id"))
+            .withColumn("summary", F.concat(F.lit("summary of "), F.col("title"))))
+
+
+def answers(spark: SparkSession, base: str) -> DataFrame:
+    """Parsed and validated answers of every day's answer document."""
+    from feedlake.operators import verdicts as V
+    docs = responses(spark, base).withColumn("run_ts", run_of(F.col("day")))
+    return V.validate(V.parse_documents(docs, "run_ts"))
+
+
+def answers_with_errors(spark: SparkSession, base: str) -> DataFrame:
+    """Answers where the model altered some hashes (upper case for the
+    ``signup`` source): those rows reference no known item."""
+    a = answers(spark, base)
+    src = verdicts_raw(spark, base).select(
+        item_hash(F.col("link")).alias("__h"), F.col("source").alias("__src")).distinct()
+    bad = src.filter(F.col("__src") == "signup").select(F.col("__h").alias("hash")).distinct()
+    flagged = a.join(bad.withColumn("__bad", F.lit(True)), "hash", "left")
+    return (flagged.withColumn("hash", F.when(F.col("__bad"), F.upper("hash"))
+                               .otherwise(F.col("hash"))).drop("__bad"))
+
+
+def run_status(spark: SparkSession, base: str) -> DataFrame:
+    """Publication outcome per run: runs on days 6, 12, 18, 24, 30 failed."""
+    return runs(spark, base).withColumn("ok", F.dayofmonth("run_ts") % 6 != 0)
+
+
+def store(spark: SparkSession, base: str) -> DataFrame:
+    """Stored kept verdicts with their ISO week (the weekly job's input)."""
+    from feedlake.functions.dates import week_label
+    return (verdicts(spark, base).filter(F.col("kept"))
+            .withColumn("week", week_label(F.col("published_at")))
+            .withColumn("reason", F.concat(F.lit("reason "), F.col("entry_id").cast("string")))
+            .withColumn("translated_title",
+                        F.when(F.col("entry_id") % 3 == 0, F.upper(F.col("title")))
+                        .otherwise(F.lit(""))))
