@@ -259,7 +259,7 @@ from v_entries"""
 
 def _rf_input(spark, base):
     e = fx.entries(spark, base)
-    link = F.when(F.col("entry_id") % 7 == 0, F.lit("  ")).otherwise(F.col("link"))
+    link = F.when(F.col("entry_id") % 7 == 0, F.lit(" \u00a0")).otherwise(F.col("link"))
     title = (F.when(F.col("entry_id") % 11 == 0, F.concat(F.lit(" "), F.col("title"), F.lit(" ")))
              .when(F.col("entry_id") % 11 == 5, F.lit("\x1c")).otherwise(F.col("title")))
     return e.select("entry_id", link.alias("link"), title.alias("title"))
