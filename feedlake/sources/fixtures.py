@@ -188,3 +188,30 @@ def store(spark: SparkSession, base: str) -> DataFrame:
             .withColumn("translated_title",
                         F.when(F.col("entry_id") % 3 == 0, F.upper(F.col("title")))
                         .otherwise(F.lit(""))))
+
+
+UNKNOWN_REF = "not-a-known-hash"
+
+
+def recap_docs(spark: SparkSession, base: str) -> DataFrame:
+    """Weekly model answers: trends text, referenced highlights (the four
+    best-scored of the week with an unknown hash in second place) and four
+    takeaways (one blank)."""
+    from feedlake.operators.ranking import top_k
+    s = store(spark, base)
+    n = s.groupBy("week").agg(F.count(F.lit(1)).alias("n"))
+    best = top_k(s, ["week"], [F.col("score").desc(), F.col("entry_id")], 4, out="r")
+    refs = (best.groupBy("week")
+            .agg(F.transform(F.array_sort(F.collect_list(F.struct("r", "hash"))),
+                             lambda x: x["hash"]).alias("best")))
+    refs = refs.withColumn("refs", F.concat(F.slice("best", 1, 1), F.array(F.lit(UNKNOWN_REF)),
+                                            F.slice("best", 2, 3)))
+    j = n.join(refs, "week", "left")
+    doc = F.to_json(F.struct(
+        F.concat(F.lit("Semaine "), F.col("week"), F.lit(" : "), F.col("n").cast("string"),
+                 F.lit(" articles retenus.")).alias("tendances"),
+        F.col("refs").alias("top_3_hashes"),
+        F.array(F.concat(F.lit(" "), F.col("week"), F.lit(" trend ")), F.lit(""),
+                F.concat(F.lit("watch "), F.col("n").cast("string")), F.lit("extra"))
+        .alias("a_retenir")))
+    return j.select("week", doc.alias("doc"))
