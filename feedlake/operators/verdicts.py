@@ -21,7 +21,7 @@ DEFAULT_BATCH_ITEMS = 50
 
 def pack_requests(items: DataFrame, template: str, group: str = "run_ts",
                   order=("entry_pos",), batch_items: int = DEFAULT_BATCH_ITEMS,
-                  fields: dict | None = None) -> DataFrame:
+                  fields: dict | None = None, replacements: dict | None = None) -> DataFrame:
     """One request document per (run, batch).
 
     Items are numbered in arrival order per run (skew-safe ordinal) and cut
@@ -39,9 +39,10 @@ def pack_requests(items: DataFrame, template: str, group: str = "run_ts",
               .agg(F.array_sort(F.collect_list(F.struct(F.col("__pos"), obj.alias("o"))))
                    .alias("__items"), F.count(F.lit(1)).alias("n_items")))
     payload = F.to_json(F.transform("__items", lambda x: x["o"]))
-    return packed.select(group, "batch_no", "n_items",
-                         F.replace(F.lit(template), F.lit(ITEMS_PLACEHOLDER), payload)
-                         .alias("prompt"))
+    prompt = F.replace(F.lit(template), F.lit(ITEMS_PLACEHOLDER), payload)
+    for placeholder, value in (replacements or {}).items():
+        prompt = F.replace(prompt, F.lit(placeholder), value)
+    return packed.select(group, "batch_no", "n_items", prompt.alias("prompt"))
 
 
 def parse_documents(docs: DataFrame, key: str, doc_col: str = "doc",

@@ -46,7 +46,7 @@ def q_daily_top(spark, base):
 
 
 def _load_all() -> None:
-    from feedlake.plans import q_scalar, q_daily, q_weekly  # noqa: F401
+    from feedlake.plans import q_scalar, q_daily, q_weekly, q_feeds, q_stream  # noqa: F401
 
 
 _load_all()

@@ -256,3 +256,39 @@ def q_digest_payload(spark, base):
 def q_recap_payload(spark, base):
     return RP.recap_payload(_store(spark, base), _fields(spark, base),
                             archive_base="https://git.example.org/team/archive")
+
+
+# ------------------------------------------------------------------ P12
+WEEK_TEMPLATE = "Semaine du {date_debut} au {date_fin}.\nArticles : {articles_json}"
+
+
+@register("pack_week_requests", with_views(f"""
+select week, cast(batch_no as int) as batch_no, count(*) as n_items,
+       replace(replace(replace({q(WEEK_TEMPLATE)}, '{{articles_json}}',
+               to_json(list({{'hash_unique': hash, 'titre': coalesce(nullif(translated_title, ''), title),
+                              'resume': 'summary of ' || title, 'source': source, 'criticite': severity,
+                              'categorie': category, 'score': score, 'raison_courte': reason}} order by pos))),
+               '{{date_debut}}', strftime(any_value(date_trunc('week', published_at)), '%d/%m/%Y')),
+               '{{date_fin}}', strftime(any_value(date_trunc('week', published_at)) + interval 6 days, '%d/%m/%Y')) as prompt
+from (select *, row_number() over (partition by week order by published_at, hash, entry_id) as pos,
+             (row_number() over (partition by week order by published_at, hash, entry_id) - 1) // 50 as batch_no
+      from v_store) t
+group by week, batch_no""", "v_store"))
+def q_pack_week_requests(spark, base):
+    """Weekly request documents: display title, verdict fields, period dates."""
+    from feedlake.functions import dates as D
+    from feedlake.functions.text import display_title
+    s = (_store(spark, base)
+         .withColumn("display", display_title(F.col("translated_title"), F.col("title")))
+         .withColumn("summary", F.concat(F.lit("summary of "), F.col("title"))))
+    fields = {"hash_unique": "hash", "titre": "display", "resume": "summary", "source": "source",
+              "criticite": "severity", "categorie": "category", "score": "score",
+              "raison_courte": "reason"}
+    packed = V.pack_requests(s, WEEK_TEMPLATE, group="week", order=W.WEEK_TIEBREAK,
+                             fields=fields)
+    wk = W.periods(s).select("week", "week_start", "week_end")
+    out = packed.join(wk, "week", "inner")
+    out = out.withColumn("prompt", F.replace(F.replace("prompt", F.lit("{date_debut}"),
+                                                       D.date_fr_short("week_start")),
+                                             F.lit("{date_fin}"), D.date_fr_short("week_end")))
+    return out.select("week", "batch_no", "n_items", "prompt")

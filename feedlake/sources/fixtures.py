@@ -215,3 +215,36 @@ def recap_docs(spark: SparkSession, base: str) -> DataFrame:
                 F.concat(F.lit("watch "), F.col("n").cast("string")), F.lit("extra"))
         .alias("a_retenir")))
     return j.select("week", doc.alias("doc"))
+
+
+# Landed feed files for the XML path: one RSS document per source written by
+# Spark from v_entries, plus a cut-off file (good entry, then truncation), a
+# file with nothing parseable and an entry without a link.
+BROKEN_FEEDS = {
+    "source=cutoff.example.org/feed.xml":
+        "<channel><item><title>Kept entry</title><link>https://cutoff.example.org/a</link>"
+        "<pubDate>Mon, 08 Jan 2024 10:00:00 GMT</pubDate></item>\n<item><title>Cut",
+    "source=garbage.example.org/feed.xml": "<channel><item><<<>>> not xml",
+    "source=nolink.example.org/feed.xml":
+        "<channel><item><title>No link here</title><pubDate>Mon, 08 Jan 2024 10:00:00 GMT"
+        "</pubDate></item></channel>",
+}
+
+
+def feed_docs(spark: SparkSession, base: str) -> str:
+    """Write the feed files to a fresh folder under the checkpoint folder."""
+    from feedlake.session import scratch_path
+    from feedlake.sources.feeds import write_rss
+    path = scratch_path(spark, "feeds")
+    write_rss(entries(spark, base), path)
+    extra = [(k, v) for k, v in BROKEN_FEEDS.items()]
+    # small fixed files: written through Hadoop's file system API of the session
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for rel, body in extra:
+        p = jvm.org.apache.hadoop.fs.Path(f"{path}/{rel}")
+        fs = p.getFileSystem(conf)
+        out = fs.create(p, True)
+        out.write(bytearray(body.encode("utf-8")))
+        out.close()
+    return path
