@@ -292,3 +292,46 @@ def q_pack_week_requests(spark, base):
                                                        D.date_fr_short("week_start")),
                                              F.lit("{date_fin}"), D.date_fr_short("week_end")))
     return out.select("week", "batch_no", "n_items", "prompt")
+
+
+# ------------------------------------------------------------------ weekly ops on orders x lineitem
+view("v_order_store", """
+select l.l_orderkey as entry_id, sha256(cast(l.l_orderkey as varchar) || '-' || cast(l.l_linenumber as varchar)) as hash,
+       l.l_shipdate as published_at, l.l_linestatus = 'O' as kept,
+       case substring(o.o_orderpriority, 1, 1) when '1' then 'critical' when '2' then 'important'
+            when '3' then 'notable' else 'ignore' end as severity,
+       greatest(1, least(10, cast(trunc(l.l_quantity / 5) as int))) as score,
+       case l.l_returnflag when 'R' then 'security' when 'A' then 'backend' else 'general' end as category,
+       strftime(l.l_shipdate, '%G-W%V') as week
+from lineitem l join orders o on o.o_orderkey = l.l_orderkey""")
+
+
+@register("order_week_totals", with_views("""
+select week, count(*) as n_kept from v_order_store where kept group by week""", "v_order_store"))
+def q_order_week_totals(spark, base):
+    """A5 over the line-item store (hundreds of weeks)."""
+    return W.week_totals(fx.order_store(spark, base).filter("kept"))
+
+
+@register("order_recap_top", with_views(f"""
+select week, cast(rank as int) as rank, hash from (
+  select *, row_number() over (partition by week order by
+      case severity when 'critical' then 0 when 'important' then 1 when 'notable' then 2 else 3 end,
+      score desc, published_at, hash, entry_id) as rank
+  from v_order_store where kept) t
+where rank <= 3""", "v_order_store"))
+def q_order_recap_top(spark, base):
+    """W5 over the line-item store: partial top-3 per task, then final."""
+    out = sel.fallback_recap_top(fx.order_store(spark, base), "week", W.WEEK_TIEBREAK)
+    return out.select("week", F.col("rank").cast("int"), "hash")
+
+
+@register("order_category_ranked", with_views(f"""
+select week, category, cast(row_number() over (partition by week, category order by
+      case severity when 'critical' then 0 when 'important' then 1 when 'notable' then 2 else 3 end,
+      score desc, published_at, hash, entry_id) as int) as rank, hash
+from v_order_store where kept""", "v_order_store"))
+def q_order_category_ranked(spark, base):
+    """W6 over the line-item store with the skew-safe ordinal."""
+    out = W.category_ranked(fx.order_store(spark, base).filter("kept"))
+    return out.select("week", "category", F.col("rank").cast("int"), "hash")

@@ -248,3 +248,26 @@ def feed_docs(spark: SparkSession, base: str) -> str:
         out.write(bytearray(body.encode("utf-8")))
         out.close()
     return path
+
+
+def order_store(spark: SparkSession, base: str) -> DataFrame:
+    """A large verdict store: one stored verdict per line item, dated by its
+    ship date, with severity from the order priority (orders joined to
+    lineitem; about six line items per order, years of weeks)."""
+    from feedlake.functions.dates import week_label
+    li = table(spark, base, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity",
+                                              "l_shipdate", "l_linestatus", "l_returnflag")
+    o = table(spark, base, "orders").select("o_orderkey", "o_orderpriority")
+    j = li.join(o, li.l_orderkey == o.o_orderkey)
+    key = F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"))
+    return j.select(
+        F.col("l_orderkey").alias("entry_id"),
+        item_hash(key).alias("hash"),
+        F.col("l_shipdate").alias("published_at"),
+        (F.col("l_linestatus") == "O").alias("kept"),
+        _case(F.substring("o_orderpriority", 1, 1), [("1", "critical"), ("2", "important"),
+                                                     ("3", "notable")], "ignore").alias("severity"),
+        coerce.clamp_score((F.col("l_quantity") / 5).cast("int")).alias("score"),
+        _case(F.col("l_returnflag"), [("R", "security"), ("A", "backend")], "general")
+        .alias("category"),
+    ).withColumn("week", week_label(F.col("published_at")))
