@@ -46,16 +46,19 @@ def pack_requests(items: DataFrame, template: str, group: str = "run_ts",
 
 
 def parse_documents(docs: DataFrame, key: str, doc_col: str = "doc",
-                    items_path: str = "$.items") -> DataFrame:
+                    items_path: str = "$.items", offset_col: str | None = None) -> DataFrame:
     """Answer documents to one row per answered item.
 
     Unparseable documents yield no item rows (see ``usable``). The position
-    of each item in its document is kept as ``response_pos`` (1-based).
+    of each item in the run's answer is kept as ``response_pos`` (1-based):
+    its place in the document plus the document's ``offset_col``.
     """
     parsed = docs.withColumn("__v", F.try_parse_json(F.col(doc_col)))
     arr = F.try_variant_get(F.col("__v"), items_path, "array<variant>")
-    return (parsed.select(key, F.posexplode(arr).alias("__p", "__item"))
-            .select(key, (F.col("__p") + 1).cast("int").alias("response_pos"), "__item"))
+    off = F.col(offset_col) if offset_col else F.lit(0)
+    return (parsed.select(key, off.alias("__off"), F.posexplode(arr).alias("__p", "__item"))
+            .select(key, (F.col("__off") + F.col("__p") + 1).cast("int").alias("response_pos"),
+                    "__item"))
 
 
 def validate(answers: DataFrame, field_names: dict | None = None) -> DataFrame:
@@ -82,10 +85,11 @@ def validate(answers: DataFrame, field_names: dict | None = None) -> DataFrame:
 
 
 def usable(docs: DataFrame, key: str, doc_col: str = "doc") -> DataFrame:
-    """Per key: whether the answer parsed to a JSON object (M4 switch)."""
+    """Per key: whether every answer document parsed to a JSON object (M4
+    switch); one unusable batch sends the whole run to the fallback."""
     v = F.try_parse_json(F.col(doc_col))
-    return docs.select(key, (v.isNotNull() & F.schema_of_variant(v).startswith("OBJECT"))
-                       .alias("usable"))
+    ok = v.isNotNull() & F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
+    return docs.groupBy(key).agg(F.bool_and(ok).alias("usable"))
 
 
 def latest_items(items: DataFrame, group: str = "run_ts", order: str = "entry_pos") -> DataFrame:

@@ -165,7 +165,8 @@ select run_ts, count(*) as n_scored, count_if(kept) as n_kept,
        '{vocab.DIGEST_DEFAULT_SUMMARY}' as summary, false as is_fallback
 from v_daily group by run_ts""", "v_daily"))
 def q_digest_header(spark, base):
-    docs = fx.responses(spark, base).withColumn("run_ts", fx.run_of(F.col("day")))
+    docs = (fx.responses(spark, base).filter(F.col("batch_no") == 0)
+            .withColumn("run_ts", fx.run_of(F.col("day"))))
     return V.digest_header(_items(spark, base), fx.answers(spark, base), docs) \
         .select("run_ts", "n_scored", "n_kept", "headline", "summary", "is_fallback")
 

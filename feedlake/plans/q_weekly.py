@@ -238,7 +238,8 @@ def q_payload_size_guard(spark, base):
 def _digest_fields(spark, base):
     items = fx.daily_items(spark, base)
     verd = fx.daily_verdicts(spark, base).withColumn("reason", F.lit(""))
-    docs = fx.responses(spark, base).withColumn("run_ts", fx.run_of(F.col("day")))
+    docs = (fx.responses(spark, base).filter(F.col("batch_no") == 0)
+            .withColumn("run_ts", fx.run_of(F.col("day"))))
     header = V.digest_header(items, fx.answers(spark, base), docs)
     top = sel.daily_top(verd)
     other = sel.daily_other(verd)

@@ -113,26 +113,34 @@ def sources_registry(spark: SparkSession, base: str) -> DataFrame:
     ).distinct()
 
 
+ANSWER_BATCH = 200
+
+
 def responses(spark: SparkSession, base: str) -> DataFrame:
-    """v_responses: one model-answer JSON document per day.
+    """v_responses: model-answer JSON documents, one per (day, batch).
 
-    A document holds every scored item of its day (the reference's single
-    batch call per run); its size is bounded by one day's feed volume.
+    The items of a day are numbered in answer order and cut into batches of
+    at most ``ANSWER_BATCH`` (one request batch gets one answer), so no
+    document grows with the data. ``first_pos`` is the answer position of
+    the document's first item minus one.
     """
-    r = verdicts_raw(spark, base)
-    day = F.col("published_at").cast("date")
+    from feedlake.operators.ranking import ordinal
+    r = verdicts_raw(spark, base).withColumn("day", F.col("published_at").cast("date"))
+    r = ordinal(r, ["day"], ["entry_id"], out="__pos")
+    r = r.withColumn("batch_no", ((F.col("__pos") - 1) / ANSWER_BATCH).cast("int"))
     items = F.transform(
-        F.array_sort(F.collect_list(F.struct("entry_id", "link", "raw_severity", "raw_score",
+        F.array_sort(F.collect_list(F.struct("__pos", "link", "raw_severity", "raw_score",
                                              "kept", "raw_category"))),
         lambda i: F.struct(item_hash(i["link"]).alias("hash"),
                            i["raw_severity"].alias("severity"),
                            i["raw_score"].alias("score"),
                            i["kept"].alias("kept"),
                            i["raw_category"].alias("category")))
-    return (r.withColumn("day", day).groupBy("day")
+    return (r.groupBy("day", "batch_no")
             .agg(F.to_json(F.struct(
                 F.concat(F.lit("day "), F.col("day").cast("string")).alias("headline"),
-                items.alias("items"))).alias("doc")))
+                items.alias("items"))).alias("doc"))
+            .withColumn("first_pos", F.col("batch_no") * ANSWER_BATCH))
 
 
 def run_of(published_at) -> "F.Column":
@@ -159,7 +167,7 @@ def answers(spark: SparkSession, base: str) -> DataFrame:
     """Parsed and validated answers of every day's answer document."""
     from feedlake.operators import verdicts as V
     docs = responses(spark, base).withColumn("run_ts", run_of(F.col("day")))
-    return V.validate(V.parse_documents(docs, "run_ts"))
+    return V.validate(V.parse_documents(docs, "run_ts", offset_col="first_pos"))
 
 
 def answers_with_errors(spark: SparkSession, base: str) -> DataFrame:
