@@ -10,7 +10,8 @@ computed on a small aggregate (one row per group per partition).
 The numbered rows are checkpointed to the session's checkpoint folder before
 they are read twice (for the offsets and for the final join): the ids depend
 on physical partitioning, which adaptive execution could otherwise coalesce
-differently in the two branches. The checkpoint also cuts lineage, so a lost
+differently in the two branches; read back from the checkpoint they are
+fixed values. The checkpoint also cuts lineage, so a lost
 executor does not send the job back to the source scan.
 
 Top-k per group (``row_number() <= k``) does not need this: Spark plans a
@@ -27,11 +28,10 @@ from feedlake.session import checkpoint_dir
 
 _LOW_BITS = 33
 _LOW_MASK = (1 << _LOW_BITS) - 1
-# Offsets table: one row per (range partition, group). It is broadcast only
-# when its counted size is at most this many rows; above, a shuffle join on
-# (partition, group) is used, which is skew-free since a hot group spans many
-# partitions.
-OFFSETS_BROADCAST_ROWS = 200_000
+# The offsets table has one row per (range partition, group). No hint is
+# given: adaptive execution broadcasts it when its measured size is under
+# spark.sql.autoBroadcastJoinThreshold, else joins on (partition, group) with
+# a shuffle, which is skew-free since a hot group spans many partitions.
 
 
 def _sort_cols(cols) -> list[Column]:
@@ -57,10 +57,7 @@ def ordinal(df: DataFrame, group_cols: list[str], order_cols: list, out: str = "
     spans = (tagged.groupBy("__part", *group_cols)
              .agg(F.min("__idx").alias("__first"), F.count(F.lit(1)).alias("__n")))
     w = Window.partitionBy(*group_cols).orderBy("__part")
-    spans = (spans.withColumn("__offset", F.sum("__n").over(w) - F.col("__n")).drop("__n")
-             .checkpoint(eager=True))
-    if spans.count() <= OFFSETS_BROADCAST_ROWS:
-        spans = F.broadcast(spans)
+    spans = spans.withColumn("__offset", F.sum("__n").over(w) - F.col("__n")).drop("__n")
     joined = tagged.join(spans, ["__part", *group_cols], "inner")
     return (joined.withColumn(out, (F.col("__offset") + F.col("__idx") - F.col("__first") + 1)
                               .cast("int"))

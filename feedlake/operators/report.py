@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedlake import vocab
@@ -60,14 +60,6 @@ def _cat(*parts) -> Column:
     return F.concat(*[p if isinstance(p, Column) else F.lit(p) for p in parts])
 
 
-def _block(df: DataFrame, b: int, s1, s2, lines: list) -> DataFrame:
-    arr = F.array(*[x if isinstance(x, Column) else F.lit(x) for x in lines])
-    s1c = s1 if isinstance(s1, Column) else F.lit(s1)
-    s2c = s2 if isinstance(s2, Column) else F.lit(s2)
-    return df.select("week", F.lit(b).alias("b"), s1c.cast("int").alias("s1"),
-                     s2c.cast("int").alias("s2"), F.posexplode(arr).alias("k", "line"))
-
-
 def week_frame(store: DataFrame, generated_offset: str = "6 days 15 hours") -> DataFrame:
     """Per week: count, bounds and generation time (the job runs Sunday 15:00 UTC)."""
     wk = store.groupBy("week").agg(F.count(F.lit(1)).alias("n"),
@@ -78,63 +70,87 @@ def week_frame(store: DataFrame, generated_offset: str = "6 days 15 hours") -> D
             .drop("__any"))
 
 
+def _sorted_lines(df: DataFrame, order: str, lines: Column, out: str) -> DataFrame:
+    """Per week, the lines of a bounded list (top 3, six categories, three
+    takeaways) as one array in list order."""
+    agg = df.groupBy("week").agg(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"),
+                                                                      lines.alias("l"))))
+                                 .alias("__s"))
+    return agg.select("week", F.flatten(F.transform("__s", lambda x: x["l"])).alias(out))
+
+
 def weekly_report_lines(store: DataFrame, fields: DataFrame) -> DataFrame:
-    """The weekly document, one row per line: (week, line_no, line)."""
-    wk = week_frame(store)
+    """The weekly document, one row per line: (week, line_no, line).
+
+    The head (title, overview, top 3, category table, trends, takeaways) is
+    bounded per week and built as one array per week. The body has a line per
+    stored item; its line numbers are computed from per-category counts and
+    the rank inside the category, so the week is never sorted as a whole.
+    """
     f = fields.select("week", "trends", "refs", "takeaways_raw")
-    wk = wk.join(f, "week", "left")
+    wk = week_frame(store).join(f, "week", "left")
+    title = T.display_title(F.col("translated_title"), F.col("title"))
     short = D.date_fr_short
-    header = _block(wk, 1, 0, 0, [
-        _cat(H_TITLE, D.week_number("week"), " (du ", short("week_start"), " au ",
-             short("week_end"), ")"),
-        "", _cat(H_GENERATED, D.datetime_fr("generated_at"))])
-    overview = _block(wk, 2, 0, 0, [
-        "", H_OVERVIEW, "", _cat(H_RETAINED, _s(F.col("n"))),
-        _cat(H_PERIOD, D.date_fr_long("week_start"), " → ", D.date_fr_long("week_end"))])
 
     top = W.top_referenced(store, f.filter(F.col("refs").isNotNull()))
-    title = T.display_title(F.col("translated_title"), F.col("title"))
-    top_hdr = _block(wk, 3, 0, 0, ["", H_TOP])
-    top_rows = _block(top, 3, 1, F.col("rank"), [
-        "", _cat("### ", _s(F.col("rank")), ". [", title, "](", F.col("link"), ")"), "",
+    top_arr = _sorted_lines(top, "rank", F.array(
+        F.lit(""), _cat("### ", _s(F.col("rank")), ". [", title, "](", F.col("link"), ")"),
+        F.lit(""),
         _cat("**Criticité** : ", L.report_severity_marker("severity"), " ",
              L.lookup("severity", _SEV_FR, F.col("severity")), "  "),
         _cat("**Catégorie** : ", L.category_marker("category"), " ",
              L.category_label_raw("category"), "  "),
         _cat("**Source** : ", F.col("source"), "  "),
-        _cat("**Raison** : ", F.col("reason"))])
-    no_top = _block(wk.join(top.select("week"), "week", "left_anti"), 3, 1, 0,
-                    ["", vocab.REPORT_NO_TOP])
-
+        _cat("**Raison** : ", F.col("reason"))), "__top")
     counts = W.category_counts(store, wk.select("week"))
-    split_hdr = _block(wk, 4, 0, 0, ["", H_SPLIT, "", H_TABLE, H_RULE])
-    split_rows = _block(counts, 4, 1, F.col("ord"), [
+    split_arr = _sorted_lines(counts, "ord", F.array(
         _cat("| ", L.category_marker("category"), " ", L.category_label("category"), " | ",
-             _s(F.col("n")), " |")])
-
-    trends = _block(wk, 5, 0, 0, ["", H_TRENDS, "",
-                                  F.coalesce(T.non_empty(F.col("trends")),
-                                             F.lit(vocab.REPORT_NO_TRENDS))])
-
+             _s(F.col("n")), " |")), "__split")
     tk = W.takeaways(f.filter(F.col("takeaways_raw").isNotNull()))
-    tk_hdr = _block(wk, 6, 0, 0, ["", H_TAKEAWAYS, ""])
-    tk_rows = _block(tk, 6, 1, F.col("rank"), [_cat(_s(F.col("rank")), ". ", F.col("text"))])
-    no_tk = _block(wk.join(tk.select("week").distinct(), "week", "left_anti"), 6, 1, 0,
-                   [vocab.REPORT_NO_TAKEAWAYS])
-
-    all_hdr = _block(wk, 7, 0, 0, ["", H_ALL])
-    cat_hdr = _block(counts.filter(F.col("n") > 0), 7, F.col("ord"), 0, [
-        "", _cat("### ", L.category_marker("category"), " ", L.category_label("category")), ""])
+    tk_arr = _sorted_lines(tk, "rank", F.array(_cat(_s(F.col("rank")), ". ", F.col("text"))),
+                           "__tk")
+
+    def lit_arr(*xs):
+        return F.array(*[x if isinstance(x, Column) else F.lit(x) for x in xs])
+
+    head_arr = F.concat(
+        lit_arr(_cat(H_TITLE, D.week_number("week"), " (du ", short("week_start"), " au ",
+                     short("week_end"), ")"),
+                "", _cat(H_GENERATED, D.datetime_fr("generated_at"))),
+        lit_arr("", H_OVERVIEW, "", _cat(H_RETAINED, _s(F.col("n"))),
+                _cat(H_PERIOD, D.date_fr_long("week_start"), " → ", D.date_fr_long("week_end"))),
+        lit_arr("", H_TOP),
+        F.coalesce(F.col("__top"), lit_arr("", vocab.REPORT_NO_TOP)),
+        lit_arr("", H_SPLIT, "", H_TABLE, H_RULE),
+        F.col("__split"),
+        lit_arr("", H_TRENDS, "", F.coalesce(T.non_empty(F.col("trends")),
+                                             F.lit(vocab.REPORT_NO_TRENDS))),
+        lit_arr("", H_TAKEAWAYS, ""),
+        F.coalesce(F.col("__tk"), lit_arr(vocab.REPORT_NO_TAKEAWAYS)),
+        lit_arr("", H_ALL))
+    head = (wk.join(top_arr, "week", "left").join(split_arr, "week", "left")
+            .join(tk_arr, "week", "left").select("week", head_arr.alias("__head")))
+    head_lines = head.select("week", F.posexplode("__head").alias("__p", "line")).select(
+        "week", (F.col("__p") + 1).cast("int").alias("line_no"), "line")
+
+    # Body: one section per non-empty category in display order, starting
+    # after the head and the sections before it (three header lines each).
+    nz = counts.filter(F.col("n") > 0)
+    wc = Window.partitionBy("week").orderBy("ord").rowsBetween(Window.unboundedPreceding, -1)
+    sections = (nz.withColumn("__before", F.coalesce(F.sum(F.col("n") + 3).over(wc), F.lit(0)))
+                .join(head.select("week", F.size("__head").alias("__n_head")), "week", "inner")
+                .withColumn("__start", F.col("__n_head") + F.col("__before")))
+    cat_hdr = sections.select(
+        "week", "__start", F.posexplode(F.array(
+            F.lit(""), _cat("### ", L.category_marker("category"), " ",
+                            L.category_label("category")), F.lit(""))).alias("k", "line")) \
+        .select("week", (F.col("__start") + F.col("k") + 1).cast("int").alias("line_no"), "line")
     ranked = W.category_ranked(store)
-    ords = F.array_position(F.array(*[F.lit(c) for c in vocab.CATEGORIES]), F.col("category"))
-    item_rows = _block(ranked.withColumn("ord", ords), 7, F.col("ord"), F.col("rank"), [
-        _cat("- [", title, "](", F.col("link"), ") — _", F.col("reason"), "_")])
-
-    parts = [header, overview, top_hdr, top_rows, no_top, split_hdr, split_rows, trends,
-             tk_hdr, tk_rows, no_tk, all_hdr, cat_hdr, item_rows]
-    lines = reduce(DataFrame.unionByName, parts)
-    numbered = ordinal(lines, ["week"], ["b", "s1", "s2", "k"], out="line_no")
-    return numbered.select("week", "line_no", "line")
+    starts = sections.select("week", "category", "__start")
+    item_rows = ranked.join(starts, ["week", "category"], "inner").select(
+        "week", (F.col("__start") + 3 + F.col("rank")).cast("int").alias("line_no"),
+        _cat("- [", title, "](", F.col("link"), ") — _", F.col("reason"), "_").alias("line"))
+    return head_lines.unionByName(cat_hdr).unionByName(item_rows)
 
 
 def write_weekly_report(lines: DataFrame, path: str) -> None:

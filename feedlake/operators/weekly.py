@@ -90,7 +90,10 @@ def top_referenced(store: DataFrame, fields: DataFrame, n: int = vocab.RECAP_TOP
     """Ordered lookup join (J3, W7, Q13): the first ``n`` referenced hashes,
     in the answer's order, unknown ones dropped, renumbered from 1."""
     refs = fields.select("week", F.posexplode(F.slice("refs", 1, n)).alias("__pos", "hash"))
-    hit = refs.join(latest_per_hash(store), ["week", "hash"], "inner")
+    # at most n references per week: semi-join the store to them first, so
+    # only referenced rows reach the last-wins shuffle
+    wanted = store.join(refs.select("week", "hash").distinct(), ["week", "hash"], "left_semi")
+    hit = refs.join(latest_per_hash(wanted), ["week", "hash"], "inner")
     # at most n rows per week: a plain window is bounded here
     from pyspark.sql import Window
     w = Window.partitionBy("week").orderBy("__pos")

@@ -193,9 +193,17 @@ select week, cast(row_number() over (partition by week order by b, s1, s2, k) as
 from lines""", "v_wk", "v_topref", "v_counts", "v_tk", "v_store")
 
 
+def _stored(spark, base):
+    """The store as the weekly job sees it: a parquet table partitioned by week."""
+    from feedlake.sources.tables import materialize
+    return materialize(_store(spark, base), "verdict-store", partition_by="week")
+
+
 @register("weekly_report", _REPORT_SQL)
 def q_weekly_report(spark, base):
-    return RP.weekly_report_lines(_store(spark, base), _fields(spark, base))
+    store = _stored(spark, base)
+    docs = fx.recap_docs_from(store)
+    return RP.weekly_report_lines(store, W.recap_fields(docs))
 
 
 # ------------------------------------------------------------------ R8
@@ -255,7 +263,8 @@ def q_digest_payload(spark, base):
 # ------------------------------------------------------------------ R9 (rows only)
 @register("recap_payload")
 def q_recap_payload(spark, base):
-    return RP.recap_payload(_store(spark, base), _fields(spark, base),
+    store = _stored(spark, base)
+    return RP.recap_payload(store, W.recap_fields(fx.recap_docs_from(store)),
                             archive_base="https://git.example.org/team/archive")
 
 

@@ -205,8 +205,12 @@ def recap_docs(spark: SparkSession, base: str) -> DataFrame:
     """Weekly model answers: trends text, referenced highlights (the four
     best-scored of the week with an unknown hash in second place) and four
     takeaways (one blank)."""
+    return recap_docs_from(store(spark, base))
+
+
+def recap_docs_from(s: DataFrame) -> DataFrame:
+    """Weekly answers built from a given store (see ``recap_docs``)."""
     from feedlake.operators.ranking import top_k
-    s = store(spark, base)
     n = s.groupBy("week").agg(F.count(F.lit(1)).alias("n"))
     best = top_k(s, ["week"], [F.col("score").desc(), F.col("entry_id")], 4, out="r")
     refs = (best.groupBy("week")
