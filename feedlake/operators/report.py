@@ -79,7 +79,8 @@ def _sorted_lines(df: DataFrame, order: str, lines: Column, out: str) -> DataFra
     return agg.select("week", F.flatten(F.transform("__s", lambda x: x["l"])).alias(out))
 
 
-def weekly_report_lines(store: DataFrame, fields: DataFrame) -> DataFrame:
+def weekly_report_lines(store: DataFrame, fields: DataFrame, top: DataFrame | None = None
+                        ) -> DataFrame:
     """The weekly document, one row per line: (week, line_no, line).
 
     The head (title, overview, top 3, category table, trends, takeaways) is
@@ -92,7 +93,8 @@ def weekly_report_lines(store: DataFrame, fields: DataFrame) -> DataFrame:
     title = T.display_title(F.col("translated_title"), F.col("title"))
     short = D.date_fr_short
 
-    top = W.top_referenced(store, f.filter(F.col("refs").isNotNull()))
+    if top is None:
+        top = W.top_referenced(store, f.filter(F.col("refs").isNotNull()))
     top_arr = _sorted_lines(top, "rank", F.array(
         F.lit(""), _cat("### ", _s(F.col("rank")), ". [", title, "](", F.col("link"), ")"),
         F.lit(""),
@@ -264,10 +266,11 @@ def digest_payload(fields: DataFrame, footer: str = vocab.DEFAULT_FOOTER,
 
 
 def recap_payload(store: DataFrame, fields: DataFrame, archive_base: str | None = None,
-                  archive_dir: str = "docs/veille") -> DataFrame:
+                  archive_dir: str = "docs/reports", top: DataFrame | None = None) -> DataFrame:
     """Weekly message per week (R9): five or six blocks, each clipped to 4,096."""
     wk = week_frame(store).join(fields, "week", "left")
-    top = W.top_referenced(store, fields)
+    if top is None:
+        top = W.top_referenced(store, fields)
     title = T.escape_brackets(T.display_title(F.col("translated_title"), F.col("title")))
     tl = top.select("week", "rank", _cat("**", _s(F.col("rank")), ".** ",
                                          L.message_severity_marker("severity"), " [", title, "](",

@@ -55,19 +55,19 @@ def rubric_score(items: DataFrame, text: Column, rules=RULES) -> DataFrame:
     for r in _ordered(rules):
         cond = text.rlike(r[1])
         rid = F.when(cond, F.lit(r[0])) if rid is None else rid.when(cond, F.lit(r[0]))
-    by_id = {r[0]: r for r in rules}
-
-    def pick(idx: int, default):
-        expr = F.lit(default)
-        for k, r in by_id.items():
-            expr = F.when(F.col("rule_id") == k, F.lit(r[idx])).otherwise(expr)
-        return expr
-
-    out = items.withColumn("rule_id", rid.cast("int"))
-    return (out.withColumn("severity", pick(2, vocab.DEFAULT_SEVERITY))
-            .withColumn("category", pick(3, vocab.DEFAULT_CATEGORY))
-            .withColumn("score", clamp_score(pick(4, 1)).cast("int"))
-            .withColumn("kept", F.col("severity") != F.lit(vocab.DEFAULT_SEVERITY)))
+    attrs = F.create_map(*[x for r in rules for x in (
+        F.lit(r[0]), F.struct(F.lit(r[2]).alias("severity"), F.lit(r[3]).alias("category"),
+                              F.lit(r[4]).alias("weight")))])
+    # one regex pass per row (rule_id), then one map lookup for its attributes
+    out = items.withColumn("rule_id", rid.cast("int")) \
+        .withColumn("__r", F.element_at(attrs, F.col("rule_id")))
+    return (out.withColumn("severity", F.coalesce(F.col("__r.severity"),
+                                                  F.lit(vocab.DEFAULT_SEVERITY)))
+            .withColumn("category", F.coalesce(F.col("__r.category"),
+                                               F.lit(vocab.DEFAULT_CATEGORY)))
+            .withColumn("score", clamp_score(F.col("__r.weight")).cast("int"))
+            .withColumn("kept", F.col("severity") != F.lit(vocab.DEFAULT_SEVERITY))
+            .drop("__r"))
 
 
 def rubric_join(items: DataFrame, text: Column, rules: DataFrame, key: str = "entry_id"

@@ -103,7 +103,9 @@ def match(answers: DataFrame, items: DataFrame, group: str = "run_ts",
     """Inner join of answers to items on (run, hash) (J2, F3): unknown or
     missing hashes are dropped, repeated answers each give a row."""
     idx = latest_items(items, group, order)
-    return answers.join(idx, [group, "hash"], "inner")
+    # answer fields win over same-named item columns
+    clash = [c for c in idx.columns if c in answers.columns and c not in (group, "hash")]
+    return answers.join(idx.drop(*clash), [group, "hash"], "inner")
 
 
 def coverage(items: DataFrame, answers: DataFrame, group: str = "run_ts") -> DataFrame:

@@ -114,3 +114,31 @@ def late_items(store_with_runs: DataFrame, recap_offset: str = "6 days 15 hours"
     recap (Sunday 15:00 UTC) could not include them; their weeks need a rebuild."""
     recap_ts = D.week_start("published_at") + F.expr(f"interval {recap_offset}")
     return store_with_runs.filter(F.col("run_ts") > recap_ts)
+
+
+def recap_selection(store: DataFrame, docs: DataFrame | None, n: int = vocab.RECAP_TOP):
+    """Highlights and texts per week with the fallback switch.
+
+    Weeks whose answer parses use the referenced highlights; the others get
+    the first ``n`` by the sort key and the fallback trends text. Returns
+    ``(fields, top)``.
+    """
+    weeks = store.select("week").distinct()
+    if docs is None:
+        parsed = weeks.select("week", F.lit(None).cast("string").alias("trends"),
+                              F.lit(None).cast("array<string>").alias("refs"),
+                              F.lit(None).cast("array<variant>").alias("takeaways_raw"),
+                              F.lit(False).alias("usable"))
+    else:
+        parsed = weeks.join(recap_fields(docs), "week", "left") \
+            .withColumn("usable", F.coalesce(F.col("usable"), F.lit(False)))
+    good = parsed.filter(F.col("usable"))
+    bad = parsed.filter(~F.col("usable"))
+    fields = good.unionByName(bad.select(
+        "week", F.lit(vocab.RECAP_FALLBACK_TRENDS).alias("trends"),
+        F.lit(None).cast("array<string>").alias("refs"),
+        F.array().cast("array<variant>").alias("takeaways_raw"), "usable"))
+    top_good = top_referenced(store, good)
+    top_bad = sel.fallback_recap_top(store.join(bad.select("week"), "week", "left_semi"),
+                                     "week", WEEK_TIEBREAK, n).withColumn("rank", F.col("rank").cast("int"))
+    return fields, top_good.unionByName(top_bad, allowMissingColumns=True)
