@@ -294,3 +294,22 @@ def q_stage_counts(spark, base):
     marks = LG.gated_marks(new, fx.run_status(spark, base))
     return stage_counts({"recent": pairs, "new": new, "kept": kept,
                          "marked": marks.select("run_ts", "hash").distinct()})
+
+
+# ------------------------------------------------------------------ K3, K4 on files
+@register("verdict_store_write", ORACLE_UPSERT := with_views("""
+select hash, entry_id, run_ts as recorded_at, severity, score, category
+from (select *, row_number() over (partition by hash order by run_ts desc, response_pos desc) as rn
+      from v_daily where kept) t where rn = 1""", "v_daily"))
+def q_verdict_store_write(spark, base):
+    """Kept verdicts upserted into a parquet store in two commits (runs
+    before the 16th, then the rest) and read back."""
+    from feedlake.session import scratch_path
+    from feedlake.sources import store as ST
+    path = scratch_path(spark, "verdict-store")
+    d = fx.daily_verdicts(spark, base).filter("kept").withColumn("recorded_at", F.col("run_ts"))
+    cut = F.lit("2024-01-16 00:00:00").cast("timestamp_ntz")
+    ST.upsert_store(spark, d.filter(F.col("run_ts") < cut), path)
+    ST.upsert_store(spark, d.filter(F.col("run_ts") >= cut), path)
+    return ST.read_store(spark, path).select("hash", "entry_id", "recorded_at", "severity",
+                                             "score", "category")

@@ -345,3 +345,23 @@ def q_order_category_ranked(spark, base):
     """W6 over the line-item store with the skew-safe ordinal."""
     out = W.category_ranked(fx.order_store(spark, base).filter("kept"))
     return out.select("week", "category", F.col("rank").cast("int"), "hash")
+
+
+# ------------------------------------------------------------------ M4 weekly, W5
+FALLBACK_WEEK = "2024-W02"
+
+
+@register("recap_with_fallback", with_views(f"""
+select week, rank, hash, entry_id from v_topref where week <> '{FALLBACK_WEEK}'
+union all
+select week, cast(rank as int), hash, entry_id from (
+  select *, row_number() over (partition by week order by {WKEY}) as rank from v_store
+  where week = '{FALLBACK_WEEK}') t where rank <= 3""", "v_topref", "v_store"))
+def q_recap_with_fallback(spark, base):
+    """The answer of one week is cut off: that week falls back to the sort key."""
+    store = _store(spark, base)
+    docs = fx.recap_docs(spark, base)
+    docs = docs.withColumn("doc", F.when(F.col("week") == FALLBACK_WEEK, F.substring("doc", 1, 30))
+                           .otherwise(F.col("doc")))
+    _, top = W.recap_selection(store, docs)
+    return top.select("week", F.col("rank").cast("int"), "hash", "entry_id")
