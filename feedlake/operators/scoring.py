@@ -23,19 +23,32 @@ from feedlake.functions.coerce import clamp_score
 from feedlake.operators.joins import sized_broadcast
 from feedlake.operators.ranking import top_k
 
+# Word boundaries are spelled out: Java's \b counts Unicode letters as word
+# characters while RE2's and Python's ASCII mode do not; this class means the
+# same thing in every engine.
+_NW = "[^A-Za-z0-9_]"
+
+
+def word(alternatives: str, left: bool = True, right: bool = True) -> str:
+    """Case-insensitive pattern for whole words (or word starts)."""
+    return ("(?i)" + (f"(^|{_NW})" if left else "") + f"({alternatives})"
+            + (f"({_NW}|$)" if right else ""))
+
+
 # fixed values: rule table derived from the written scoring criteria
 # (rule_id, pattern, severity, category, weight)
 RULES = [
-    (1, r"(?i)\b(cve|zero-day|0-day|exploit)", "critical", "security", 10),
-    (2, r"(?i)(supply.chain|\bnpm\b|packagist|github actions)", "critical", "security", 9),
-    (3, r"(?i)\b(php|symfony|mysql|postgresql|docker|apache|nginx)\b", "important", "backend", 8),
-    (4, r"(?i)\b(owasp|rgaa|wcag)\b", "important", "security", 8),
-    (5, r"(?i)\b(openai|anthropic|google)\b.*\b(api|sdk)\b", "important", "ai", 7),
-    (6, r"(?i)\b(tutorial|tutoriel|guide)\b", "notable", "general", 6),
-    (7, r"(?i)\b(css|bootstrap|javascript|accessibilit)", "notable", "frontend", 6),
-    (8, r"(?i)(ci/cd|kubernetes|devops)", "notable", "devops", 6),
-    (9, r"(?i)\b(react|vue|angular|svelte|nuxt)\b", "ignore", "frontend", 2),
-    (10, r"(?i)\b(crypto|nft|web3|blockchain)\b", "ignore", "general", 1),
+    (1, word("cve|zero-day|0-day|exploit", right=False), "critical", "security", 10),
+    (2, "(?i)(supply.chain|packagist|github actions|" + f"(^|{_NW})npm({_NW}|$))",
+     "critical", "security", 9),
+    (3, word("php|symfony|mysql|postgresql|docker|apache|nginx"), "important", "backend", 8),
+    (4, word("owasp|rgaa|wcag"), "important", "security", 8),
+    (5, word("openai|anthropic|google") + ".*" + word("api|sdk")[4:], "important", "ai", 7),
+    (6, word("tutorial|tutoriel|guide"), "notable", "general", 6),
+    (7, word("css|bootstrap|javascript|accessibilit", right=False), "notable", "frontend", 6),
+    (8, "(?i)(ci/cd|kubernetes|devops)", "notable", "devops", 6),
+    (9, word("react|vue|angular|svelte|nuxt"), "ignore", "frontend", 2),
+    (10, word("crypto|nft|web3|blockchain"), "ignore", "general", 1),
 ]
 RULE_SCHEMA = "rule_id int, pattern string, severity string, category string, weight int"
 
@@ -101,6 +114,7 @@ def keyword_scorer(rules=RULES) -> Callable[[Iterator], Iterator]:
     ordered = _ordered(rules)
 
     def score(batches):
+        import re
         import warnings
 
         import pandas as pd
@@ -112,7 +126,9 @@ def keyword_scorer(rules=RULES) -> Callable[[Iterator], Iterator]:
             sc = pd.Series(1, index=pdf.index)
             done = pd.Series(False, index=pdf.index)
             for _, pat, s, c, w in ordered:
-                hit = text.str.contains(pat.replace("(?i)", ""), case=False, regex=True) & ~done
+                # ASCII word classes, as in Java regex without UNICODE_CHARACTER_CLASS
+                hit = text.str.contains(pat.replace("(?i)", ""), regex=True,
+                                        flags=re.IGNORECASE | re.ASCII) & ~done
                 sev[hit], cat[hit], sc[hit] = s, c, w
                 done |= hit
             yield pd.DataFrame({"run_ts": pdf["run_ts"], "hash": pdf["hash"], "severity": sev,

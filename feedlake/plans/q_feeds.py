@@ -31,34 +31,59 @@ def q_feed_quarantine(spark, base):
 
 
 # ------------------------------------------------------------------ M6
-def _rubric_sql() -> str:
+# fixed values: extra rules on common words of the page titles, so the
+# fixture exercises matching and precedence (the rubric rules rarely match)
+FIXTURE_RULES = S.RULES + [
+    (11, S.word("the|that"), "notable", "general", 4),
+    (12, S.word("der|die|und|sch"), "important", "backend", 5),
+    (13, S.word("le|la|les|des"), "critical", "security", 3),
+    (14, S.word("el|los|las|en"), "ignore", "devops", 2),
+]
+
+
+def _rubric_sql(out_cols: str = "entry_id", in_cols: str = "entry_id",
+                text_sql: str | None = None, view_name: str = "v_entries") -> str:
     from feedlake.plans.q_scalar import _duck_clean
-    rules = S._ordered(S.RULES)
-    text = f"(coalesce(title, '') || ' ' || coalesce({_duck_clean('summary')}, ''))"
+    rules = S._ordered(FIXTURE_RULES)
+    text = text_sql or f"(coalesce(title, '') || ' ' || coalesce({_duck_clean('summary')}, ''))"
     rid = " ".join(f"when regexp_matches(txt, '{r[1]}') then {r[0]}" for r in rules)
 
     def pick(i, default):
-        return ("(case rule_id " + " ".join(f"when {r[0]} then {r[i]!r}" for r in S.RULES)
+        return ("(case rule_id " + " ".join(f"when {r[0]} then {r[i]!r}" for r in FIXTURE_RULES)
                 + f" else {default!r} end)").replace('"', "'")
     return with_views(f"""
-select entry_id, rule_id, {pick(2, 'ignore')} as severity, {pick(3, 'general')} as category,
+select {out_cols}, rule_id, {pick(2, 'ignore')} as severity, {pick(3, 'general')} as category,
        cast({pick(4, 1)} as int) as score, {pick(2, 'ignore')} <> 'ignore' as kept
-from (select entry_id, cast(case {rid} end as int) as rule_id
-      from (select entry_id, {text} as txt from v_entries) t) t""", "v_entries")
+from (select {out_cols}, cast(case {rid} end as int) as rule_id
+      from (select {in_cols}, {text} as txt from {view_name}) t) t""", view_name)
 
 
-@register("rubric_score", _rubric_sql())
+@register("rubric_score", _rubric_sql("entry_id", "entry_id, title, summary"))
 def q_rubric_score(spark, base):
     """Rule table matched on title + cleaned summary of every entry."""
     from feedlake.functions.text import clean_html
     e = fx.entries(spark, base)
-    out = S.rubric_score(e, S.rule_text(F.col("title"), clean_html(F.col("summary"))))
+    out = S.rubric_score(e, S.rule_text(F.col("title"), clean_html(F.col("summary"))),
+                         FIXTURE_RULES)
     return out.select("entry_id", "rule_id", "severity", "category", "score", "kept")
 
 
-# ------------------------------------------------------------------ M5 (rows only)
-@register("score_items")
+# ------------------------------------------------------------------ M5
+def _score_items_sql() -> str:
+    from feedlake.plans.q_scalar import _duck_clean
+    text = f"(coalesce(title, '') || ' ' || coalesce({_duck_clean('summary')}, ''))"
+    sql = _rubric_sql("run_ts, hash", "cast(cast(published_at as date) as timestamp) + interval 27 hours "
+                      "as run_ts, sha256(link) as hash, title, summary", text, "v_entries")
+    return sql.replace("select run_ts, hash, rule_id, ", "select run_ts, hash, ", 1)
+
+
+@register("score_items", _score_items_sql())
 def q_score_items(spark, base):
-    """Pandas keyword scorer over every run's items (Arrow batches)."""
-    items = fx.daily_items(spark, base)
-    return S.score_items(items)
+    """Pandas keyword scorer (Arrow batches) over every entry's title and
+    cleaned summary; must agree with the CASE form of the same rules."""
+    from feedlake.functions.text import clean_html, item_hash
+    e = fx.entries(spark, base).select(
+        fx.run_of(F.col("published_at")).alias("run_ts"), item_hash(F.col("link")).alias("hash"),
+        "title", clean_html(F.col("summary")).alias("summary"))
+    return S.score_items(e, S.keyword_scorer(FIXTURE_RULES)).select(
+        "run_ts", "hash", "severity", "category", "score", "kept")

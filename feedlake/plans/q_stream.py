@@ -33,18 +33,22 @@ def _verdict_stream(spark, base):
     return ST.with_event_time(v)
 
 
-# ------------------------------------------------------------------ T1 (rows only)
-@register("stream_ingest")
+# ------------------------------------------------------------------ T1
+@register("stream_ingest", with_views("""
+select entry_id, source, link, published_at, kept, hash, severity, score from v_verdicts""",
+                                      "v_verdicts"))
 def q_stream_ingest(spark, base):
     out = ST.run_to_table(_verdict_stream(spark, base), "stream-ingest")
-    return spark.read.parquet(out).drop("event_ts")
+    return spark.read.parquet(out).select("entry_id", "source", "link", "published_at", "kept",
+                                          "hash", "severity", "score")
 
 
-# ------------------------------------------------------------------ T2 (rows only)
-@register("stream_dedup")
+# ------------------------------------------------------------------ T2
+@register("stream_dedup", with_views("select distinct hash from v_verdicts", "v_verdicts"))
 def q_stream_dedup(spark, base):
+    """One row per hash survives (which duplicate is first depends on arrival)."""
     out = ST.run_to_table(ST.dedup(_verdict_stream(spark, base)), "stream-dedup")
-    return spark.read.parquet(out).select("hash", "entry_id", "published_at")
+    return spark.read.parquet(out).select("hash")
 
 
 # ------------------------------------------------------------------ T3
@@ -57,8 +61,12 @@ def q_stream_week_counts(spark, base):
     return spark.read.parquet(out)
 
 
-# ------------------------------------------------------------------ T4 (rows only)
-@register("stream_digest")
+# ------------------------------------------------------------------ T4
+@register("stream_digest", with_views("""
+select run_ts, cast(rank as int) as rank, entry_id, hash, severity, score
+from (select *, row_number() over (partition by run_ts order by severity_rank, score desc, response_pos) as rank
+      from v_daily where kept and severity in ('critical', 'important')) t
+where rank <= 3""", "v_daily"))
 def q_stream_digest(spark, base):
     """Daily priority pick per micro-batch, written idempotently by batch id."""
     v = (_verdict_stream(spark, base)
@@ -66,7 +74,8 @@ def q_stream_digest(spark, base):
          .withColumn("response_pos", F.col("entry_id")))
 
     def pick(batch):
-        return sel.daily_top(batch).select("run_ts", "rank", "entry_id", "hash", "severity", "score")
+        return sel.daily_top(batch).select("run_ts", F.col("rank").cast("int"), "entry_id", "hash",
+                                           "severity", "score")
 
     out = ST.run_to_table(v, "stream-digest", batch_fn=ST.per_batch_overwrite(pick))
-    return spark.read.parquet(out)
+    return spark.read.parquet(out).select("run_ts", "rank", "entry_id", "hash", "severity", "score")

@@ -365,3 +365,37 @@ def q_recap_with_fallback(spark, base):
                            .otherwise(F.col("doc")))
     _, top = W.recap_selection(store, docs)
     return top.select("week", F.col("rank").cast("int"), "hash", "entry_id")
+
+
+# ------------------------------------------------------------------ R7, X1, X2 (message texts)
+_MSEV = _duck_case("severity", vocab.MESSAGE_SEVERITY_MARKERS, q(vocab.MESSAGE_DEFAULT_SEVERITY_MARKER))
+_DTITLE = f"({q(RP.M_DAILY_TITLE)} || {_long('h.run_ts')})"
+
+
+def _duck_clip(x: str, n: int) -> str:
+    return f"(case when length({x}) > {n} then substring({x}, 1, {n - 1}) || '…' else {x} end)"
+
+
+@register("digest_message", with_views(f"""
+with h as (select run_ts, count(*) as n_scored, count_if(kept) as n_kept,
+                  'day ' || cast(any_value(cast(published_at as date)) as varchar) as headline
+           from v_daily group by run_ts),
+t as (select run_ts, string_agg(line, chr(10) || chr(10) order by rank) as txt from (
+        select run_ts, rank, {_MSEV} || ' [' || translate(title, '[]', '()') || '](' || link || ')'
+               || chr(10) || '   __' as line from v_top) x group by run_ts),
+o as (select run_ts, string_agg(line, chr(10) order by rank) as txt from (
+        select run_ts, rank, '• ' || {_MSEV} || ' [' || translate(title, '[]', '()') || '](' || link || ')' as line
+        from v_other) x group by run_ts)
+select h.run_ts, {_duck_clip(_DTITLE, vocab.LIMIT_TITLE)} as title,
+       '**' || headline || '**' || chr(10) || chr(10) || '📊 ' || cast(n_scored as varchar)
+         || ' articles analysés • ' || cast(n_kept as varchar) || ' retenus' as description,
+       {_duck_clip('t.txt', vocab.LIMIT_FIELD)} as top_value,
+       {_duck_clip('o.txt', vocab.LIMIT_FIELD)} as other_value,
+       {q(vocab.DIGEST_DEFAULT_SUMMARY)} as summary_value
+from h left join t on t.run_ts = h.run_ts left join o on o.run_ts = h.run_ts""",
+                                         "v_daily", "v_top", "v_other"))
+def q_digest_message(spark, base):
+    """Texts of the daily message: only the list prefix that can fit in a
+    1,024-character field is gathered, plus the list's total length."""
+    f = _digest_fields(spark, base)
+    return f.select("run_ts", "title", "description", "top_value", "other_value", "summary_value")
