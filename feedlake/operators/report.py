@@ -22,6 +22,7 @@ from feedlake.functions import labels as L
 from feedlake.functions import text as T
 from feedlake.operators import weekly as W
 from feedlake.operators.ranking import ordinal
+from feedlake.session import checkpoint_dir
 
 # fixed values: report and message texts
 H_TITLE = "# Récap veille — Semaine "
@@ -132,6 +133,9 @@ def weekly_report_lines(store: DataFrame, fields: DataFrame, top: DataFrame | No
         lit_arr("", H_ALL))
     head = (wk.join(top_arr, "week", "left").join(split_arr, "week", "left")
             .join(tk_arr, "week", "left").select("week", head_arr.alias("__head")))
+    # one row per week, read twice below: computed once, lineage cut
+    checkpoint_dir(store.sparkSession)
+    head = head.checkpoint(eager=True)
     head_lines = head.select("week", F.posexplode("__head").alias("__p", "line")).select(
         "week", (F.col("__p") + 1).cast("int").alias("line_no"), "line")
 

@@ -79,3 +79,22 @@ def q_stream_digest(spark, base):
 
     out = ST.run_to_table(v, "stream-digest", batch_fn=ST.per_batch_overwrite(pick))
     return spark.read.parquet(out).select("run_ts", "rank", "entry_id", "hash", "severity", "score")
+
+
+# ------------------------------------------------------------------ T5 on the stream
+@register("stream_late_items", with_views("""
+select strftime(published_at, '%G-W%V') as week, entry_id, published_at,
+       cast(cast(published_at as date) as timestamp) + interval 27 hours as run_ts
+from v_verdicts
+where kept and cast(cast(published_at as date) as timestamp) + interval 27 hours
+      > date_trunc('week', published_at) + interval '6 days 15 hours'""", "v_verdicts"))
+def q_stream_late_items(spark, base):
+    """Kept verdicts arriving after their week's recap ran, flagged as the
+    stream flows (a stateless test per row); their weeks are rebuilt."""
+    from feedlake.functions.dates import week_label
+    from feedlake.operators import weekly as W
+    v = (_verdict_stream(spark, base).filter("kept")
+         .withColumn("run_ts", fx.run_of(F.col("published_at")))
+         .withColumn("week", week_label(F.col("published_at"))))
+    out = ST.run_to_table(W.late_items(v), "stream-late")
+    return spark.read.parquet(out).select("week", "entry_id", "published_at", "run_ts")

@@ -23,3 +23,18 @@ def run_weekly(spark: SparkSession, store_path: str, weeks: list[str] | None = N
         RP.write_weekly_report(lines, report_path)
     payload = RP.recap_payload(store, fields, archive_base=archive_base, top=top)
     return {"store": store, "top": top, "lines": lines, "payload": payload}
+
+
+def rebuild_late_weeks(spark: SparkSession, store_path: str, late: DataFrame,
+                       recap_docs: DataFrame | None = None, report_path: str | None = None
+                       ) -> dict[str, DataFrame]:
+    """Rebuild the weeks that received late items (T5, Q1): the store is
+    semi-joined to the late weeks (partition pruning at run time) and the
+    weekly job reruns for those weeks only, overwriting their report files."""
+    weeks = late.select("week").distinct()
+    store = ST.read_store(spark, store_path).join(weeks, "week", "left_semi").filter(F.col("kept"))
+    fields, top = W.recap_selection(store, recap_docs)
+    lines = RP.weekly_report_lines(store, fields, top)
+    if report_path:
+        RP.write_weekly_report(lines, report_path)
+    return {"store": store, "top": top, "lines": lines}

@@ -65,3 +65,16 @@ def test_upsert_store_moves_week(spark):
     assert got == {("h1", "2026-W23"), ("h2", "2026-W22")}
     ST.upsert_store(spark, moved, path)        # idempotent
     assert ST.read_store(spark, path).count() == 2
+
+
+def test_rebuild_late_weeks(spark, base):
+    from feedlake.operators import weekly as W
+    from feedlake.plans.weekly import rebuild_late_weeks
+    store = scratch_path(spark, "store-late")
+    v = fx.daily_verdicts(spark, base).filter("kept").withColumn("recorded_at", F.col("run_ts"))
+    ST.upsert_store(spark, v, store)
+    stored = ST.read_store(spark, store)
+    late = W.late_items(stored)
+    late_weeks = {r.week for r in late.select("week").distinct().collect()}
+    out = rebuild_late_weeks(spark, store, late)
+    assert {r.week for r in out["lines"].select("week").distinct().collect()} == late_weeks
