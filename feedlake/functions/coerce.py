@@ -59,10 +59,13 @@ def variant_field(doc, path: str) -> Column:
     return F.try_variant_get(_c(doc), path, "variant")
 
 
-def score_of(v) -> Column:
-    """``int(x)`` then clamp, default 1 on failure (bool counts as 0/1)."""
+def score_of(v, t=None) -> Column:
+    """``int(x)`` then clamp, default 1 on failure (bool counts as 0/1).
+
+    ``t`` may be a column already holding ``schema_of_variant(v)``.
+    """
     v = _c(v)
-    t = _vtype(v)
+    t = _vtype(v) if t is None else _c(t)
     as_text = F.try_variant_get(v, "$", "string")
     numeric = t.rlike("^(BIGINT|INT|SMALLINT|TINYINT|DOUBLE|FLOAT|DECIMAL.*)$")
     num_val = F.try_variant_get(v, "$", "double")
@@ -82,13 +85,13 @@ def score_of(v) -> Column:
     return clamp_score(raw).cast("int")
 
 
-def truthy(v) -> Column:
+def truthy(v, t=None) -> Column:
     """Python ``bool(x)`` of a JSON value; absent or null is False.
 
     A string is true when non-empty, so the text "false" is true.
     """
     v = _c(v)
-    t = _vtype(v)
+    t = _vtype(v) if t is None else _c(t)
     return (F.when(v.isNull() | (t == F.lit("VOID")), F.lit(False))
             .when(t == F.lit("BOOLEAN"), F.try_variant_get(v, "$", "boolean"))
             .when(t == F.lit("STRING"), F.length(F.try_variant_get(v, "$", "string")) > 0)
@@ -98,10 +101,10 @@ def truthy(v) -> Column:
                                   F.lit(True))))
 
 
-def text_of(v, default: str = "") -> Column:
+def text_of(v, default: str = "", t=None) -> Column:
     """``str(x).strip()`` of a JSON value; NULL/absent gives ``default``."""
     v = _c(v)
-    t = _vtype(v)
+    t = _vtype(v) if t is None else _c(t)
     return (F.when(v.isNull() | (t == F.lit("VOID")), F.lit(default))
             .when(t == F.lit("STRING"), strip_ws(F.try_variant_get(v, "$", "string")))
             .when(t == F.lit("BOOLEAN"),
@@ -111,9 +114,9 @@ def text_of(v, default: str = "") -> Column:
 
 
 def raw_text_of(v, default: str = "") -> Column:
-    """``str(x)`` without stripping (hash references are compared verbatim)."""
-    v = _c(v)
-    t = _vtype(v)
-    return (F.when(v.isNull() | (t == F.lit("VOID")), F.lit(default))
-            .when(t == F.lit("STRING"), F.try_variant_get(v, "$", "string"))
-            .otherwise(F.to_json(v)))
+    """Text of a JSON value compared against codes or hashes, verbatim.
+
+    Only JSON strings can equal a code or a hash, so any other value may map
+    to its cast text (or the default) without changing a comparison.
+    """
+    return F.coalesce(F.try_variant_get(_c(v), "$", "string"), F.lit(default))

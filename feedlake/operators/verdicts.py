@@ -62,26 +62,32 @@ def parse_documents(docs: DataFrame, key: str, doc_col: str = "doc",
 
 
 def validate(answers: DataFrame, field_names: dict | None = None) -> DataFrame:
-    """Coerce answered fields with the original rules."""
+    """Coerce answered fields with the original rules.
+
+    Each field's value and JSON type are projected once, then coerced.
+    """
     f = {"hash": "hash", "severity": "severity", "score": "score", "kept": "kept",
          "category": "category", "reason": "reason", "translated_title": "translated_title"}
     f.update(field_names or {})
     it = F.col("__item")
-
-    def get(name):
-        return F.try_variant_get(it, f"$.{f[name]}", "variant")
-
-    sev_txt = C.raw_text_of(get("severity"), vocab.DEFAULT_SEVERITY)
-    cat_txt = C.raw_text_of(get("category"), vocab.DEFAULT_CATEGORY)
-    return (answers
-            .withColumn("hash", C.raw_text_of(get("hash"), ""))
-            .withColumn("severity", C.allow_severity(sev_txt))
-            .withColumn("category", C.allow_category(cat_txt))
-            .withColumn("score", C.score_of(get("score")))
-            .withColumn("kept", C.truthy(get("kept")))
-            .withColumn("reason", C.text_of(get("reason")))
-            .withColumn("translated_title", C.text_of(get("translated_title")))
-            .drop("__item"))
+    typed = ["score", "kept", "reason", "translated_title"]
+    base = [c for c in answers.columns if c != "__item"]
+    step1 = answers.select(*base, *[F.try_variant_get(it, f"$.{f[n]}", "variant").alias(f"__v_{n}")
+                                    for n in f])
+    step2 = step1.select("*", *[F.schema_of_variant(F.col(f"__v_{n}")).alias(f"__t_{n}")
+                                for n in typed])
+    v = lambda n: F.col(f"__v_{n}")
+    t = lambda n: F.col(f"__t_{n}")
+    out = step2.select(
+        *base,
+        C.raw_text_of(v("hash"), "").alias("hash"),
+        C.allow_severity(C.raw_text_of(v("severity"), vocab.DEFAULT_SEVERITY)).alias("severity"),
+        C.allow_category(C.raw_text_of(v("category"), vocab.DEFAULT_CATEGORY)).alias("category"),
+        C.score_of(v("score"), t("score")).alias("score"),
+        C.truthy(v("kept"), t("kept")).alias("kept"),
+        C.text_of(v("reason"), t=t("reason")).alias("reason"),
+        C.text_of(v("translated_title"), t=t("translated_title")).alias("translated_title"))
+    return out
 
 
 def usable(docs: DataFrame, key: str, doc_col: str = "doc") -> DataFrame:
