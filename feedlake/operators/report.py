@@ -269,9 +269,11 @@ def digest_payload(fields: DataFrame, footer: str = vocab.DEFAULT_FOOTER,
     return fields.select(group, F.to_json(F.struct(F.array(embed).alias("embeds"))).alias("payload"))
 
 
-def recap_payload(store: DataFrame, fields: DataFrame, archive_base: str | None = None,
-                  archive_dir: str = "docs/reports", top: DataFrame | None = None) -> DataFrame:
-    """Weekly message per week (R9): five or six blocks, each clipped to 4,096."""
+def recap_blocks(store: DataFrame, fields: DataFrame, archive_base: str | None = None,
+                 archive_dir: str = "docs/reports", top: DataFrame | None = None) -> DataFrame:
+    """Texts of the weekly message per week (R9): title and five block
+    descriptions, each clipped to 4,096, plus the archive link block.
+    Lists inside are bounded (3 highlights, 6 categories, 3 takeaways)."""
     wk = week_frame(store).join(fields, "week", "left")
     if top is None:
         top = W.top_referenced(store, fields)
@@ -291,32 +293,42 @@ def recap_payload(store: DataFrame, fields: DataFrame, archive_base: str | None
         lambda x: x["l"]), "\n").alias("tk_text"))
     j = wk.join(tv, "week", "left").join(cv, "week", "left").join(kv, "week", "left")
     clip = lambda c: T.clip_text(c, vocab.LIMIT_DESCRIPTION)
-    blocks = [
-        F.struct(T.clip_text(_cat(M_RECAP_TITLE, F.col("week")), vocab.LIMIT_TITLE).alias("title"),
-                 clip(_cat("**Du ", D.date_fr_long("week_start"), " au ", D.date_fr_long("week_end"),
-                           "**\n\n📊 **", _s(F.col("n")), "** articles retenus cette semaine"))
-                 .alias("description"),
-                 F.lit(vocab.COLOR_BLUE).alias("color"), D.iso_utc("generated_at").alias("timestamp")),
-        F.struct(F.lit(M_RECAP_TOP).alias("title"),
-                 clip(F.coalesce("top_text", F.lit(vocab.REPORT_NO_TOP))).alias("description"),
-                 F.lit(vocab.COLOR_RED).alias("color")),
-        F.struct(F.lit(M_RECAP_SPLIT).alias("title"),
-                 clip(F.coalesce("split_text", F.lit(vocab.MESSAGE_NO_SPLIT))).alias("description"),
-                 F.lit(vocab.COLOR_GREEN).alias("color")),
-        F.struct(F.lit(M_RECAP_TRENDS).alias("title"),
-                 clip(F.coalesce(T.non_empty(F.col("trends")), F.lit(vocab.REPORT_NO_TRENDS)))
-                 .alias("description"), F.lit(vocab.COLOR_ORANGE).alias("color")),
-        F.struct(F.lit(M_RECAP_TAKEAWAYS).alias("title"),
-                 clip(F.coalesce("tk_text", F.lit(vocab.REPORT_NO_TAKEAWAYS))).alias("description"),
-                 F.lit(vocab.COLOR_VIOLET).alias("color")),
-    ]
-    embeds = [F.to_json(b) for b in blocks]
     link = T.archive_link(F.lit(archive_base) if archive_base else F.lit(None).cast("string"),
                           _cat(archive_dir + "/", F.col("week"), ".md"))
-    last = F.when(link.isNotNull(), F.to_json(F.struct(
-        F.lit(M_RECAP_ARCHIVE).alias("title"),
-        clip(_cat("[" + M_ARCHIVE_TEXT + "](", link, ")")).alias("description"),
-        F.lit(vocab.COLOR_GREY).alias("color"))))
+    return j.select(
+        "week", "generated_at",
+        T.clip_text(_cat(M_RECAP_TITLE, F.col("week")), vocab.LIMIT_TITLE).alias("title"),
+        clip(_cat("**Du ", D.date_fr_long("week_start"), " au ", D.date_fr_long("week_end"),
+                  "**\n\n📊 **", _s(F.col("n")), "** articles retenus cette semaine"))
+        .alias("header_text"),
+        clip(F.coalesce("top_text", F.lit(vocab.REPORT_NO_TOP))).alias("top_block"),
+        clip(F.coalesce("split_text", F.lit(vocab.MESSAGE_NO_SPLIT))).alias("split_block"),
+        clip(F.coalesce(T.non_empty(F.col("trends")), F.lit(vocab.REPORT_NO_TRENDS)))
+        .alias("trends_block"),
+        clip(F.coalesce("tk_text", F.lit(vocab.REPORT_NO_TAKEAWAYS))).alias("takeaways_block"),
+        F.when(link.isNotNull(), clip(_cat("[" + M_ARCHIVE_TEXT + "](", link, ")")))
+        .alias("archive_block"))
+
+
+def recap_payload(store: DataFrame, fields: DataFrame, archive_base: str | None = None,
+                  archive_dir: str = "docs/reports", top: DataFrame | None = None) -> DataFrame:
+    """Weekly message per week (R9): five or six embeds as one JSON text."""
+    b = recap_blocks(store, fields, archive_base, archive_dir, top)
+
+    def embed(title, desc, color, with_ts=False):
+        parts = [(title if isinstance(title, Column) else F.lit(title)).alias("title"),
+                 F.col(desc).alias("description"), F.lit(color).alias("color")]
+        if with_ts:
+            parts.append(D.iso_utc("generated_at").alias("timestamp"))
+        return F.to_json(F.struct(*parts))
+
+    embeds = [embed(F.col("title"), "header_text", vocab.COLOR_BLUE, True),
+              embed(M_RECAP_TOP, "top_block", vocab.COLOR_RED),
+              embed(M_RECAP_SPLIT, "split_block", vocab.COLOR_GREEN),
+              embed(M_RECAP_TRENDS, "trends_block", vocab.COLOR_ORANGE),
+              embed(M_RECAP_TAKEAWAYS, "takeaways_block", vocab.COLOR_VIOLET)]
+    last = F.when(F.col("archive_block").isNotNull(),
+                  embed(M_RECAP_ARCHIVE, "archive_block", vocab.COLOR_GREY))
     arr = F.filter(F.array(*embeds, last), lambda x: x.isNotNull())
-    return j.select("week", F.concat(F.lit('{"embeds":['), F.array_join(arr, ","), F.lit("]}"))
+    return b.select("week", F.concat(F.lit('{"embeds":['), F.array_join(arr, ","), F.lit("]}"))
                     .alias("payload"))

@@ -12,8 +12,18 @@ from feedlake.sources import feeds as FD
 from feedlake.sources import fixtures as fx
 
 
-# ------------------------------------------------------------------ S3, U1, P1 (rows only)
-@register("feed_entries")
+# ------------------------------------------------------------------ S3, U1, P1
+def _feed_sql() -> str:
+    from feedlake.plans.q_scalar import _NORM_SQL
+    body = _NORM_SQL.replace("select e.entry_id, ", "select ", 1).replace(
+        "e.source, s.category as source_category, e.published_at",
+        "e.source, s.category as source_category, date_trunc('second', e.published_at) as published_at")
+    return with_views(f"""
+select source, hash, link, title, summary, published_at, source_category from ({body}) t""",
+                      "v_entries", "v_sources")
+
+
+@register("feed_entries", _feed_sql())
 def q_feed_entries(spark, base):
     """Feed files read back, normalised against the registry."""
     path = fx.feed_docs(spark, base)

@@ -265,7 +265,7 @@ def q_digest_payload(spark, base):
 def q_recap_payload(spark, base):
     store = _stored(spark, base)
     return RP.recap_payload(store, W.recap_fields(fx.recap_docs_from(store)),
-                            archive_base="https://git.example.org/team/archive")
+                            archive_base=_ARCHIVE)
 
 
 # ------------------------------------------------------------------ P12
@@ -399,3 +399,33 @@ def q_digest_message(spark, base):
     1,024-character field is gathered, plus the list's total length."""
     f = _digest_fields(spark, base)
     return f.select("run_ts", "title", "description", "top_value", "other_value", "summary_value")
+
+
+# ------------------------------------------------------------------ R9 (message texts)
+_ARCHIVE = "https://git.example.org/team/archive"
+
+
+@register("recap_message", with_views(f"""
+with t as (select week, string_agg('**' || cast(rank as varchar) || '.** ' || {_MSEV} || ' ['
+                   || translate({_TITLE}, '[]', '()') || '](' || link || ')' || chr(10) || '   _' || reason || '_',
+                   chr(10) || chr(10) order by rank) as txt
+           from v_topref group by week),
+c as (select week, string_agg({_catm('category')} || ' **' || {_catl('category')} || '** — ' || cast(n as varchar),
+                              chr(10) order by ord) as txt
+      from v_counts where n > 0 group by week),
+k as (select week, string_agg('**' || cast(rank as varchar) || '.** ' || text, chr(10) order by rank) as txt
+      from v_tk group by week)
+select w.week,
+       {_duck_clip(q(RP.M_RECAP_TITLE) + " || w.week", vocab.LIMIT_TITLE)} as title,
+       {_duck_clip("'**Du ' || " + _long('w.ws') + " || ' au ' || " + _long('w.we') + " || '**' || chr(10) || chr(10) || '📊 **' || cast(w.n as varchar) || '** articles retenus cette semaine'", vocab.LIMIT_DESCRIPTION)} as header_text,
+       {_duck_clip("coalesce(t.txt, " + q(vocab.REPORT_NO_TOP) + ")", vocab.LIMIT_DESCRIPTION)} as top_block,
+       {_duck_clip("coalesce(c.txt, " + q(vocab.MESSAGE_NO_SPLIT) + ")", vocab.LIMIT_DESCRIPTION)} as split_block,
+       {_duck_clip("'Semaine ' || w.week || ' : ' || cast(w.n as varchar) || ' articles retenus.'", vocab.LIMIT_DESCRIPTION)} as trends_block,
+       {_duck_clip("coalesce(k.txt, " + q(vocab.REPORT_NO_TAKEAWAYS) + ")", vocab.LIMIT_DESCRIPTION)} as takeaways_block,
+       '[{RP.M_ARCHIVE_TEXT}](' || '{_ARCHIVE}' || '/blob/main/docs/reports/' || w.week || '.md)' as archive_block
+from v_wk w left join t on t.week = w.week left join c on c.week = w.week left join k on k.week = w.week""",
+                                        "v_wk", "v_topref", "v_counts", "v_tk"))
+def q_recap_message(spark, base):
+    store = _stored(spark, base)
+    b = RP.recap_blocks(store, W.recap_fields(fx.recap_docs_from(store)), archive_base=_ARCHIVE)
+    return b.drop("generated_at")
