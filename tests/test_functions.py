@@ -160,3 +160,17 @@ def test_feed_date_parse(spark):
     got = [r.v for r in df.select(D.parse_feed_date("s").alias("v")).collect()]
     assert got == [datetime(2024, 1, 8, 10), datetime(2024, 1, 8, 14, 30), datetime(2024, 1, 8, 10),
                    datetime(2024, 1, 8, 8), None]
+
+
+@pytest.mark.parametrize("raw,expected", [
+    ("a b", "a b"), ("a  b", "a b"), ("a\x85b", "a b"), ("a　\n b", "a b"),
+    (" a\x1fb ", "a b"), ("a\x0bb", "a b"), ("a​b", "a​b"),
+])
+def test_clean_html_unicode_space(spark, raw, expected):
+    df = rows(spark, [(raw,)], "s string")
+    assert df.select(T.clean_html("s").alias("v")).first().v == expected
+
+
+def test_strip_keeps_inner_unicode_space(spark):
+    df = rows(spark, [(" a b\x1c",)], "s string")
+    assert df.select(T.strip_ws("s").alias("v")).first().v == "a b"
