@@ -19,6 +19,41 @@ BASE_CONF = {
 }
 
 
+# Settings for large clusters (100 TB inputs). Partitions are sized by bytes,
+# not by a fixed count: AQE coalesces small shuffle partitions to the
+# advisory size and splits skewed ones, file splits stay near 256 MB, and
+# only tables measured under 64 MB at run time are broadcast.
+SCALE_CONF = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.parquet.filterPushdown": "true",
+    "spark.sql.optimizer.dynamicPartitionPruning.enabled": "true",
+    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+}
+
+
+def apply_scale_conf(spark: SparkSession, overrides: dict | None = None) -> None:
+    """Apply SCALE_CONF (and overrides) to a running session."""
+    conf = dict(SCALE_CONF)
+    conf.update(overrides or {})
+    for k, v in conf.items():
+        try:
+            spark.conf.set(k, v)
+        except Exception:  # noqa: BLE001 - static settings belong in spark-submit
+            pass
+    ensure_utc(spark)
+
+
 def get_session(master: str = "local[*]", shuffle_partitions: int = 8,
                 app_name: str = "feedlake", extra: dict | None = None) -> SparkSession:
     """Build (or reuse) a session with feedlake's required settings."""
