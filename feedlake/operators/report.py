@@ -11,7 +11,6 @@ prefix of each list is ever gathered.
 
 from __future__ import annotations
 
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -21,7 +20,6 @@ from feedlake.functions import dates as D
 from feedlake.functions import labels as L
 from feedlake.functions import text as T
 from feedlake.operators import weekly as W
-from feedlake.operators.ranking import ordinal
 from feedlake.session import checkpoint_dir
 
 # fixed values: report and message texts

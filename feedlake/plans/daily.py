@@ -19,7 +19,6 @@ from feedlake.operators import ledger as LG
 from feedlake.operators import recency as R
 from feedlake.operators import report as RP
 from feedlake.operators import scoring as S
-from feedlake.operators import select as sel
 from feedlake.operators import verdicts as V
 from feedlake.sources import store as ST
 
@@ -80,6 +79,3 @@ def run_daily(spark: SparkSession, entries: DataFrame, sources: DataFrame, runs:
 def digest_selection_only(verdicts: DataFrame) -> DataFrame:
     """Selection of already validated verdicts (top and other)."""
     return V.digest_items(verdicts)
-
-
-__all__ = ["run_daily", "digest_selection_only", "sel"]

@@ -2,7 +2,6 @@
 
 from datetime import datetime, timedelta
 
-from pyspark.sql import functions as F
 
 from feedlake.operators import ledger as LG
 from feedlake.operators import recency as R
