@@ -33,7 +33,8 @@ def collapse_ws(col) -> Column:
 
     Non-ASCII white space is first mapped to a plain space with ``translate``
     (a per-character table, no regex), so the run-collapsing regex is the
-    fast ASCII ``\s+``; the result is the same as one Unicode-class regex.
+    fast ASCII white-space regex; the result is the same as one Unicode-class
+    regex.
     """
     ascii_ws = F.translate(_c(col), _EXTRA_WS, " " * len(_EXTRA_WS))
     return F.trim(F.regexp_replace(ascii_ws, r"\s+", " "))

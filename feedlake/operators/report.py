@@ -2,11 +2,12 @@
 and the file sinks. Everything is set-wise over all weeks / runs.
 
 The weekly document of a week has a line per stored item, so it is kept in
-long form ``(week, line_no, line)``; line numbers come from the skew-safe
-ordinal and the text sink writes each week's lines in order. The bounded
-sections (header, top 3, category table, trends, takeaways) are small arrays
-per week; chat messages are bounded by their size limits, so only a proven
-prefix of each list is ever gathered.
+long form ``(week, line_no, line)``: the bounded head (header, top 3,
+category table, trends, takeaways) is one small array per week, and body
+line numbers come from per-category counts plus the skew-safe rank inside
+the category. The text sink writes each week's lines in order. Chat
+messages are bounded by their size limits, so only a proven prefix of each
+list is ever gathered.
 """
 
 from __future__ import annotations
