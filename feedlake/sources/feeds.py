@@ -60,7 +60,7 @@ def read_rss(spark: SparkSession, path: str, stream: bool = False) -> DataFrame:
 
 
 def read_atom(spark: SparkSession, path: str, stream: bool = False) -> DataFrame:
-    raw = _read(spark, path, "entry", ATOM_ENTRY, "*.atom", stream)
+    raw = _read(spark, path, "entry", ATOM_ENTRY, "*.xml", stream)
     alt = F.filter("link", lambda l: l["_rel"].isNull() | (l["_rel"] == "alternate"))
     return raw.select(
         F.url_decode(_source_of_file()).alias("source"), F.input_file_name().alias("file"),
@@ -70,23 +70,31 @@ def read_atom(spark: SparkSession, path: str, stream: bool = False) -> DataFrame
 
 
 def read_feeds(spark: SparkSession, path: str, stream: bool = False) -> DataFrame:
-    """RSS items and Atom entries of every landed feed file, one schema."""
+    """RSS items and Atom entries of every landed feed file, one schema.
+
+    Both readers scan every file: an RSS file has no ``entry`` rows and an
+    Atom file no ``item`` rows, while a broken file yields a corrupt row in
+    both, which ``quarantine`` folds into one row per file.
+    """
     return read_rss(spark, path, stream).unionByName(read_atom(spark, path, stream))
 
 
+def _parsed_ref() -> F.Column:
+    """An always-true predicate on a parsed column. Spark refuses scans that
+    read only the corrupt-record column (e.g. ``count()`` after a filter on
+    it); referencing ``title`` keeps such queries legal under pruning."""
+    return F.length(F.coalesce(F.col("title"), F.lit(""))) >= 0
+
+
 def entries(feeds: DataFrame) -> DataFrame:
     """Parsed entries with their position inside the file (arrival order)."""
-    ok = feeds.filter(F.col("_corrupt_record").isNull()).drop("_corrupt_record")
+    ok = feeds.filter(F.col("_corrupt_record").isNull() & _parsed_ref()).drop("_corrupt_record")
     return ok.withColumn("entry_pos", F.monotonically_increasing_id())
 
 
 def quarantine(feeds: DataFrame) -> DataFrame:
     """One row per file that had a parse problem, with an excerpt."""
-    # the extra predicate references a parsed column, which keeps the scan
-    # legal under column pruning (Spark refuses to read only the
-    # corrupt-record column)
-    bad = feeds.filter(F.col("_corrupt_record").isNotNull()
-                       & (F.length(F.coalesce(F.col("title"), F.lit(""))) >= 0))
+    bad = feeds.filter(F.col("_corrupt_record").isNotNull() & _parsed_ref())
     return (bad.groupBy("source", "file")
             .agg(F.count(F.lit(1)).alias("n_corrupt"),
                  F.count("title").alias("n_partial"),
@@ -94,6 +102,21 @@ def quarantine(feeds: DataFrame) -> DataFrame:
             .withColumn("reason", F.lit("parse_error")))
 
 
+def write_atom(entries_df: DataFrame, path: str) -> None:
+    """Land entries as Atom files, one directory per source: title and
+    summary carry a type attribute, the link is an attribute list."""
+    out = entries_df.select(
+        "source",
+        F.struct(F.lit("text").alias("_type"), F.col("title").alias("_VALUE")).alias("title"),
+        F.array(F.struct(F.col("link").alias("_href"), F.lit("alternate").alias("_rel")))
+        .alias("link"),
+        F.struct(F.lit("html").alias("_type"), F.col("summary").alias("_VALUE")).alias("summary"),
+        F.date_format("published_at", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("published"))
+    (out.repartition("source").write.mode("append").format("xml")
+     .option("rootTag", "feed").option("rowTag", "entry")
+     .partitionBy("source").save(path))
+
+
 def write_rss(entries_df: DataFrame, path: str) -> None:
     """Land entries as RSS files, one directory per source (test fixtures,
     replays). ``entries_df``: source, title, link, summary, published_at."""

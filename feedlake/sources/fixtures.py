@@ -246,9 +246,14 @@ BROKEN_FEEDS = {
 def feed_docs(spark: SparkSession, base: str) -> str:
     """Write the feed files to a fresh folder under the checkpoint folder."""
     from feedlake.session import scratch_path
-    from feedlake.sources.feeds import write_rss
+    from feedlake.sources.feeds import write_atom, write_rss
     path = scratch_path(spark, "feeds")
-    write_rss(entries(spark, base), path)
+    e = entries(spark, base)
+    # each source publishes one format: RSS when its host name has an even
+    # length, Atom otherwise; together they carry every entry
+    even = F.length("source") % 2 == 0
+    write_rss(e.filter(even), path)
+    write_atom(e.filter(~even), path)
     extra = [(k, v) for k, v in BROKEN_FEEDS.items()]
     # small fixed files: written through Hadoop's file system API of the session
     jvm = spark.sparkContext._jvm
