@@ -86,7 +86,7 @@ def test_feed_stream_equals_batch(spark, base):
     from feedlake.streaming import stream as STR
     path = fx.feed_docs(spark, base)
     batch = FD.entries(FD.read_feeds(spark, path)).select("source", "link", "title")
-    out = STR.run_to_table(FD.read_rss(spark, path, stream=True)
+    out = STR.run_to_table(FD.read_feeds(spark, path, stream=True)
                            .filter(F.col("_corrupt_record").isNull())
                            .select("source", "link", "title"), "feed-stream")
     streamed = spark.read.parquet(out)
