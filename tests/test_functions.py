@@ -105,11 +105,11 @@ def test_clip(spark, text, limit, expected):
 
 
 def test_escape_and_archive_link(spark):
-    df = rows(spark, [("a [b] c", "https://h/o/r//", "docs\\veille\\2026-W22.md"),
+    df = rows(spark, [("a [b] c", "https://h/o/r//", "docs\\reports\\2026-W22.md"),
                       ("x", None, "p")], "t string, b string, p string")
     got = df.select(T.escape_brackets("t").alias("e"), T.archive_link("b", "p").alias("l")).collect()
     assert got[0].e == "a (b) c"
-    assert got[0].l == "https://h/o/r/blob/main/docs/veille/2026-W22.md"
+    assert got[0].l == "https://h/o/r/blob/main/docs/reports/2026-W22.md"
     assert got[1].l is None
 
 
