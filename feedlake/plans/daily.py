@@ -16,6 +16,7 @@ from feedlake import vocab
 from feedlake.functions import text as T
 from feedlake.operators import ingest as I
 from feedlake.operators import ledger as LG
+from feedlake.operators.metrics import stage_counts
 from feedlake.operators import recency as R
 from feedlake.operators import report as RP
 from feedlake.operators import scoring as S
@@ -72,8 +73,12 @@ def run_daily(spark: SparkSession, entries: DataFrame, sources: DataFrame, runs:
                 .withColumn("translated_title",
                             T.strip_ws(F.coalesce(F.col("translated_title"), F.lit("")))))
         ST.upsert_store(spark, kept, store_path)
+    counters = stage_counts({"recent": pairs, "new": new,
+                             "kept": chosen.select("run_ts"),
+                             "top": chosen.filter(F.col("section") == "top").select("run_ts")})
     return {"items": items, "pairs": pairs, "new": new, "requests": requests,
-            "verdicts": verdicts, "digest_items": chosen, "header": header, "payload": payload}
+            "verdicts": verdicts, "digest_items": chosen, "header": header, "payload": payload,
+            "stage_counts": counters}
 
 
 def digest_selection_only(verdicts: DataFrame) -> DataFrame:

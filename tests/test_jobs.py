@@ -31,6 +31,10 @@ def test_daily_then_weekly(spark, base):
     top = out["digest_items"].filter("section = 'top'")
     assert top.groupBy("run_ts").count().agg(F.max("count")).first()[0] <= 3
     assert out["payload"].count() == out["header"].count()
+    counts = {(r.run_ts, r.stage): r.n for r in out["stage_counts"].collect()}
+    for (run, stage), n in counts.items():
+        if stage == "new":
+            assert n <= counts[(run, "recent")]
 
     rep = scratch_path(spark, "reports")
     w = run_weekly(spark, store, report_path=rep)
