@@ -203,7 +203,8 @@ def _joined_clip(lines: DataFrame, group: str, sep: str, limit: int, value: str)
 
 
 def digest_fields(header: DataFrame, top: DataFrame, other: DataFrame,
-                  footer: str = vocab.DEFAULT_FOOTER, group: str = "run_ts") -> DataFrame:
+                  footer: str = vocab.DEFAULT_FOOTER, group: str = "run_ts",
+                  clip_description: bool = False) -> DataFrame:
     """Per run: title, description, the three fields with their clipped
     values, total size and the size guard (R7, R8, X1, X2)."""
     title_txt = T.display_title(F.col("translated_title"), F.col("title")) \
@@ -229,6 +230,8 @@ def digest_fields(header: DataFrame, top: DataFrame, other: DataFrame,
                   _cat("**", F.col("headline"), "**\n\n", F.col("__stats"))).otherwise(F.col("__stats"))
     summary_v = T.clip_text(F.col("summary"), vocab.LIMIT_FIELD)
     j = h.join(tv, group, "left").join(ov, group, "left")
+    if clip_description:
+        desc = T.clip_text(desc, vocab.LIMIT_DESCRIPTION)
     j = j.withColumn("description", desc).withColumn("summary_value", summary_v)
     name_len = {"top": len(M_TOP_NAME), "other": len(M_OTHER_NAME), "summary": len(M_SUMMARY_NAME)}
     top_len = F.when(F.col("top_value").isNotNull(), F.col("top_value_len") + name_len["top"]) \

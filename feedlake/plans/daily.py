@@ -29,17 +29,24 @@ DEFAULT_TEMPLATE = "Articles : {articles_json}"
 def run_daily(spark: SparkSession, entries: DataFrame, sources: DataFrame, runs: DataFrame,
               ledger_path: str, store_path: str, answers: DataFrame | None = None,
               run_status: DataFrame | None = None, hours: int = vocab.RECENCY_HOURS,
-              template: str = DEFAULT_TEMPLATE, commit: bool = True) -> dict[str, DataFrame]:
+              template: str = DEFAULT_TEMPLATE, commit: bool = True,
+              collapse_in_batch: bool = False, clip_description: bool = False
+              ) -> dict[str, DataFrame]:
     """Run the daily job for every run in ``runs``.
 
     ``answers``: (run_ts, first_pos, doc) answer documents; without them the
     rule scorer stands in for the model. ``run_status``: (run_ts, ok) publish
     outcomes; a failed run commits nothing and its items stay new.
+    ``collapse_in_batch`` keeps one copy of a link seen twice in a run (off:
+    the original scores both); ``clip_description`` clips the message
+    description to 4,096 characters (off: only the size guard protects it).
     """
     items = I.normalize(entries, sources) if "hash" not in entries.columns else entries
     pairs = R.items_per_run(items, runs, hours)
     status = run_status if run_status is not None else runs.withColumn("ok", F.lit(True))
     new = LG.new_per_run(pairs, ST.read_ledger(spark, ledger_path), status)
+    if collapse_in_batch:          # Q3: the original keeps both copies
+        new = LG.in_batch_collapse(new)
     requests = V.pack_requests(new, template)
 
     if answers is not None:
@@ -60,7 +67,7 @@ def run_daily(spark: SparkSession, entries: DataFrame, sources: DataFrame, runs:
                              head_docs)
     top = chosen.filter(F.col("section") == "top")
     other = chosen.filter(F.col("section") == "other")
-    fields = RP.digest_fields(header, top, other)
+    fields = RP.digest_fields(header, top, other, clip_description=clip_description)
     payload = RP.digest_payload(fields)
 
     if commit:

@@ -15,7 +15,11 @@ from feedlake.streaming import stream as ST
 
 def _verdict_stream(spark, base):
     """The verdict fixture computed on a file stream of events."""
-    ev = ST.file_stream(spark, base, "events.parquet")
+    return verdict_frame(ST.file_stream(spark, base, "events.parquet"))
+
+
+def verdict_frame(ev):
+    """Verdict columns from an events frame (streaming or static)."""
     et = F.col("event_type")
     raw = ev.select(
         F.col("event_id").alias("entry_id"), et.alias("source"),

@@ -77,3 +77,26 @@ def per_batch_overwrite(transform: Callable[[DataFrame], DataFrame]) -> Callable
     def write(batch: DataFrame, batch_id: int, out: str) -> None:
         transform(batch).write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
     return write
+
+
+def daily_batch_writer(select: Callable[[DataFrame], DataFrame], ledger_path: str,
+                       store_path: str) -> Callable:
+    """foreachBatch writer for the daily job with its publish gate (T4, K6).
+
+    Per micro-batch, in order: the selection is written to the batch's own
+    folder (the publication); only then are the batch's marks appended to
+    the ledger and its kept verdicts upserted into the store. A replayed
+    batch overwrites its folder, re-appends marks the first-wins ledger
+    view ignores, and re-upserts the same rows: the result is unchanged.
+    """
+    from feedlake.sources import store as ST
+
+    def write(batch: DataFrame, batch_id: int, out: str) -> None:
+        chosen = select(batch)
+        chosen.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+        published = batch.sparkSession.read.parquet(f"{out}/batch_id={batch_id}")
+        marks = batch.select("hash", F.col("link").alias("url"), F.col("run_ts").alias("seen_at"))
+        ST.append_ledger(marks, ledger_path)
+        ST.upsert_store(batch.sparkSession,
+                        published.withColumn("recorded_at", F.col("run_ts")), store_path)
+    return write
