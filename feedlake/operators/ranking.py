@@ -58,10 +58,16 @@ def ordinal(df: DataFrame, group_cols: list[str], order_cols: list, out: str = "
              .agg(F.min("__idx").alias("__first"), F.count(F.lit(1)).alias("__n")))
     w = Window.partitionBy(*group_cols).orderBy("__part")
     spans = spans.withColumn("__offset", F.sum("__n").over(w) - F.col("__n")).drop("__n")
-    joined = tagged.join(spans, ["__part", *group_cols], "inner")
+    # null-safe on the group columns: a NULL group is one group, as in a window
+    renamed = {c: f"__g{i}" for i, c in enumerate(group_cols)}
+    spans = spans.select(F.col("__part").alias("__sp"),
+                         *[F.col(c).alias(a) for c, a in renamed.items()], "__first", "__offset")
+    cond = [F.col("__part") == F.col("__sp")] + [F.col(c).eqNullSafe(F.col(a))
+                                                 for c, a in renamed.items()]
+    joined = tagged.join(spans, cond, "inner")
     return (joined.withColumn(out, (F.col("__offset") + F.col("__idx") - F.col("__first") + 1)
                               .cast("int"))
-            .drop("__mid", "__part", "__idx", "__first", "__offset"))
+            .drop("__mid", "__part", "__idx", "__first", "__offset", "__sp", *renamed.values()))
 
 
 def top_k(df: DataFrame, group_cols: list[str], order_cols: list, k: int,

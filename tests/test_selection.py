@@ -72,3 +72,10 @@ def test_quota(spark):
     assert len(out) == 6
     assert sev.count("critical") == 2 and sev.count("important") == 1
     assert sev.count("notable") == 3
+
+
+def test_ordinal_null_group_is_one_group(spark):
+    df = spark.createDataFrame([(1, None, 5), (2, None, 3), (3, "a", 1), (4, None, 9)],
+                               "id int, g string, v int")
+    got = {r.id: r.pos for r in ordinal(df, ["g"], ["v"], out="pos").collect()}
+    assert got == {2: 1, 1: 2, 4: 3, 3: 1}
