@@ -107,3 +107,17 @@ def test_rule_table_join_equals_case(spark, base):
     rules = spark.createDataFrame(FIXTURE_RULES, S.RULE_SCHEMA)
     joined = S.rubric_join(e, text, rules).select("entry_id", "rule_id", "severity", "score")
     assert case.exceptAll(joined).count() == 0 and joined.exceptAll(case).count() == 0
+
+
+def test_cut_off_feed_keeps_good_entries(spark, base):
+    from feedlake.sources import feeds as FD
+    path = fx.feed_docs(spark, base)
+    feeds = FD.read_feeds(spark, path)
+    links = {r.link for r in FD.entries(feeds).filter(F.col("source") == "cutoff.example.org").collect()}
+    assert "https://cutoff.example.org/a" in links
+    bad = {r.source: r.n_corrupt for r in FD.quarantine(feeds).collect()}
+    assert set(bad) == {"cutoff.example.org", "garbage.example.org"}
+    # the entry without a link is read, then rejected by the required-field rule
+    from feedlake.operators.ingest import entry_rejections
+    rej = entry_rejections(FD.entries(feeds)).filter(F.col("source") == "nolink.example.org").collect()
+    assert [r.reason for r in rej] == ["missing_link"]
