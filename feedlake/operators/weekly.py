@@ -29,11 +29,17 @@ def period_scan(store: DataFrame, periods_df: DataFrame) -> DataFrame:
     an equi-join on the row's own week start plus a residual check; a store
     partitioned by ``week`` is pruned by the join's dynamic partition filter.
     """
-    kept = store.filter(F.col("kept")).withColumn("__ws", D.week_start("published_at"))
+    kept = store.filter(F.col("kept"))
     p = periods_df.withColumnRenamed("week", "__pweek")
-    j = kept.join(p, kept["__ws"] == p["week_start"], "inner").filter(
-        F.col("published_at").between(F.col("week_start"), F.col("week_end")))
-    return j.drop("__ws").drop("week").withColumnRenamed("__pweek", "week")
+    between = F.col("published_at").between(F.col("week_start"), F.col("week_end"))
+    if "week" in store.columns:
+        # join on the partition column: the store's scan is pruned to the
+        # requested weeks (dynamic partition pruning)
+        j = kept.join(p, kept["week"] == p["__pweek"], "inner").filter(between)
+        return j.drop("week").withColumnRenamed("__pweek", "week")
+    kept = kept.withColumn("__ws", D.week_start("published_at"))
+    j = kept.join(p, kept["__ws"] == p["week_start"], "inner").filter(between)
+    return j.drop("__ws").withColumnRenamed("__pweek", "week")
 
 
 def week_totals(store: DataFrame) -> DataFrame:
