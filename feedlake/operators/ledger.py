@@ -7,12 +7,25 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedlake import vocab
+from feedlake.operators.joins import BROADCAST_MAX_ROWS
 
 
-def new_items(items: DataFrame, ledger: DataFrame) -> DataFrame:
+def new_items(items: DataFrame, ledger: DataFrame,
+              max_broadcast_keys: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Items whose hash is not in the ledger (J1, U4). Duplicates inside the
-    batch are kept, so this is a left anti join, not EXCEPT. No hint: the
-    ledger grows without bound, so the planner and AQE pick the strategy."""
+    batch are kept, so this is a left anti join, not EXCEPT.
+
+    Spark can only broadcast the right side of an anti join, and the ledger
+    grows without bound. When the batch's distinct hashes pass a size check
+    they are broadcast instead: the ledger scan is semi-joined to them
+    (streamed, never shuffled), and the anti join runs against that small
+    matched set. Above the bound (large backfills) the plain anti join is
+    left to the planner and AQE.
+    """
+    keys = items.select("hash").distinct()
+    if keys.limit(max_broadcast_keys + 1).count() <= max_broadcast_keys:
+        seen = ledger.select("hash").join(F.broadcast(keys), "hash", "left_semi")
+        return items.join(seen, "hash", "left_anti")
     return items.join(ledger.select("hash"), "hash", "left_anti")
 
 
