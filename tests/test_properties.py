@@ -52,3 +52,24 @@ def test_ordinal_matches_row_number(spark, rows, hot):
     exp = df.withColumn("pos", F.row_number().over(Window.partitionBy("g").orderBy(*order))) \
         .select("id", "pos")
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, exp.collect()))
+
+
+_WS_CHARS = " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0        　​"
+text_strategy = st.text(alphabet=st.sampled_from(list(_WS_CHARS) + list("ab<>/pé😀&;x")),
+                        max_size=40)
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(texts=st.lists(text_strategy, min_size=1, max_size=60))
+def test_text_functions_match_python(spark, texts):
+    """Brute force: Python's own str/re semantics, which the original used."""
+    import re
+    from feedlake.functions import text as T
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, s string")
+    got = {r.i: (r.c, r.st, r.cl) for r in df.select(
+        "i", T.clean_html("s", 20).alias("c"), T.strip_ws("s").alias("st"),
+        T.clip_text("s", 10).alias("cl")).collect()}
+    for i, t in enumerate(texts):
+        clean = re.sub(r"\s+", " ", re.sub(r"<[^>]+>", " ", t)).strip()[:20]
+        clip = t if len(t) <= 10 else t[:9] + "…"
+        assert got[i] == (clean, t.strip(), clip), repr(t)
