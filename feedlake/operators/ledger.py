@@ -7,26 +7,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedlake import vocab
-from feedlake.operators.joins import BROADCAST_MAX_ROWS
+from feedlake.session import checkpoint_dir
 
 
-def new_items(items: DataFrame, ledger: DataFrame,
-              max_broadcast_keys: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def new_items(items: DataFrame, ledger: DataFrame) -> DataFrame:
     """Items whose hash is not in the ledger (J1, U4). Duplicates inside the
     batch are kept, so this is a left anti join, not EXCEPT.
 
     Spark can only broadcast the right side of an anti join, and the ledger
-    grows without bound. When the batch's distinct hashes pass a size check
-    they are broadcast instead: the ledger scan is semi-joined to them
-    (streamed, never shuffled), and the anti join runs against that small
-    matched set. Above the bound (large backfills) the plain anti join is
-    left to the planner and AQE.
+    grows without bound. So the ledger is first semi-joined to the batch's
+    distinct hashes, and the anti join runs against that matched set, which
+    is never larger than the batch. Adaptive execution measures the hash
+    set at run time and broadcasts it when small (a daily run): the ledger
+    scan is then filtered map-side and never shuffled. For a large backfill
+    it plans a shuffle join instead. No hint is given either way.
     """
     keys = items.select("hash").distinct()
-    if keys.limit(max_broadcast_keys + 1).count() <= max_broadcast_keys:
-        seen = ledger.select("hash").join(F.broadcast(keys), "hash", "left_semi")
-        return items.join(seen, "hash", "left_anti")
-    return items.join(ledger.select("hash"), "hash", "left_anti")
+    seen = ledger.select("hash").join(keys, "hash", "left_semi")
+    return items.join(seen, "hash", "left_anti")
 
 
 def first_wins(marks: DataFrame) -> DataFrame:
@@ -52,7 +50,9 @@ def new_per_run(pairs: DataFrame, prior_ledger: DataFrame, run_status: DataFrame
     saw it: ``run_ts <= first_ok`` where ``first_ok`` is the first successful
     run of its hash. Failed runs mark nothing, so their items stay new.
     """
-    p = new_items(pairs, prior_ledger)
+    # read twice below (first successful run, and the output): computed once
+    checkpoint_dir(pairs.sparkSession)
+    p = new_items(pairs, prior_ledger).checkpoint(eager=True)
     if run_status is not None:
         p = p.join(run_status.select("run_ts", "ok"), "run_ts", "left")
         ok = F.coalesce(F.col("ok"), F.lit(True))
