@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from feedlake.llm import mixing, quality
+from feedlake.llm import decontam, mixing, quality
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -37,3 +38,13 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op2_mix_sources", mixing.ORACLE_SQL)
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@register("op3_decontaminate", decontam.ORACLE_SQL)
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontam.find(table(spark, sf_dir, "documents").select("doc_id", "text"),
+                          table(spark, sf_dir, "benchmark"), keep_text=False)
+    items = F.array_sort(F.array_distinct(F.transform("hits", lambda h: h["item"])))
+    return found.select("doc_id", "n_words", "n_hit", F.size(items).cast("long").alias("n_items"),
+                        F.sha2(F.array_join(items, ","), 256).alias("items_sha256"),
+                        (F.col("n_hit") > 0).alias("contaminated"))
