@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedlake.llm import decontam, mixing, quality
+from feedlake.llm import decontam, mixing, quality, tokens
+from feedlake.llm.scratch import fresh_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -48,3 +49,17 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", F.size(items).cast("long").alias("n_items"),
                         F.sha2(F.array_join(items, ","), 256).alias("items_sha256"),
                         (F.col("n_hit") > 0).alias("contaminated"))
+
+
+def encoded(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """Documents written in the token format to the shared folder and read back."""
+    import public_tokenizers
+
+    path = fresh_path(spark, "tokens")
+    tokens.write_tokens(docs, path, public_tokenizers.path("byte_bpe_50k.json"))
+    return tokens.read_tokens(spark, path)
+
+
+@register("op7_token_ids")
+def op7_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encoded(spark, table(spark, sf_dir, "documents"))
