@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedlake.llm import decontam, mixing, quality, tokens
+from feedlake.llm import decontam, mixing, ngram_join, quality, tokens
 from feedlake.llm.scratch import fresh_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -63,3 +63,8 @@ def encoded(spark: SparkSession, docs: DataFrame) -> DataFrame:
 @register("op7_token_ids")
 def op7_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded(spark, table(spark, sf_dir, "documents"))
+
+
+@register("op9_ngram_jaccard_join", ngram_join.ORACLE_SQL)
+def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.classes(table(spark, sf_dir, "documents"))
