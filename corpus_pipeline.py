@@ -1,21 +1,72 @@
 """Corpus pipeline: quality rules, near-duplicate join, decontamination,
-mixing to target weights, tokens in the binary format."""
+mixing to target weights, tokens in the binary format.
+
+Each stage works on all rows that the one before kept.  Stages but the last
+return the columns of ``documents``:
+
+1. quality rules: documents that the rules reject go.
+2. n-gram Jaccard join: of each class one document stays, the one with the
+   class's smallest doc_id (of rows that repeat it, one); rows with null
+   doc_id, and documents without words, stay.
+3. benchmark decontamination: documents with an occurrence of a benchmark
+   window go.
+4. mixing: a document stands as often as the mix takes its words, rounded
+   (documents without words once, as they cost nothing).
+5. token ids: doc_id, start, n_tokens, ids_crc32 of every row, read back from
+   the files.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from feedlake.llm import quality
-from feedlake.llm.queries import table
+from feedlake.llm import decontam, mixing, ngram_join, quality
+from feedlake.llm.queries import encoded, table
+from feedlake.llm.scratch import written
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep."""
     model = quality.train(docs, table(spark, sf_dir, "labels"))
     return quality.judge(docs, model).filter("kept").select(*docs.columns)
 
 
-STAGES = [("quality rules", quality_rules)]
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    classes = ngram_join.classes(docs).filter("doc_id is not null")
+    rows = classes.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.min("component_id").alias("c"),
+                                         F.max("n_shingles").alias("s"))
+    # the rows to take out, so that the join's smaller side holds copies only
+    out = written(rows.filter("c <> doc_id or (n > 1 and s > 0)").select("doc_id", (F.col("c") == F.col("doc_id")).alias("one")),
+                  "copies")
+    kept = docs.join(out, "doc_id", "left_anti")
+    if not out.filter("one").isEmpty():
+        kept = kept.unionByName(docs.join(out.filter("one"), "doc_id", "left_semi").dropDuplicates(["doc_id"]))
+    return kept.select(*docs.columns)
+
+
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontam.find(docs, table(spark, sf_dir, "benchmark")).filter("n_hit = 0").select(*docs.columns)
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    per_doc = mixing.mix(docs).groupBy("doc_id").agg(F.sum("size").alias("size"), F.sum("taken").alias("taken"))
+    times = per_doc.select(F.col("doc_id").alias("mix_id"), F.when(F.col("size") == 0, 1).otherwise(
+        F.round(F.col("taken") / F.col("size"))).cast("int").alias("mix_times")).filter("mix_times > 0")
+    return (docs.join(written(times, "times"), F.col("doc_id").eqNullSafe(F.col("mix_id")))
+            .withColumn("mix_copy", F.explode(F.sequence(F.lit(1), "mix_times"))).select(*docs.columns))
+
+
+def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return encoded(spark, docs)
+
+
+STAGES = [
+    ("quality rules", quality_rules),
+    ("n-gram Jaccard join", near_duplicates),
+    ("benchmark decontamination", decontaminated),
+    ("mixing sources to target weights", mixed),
+    ("token-ID / binary output", token_ids),
+]
 
 #: No DuckDB form: the trained ratio and the coder have none; tested against brute force.
 ORACLE_SQL = None
@@ -23,8 +74,6 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over documents; each one's rows are written and read again."""
-    from feedlake.llm.scratch import written
-
     docs = table(spark, sf_dir, "documents")
     for k, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
