@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedlake.llm import decontam, mixing, ngram_join, quality, tokens
+from feedlake.llm import decontam, lm, mixing, ngram_join, quality, tokens
 from feedlake.llm.scratch import fresh_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -68,3 +68,17 @@ def op7_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op9_ngram_jaccard_join", ngram_join.ORACLE_SQL)
 def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.classes(table(spark, sf_dir, "documents"))
+
+
+def crc_fold(n: int):
+    """crc32 of doc_id's text modulo n; a null doc_id counts as the empty string."""
+    return F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), F.lit(n))
+
+
+@register("op8_lm_scores")
+def op8_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = lm.train(docs.filter(crc_fold(5) != 1))
+    return lm.score(docs.withColumn("held_out", crc_fold(5) == 1), model).select(
+        "doc_id", "held_out", "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"),
+        "base_score", "score")
