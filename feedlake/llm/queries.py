@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedlake.llm import decontam, lm, mixing, ngram_join, quality, tokens
+from feedlake.llm import decontam, langid, lm, mixing, ngram_join, quality, tokens
 from feedlake.llm.scratch import fresh_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -82,3 +82,12 @@ def op8_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score(docs.withColumn("held_out", crc_fold(5) == 1), model).select(
         "doc_id", "held_out", "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"),
         "base_score", "score")
+
+
+@register("op6_language_id")
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = table(spark, sf_dir, "documents")
+    model = langid.train(docs.filter(crc_fold(5) != 0), public_tokenizers.path("piece_bpe_32k.model"))
+    return langid.identify(docs.select("doc_id", "text", (crc_fold(5) == 0).alias("held_out")), model)
