@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedlake.llm import decontam, langid, lm, mixing, ngram_join, quality, tokens
+from feedlake.llm import decontam, langid, license_scan, lm, mixing, ngram_join, quality, secret_scan, tokens
 from feedlake.llm.scratch import fresh_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -91,3 +91,27 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = langid.train(docs.filter(crc_fold(5) != 0), public_tokenizers.path("piece_bpe_32k.model"))
     return langid.identify(docs.select("doc_id", "text", (crc_fold(5) == 0).alias("held_out")), model)
+
+
+@register("op4_secret_scan")
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secret_scan.scan(docs, secret_scan.train(docs))
+    of = lambda kind: F.size(F.filter("secrets", lambda s: s["kind"] == kind)).cast("long")
+    spelt = lambda spans: F.array_join(F.transform(
+        spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+    return found.select("doc_id", *(of(k).alias(f"n_{k}") for k in secret_scan.KINDS),
+                        F.sha2(spelt(F.filter("secrets", lambda s: s["kind"] != "markov")), 256).alias("base_sha256"),
+                        spelt(F.col("secrets")).alias("spans"))
+
+
+@register("op10_license_scan")
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scan.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(
+        "doc_id", F.size("licenses").cast("long").alias("n_licenses"),
+        F.array_join(F.transform("licenses", lambda x: F.concat_ws(":", x["license"], x["start"].cast("string"),
+                                                                   x["end"].cast("string"))), ",").alias("licenses"),
+        F.coalesce(F.aggregate("licenses", F.lit(0).cast("long"), lambda a, x: a + x["differences"]),
+                   F.lit(0)).alias("differences"),
+        F.array_max(F.transform("licenses", lambda x: x["saved"])).alias("best_saved"))
