@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedlake.llm import decontam, langid, license_scan, lm, mixing, ngram_join, quality, secret_scan, tokens
+from feedlake.llm import (
+    chat, decontam, langid, license_scan, lm, mixing, ngram_join, quality, secret_scan, tokens,
+)
 from feedlake.llm.scratch import fresh_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -115,3 +117,39 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.coalesce(F.aggregate("licenses", F.lit(0).cast("long"), lambda a, x: a + x["differences"]),
                    F.lit(0)).alias("differences"),
         F.array_max(F.transform("licenses", lambda x: x["saved"])).alias("best_saved"))
+
+
+#: Tools that the turns of ``conversations`` are read as calls of.
+_TURN = {"type": "object", "required": ["text", "turn"], "additionalProperties": False}
+_FIELDS = {"turn": {"type": "integer", "minimum": 0}, "after": {"type": "string"}}
+TURN_TOOLS = {
+    "ask": _TURN | {"properties": _FIELDS | {"text": {"type": "string", "minLength": 2}}},
+    "tell": _TURN | {"properties": _FIELDS | {"text": {"type": "string", "minLength": 1, "maxLength": 250}}},
+    "open": _TURN | {"properties": _FIELDS | {"text": {"type": "string", "pattern": r"\w"}, "turn": {"const": 0}}},
+}
+
+
+def turn_calls(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Turns read as tool traffic: a user's (or system's) turn is a call, the assistant's next turn its result.
+
+    A call's id is made of its conversation and turn; later calls need the result two turns before.
+    """
+    spelt = lambda turn: F.concat(F.lit("call_"), F.col("conv_id").cast("string"), F.lit("_"), turn.cast("string"))
+    turn = F.col("turn")
+    asked = turns.filter("role is distinct from 'assistant'")
+    after = F.when(turn >= 2, spelt(turn - 2))
+    calls = asked.select(
+        "conv_id", turn.alias("pos"), spelt(turn).alias("call_id"),
+        F.when(turn == 0, "open").when(F.col("text").endswith("?"), "ask").otherwise("tell").alias("name"),
+        F.to_json(F.struct("text", "turn", after.alias("after"))).alias("arguments"),
+        F.when(after.isNotNull(), F.array(after)).alias("needs"))
+    results = turns.filter("role = 'assistant'").select(
+        "conv_id", turn.alias("pos"), spelt(turn - 1).alias("call_id"), F.col("text").alias("content"))
+    return calls, results
+
+
+@register("op5_chat_tool_calls")
+def op5_chat_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    calls, results = turn_calls(table(spark, sf_dir, "conversations"))
+    schemas = spark.createDataFrame([(k, chat.canonical(v)) for k, v in TURN_TOOLS.items()], "name string, schema string")
+    return chat.format_calls(calls, results, schemas)
