@@ -4,8 +4,8 @@ Three kinds of spans come from patterns (``assign``, ``access``, ``hex``).  The
 fourth, ``markov``, comes from two first-order character models over
 ``ALPHABET``: one of random strings, trained from labelled samples (the values
 that the patterns find in all documents, and generated uniform strings of usual
-alphabets), one of ordinary identifiers (every other run of these characters in
-all documents).  A run of ``MIN_RUN`` characters or more that no pattern span
+alphabets), one of ordinary identifiers (all other runs of these characters in
+all documents, but for the unlabelled: long ones with letters and digits).  A run of ``MIN_RUN`` characters or more that no pattern span
 touches is a secret if its log-likelihood ratio reaches ``MIN_RATIO`` in all
 and ``MIN_PER_CHAR`` for each character.
 
@@ -37,6 +37,7 @@ MIN_RATIO = 12.0
 MIN_PER_CHAR = 0.5
 KINDS = ("assign", "access", "hex", "markov")
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
+_DIGIT, _LETTER = re.compile("[0-9]"), re.compile("[A-Za-z]")
 RUN = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % MIN_RUN)
 #: Alphabets of the generated random samples.
 RANDOM_ALPHABETS = ("0123456789abcdef", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", ALPHABET[:62], ALPHABET[:64], ALPHABET[:62] + "-_")
@@ -71,6 +72,11 @@ def random_samples() -> list[str]:
     return ["".join(rng.choice(list(alphabet), SAMPLE_LENGTH)) for alphabet in RANDOM_ALPHABETS for _ in range(SAMPLES)]
 
 
+def _ordinary(run: re.Match) -> str:
+    """A long run if it can be labelled ordinary, else nothing."""
+    return " " if _DIGIT.search(run[0]) and _LETTER.search(run[0]) else run[0]
+
+
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     ordinary, secret = np.zeros((2, STATES * STATES), dtype=np.int64)
     for batch in batches:
@@ -82,9 +88,9 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 at = 0
                 for start, end, _, value in base_spans(text):
                     values.append(value)
-                    rest.append(text[at:start])
+                    rest.append(RUN.sub(_ordinary, text[at:start]))
                     at = max(at, end)
-                rest.append(text[at:])
+                rest.append(RUN.sub(_ordinary, text[at:]))
             ordinary += transitions("\n".join(rest).encode())
             secret += transitions("\n".join(values).encode())
     for label, counts in ((0, ordinary), (1, secret)):
