@@ -1,18 +1,24 @@
 """Command line: the daily and weekly jobs over landed files and tables.
 
     python -m feedlake daily  --feeds DIR --sources FILE.csv --ledger DIR --store DIR
-                              --out DIR [--runs TS[,TS...]] [--answers DIR]
+                              --out DIR [--runs TS[,TS...]] [--answers DIR] [--status DIR]
+                              [--arrival landed|published] [--hours N]
     python -m feedlake weekly --store DIR --reports DIR --out DIR [--weeks W[,W...]]
                               [--recaps DIR] [--archive-base URL]
 
-Runs default to the current time (one run). Answer documents are JSON
-files with ``run_ts``, ``first_pos`` and ``doc`` fields; weekly answers have
-``week`` and ``doc``. Payloads are written as text, one JSON per line.
+Runs default to the time at which the job begins (one run). Answer documents
+are JSON files with ``run_ts``, ``first_pos`` and ``doc`` fields; weekly answers
+have ``week`` and ``doc``. Payloads are written first, as text by run; ledger and
+store are committed after that, for the runs that ``--status`` (JSON rows
+``run_ts``, ``ok``) reports as published, or all. Entries count from the time
+their file landed; ``--arrival published`` replays history by publication date.
+Files and entries that could not be read go to ``quarantine``.
 """
 
 from __future__ import annotations
 
 import argparse
+from datetime import datetime, timezone
 
 from pyspark.sql import functions as F
 
@@ -20,26 +26,42 @@ from feedlake.session import get_session
 
 
 def _runs(spark, runs: str | None):
-    if not runs:
-        return spark.range(1).select(F.current_timestamp().cast("timestamp_ntz").alias("run_ts"))
-    values = [(r.strip(),) for r in runs.split(",") if r.strip()]
-    return spark.createDataFrame(values, "t string").select(
+    """Run times as fixed values; without any, the time at which the job began."""
+    values = ([r.strip() for r in runs.split(",") if r.strip()] if runs
+              else [datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f")])
+    return spark.createDataFrame([(v,) for v in values], "t string").select(
         F.col("t").cast("timestamp_ntz").alias("run_ts"))
 
 
 def daily(args) -> None:
     from feedlake.plans.daily import run_daily
-    from feedlake.sources.feeds import entries, read_feeds
+    from feedlake.sources import feeds as FD
     spark = get_session(master=args.master)
-    feeds = entries(read_feeds(spark, args.feeds))
+    landed = FD.read_feeds(spark, args.feeds)
+    feeds = FD.entries(landed)
+    if args.arrival == "published":
+        feeds = feeds.drop("fetched_at")
     sources = spark.read.option("header", True).csv(args.sources).select("source", "url", "category")
-    answers = spark.read.json(args.answers) if args.answers else None
-    if answers is not None:
-        answers = answers.withColumn("run_ts", F.col("run_ts").cast("timestamp_ntz"))
-    out = run_daily(spark, feeds, sources, _runs(spark, args.runs), args.ledger, args.store,
-                    answers=answers, hours=args.hours)
-    out["payload"].select("payload").write.mode("overwrite").text(f"{args.out}/payloads")
+    runs = _runs(spark, args.runs)
+
+    def stamped(path):
+        if not path:
+            return None
+        df = spark.read.json(path)
+        return df.withColumn("run_ts", F.col("run_ts").cast("timestamp_ntz"))
+
+    def publish(payload):
+        """The payload files are the publication; --status tells what became of them."""
+        (payload.select("run_ts", "payload").write.mode("overwrite")
+         .partitionBy("run_ts").text(f"{args.out}/payloads"))
+        return stamped(args.status)
+
+    out = run_daily(spark, feeds, sources, runs, args.ledger, args.store,
+                    answers=stamped(args.answers), hours=args.hours, publish=publish)
     out["requests"].write.mode("overwrite").json(f"{args.out}/requests")
+    FD.quarantine(landed).write.mode("overwrite").json(f"{args.out}/quarantine/files")
+    (out["rejected"].select("source", "file", "entry_pos", "reason", "link", "title")
+     .write.mode("overwrite").json(f"{args.out}/quarantine/entries"))
 
 
 def weekly(args) -> None:
@@ -54,7 +76,7 @@ def weekly(args) -> None:
 
 def main(argv=None) -> None:
     p = argparse.ArgumentParser(prog="feedlake")
-    p.add_argument("--master", default="local[*]")
+    p.add_argument("--master", help="Spark master; by default what spark-submit says")
     sub = p.add_subparsers(dest="cmd", required=True)
     d = sub.add_parser("daily")
     d.add_argument("--feeds", required=True)
@@ -64,6 +86,8 @@ def main(argv=None) -> None:
     d.add_argument("--out", required=True)
     d.add_argument("--runs")
     d.add_argument("--answers")
+    d.add_argument("--status")
+    d.add_argument("--arrival", choices=["landed", "published"], default="landed")
     d.add_argument("--hours", type=int, default=24)
     w = sub.add_parser("weekly")
     w.add_argument("--store", required=True)

@@ -64,25 +64,36 @@ US_ZONES = {"EST": "-0500", "EDT": "-0400", "CST": "-0600", "CDT": "-0500",
             "MST": "-0700", "MDT": "-0600", "PST": "-0800", "PDT": "-0700",
             "UT": "+0000", "UTC": "+0000", "GMT": "+0000", "Z": "+0000"}
 
-FEED_DATE_FORMATS = [
-    "d MMM yyyy HH:mm:ss Z",
-    "d MMM yyyy HH:mm Z",
-    "d MMM yy HH:mm:ss Z",
-    "d MMM yyyy HH:mm:ss",
-]
+# day, month (any length, three letters count), year of two or four digits,
+# time with or without seconds, then an offset or a zone name
+_RFC_DATE = (r"^(?:[A-Za-z]+\.?,?\s+)?(\d{1,2})[\s-]+([A-Za-z]{3})[A-Za-z]*\.?[\s-]+(\d{2}|\d{4})\s+"
+             r"(\d{1,2}:\d{2})(:\d{2})?\s*([A-Za-z]{1,5}|[+-]\d{2}:?\d{2})?$")
 
 
 def parse_feed_date(col) -> Column:
     """RFC 822 / ISO 8601 feed date to a UTC timestamp; NULL when unparseable.
 
-    Day names are dropped and US zone names mapped to fixed offsets before
-    parsing (zone abbreviations are otherwise ambiguous in summer).
+    One regular expression brings the RFC shapes (day names of any length or
+    none, two-digit years, no seconds, offsets with or without colon, US zone
+    names) to one form, which is parsed once; zone names are one map lookup
+    and an unknown one makes the date unparseable. A date without a zone is
+    UTC. Anything else is tried as ISO 8601.
     """
     c = F.trim(_c(col))
-    no_day = F.regexp_replace(c, r"^[A-Za-z]{3},\s*", "")
-    zoned = no_day
-    for name, off in US_ZONES.items():
-        zoned = F.regexp_replace(zoned, rf"\s{name}$", f" {off}")
-    tries = [F.try_to_timestamp(zoned, F.lit(fmt)) for fmt in FEED_DATE_FORMATS]
-    iso = F.try_to_timestamp(c)
-    return F.coalesce(*tries, iso).cast("timestamp_ntz")
+    part = lambda i: F.regexp_extract(c, _RFC_DATE, i)
+    zones = F.create_map(*[F.lit(x) for kv in US_ZONES.items() for x in kv])
+    # the parts are computed once, as an array that the lambda below binds
+    parts = F.array(*[part(i) for i in range(1, 7)])
+
+    def rfc(p: Column) -> Column:
+        year = F.when(F.length(p[2]) == 4, p[2]).when(p[2] >= "50", F.concat(F.lit("19"), p[2])) \
+            .otherwise(F.concat(F.lit("20"), p[2]))
+        zone = F.when(p[5] == "", F.lit("+0000")).when(
+            p[5].rlike("^[+-]"), F.replace(p[5], F.lit(":"), F.lit(""))).otherwise(
+            F.element_at(zones, F.upper(p[5])))
+        text = F.concat(p[0], F.lit(" "), F.initcap(p[1]), F.lit(" "), year, F.lit(" "), p[3],
+                        F.when(p[4] == "", F.lit(":00")).otherwise(p[4]), F.lit(" "), zone)
+        return F.try_to_timestamp(text, F.lit("d MMM yyyy H:mm:ss Z"))
+
+    parsed = F.element_at(F.transform(F.array(parts), rfc), 1)
+    return F.coalesce(parsed, F.try_to_timestamp(c)).cast("timestamp_ntz")

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedlake.functions import text as T
-from feedlake.operators.joins import sized_broadcast
 
 
 def secure_sources(sources: DataFrame) -> DataFrame:
@@ -55,9 +54,13 @@ def normalize(entries: DataFrame, sources: DataFrame, fetched_at=None) -> DataFr
         e = e.withColumn("published_at", F.coalesce(
             parse_feed_date(F.col("published")) if "published" in cols else F.lit(None),
             parse_feed_date(F.col("updated")) if "updated" in cols else F.lit(None),
-            fetched.cast("timestamp_ntz")))
+            F.col("fetched_at") if "fetched_at" in cols else fetched.cast("timestamp_ntz")))
+    if "fetched_at" not in cols and fetched_at is not None:
+        e = e.withColumn("fetched_at", fetched_at.cast("timestamp_ntz"))
     e = e.withColumn("hash", T.item_hash(F.col("link")))
-    return e.join(sized_broadcast(reg), "source", "inner")
+    # the registry's size is left to adaptive execution: it is measured when
+    # its shuffle ends, and broadcast under spark.sql.autoBroadcastJoinThreshold
+    return e.join(reg, "source", "inner")
 
 
 def entries_per_source(items: DataFrame) -> DataFrame:

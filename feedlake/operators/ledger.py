@@ -48,14 +48,16 @@ def new_per_run(pairs: DataFrame, prior_ledger: DataFrame, run_status: DataFrame
     ``pairs`` are (run_ts, item) pairs from the recency join. An item is new
     at a run iff it is not in the prior ledger and no earlier successful run
     saw it: ``run_ts <= first_ok`` where ``first_ok`` is the first successful
-    run of its hash. Failed runs mark nothing, so their items stay new.
+    run of its hash. Failed runs mark nothing, so their items stay new. A run
+    that ``run_status`` does not list has not published, here as in
+    ``gated_marks``.
     """
     # read twice below (first successful run, and the output): computed once
     checkpoint_dir(pairs.sparkSession)
     p = new_items(pairs, prior_ledger).checkpoint(eager=True)
     if run_status is not None:
         p = p.join(run_status.select("run_ts", "ok"), "run_ts", "left")
-        ok = F.coalesce(F.col("ok"), F.lit(True))
+        ok = F.coalesce(F.col("ok"), F.lit(False))
     else:
         ok = F.lit(True)
     first_ok = (p.filter(ok).groupBy("hash").agg(F.min("run_ts").alias("__first_ok")))

@@ -14,9 +14,3 @@ def stage_counts(stages: dict[str, DataFrame], group: str = "run_ts") -> DataFra
              .select(group, F.lit(name).alias("stage"), "n") for name, df in stages.items()]
     return reduce(DataFrame.unionByName, parts)
 
-
-def observed(df: DataFrame, name: str, group: str | None = None) -> DataFrame:
-    """Attach a row counter to a DataFrame without an extra job (Dataset.observe)."""
-    from pyspark.sql import Observation
-    obs = Observation(name)
-    return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs

@@ -65,8 +65,7 @@ def ordinal(df: DataFrame, group_cols: list[str], order_cols: list, out: str = "
     cond = [F.col("__part") == F.col("__sp")] + [F.col(c).eqNullSafe(F.col(a))
                                                  for c, a in renamed.items()]
     joined = tagged.join(spans, cond, "inner")
-    return (joined.withColumn(out, (F.col("__offset") + F.col("__idx") - F.col("__first") + 1)
-                              .cast("int"))
+    return (joined.withColumn(out, F.col("__offset") + F.col("__idx") - F.col("__first") + 1)
             .drop("__mid", "__part", "__idx", "__first", "__offset", "__sp", *renamed.values()))
 
 

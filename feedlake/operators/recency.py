@@ -15,31 +15,27 @@ def recent(items: DataFrame, now, hours: int = vocab.RECENCY_HOURS) -> DataFrame
 
 
 def items_per_run(items: DataFrame, runs: DataFrame, hours: int = vocab.RECENCY_HOURS,
-                  fetched_col: str = "published_at", max_days: int = 30) -> DataFrame:
+                  fetched_col: str = "published_at") -> DataFrame:
     """Range join of runs to items, the multi-run form of the recency window.
 
     A run at ``run_ts`` sees an item iff ``fetched_at <= run_ts`` and
-    ``published_at >= run_ts - hours``. Spark has no range-join operator, so
-    each item is expanded to the calendar days its window touches (at most
-    ``hours/24 + 1`` days) and joined to the runs on the day: an equi-join
-    with a residual predicate instead of a nested loop. Items whose window
-    would span more than ``max_days`` days (far-future dates) are not
-    expanded; see ``future_dated``.
+    ``published_at >= run_ts - hours`` (no upper bound on the publication
+    date). Spark has no range-join operator, so each item is expanded to the
+    calendar days from its arrival to the end of its window, as far as there
+    are runs at all, and joined to the runs on the day: an equi-join with a
+    residual predicate instead of a nested loop. A window of any length and
+    an item dated any time ahead are expanded in full; an item's days outside
+    the first and last run can pair with nothing and are left out.
     """
-    lo = F.col(fetched_col)
-    hi = F.col("published_at") + F.expr(f"interval {int(hours)} hours")
-    span = F.datediff(hi.cast("date"), lo.cast("date"))
-    expanded = (items.filter(span <= max_days)
-                .withColumn("__day", F.explode(F.sequence(lo.cast("date"), hi.cast("date")))))
+    window = F.expr(f"interval {int(hours)} hours")
+    first, last = (runs.agg(f("run_ts").cast("date")).scalar() for f in (F.min, F.max))
+    expanded = (items.withColumns({
+        "__lo": F.greatest(F.col(fetched_col).cast("date"), first),
+        "__hi": F.least((F.col("published_at") + window).cast("date"), last)})
+        .filter("__lo <= __hi")
+        .withColumn("__day", F.explode(F.sequence("__lo", "__hi"))).drop("__lo", "__hi"))
     r = runs.withColumn("__day", F.col("run_ts").cast("date"))
     pairs = expanded.join(r, "__day", "inner").filter(
         (F.col(fetched_col) <= F.col("run_ts"))
-        & (F.col("published_at") >= F.col("run_ts") - F.expr(f"interval {int(hours)} hours")))
+        & (F.col("published_at") >= F.col("run_ts") - window))
     return pairs.drop("__day")
-
-
-def future_dated(items: DataFrame, hours: int = vocab.RECENCY_HOURS,
-                 fetched_col: str = "published_at", max_days: int = 30) -> DataFrame:
-    """Items dated so far ahead that every later run would see them (quarantine)."""
-    hi = F.col("published_at") + F.expr(f"interval {int(hours)} hours")
-    return items.filter(F.datediff(hi.cast("date"), F.col(fetched_col).cast("date")) > max_days)

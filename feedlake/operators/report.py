@@ -21,7 +21,7 @@ from feedlake.functions import dates as D
 from feedlake.functions import labels as L
 from feedlake.functions import text as T
 from feedlake.operators import weekly as W
-from feedlake.session import checkpoint_dir
+from feedlake.session import checkpoint_dir, delete_path, scratch_path
 
 # fixed values: report and message texts
 H_TITLE = "# Récap veille — Semaine "
@@ -136,7 +136,7 @@ def weekly_report_lines(store: DataFrame, fields: DataFrame, top: DataFrame | No
     checkpoint_dir(store.sparkSession)
     head = head.checkpoint(eager=True)
     head_lines = head.select("week", F.posexplode("__head").alias("__p", "line")).select(
-        "week", (F.col("__p") + 1).cast("int").alias("line_no"), "line")
+        "week", (F.col("__p") + 1).cast("bigint").alias("line_no"), "line")
 
     # Body: one section per non-empty category in display order, starting
     # after the head and the sections before it (three header lines each).
@@ -149,31 +149,37 @@ def weekly_report_lines(store: DataFrame, fields: DataFrame, top: DataFrame | No
         "week", "__start", F.posexplode(F.array(
             F.lit(""), _cat("### ", L.category_marker("category"), " ",
                             L.category_label("category")), F.lit(""))).alias("k", "line")) \
-        .select("week", (F.col("__start") + F.col("k") + 1).cast("int").alias("line_no"), "line")
+        .select("week", (F.col("__start") + F.col("k") + 1).cast("bigint").alias("line_no"), "line")
     ranked = W.category_ranked(store)
     starts = sections.select("week", "category", "__start")
     item_rows = ranked.join(starts, ["week", "category"], "inner").select(
-        "week", (F.col("__start") + 3 + F.col("rank")).cast("int").alias("line_no"),
+        "week", (F.col("__start") + 3 + F.col("rank")).cast("bigint").alias("line_no"),
         _cat("- [", title, "](", F.col("link"), ") — _", F.col("reason"), "_").alias("line"))
     return head_lines.unionByName(cat_hdr).unionByName(item_rows)
 
 
 def write_weekly_report(lines: DataFrame, path: str) -> None:
-    """One text file set per week, overwritten per week (K5).
+    """One file ``<week>.md`` per week, replaced when the week is built again (K5).
 
-    Dynamic partition overwrite replaces only the weeks present. Rows are
-    range-partitioned by (week, line_no) and sorted, so a large week is
-    written by several tasks whose part files, in name order, keep the
-    line order.
+    A file has one writer: each week's lines go to one task, sorted there by
+    Spark's external sort, and are written to staging; the file is then moved
+    under its name, so a reader sees the old report or the new one.
     """
     spark = lines.sparkSession
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        (lines.repartitionByRange("week", "line_no").sortWithinPartitions("week", "line_no")
-         .select("week", "line").write.mode("overwrite").partitionBy("week").text(path))
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    staging = scratch_path(spark, "reports")
+    (lines.repartition("week").sortWithinPartitions("week", "line_no").select("week", "line")
+     .write.partitionBy("week").text(staging))
+    jvm = spark.sparkContext._jvm
+    p = lambda x: jvm.org.apache.hadoop.fs.Path(x)
+    fs = p(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(p(path))
+    for part in fs.globStatus(p(f"{staging}/week=*/part-*")):  # one for each week
+        name = part.getPath().getParent().getName().removeprefix("week=")
+        target = p(f"{path}/{name}.md")
+        if fs.exists(target):
+            fs.delete(target, False)
+        fs.rename(part.getPath(), target)
+    delete_path(spark, staging)
 
 
 # ------------------------------------------------------------------ daily message

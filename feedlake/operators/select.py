@@ -45,13 +45,14 @@ def daily_top(verdicts: DataFrame, group: str = "run_ts", tiebreak=("response_po
 
 
 def daily_other(verdicts: DataFrame, group: str = "run_ts", tiebreak=("response_pos",),
-                cap: int = vocab.TOP_PRIORITY_CAP, ident: str = "response_pos") -> DataFrame:
+                cap: int = vocab.TOP_PRIORITY_CAP, ident="response_pos") -> DataFrame:
     """Every other kept verdict, re-ranked from 1 in the same order.
 
     Overflow of the priority cap and kept ``ignore`` rows land here.
     """
-    top = daily_top(verdicts, group, tiebreak, cap).select(group, ident)
-    rest = verdicts.filter(F.col("kept")).join(top, [group, ident], "left_anti")
+    ident = [ident] if isinstance(ident, str) else list(ident)
+    top = daily_top(verdicts, group, tiebreak, cap).select(group, *ident)
+    rest = verdicts.filter(F.col("kept")).join(top, [group, *ident], "left_anti")
     return ordinal(rest, [group], sort_key(list(tiebreak)), out="rank")
 
 

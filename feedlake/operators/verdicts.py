@@ -3,9 +3,7 @@ answers to items, coverage check, digest header, fallback switch, upsert."""
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedlake import vocab
@@ -14,6 +12,14 @@ from feedlake.functions import text as T
 from feedlake.operators import select as sel
 from feedlake.operators.ranking import ordinal, top_k
 
+# Keys of answer documents, ours and the original's.
+ITEMS_PATHS = ("$.items", "$.articles_analyses")
+HEADER_KEYS = {"headline": ("headline", "tldr"), "summary": ("summary", "synthese_journee")}
+FIELD_KEYS = {"hash": ("hash", "hash_unique"), "severity": ("severity", "criticite"),
+              "score": ("score",), "kept": ("kept", "garde"), "category": ("category", "categorie"),
+              "reason": ("reason", "raison_courte"),
+              "translated_title": ("translated_title", "titre_traduit")}
+
 # Placeholder of request templates (fixed value).
 ITEMS_PLACEHOLDER = "{articles_json}"
 DEFAULT_BATCH_ITEMS = 50
@@ -32,8 +38,7 @@ def pack_requests(items: DataFrame, template: str, group: str = "run_ts",
     fields = fields or {"hash_unique": "hash", "titre": "title", "resume": "summary",
                         "source": "source", "categorie_source": "source_category"}
     numbered = ordinal(items, [group], list(order), out="__pos")
-    numbered = numbered.withColumn("batch_no", ((F.col("__pos") - 1) / batch_items)
-                                   .cast("int"))
+    numbered = numbered.withColumn("batch_no", F.floor((F.col("__pos") - 1) / batch_items))
     obj = F.struct(*[F.col(src).alias(dst) for dst, src in fields.items()])
     packed = (numbered.groupBy(group, "batch_no")
               .agg(F.array_sort(F.collect_list(F.struct(F.col("__pos"), obj.alias("o"))))
@@ -45,8 +50,15 @@ def pack_requests(items: DataFrame, template: str, group: str = "run_ts",
     return packed.select(group, "batch_no", "n_items", prompt.alias("prompt"))
 
 
+def _first_of(v: Column, keys: tuple[str, ...], kind: str = "variant") -> Column:
+    """The first key that the object has."""
+    return F.coalesce(*[F.try_variant_get(v, k if k.startswith("$") else f"$.{k}", kind)
+                        for k in keys])
+
+
 def parse_documents(docs: DataFrame, key: str, doc_col: str = "doc",
-                    items_path: str = "$.items", offset_col: str | None = None) -> DataFrame:
+                    items_paths: tuple[str, ...] = ITEMS_PATHS,
+                    offset_col: str | None = None) -> DataFrame:
     """Answer documents to one row per answered item.
 
     Unparseable documents yield no item rows (see ``usable``). The position
@@ -54,10 +66,10 @@ def parse_documents(docs: DataFrame, key: str, doc_col: str = "doc",
     its place in the document plus the document's ``offset_col``.
     """
     parsed = docs.withColumn("__v", F.try_parse_json(F.col(doc_col)))
-    arr = F.try_variant_get(F.col("__v"), items_path, "array<variant>")
+    arr = _first_of(F.col("__v"), items_paths, "array<variant>")
     off = F.col(offset_col) if offset_col else F.lit(0)
     return (parsed.select(key, off.alias("__off"), F.posexplode(arr).alias("__p", "__item"))
-            .select(key, (F.col("__off") + F.col("__p") + 1).cast("int").alias("response_pos"),
+            .select(key, (F.col("__off") + F.col("__p") + 1).cast("bigint").alias("response_pos"),
                     "__item"))
 
 
@@ -66,13 +78,12 @@ def validate(answers: DataFrame, field_names: dict | None = None) -> DataFrame:
 
     Each field's value and JSON type are projected once, then coerced.
     """
-    f = {"hash": "hash", "severity": "severity", "score": "score", "kept": "kept",
-         "category": "category", "reason": "reason", "translated_title": "translated_title"}
-    f.update(field_names or {})
+    f = dict(FIELD_KEYS)
+    f.update({n: (k,) for n, k in (field_names or {}).items()})
     it = F.col("__item")
     typed = ["score", "kept", "reason", "translated_title"]
     base = [c for c in answers.columns if c != "__item"]
-    step1 = answers.select(*base, *[F.try_variant_get(it, f"$.{f[n]}", "variant").alias(f"__v_{n}")
+    step1 = answers.select(*base, *[_first_of(it, f[n]).alias(f"__v_{n}")
                                     for n in f])
     step2 = step1.select("*", *[F.schema_of_variant(F.col(f"__v_{n}")).alias(f"__t_{n}")
                                 for n in typed])
@@ -91,10 +102,12 @@ def validate(answers: DataFrame, field_names: dict | None = None) -> DataFrame:
 
 
 def usable(docs: DataFrame, key: str, doc_col: str = "doc") -> DataFrame:
-    """Per key: whether every answer document parsed to a JSON object (M4
-    switch); one unusable batch sends the whole run to the fallback."""
+    """Per key: whether every answer document parsed to a JSON object with a
+    list of items (M4 switch); one unusable batch sends the whole run to the
+    fallback."""
     v = F.try_parse_json(F.col(doc_col))
-    ok = v.isNotNull() & F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
+    ok = (v.isNotNull() & F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
+          & _first_of(v, ITEMS_PATHS, "array<variant>").isNotNull())
     return docs.groupBy(key).agg(F.bool_and(ok).alias("usable"))
 
 
@@ -127,24 +140,53 @@ def coverage(items: DataFrame, answers: DataFrame, group: str = "run_ts") -> Dat
     return j.withColumn("status", status)
 
 
+def run_usable(items: DataFrame, ok_runs: DataFrame, group: str = "run_ts") -> DataFrame:
+    """Every run that has items, with ``usable``: a run without any answer
+    document is as unusable as one whose answer cannot be read."""
+    return (items.select(group).distinct().join(ok_runs.select(group, "usable"), group, "left")
+            .withColumn("usable", F.coalesce("usable", F.lit(False))))
+
+
 def digest_header(items: DataFrame, verdicts: DataFrame, docs: DataFrame,
-                  group: str = "run_ts", doc_col: str = "doc") -> DataFrame:
-    """Per run: items scored, verdicts kept, header texts with defaults."""
+                  group: str = "run_ts", doc_col: str = "doc",
+                  ok_runs: DataFrame | None = None, runs: DataFrame | None = None) -> DataFrame:
+    """Per run: items scored, verdicts kept, header texts with defaults.
+
+    With ``ok_runs`` (run, usable), runs on the fallback say so: no headline,
+    the fallback summary, and as many kept as the fallback shows. With
+    ``runs``, runs without any item get the empty header.
+    """
     n_scored = items.groupBy(group).agg(F.count(F.lit(1)).alias("n_scored"))
     n_kept = verdicts.groupBy(group).agg(F.count_if(F.col("kept")).alias("n_kept"))
     v = F.try_parse_json(F.col(doc_col))
     head = docs.select(
         group,
-        C.text_of(F.try_variant_get(v, "$.headline", "variant")).alias("headline"),
-        T.default_text(C.text_of(F.try_variant_get(v, "$.summary", "variant")),
+        C.text_of(_first_of(v, HEADER_KEYS["headline"])).alias("headline"),
+        T.default_text(C.text_of(_first_of(v, HEADER_KEYS["summary"])),
                        vocab.DIGEST_DEFAULT_SUMMARY).alias("summary"))
-    return (n_scored.join(n_kept, group, "left").fillna(0, ["n_kept"])
-            .join(head, group, "left")
-            .withColumn("is_fallback", F.lit(False)))
+    out = (n_scored.join(n_kept, group, "left").fillna(0, ["n_kept"])
+           .join(head, group, "left").withColumn("is_fallback", F.lit(False)))
+    if ok_runs is not None:
+        out = out.join(run_usable(items, ok_runs, group), group)
+        bad = ~F.col("usable")
+        out = out.withColumns({
+            "n_kept": F.when(bad, F.least("n_scored", F.lit(vocab.FALLBACK_ITEMS)))
+            .otherwise(F.col("n_kept")),
+            "headline": F.when(bad, F.lit("")).otherwise(F.col("headline")),
+            "summary": F.when(bad, F.lit(vocab.DIGEST_FALLBACK_SUMMARY))
+            .otherwise(F.coalesce("summary", F.lit(vocab.DIGEST_DEFAULT_SUMMARY))),
+            "is_fallback": bad}).drop("usable")
+    if runs is not None:
+        empty = runs.select(group).distinct().join(out.select(group), group, "left_anti").select(
+            group, F.lit(0).cast("bigint").alias("n_scored"), F.lit(0).cast("bigint").alias("n_kept"),
+            F.lit("").alias("headline"), F.lit(vocab.DIGEST_EMPTY_SUMMARY).alias("summary"),
+            F.lit(False).alias("is_fallback"))
+        out = out.unionByName(empty)
+    return out
 
 
 def digest_items(verdicts: DataFrame, group: str = "run_ts", tiebreak=("response_pos",),
-                 ident: str = "response_pos") -> DataFrame:
+                 ident="response_pos") -> DataFrame:
     """Long form of a digest: section top / other with ranks."""
     top = sel.daily_top(verdicts, group, tiebreak).withColumn("section", F.lit("top"))
     other = sel.daily_other(verdicts, group, tiebreak, ident=ident) \
@@ -154,11 +196,12 @@ def digest_items(verdicts: DataFrame, group: str = "run_ts", tiebreak=("response
 
 def with_fallback(items: DataFrame, verdicts: DataFrame, ok_runs: DataFrame,
                   group: str = "run_ts", tiebreak=("response_pos",),
-                  ident: str = "response_pos", arrival=("source", "entry_pos")) -> DataFrame:
+                  ident="response_pos", arrival=("source", "entry_pos")) -> DataFrame:
     """Fallback switch (M4): runs with a usable answer get their selection,
     the others the first items in arrival order, flagged ``is_fallback``."""
-    good = ok_runs.filter(F.col("usable")).select(group)
-    bad = ok_runs.filter(~F.col("usable")).select(group)
+    known = run_usable(items, ok_runs, group)
+    good = known.filter(F.col("usable")).select(group)
+    bad = known.filter(~F.col("usable")).select(group)
     chosen = digest_items(verdicts.join(good, group, "left_semi"), group, tiebreak, ident) \
         .withColumn("is_fallback", F.lit(False))
     fb = (sel.fallback_digest(items.join(bad, group, "left_semi"), group, arrival)
@@ -172,7 +215,3 @@ def upsert(store: DataFrame, batch: DataFrame, key: str = "hash",
     a top-1 per key, which Spark limits per task before the shuffle."""
     both = store.unionByName(batch, allowMissingColumns=True)
     return top_k(both, [key], [F.col(c).desc() for c in order], 1, out="__r").drop("__r")
-
-
-def union_all(dfs: list[DataFrame]) -> DataFrame:
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), dfs)

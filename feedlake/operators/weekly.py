@@ -89,7 +89,8 @@ def recap_fields(docs: DataFrame, doc_col: str = "doc") -> DataFrame:
                    F.array().cast("array<string>")).alias("refs"),
         F.coalesce(F.try_variant_get(v, "$.a_retenir", "array<variant>"),
                    F.array().cast("array<variant>")).alias("takeaways_raw"),
-        v.isNotNull().alias("usable"))
+        (v.isNotNull() & F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False)))
+        .alias("usable"))
 
 
 def top_referenced(store: DataFrame, fields: DataFrame, n: int = vocab.RECAP_TOP) -> DataFrame:

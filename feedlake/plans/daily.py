@@ -3,12 +3,14 @@
 entries -> normalise (registry gate) -> recency range join to runs ->
 multi-run dedup against the ledger -> request packs -> scoring (answers
 parsed and matched, or a scorer) -> selection with fallback -> header and
-message -> gated commit: ledger marks and verdict upsert only for runs that
-published.
+message -> publication -> commit: ledger marks and verdict upsert only for
+runs that published.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,21 +32,34 @@ def run_daily(spark: SparkSession, entries: DataFrame, sources: DataFrame, runs:
               ledger_path: str, store_path: str, answers: DataFrame | None = None,
               run_status: DataFrame | None = None, hours: int = vocab.RECENCY_HOURS,
               template: str = DEFAULT_TEMPLATE, commit: bool = True,
-              collapse_in_batch: bool = False, clip_description: bool = False
+              collapse_in_batch: bool = False, clip_description: bool = False,
+              publish: Callable[[DataFrame], DataFrame | None] | None = None
               ) -> dict[str, DataFrame]:
     """Run the daily job for every run in ``runs``.
 
-    ``answers``: (run_ts, first_pos, doc) answer documents; without them the
-    rule scorer stands in for the model. ``run_status``: (run_ts, ok) publish
-    outcomes; a failed run commits nothing and its items stay new.
-    ``collapse_in_batch`` keeps one copy of a link seen twice in a run (off:
-    the original scores both); ``clip_description`` clips the message
-    description to 4,096 characters (off: only the size guard protects it).
+    ``runs`` must hold fixed times (not ``current_timestamp()``): they are
+    compared again at every step. ``answers``: (run_ts, first_pos, doc) answer
+    documents; without them the rule scorer stands in for the model. A run
+    without a usable answer falls back.
+
+    ``run_status``: (run_ts, ok), publication outcomes known beforehand (a
+    replay); a run it does not list has not published. ``publish`` writes the
+    payloads and returns the (run_ts, ok) of this publication, or None when
+    all went out. It is called before anything is committed; if it fails, or
+    for a run that it reports as failed, nothing is committed and the items
+    stay new for the next job.
+
+    Items are visible from ``fetched_at`` on, where entries carry it, else
+    from their publication date. ``collapse_in_batch`` keeps one copy of a link
+    seen twice in a run (off: the original scores both); ``clip_description``
+    clips the message description to 4,096 characters (off: only the size
+    guard protects it).
     """
     items = I.normalize(entries, sources) if "hash" not in entries.columns else entries
-    pairs = R.items_per_run(items, runs, hours)
+    arrival = "fetched_at" if "fetched_at" in items.columns else "published_at"
+    pairs = R.items_per_run(items, runs, hours, fetched_col=arrival)
     status = run_status if run_status is not None else runs.withColumn("ok", F.lit(True))
-    new = LG.new_per_run(pairs, ST.read_ledger(spark, ledger_path), status)
+    new = LG.new_per_run(pairs, ST.read_ledger_log(spark, ledger_path), status)
     if collapse_in_batch:          # Q3: the original keeps both copies
         new = LG.in_batch_collapse(new)
     requests = V.pack_requests(new, template)
@@ -57,23 +72,31 @@ def run_daily(spark: SparkSession, entries: DataFrame, sources: DataFrame, runs:
     else:
         text = S.rule_text(F.col("title"), F.col("summary"))
         verdicts = (S.rubric_score(new, text)
-                    .withColumn("response_pos", F.col("entry_pos").cast("int"))
+                    .withColumn("response_pos", F.col("entry_pos").cast("bigint"))
                     .withColumn("reason", F.lit("")).withColumn("translated_title", F.lit("")))
         ok = new.select("run_ts").distinct().withColumn("usable", F.lit(True))
         head_docs = ok.select("run_ts", F.lit(None).cast("string").alias("doc"))
 
-    chosen = V.with_fallback(new, verdicts, ok)
+    # rows of one position (entries of several files) are told apart by their link
+    order = ("response_pos", "link") if answers is None else ("response_pos",)
+    chosen = V.with_fallback(new, verdicts, ok, tiebreak=order, ident=order,
+                             arrival=("source", "entry_pos", "link"))
     header = V.digest_header(new, verdicts.join(ok.filter("usable"), "run_ts", "left_semi"),
-                             head_docs)
+                             head_docs, ok_runs=ok)
     top = chosen.filter(F.col("section") == "top")
     other = chosen.filter(F.col("section") == "other")
     fields = RP.digest_fields(header, top, other, clip_description=clip_description)
     payload = RP.digest_payload(fields)
 
+    published = status
+    if publish is not None:
+        outcome = publish(payload)
+        if outcome is not None:
+            published = outcome.select("run_ts", "ok")
     if commit:
-        marks = LG.gated_marks(new, status).withColumn("seen_at", F.col("run_ts"))
+        marks = LG.gated_marks(new, published).withColumn("seen_at", F.col("run_ts"))
         ST.append_ledger(marks, ledger_path)
-        ok_runs = status.filter(F.col("ok")).select("run_ts")
+        ok_runs = published.filter(F.col("ok")).select("run_ts")
         kept = (chosen.join(ok_runs, "run_ts", "left_semi")
                 .withColumn("recorded_at", F.col("run_ts"))
                 .withColumn("reason", F.coalesce(F.col("reason"), F.lit("")))
@@ -85,9 +108,4 @@ def run_daily(spark: SparkSession, entries: DataFrame, sources: DataFrame, runs:
                              "top": chosen.filter(F.col("section") == "top").select("run_ts")})
     return {"items": items, "pairs": pairs, "new": new, "requests": requests,
             "verdicts": verdicts, "digest_items": chosen, "header": header, "payload": payload,
-            "stage_counts": counters}
-
-
-def digest_selection_only(verdicts: DataFrame) -> DataFrame:
-    """Selection of already validated verdicts (top and other)."""
-    return V.digest_items(verdicts)
+            "stage_counts": counters, "rejected": I.entry_rejections(entries)}

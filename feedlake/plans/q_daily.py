@@ -128,7 +128,7 @@ def q_verdict_upsert(spark, base):
 select run_ts, cast(row_number() over (partition by run_ts order by entry_id) as int) as response_pos,
        hash, severity, score, kept, category from v_daily""", "v_daily"))
 def q_parse_responses(spark, base):
-    return fx.answers(spark, base).select("run_ts", "response_pos", "hash", "severity", "score",
+    return fx.answers(spark, base).select("run_ts", F.col("response_pos").cast("int"), "hash", "severity", "score",
                                           "kept", "category")
 
 
@@ -140,7 +140,7 @@ from v_answers a join (select run_ts, hash, max(entry_id) as entry_id from v_dai
 def q_verdict_match(spark, base):
     a = fx.answers_with_errors(spark, base).select("run_ts", "response_pos", "hash")
     items = _items(spark, base).select("run_ts", "hash", "entry_id", "entry_pos")
-    return V.match(a, items).select("run_ts", "response_pos", "hash", "entry_id")
+    return V.match(a, items).select("run_ts", F.col("response_pos").cast("int"), "hash", "entry_id")
 
 
 # ------------------------------------------------------------------ M7
@@ -275,7 +275,7 @@ from (select *, row_number() over (partition by run_ts order by entry_id) as pos
 group by run_ts, batch_no""", "v_daily"))
 def q_pack_requests(spark, base):
     out = V.pack_requests(_items(spark, base), TEMPLATE, batch_items=BATCH)
-    return out.select("run_ts", "batch_no", "n_items", "prompt")
+    return out.select("run_ts", F.col("batch_no").cast("int"), "n_items", "prompt")
 
 
 # ------------------------------------------------------------------ A7
@@ -313,3 +313,105 @@ def q_verdict_store_write(spark, base):
     ST.upsert_store(spark, d.filter(F.col("run_ts") >= cut), path)
     return ST.read_store(spark, path).select("hash", "entry_id", "recorded_at", "severity",
                                              "score", "category")
+
+
+# ------------------------------------------------------------------ J6 with arrival times
+view("v_fetched", """
+select entry_id, hash, published_at, published_at + ((entry_id % 5) - 2) * interval 10 hours as fetched_at
+from v_verdicts""", ["v_verdicts"])
+
+
+@register("items_per_run_fetched", with_views("""
+select r.run_ts, v.entry_id, v.hash from v_runs r join v_fetched v
+  on v.fetched_at <= r.run_ts and v.published_at >= r.run_ts - interval 744 hours""", "v_runs", "v_fetched"))
+def q_items_per_run_fetched(spark, base):
+    """Items that land late or are dated ahead, and a window of 31 days."""
+    v = fx.verdicts(spark, base).withColumn(
+        "fetched_at", F.col("published_at") + F.make_dt_interval(hours=((F.col("entry_id") % 5) - 2).cast("int") * 10))
+    return R.items_per_run(v, fx.runs(spark, base), hours=744, fetched_col="fetched_at") \
+        .select("run_ts", "entry_id", "hash")
+
+
+# ------------------------------------------------------------------ M2 in the original's schema
+@register("parse_reference_answers", with_views("""
+select run_ts, cast(row_number() over (partition by run_ts order by entry_id) as int) as response_pos,
+       hash, severity, score, kept, category from v_daily""", "v_daily"))
+def q_parse_reference_answers(spark, base):
+    docs = fx.reference_responses(spark, base).withColumn("run_ts", fx.run_of(F.col("day")))
+    return V.validate(V.parse_documents(docs, "run_ts", offset_col="first_pos")).select(
+        "run_ts", F.col("response_pos").cast("int"), "hash", "severity", "score", "kept", "category")
+
+
+# ------------------------------------------------------------------ P13, M4: header of the fallback
+_FLAWED = ", ".join(map(str, fx.CUT_DAYS + fx.MISSING_DAYS))
+_BAD_RUN = f"extract(day from run_ts - interval 27 hours) in ({_FLAWED})"
+
+
+@register("digest_header_fallback", with_views(f"""
+select run_ts, case when bad then least(n_scored, {vocab.FALLBACK_ITEMS}) else n_kept end as n_kept, n_scored,
+       case when bad then '' else headline end as headline,
+       case when bad then '{vocab.DIGEST_FALLBACK_SUMMARY.replace("'", "''")}' else '{vocab.DIGEST_DEFAULT_SUMMARY}' end as summary,
+       bad as is_fallback
+from (select run_ts, {_BAD_RUN} as bad, count(*) as n_scored, count_if(kept) as n_kept,
+             'day ' || cast(any_value(cast(published_at as date)) as varchar) as headline
+      from v_daily group by run_ts) t""", "v_daily"))
+def q_digest_header_fallback(spark, base):
+    """Runs whose answer is cut off or missing say that they fell back."""
+    docs = fx.flawed_responses(spark, base)
+    return V.digest_header(_items(spark, base), fx.answers(spark, base), docs.filter(F.col("batch_no") == 0),
+                           ok_runs=V.usable(docs, "run_ts")) \
+        .select("run_ts", "n_scored", "n_kept", "headline", "summary", "is_fallback")
+
+
+# ------------------------------------------------------------------ the whole daily job
+view("v_job", """
+select a.run_ts, a.response_pos, a.hash, a.severity, a.severity_rank, a.score, a.kept, n.entry_id
+from (select *, row_number() over (partition by run_ts order by entry_id) as response_pos
+      from (select * exclude (response_pos) from v_daily)) a
+join (select run_ts, hash, max(entry_id) as entry_id from v_new_pairs group by run_ts, hash) n
+  on n.run_ts = a.run_ts and n.hash = a.hash""", ["v_daily", "v_new_pairs"])
+view("v_job_top", f"""
+select * from (select *, row_number() over (partition by run_ts order by {KEY}) as rank
+               from v_job where kept and severity in {PRIO}) t where rank <= 3""", ["v_job"])
+
+
+def _daily_job(spark, base):
+    """Ledger and store paths, and the job's frames: prior ledger, flawed answers, known outcomes."""
+    from feedlake.plans.daily import run_daily
+    from feedlake.session import scratch_path
+    from feedlake.sources import store as ST
+    ledger, store = scratch_path(spark, "job-ledger"), scratch_path(spark, "job-store")
+    ST.append_ledger(fx.ledger(spark, base), ledger)
+    items = _items(spark, base).drop("run_ts", "response_pos")
+    out = run_daily(spark, items, None, fx.runs(spark, base), ledger, store,
+                    answers=fx.flawed_responses(spark, base), run_status=fx.run_status(spark, base))
+    return ledger, store, out
+
+
+@register("daily_job_marks", with_views("""
+select hash, min(seen_at) as seen_at from (
+  select hash, seen_at from v_ledger
+  union all select p.hash, p.run_ts from v_new_pairs p join v_status s on s.run_ts = p.run_ts where s.ok) t
+group by hash""", "v_ledger", "v_new_pairs", "v_status"))
+def q_daily_job_marks(spark, base):
+    """The ledger after the job: what it had, and the runs that published."""
+    from feedlake.sources import store as ST
+    return ST.read_ledger(spark, _daily_job(spark, base)[0]).select("hash", "seen_at")
+
+
+@register("daily_job_digest", with_views(f"""
+select run_ts, 'top' as section, cast(rank as int) as rank, entry_id, false as is_fallback
+from v_job_top where not {_BAD_RUN}
+union all
+select run_ts, 'other', cast(row_number() over (partition by run_ts order by {KEY}) as int), entry_id, false
+from v_job j anti join v_job_top t on t.run_ts = j.run_ts and t.response_pos = j.response_pos
+where kept and not {_BAD_RUN}
+union all
+select run_ts, 'other', cast(rn as int), entry_id, true
+from (select p.run_ts, p.entry_id, row_number() over (partition by p.run_ts order by v.source, p.entry_id) as rn
+      from v_new_pairs p join v_verdicts v on v.entry_id = p.entry_id where {_BAD_RUN.replace('run_ts', 'p.run_ts')}) t
+where rn <= {vocab.FALLBACK_ITEMS}""", "v_job", "v_job_top", "v_new_pairs", "v_verdicts"))
+def q_daily_job_digest(spark, base):
+    """The job's selection, runs without a usable answer on the fallback."""
+    return _daily_job(spark, base)[2]["digest_items"].select(
+        "run_ts", "section", F.col("rank").cast("int"), "entry_id", "is_fallback")

@@ -33,11 +33,13 @@ def q_feed_entries(spark, base):
                                          "published_at", "source_category")
 
 
-# ------------------------------------------------------------------ S4 (rows only)
-@register("feed_quarantine")
+# ------------------------------------------------------------------ S4
+@register("feed_quarantine", """
+select distinct regexp_extract(url, '^https?://([^/?#]+)', 1) as source, 'parse_error' as reason
+from pages where page_id % 5 = 0""")
 def q_feed_quarantine(spark, base):
-    path = fx.feed_docs(spark, base)
-    return FD.quarantine(FD.read_feeds(spark, path)).select("source", "n_corrupt", "reason")
+    """Files that break off, made from the pages: one row for each."""
+    return FD.quarantine(FD.read_feeds(spark, fx.broken_feeds(spark, base))).select("source", "reason")
 
 
 # ------------------------------------------------------------------ M6

@@ -21,8 +21,9 @@ def _verdict_stream(spark, base):
 def verdict_frame(ev):
     """Verdict columns from an events frame (streaming or static)."""
     et = F.col("event_type")
+    arrival = ["seen_at"] if "seen_at" in ev.columns else []
     raw = ev.select(
-        F.col("event_id").alias("entry_id"), et.alias("source"),
+        *arrival, F.col("event_id").alias("entry_id"), et.alias("source"),
         F.concat(F.lit("https://"), et, F.lit(".example.com/"), F.col("user_id").cast("string"),
                  F.lit("/"), F.get_json_object("props", "$.k")).alias("link"),
         F.col("ts").alias("published_at"),
@@ -30,7 +31,7 @@ def verdict_frame(ev):
         .when(et == "click", "notable").when(et == "view", "ignore").otherwise("urgent")
         .alias("raw_severity"),
         F.col("value").alias("raw_score"), (F.col("event_id") % 2 == 0).alias("kept"))
-    v = raw.select("entry_id", "source", "link", "published_at", "kept",
+    v = raw.select(*arrival, "entry_id", "source", "link", "published_at", "kept",
                    item_hash(F.col("link")).alias("hash"),
                    C.allow_severity(F.col("raw_severity")).alias("severity"),
                    C.clamp_score(F.col("raw_score").cast("int")).alias("score"))
@@ -72,17 +73,28 @@ from (select *, row_number() over (partition by run_ts order by severity_rank, s
       from v_daily where kept and severity in ('critical', 'important')) t
 where rank <= 3""", "v_daily"))
 def q_stream_digest(spark, base):
-    """Daily priority pick per micro-batch, written idempotently by batch id."""
+    """Daily priority pick, merged by run over micro-batches."""
     v = (_verdict_stream(spark, base)
          .withColumn("run_ts", fx.run_of(F.col("published_at")))
          .withColumn("response_pos", F.col("entry_id")))
 
-    def pick(batch):
-        return sel.daily_top(batch).select("run_ts", F.col("rank").cast("int"), "entry_id", "hash",
-                                           "severity", "score")
-
-    out = ST.run_to_table(v, "stream-digest", batch_fn=ST.per_batch_overwrite(pick))
-    return spark.read.parquet(out).select("run_ts", "rank", "entry_id", "hash", "severity", "score")
+    out = ST.run_to_table(v, "stream-digest", batch_fn=ST.merge_by_run(sel.daily_top))
+    return spark.read.parquet(out).select("run_ts", F.col("rank").cast("int"), "entry_id", "hash",
+                                          "severity", "score")
+
+
+# ------------------------------------------------------------------ T1 on landed feeds
+@register("stream_feeds", with_views("""
+select source, link, trim(title) as title from v_entries
+union all select * from (values
+  ('cutoff.example.org', 'https://cutoff.example.org/a', 'Kept entry'),
+  ('nolink.example.org', null, 'No link here')) b(source, link, title)""", "v_entries"))
+def q_stream_feeds(spark, base):
+    """Landed RSS and Atom files as a stream; the good entries of broken files stay."""
+    from feedlake.sources import feeds as FD
+    landed = FD.read_feeds(spark, fx.feed_docs(spark, base), stream=True)
+    good = landed.filter(F.col("_corrupt_record").isNull()).select("source", "link", F.trim("title").alias("title"))
+    return spark.read.parquet(ST.run_to_table(good, "stream-feeds"))
 
 
 # ------------------------------------------------------------------ T5 on the stream

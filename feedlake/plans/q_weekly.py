@@ -9,7 +9,7 @@ from feedlake.operators import report as RP
 from feedlake.operators import select as sel
 from feedlake.operators import verdicts as V
 from feedlake.operators import weekly as W
-from feedlake.plans.catalog import register
+from feedlake.plans.catalog import ORACLE, register
 from feedlake.plans.oracle_views import view, with_views
 from feedlake.plans.q_scalar import _MONTHS_LIST, _duck_capitalize, _duck_case
 from feedlake.sources import fixtures as fx
@@ -206,6 +206,20 @@ def q_weekly_report(spark, base):
     return RP.weekly_report_lines(store, W.recap_fields(docs))
 
 
+# ------------------------------------------------------------------ K5: the written files
+@register("weekly_report_files", f"""
+select week || '.md' as file, md5(string_agg(line, chr(10) order by line_no) || chr(10)) as content_md5
+from ({_REPORT_SQL}) t group by week""")
+def q_weekly_report_files(spark, base):
+    """One file for each week, read back whole."""
+    from feedlake.session import scratch_path
+    path = scratch_path(spark, "weekly-files")
+    RP.write_weekly_report(q_weekly_report(spark, base), path)
+    files = spark.read.text(path, wholetext=True)
+    return files.select(F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1).alias("file"),
+                        F.md5(F.col("value").cast("binary")).alias("content_md5"))
+
+
 # ------------------------------------------------------------------ R8
 _TOPLINE = ("{sev} || ' [' || translate(title, '[]', '()') || '](' || link || ')' || chr(10) || '   __'")
 
@@ -254,20 +268,6 @@ def _digest_fields(spark, base):
     return RP.digest_fields(header, top, other)
 
 
-# ------------------------------------------------------------------ R7, K7 (rows only)
-@register("digest_payload")
-def q_digest_payload(spark, base):
-    return RP.digest_payload(_digest_fields(spark, base))
-
-
-# ------------------------------------------------------------------ R9 (rows only)
-@register("recap_payload")
-def q_recap_payload(spark, base):
-    store = _stored(spark, base)
-    return RP.recap_payload(store, W.recap_fields(fx.recap_docs_from(store)),
-                            archive_base=_ARCHIVE)
-
-
 # ------------------------------------------------------------------ P12
 WEEK_TEMPLATE = "Semaine du {date_debut} au {date_fin}.\nArticles : {articles_json}"
 
@@ -401,6 +401,23 @@ def q_digest_message(spark, base):
     return f.select("run_ts", "title", "description", "top_value", "other_value", "summary_value")
 
 
+# ------------------------------------------------------------------ R7, K7: the JSON itself
+@register("digest_payload", ORACLE["digest_message"])
+def q_digest_payload(spark, base):
+    """The fields of the message, read from its JSON."""
+    p = RP.digest_payload(_digest_fields(spark, base))
+    embed = "struct<title string, description string, fields array<struct<name string, value string>>>"
+    e = F.from_json("payload", f"embeds array<{embed}>")["embeds"][0]
+
+    def value(name):
+        named = F.filter(e["fields"], lambda f: f["name"] == name)
+        return F.get(named, F.lit(0))["value"]
+
+    return p.select("run_ts", e["title"].alias("title"), e["description"].alias("description"),
+                    value(RP.M_TOP_NAME).alias("top_value"), value(RP.M_OTHER_NAME).alias("other_value"),
+                    value(RP.M_SUMMARY_NAME).alias("summary_value"))
+
+
 # ------------------------------------------------------------------ R9 (message texts)
 _ARCHIVE = "https://git.example.org/team/archive"
 
@@ -429,3 +446,15 @@ def q_recap_message(spark, base):
     store = _stored(spark, base)
     b = RP.recap_blocks(store, W.recap_fields(fx.recap_docs_from(store)), archive_base=_ARCHIVE)
     return b.drop("generated_at")
+
+
+# ------------------------------------------------------------------ R9: the JSON itself
+@register("recap_payload", ORACLE["recap_message"])
+def q_recap_payload(spark, base):
+    """The blocks of the weekly message, read from its JSON."""
+    store = _stored(spark, base)
+    p = RP.recap_payload(store, W.recap_fields(fx.recap_docs_from(store)), archive_base=_ARCHIVE)
+    e = F.from_json("payload", "embeds array<struct<title string, description string>>")["embeds"]
+    blocks = ["header_text", "top_block", "split_block", "trends_block", "takeaways_block", "archive_block"]
+    return p.select("week", e[0]["title"].alias("title"),
+                    *[F.get(e, F.lit(i))["description"].alias(b) for i, b in enumerate(blocks)])

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -19,47 +19,19 @@ BASE_CONF = {
 }
 
 
-# Settings for large clusters (100 TB inputs). Partitions are sized by bytes,
-# not by a fixed count: AQE coalesces small shuffle partitions to the
-# advisory size and splits skewed ones, file splits stay near 256 MB, and
-# only tables measured under 64 MB at run time are broadcast.
-SCALE_CONF = {
-    "spark.sql.adaptive.enabled": "true",
-    "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
-    "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
-    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
-    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
-    "spark.sql.autoBroadcastJoinThreshold": "64m",
-    "spark.sql.files.maxPartitionBytes": "256m",
-    "spark.sql.shuffle.partitions": "20000",
-    "spark.sql.parquet.filterPushdown": "true",
-    "spark.sql.optimizer.dynamicPartitionPruning.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
-    "spark.sql.streaming.stateStore.providerClass":
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-}
-
-
-def apply_scale_conf(spark: SparkSession, overrides: dict | None = None) -> None:
-    """Apply SCALE_CONF (and overrides) to a running session."""
-    conf = dict(SCALE_CONF)
-    conf.update(overrides or {})
-    for k, v in conf.items():
-        try:
-            spark.conf.set(k, v)
-        except Exception:  # noqa: BLE001 - static settings belong in spark-submit
-            pass
-    ensure_utc(spark)
-
-
-def get_session(master: str = "local[*]", shuffle_partitions: int = 8,
+def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app_name: str = "feedlake", extra: dict | None = None) -> SparkSession:
-    """Build (or reuse) a session with feedlake's required settings."""
-    builder = SparkSession.builder.master(master).appName(app_name)
+    """Build (or reuse) a session with feedlake's required settings.
+
+    Master and partition count are set only when given: on a cluster both
+    come from ``spark-submit``.
+    """
+    builder = SparkSession.builder.appName(app_name)
+    if master:
+        builder = builder.master(master)
     conf = dict(BASE_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if shuffle_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
@@ -75,16 +47,17 @@ def ensure_utc(spark: SparkSession) -> None:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Shared folder for checkpoints and staged tables.
+    """Shared folder for checkpoints and staged tables: ``spark.checkpoint.dir``.
 
-    On a cluster the folder comes from ``spark.checkpoint.dir``; only when it
-    is unset (local tests) do we create one of our own.
+    A local session (one machine) that names none gets a folder of its own;
+    on a cluster an unset folder is an error, since executors could not read
+    what others wrote.
     """
     sc = spark.sparkContext
-    current = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
-    if not current:
-        current = sc.getCheckpointDir()
+    current = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not current:
+        if not sc.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         current = tempfile.mkdtemp(prefix="feedlake-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
     if not sc.getCheckpointDir():
@@ -93,16 +66,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the checkpoint folder for staged output."""
-    base = checkpoint_dir(spark)
-    return f"{base}/{name}-{os.getpid()}-{next(_counter)}"
-
-
-def _count():
-    i = 0
-    while True:
-        i += 1
-        yield i
-
-
-_counter = _count()
+    """A fresh path below the checkpoint folder for staged output; the name is
+    unique across drivers that share the folder."""
+    return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a staged folder of our own, through the session's file system."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(p):
+        fs.delete(p, True)

@@ -8,10 +8,13 @@ entries when it has any (S3, S4).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as Ty
 
+#: Names of landed feed files.
+FEED_FILES = "*.{xml,txt}"
+
 RSS_ITEM = Ty.StructType([
     Ty.StructField("title", Ty.StringType()),
     Ty.StructField("link", Ty.StringType()),
@@ -23,6 +26,9 @@ RSS_ITEM = Ty.StructType([
     Ty.StructField("_corrupt_record", Ty.StringType()),
 ])
 
+#: Tasks (and files) that one source's entries are written by at most.
+FILES_PER_SOURCE = 16
+
 _TEXT = Ty.StructType([Ty.StructField("_VALUE", Ty.StringType()),
                        Ty.StructField("_type", Ty.StringType())])
 ATOM_ENTRY = Ty.StructType([
@@ -52,21 +58,21 @@ def _read(spark: SparkSession, path: str, row_tag: str, schema, glob: str,
 
 
 def read_rss(spark: SparkSession, path: str, stream: bool = False) -> DataFrame:
-    raw = _read(spark, path, "item", RSS_ITEM, "*.xml", stream)
+    raw = _read(spark, path, "item", RSS_ITEM, FEED_FILES, stream)
     return raw.select(
         F.url_decode(_source_of_file()).alias("source"), F.input_file_name().alias("file"),
         "title", "link", "summary", "description",
-        F.col("pubDate").alias("published"), "updated", "_corrupt_record")
+        F.col("pubDate").alias("published"), "updated", "_corrupt_record", *_landing())
 
 
 def read_atom(spark: SparkSession, path: str, stream: bool = False) -> DataFrame:
-    raw = _read(spark, path, "entry", ATOM_ENTRY, "*.xml", stream)
+    raw = _read(spark, path, "entry", ATOM_ENTRY, FEED_FILES, stream)
     alt = F.filter("link", lambda l: l["_rel"].isNull() | (l["_rel"] == "alternate"))
     return raw.select(
         F.url_decode(_source_of_file()).alias("source"), F.input_file_name().alias("file"),
         F.col("title._VALUE").alias("title"), F.element_at(alt, 1)["_href"].alias("link"),
         F.col("summary._VALUE").alias("summary"), F.col("content._VALUE").alias("description"),
-        "published", "updated", "_corrupt_record")
+        "published", "updated", "_corrupt_record", *_landing())
 
 
 def read_feeds(spark: SparkSession, path: str, stream: bool = False) -> DataFrame:
@@ -87,9 +93,22 @@ def _parsed_ref() -> F.Column:
 
 
 def entries(feeds: DataFrame) -> DataFrame:
-    """Parsed entries with their position inside the file (arrival order)."""
+    """Parsed entries with ``entry_pos``, their 1-based position inside the
+    file, however the file was split (a feed file is one fetch, so bounded)."""
     ok = feeds.filter(F.col("_corrupt_record").isNull() & _parsed_ref()).drop("_corrupt_record")
-    return ok.withColumn("entry_pos", F.monotonically_increasing_id())
+    w = Window.partitionBy("file").orderBy("__block", "__row")
+    return (ok.withColumn("__row", F.monotonically_increasing_id())
+            .withColumn("entry_pos", F.row_number().over(w).cast("bigint"))
+            .drop("__row", "__block"))
+
+
+def _landing() -> list[F.Column]:
+    """Landing time and split of the file: a ``fetched=<time>`` folder names
+    the time, else the file's own modification time stands."""
+    named = F.regexp_extract(F.input_file_name(), r"fetched=([^/]+)/", 1)
+    return [F.coalesce(F.try_to_timestamp(F.url_decode(F.nullif(named, F.lit("")))).cast("timestamp_ntz"),
+                       F.col("_metadata.file_modification_time").cast("timestamp_ntz")).alias("fetched_at"),
+            F.col("_metadata.file_block_start").alias("__block")]
 
 
 def quarantine(feeds: DataFrame) -> DataFrame:
@@ -112,7 +131,8 @@ def write_atom(entries_df: DataFrame, path: str) -> None:
         .alias("link"),
         F.struct(F.lit("html").alias("_type"), F.col("summary").alias("_VALUE")).alias("summary"),
         F.date_format("published_at", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("published"))
-    (out.repartition("source").write.mode("append").format("xml")
+    # a busy source is dealt over several files
+    (out.repartition("source", F.pmod(F.xxhash64("link"), F.lit(FILES_PER_SOURCE))).write.mode("append").format("xml")
      .option("rootTag", "feed").option("rowTag", "entry")
      .partitionBy("source").save(path))
 
@@ -123,7 +143,8 @@ def write_rss(entries_df: DataFrame, path: str) -> None:
     out = entries_df.select(
         "source", "title", "link", F.col("summary").alias("description"),
         F.date_format("published_at", "EEE, dd MMM yyyy HH:mm:ss 'GMT'").alias("pubDate"))
-    (out.repartition("source").write.mode("overwrite").format("xml")
+    # a busy source is dealt over several files
+    (out.repartition("source", F.pmod(F.xxhash64("link"), F.lit(FILES_PER_SOURCE))).write.mode("overwrite").format("xml")
      .option("rootTag", "channel").option("rowTag", "item")
      .partitionBy("source").save(path))
     # the XML writer names files part-*.xml

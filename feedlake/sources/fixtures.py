@@ -143,6 +143,43 @@ def responses(spark: SparkSession, base: str) -> DataFrame:
             .withColumn("first_pos", F.col("batch_no") * ANSWER_BATCH))
 
 
+def reference_responses(spark: SparkSession, base: str) -> DataFrame:
+    """The same answers in the original's schema: French keys and codes."""
+    names = {'"items":': '"articles_analyses":', '"headline":': '"tldr":', '"hash":': '"hash_unique":',
+             '"severity":': '"criticite":', '"kept":': '"garde":', '"category":': '"categorie":',
+             '"critical"': '"critique"', '"notable"': '"interessant"',
+             '"security"': '"securite"', '"ai"': '"ia"'}
+    doc = F.col("doc")
+    for ours, theirs in names.items():
+        doc = F.replace(doc, F.lit(ours), F.lit(theirs))
+    return responses(spark, base).withColumn("doc", doc)
+
+
+#: Days of the month whose answers are cut off, and that have no answer at all.
+CUT_DAYS, MISSING_DAYS = (7, 21), (14,)
+
+
+def flawed_responses(spark: SparkSession, base: str) -> DataFrame:
+    """Answers by run; those of some days are cut off, those of others missing."""
+    docs = responses(spark, base).filter(~F.dayofmonth("day").isin(*MISSING_DAYS))
+    return (docs.withColumn("doc", F.when(F.dayofmonth("day").isin(*CUT_DAYS), F.substring("doc", 1, 40))
+                            .otherwise(F.col("doc")))
+            .withColumn("run_ts", run_of(F.col("day"))))
+
+
+def broken_feeds(spark: SparkSession, base: str) -> str:
+    """Feed files that break off, one for each host of every fifth page: each
+    has its pages as entries, and each entry is followed by one cut short."""
+    from feedlake.session import scratch_path
+    path = scratch_path(spark, "broken-feeds")
+    p = table(spark, base, "pages").filter(F.col("page_id") % 5 == 0)
+    line = F.concat(F.lit("<item><title>Page "), F.col("page_id").cast("string"),
+                    F.lit("</title><link>https://x.example.org/</link></item><item><title>Cut"))
+    (p.select(F.regexp_extract("url", HOST_RE, 1).alias("source"), line.alias("value"))
+     .repartition("source").write.partitionBy("source").text(path))
+    return path
+
+
 def run_of(published_at) -> "F.Column":
     """The daily run that scores an item: 03:00 UTC the morning after."""
     day = published_at.cast("date").cast("timestamp_ntz")

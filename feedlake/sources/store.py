@@ -18,7 +18,11 @@ from pyspark.sql import types as Ty
 from feedlake.functions.dates import week_label
 from feedlake.operators import ledger as LG
 from feedlake.operators.verdicts import upsert
-from feedlake.session import scratch_path
+from feedlake.session import delete_path, scratch_path
+
+#: Files that one week of the store is written in at most; a busy week is so
+#: dealt over several tasks.
+FILES_PER_WEEK = 8
 
 LEDGER_SCHEMA = Ty.StructType([
     Ty.StructField("hash", Ty.StringType(), False),
@@ -42,7 +46,7 @@ STORE_SCHEMA = Ty.StructType([
     Ty.StructField("score", Ty.IntegerType()),
     Ty.StructField("reason", Ty.StringType()),
     Ty.StructField("category", Ty.StringType()),
-    Ty.StructField("response_pos", Ty.IntegerType()),
+    Ty.StructField("response_pos", Ty.LongType()),
     Ty.StructField("recorded_at", Ty.TimestampNTZType()),
     Ty.StructField("week", Ty.StringType()),
 ])
@@ -71,6 +75,12 @@ def read_table(spark: SparkSession, path: str, schema: Ty.StructType) -> DataFra
 
 
 # ------------------------------------------------------------------ ledger
+def read_ledger_log(spark: SparkSession, path: str) -> DataFrame:
+    """The raw marks; enough to test whether a hash is known, without the
+    aggregation of the first-wins view."""
+    return read_table(spark, path, LEDGER_SCHEMA)
+
+
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
     """First-write-wins view of the append-only ledger (K1)."""
     return LG.first_wins(read_table(spark, path, LEDGER_SCHEMA))
@@ -79,26 +89,57 @@ def read_ledger(spark: SparkSession, path: str) -> DataFrame:
 def append_ledger(marks: DataFrame, path: str) -> None:
     """Append marks (hash, url, seen_at). Duplicates are harmless: the read
     view keeps the first, which is INSERT OR IGNORE semantics."""
-    _conform(marks, LEDGER_SCHEMA).write.mode("append").parquet(path)
+    (_conform(marks, LEDGER_SCHEMA).withColumn("day", F.col("seen_at").cast("date"))
+     .write.mode("append").partitionBy("day").parquet(path))
 
 
 def purge_ledger(spark: SparkSession, path: str, now, days: int = 90) -> int:
-    """Rewrite the ledger without rows older than ``days`` (K2); returns the
-    number of hashes removed. Written to staging first, then swapped in."""
-    view = read_ledger(spark, path)
-    kept = LG.purge(view, now, days)
+    """Drop the ledger's rows older than ``days`` (K2); returns the number of
+    hashes removed.
+
+    The log is partitioned by the day of the mark. Whole days before the
+    cut-off are dropped as folders; the cut-off's own day is staged and
+    overwritten (dynamic partition overwrite). Nothing else is rewritten, so
+    a failure in between loses no mark that the retention keeps, and a second
+    call goes on. A hash counts as removed when none of its marks is left.
+    """
+    if not _exists(spark, path):
+        return 0
+    log = spark.read.parquet(path)
+    now_c = now if not isinstance(now, str) else F.lit(now).cast("timestamp_ntz")
+    cut = spark.range(1).select((now_c - F.expr(f"interval {int(days)} days")).alias("c")).first().c
+    old = log.filter(F.col("seen_at") < F.lit(cut))
+    kept = log.filter(F.col("seen_at") >= F.lit(cut))
+    removed = old.select("hash").distinct().join(kept, "hash", "left_anti").count()
     staging = scratch_path(spark, "ledger-purge")
-    kept.write.mode("overwrite").parquet(staging)
-    removed = view.count() - spark.read.parquet(staging).count()
-    spark.read.parquet(staging).write.mode("overwrite").parquet(path)
+    edge = F.col("day") == F.lit(cut.date())
+    kept.filter(edge).write.parquet(staging)
+    staged = spark.read.schema(log.schema).parquet(staging)
+    if staged.isEmpty():
+        delete_path(spark, f"{path}/day={cut.date()}")
+    else:
+        _overwrite_partitions(spark, staged, "day", path)
+    days_gone = [r.day for r in log.filter(F.col("day") < F.lit(cut.date())).select("day").distinct().collect()]
+    for day in days_gone:  # one folder for each day beyond retention
+        delete_path(spark, f"{path}/day={day}")
+    delete_path(spark, staging)
     return removed
 
 
+def _overwrite_partitions(spark: SparkSession, df: DataFrame, column: str, path: str) -> None:
+    """Replace the partitions that ``df`` has, and no others."""
+    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(column).parquet(path))
+
+
 # ------------------------------------------------------------------ verdict store
 def read_store(spark: SparkSession, path: str, weeks: list[str] | None = None) -> DataFrame:
-    """The verdict store; a week list prunes partitions at the scan."""
+    """The verdict store; a week list prunes partitions at the scan (an empty
+    list selects no week, None all of them)."""
     s = read_table(spark, path, STORE_SCHEMA)
-    return s.filter(F.col("week").isin(*weeks)) if weeks else s
+    if weeks is None:
+        return s
+    return s.filter(F.col("week").isin(*weeks)) if weeks else s.filter(F.lit(False))
 
 
 def upsert_store(spark: SparkSession, batch: DataFrame, path: str) -> None:
@@ -112,23 +153,13 @@ def upsert_store(spark: SparkSession, batch: DataFrame, path: str) -> None:
     affected = stored.join(weeks, "week", "left_semi")
     merged = upsert(affected, b, key="hash", order=("recorded_at", "response_pos"))
     staging = scratch_path(spark, "store-staging")
-    _conform(merged, STORE_SCHEMA).write.mode("overwrite").partitionBy("week").parquet(staging)
+    dealt = _conform(merged, STORE_SCHEMA).repartition("week", F.pmod(F.xxhash64("hash"), F.lit(FILES_PER_WEEK)))
+    dealt.write.partitionBy("week").parquet(staging)
     staged = spark.read.schema(STORE_SCHEMA).parquet(staging)
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        # a week whose rows all moved away must still be rewritten (emptied)
-        emptied = weeks.join(staged.select("week").distinct(), "week", "left_anti").collect()
-        staged.write.mode("overwrite").partitionBy("week").parquet(path)
-        for r in emptied:
-            _drop_partition(spark, path, r.week)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
-
-
-def _drop_partition(spark: SparkSession, path: str, week: str) -> None:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(f"{path}/week={week}")
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if fs.exists(p):
-        fs.delete(p, True)
+    # a week whose rows all moved away must still be rewritten (emptied)
+    emptied = weeks.join(staged.select("week").distinct(), "week", "left_anti").collect()
+    _overwrite_partitions(spark, staged.repartition("week", F.pmod(F.xxhash64("hash"), F.lit(FILES_PER_WEEK))),
+                          "week", path)
+    for r in emptied:
+        delete_path(spark, f"{path}/week={r.week}")
+    delete_path(spark, staging)

@@ -17,8 +17,8 @@ def test_cli_daily_weekly(spark, base):
                     .select(fx.run_of(F.col("published_at")).alias("run_ts")).distinct().collect())
     ledger, store, out = (scratch_path(spark, n) for n in ("cli-ledger", "cli-store", "cli-out"))
     main(["daily", "--feeds", feeds, "--sources", src, "--ledger", ledger, "--store", store,
-          "--out", out, "--runs", runs])
-    assert glob.glob(f"{out}/payloads/part-*")
+          "--out", out, "--runs", runs, "--arrival", "published"])
+    assert glob.glob(f"{out}/payloads/run_ts=*/part-*")
     assert spark.read.parquet(ledger).count() > 0
     reports = scratch_path(spark, "cli-reports")
     main(["weekly", "--store", store, "--reports", reports, "--out", out + "-w"])

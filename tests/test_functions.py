@@ -174,3 +174,18 @@ def test_clean_html_unicode_space(spark, raw, expected):
 def test_strip_keeps_inner_unicode_space(spark):
     df = rows(spark, [(" a b\x1c",)], "s string")
     assert df.select(T.strip_ws("s").alias("v")).first().v == "a b"
+
+
+def test_feed_dates_of_many_shapes(spark):
+    from datetime import datetime
+
+    from feedlake.functions.dates import parse_feed_date
+    want = datetime(2024, 1, 8, 10, 0, 0)
+    texts = {"Mon, 08 Jan 2024 10:00:00 GMT": want, "Monday, 8 January 2024 10:00 UT": want, "8 Jan 24 05:00:00 EST": want,
+             "08 Jan 2024 11:00:00 +01:00": want, "08-Jan-2024 11:00:00 +0100": want, "Mon 8 Jan 2024 10:00:00": want,
+             "2024-01-08T10:00:00Z": want, "2024-01-08T11:00:00+01:00": want, "2024-01-08 10:00:00": want,
+             "8 Jan 99 10:00:00 Z": datetime(1999, 1, 8, 10), "8 Jan 2024 10:00:00 XYZ": None, "soon": None, "": None,
+             "32 Jan 2024 10:00:00 GMT": None}
+    rows = spark.createDataFrame([(t,) for t in [*texts, None]], "t string")
+    got = {r.t: r.d for r in rows.select("t", parse_feed_date("t").alias("d")).collect()}
+    assert got == {**texts, None: None}

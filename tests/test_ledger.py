@@ -2,11 +2,15 @@
 
 from datetime import datetime, timedelta
 
+import pytest
+
 
 from feedlake.operators import ledger as LG
 from feedlake.operators import recency as R
 from feedlake.operators import verdicts as V
+from feedlake.session import scratch_path
 from feedlake.sources import fixtures as fx
+from feedlake.sources import store as ST
 
 
 def test_anti_join_keeps_batch_duplicates(spark):
@@ -59,10 +63,39 @@ def test_upsert_idempotent_last_wins(spark):
     assert sorted(map(tuple, once.collect())) == sorted(map(tuple, twice.collect()))
 
 
-def test_items_per_run_bounded_explode(spark):
-    far = datetime(2030, 1, 1)
-    items = spark.createDataFrame([(1, far, datetime(2024, 1, 1))],
-                                  "entry_id int, published_at timestamp_ntz, fetched_at timestamp_ntz")
-    runs = spark.createDataFrame([(datetime(2024, 1, 2, 3),)], "run_ts timestamp_ntz")
-    assert R.items_per_run(items, runs, fetched_col="fetched_at").count() == 0
-    assert R.future_dated(items, fetched_col="fetched_at").count() == 1
+@pytest.mark.parametrize("hours", [1, 24, 696, 744, 2160])
+def test_items_per_run_equals_direct_join(spark, hours):
+    """Windows of any length; items landing late, dated far ahead or before the first run."""
+    base = datetime(2024, 1, 1)
+    rows = [(i, base + timedelta(hours=7 * i - 900), base + timedelta(hours=7 * i - 900 + 31 * (i % 4)))
+            for i in range(250)]
+    rows += [(900, datetime(2124, 1, 1), base), (901, datetime(2024, 1, 9, 3), datetime(2024, 1, 8, 3)),
+             (902, datetime(2030, 1, 1), datetime(2029, 1, 1))]
+    items = spark.createDataFrame(rows, "entry_id int, published_at timestamp_ntz, fetched_at timestamp_ntz")
+    runs = [base + timedelta(days=d, hours=3) for d in range(0, 40, 2)]
+    got = R.items_per_run(items, spark.createDataFrame([(r,) for r in runs], "run_ts timestamp_ntz"), hours, "fetched_at")
+    want = {(r, i) for r in runs for i, p, f in rows if f <= r and p >= r - timedelta(hours=hours)}
+    pairs = [(r.run_ts, r.entry_id) for r in got.collect()]
+    assert len(pairs) == len(set(pairs)) and set(pairs) == want
+
+
+def test_missing_run_status_is_not_published(spark):
+    """One rule for dedup and marks: a run without a status row has not published."""
+    t = [datetime(2024, 1, d, 3) for d in (1, 2)]
+    pairs = spark.createDataFrame([(t[0], "h", "l"), (t[1], "h", "l")], "run_ts timestamp_ntz, hash string, link string")
+    ledger = spark.createDataFrame([], "hash string, url string, seen_at timestamp_ntz")
+    status = spark.createDataFrame([(t[1], True)], "run_ts timestamp_ntz, ok boolean")
+    new = LG.new_per_run(pairs, ledger, status)
+    assert new.count() == 2
+    assert [r.run_ts for r in LG.gated_marks(new, status).collect()] == [t[1]]
+
+
+def test_purge_drops_days_and_keeps_the_rest(spark):
+    path = scratch_path(spark, "purge")
+    marks = spark.createDataFrame([("a", "u", datetime(2024, 1, 1)), ("b", "u", datetime(2024, 1, 10, 3)),
+                                   ("c", "u", datetime(2024, 1, 10, 13)), ("a", "u", datetime(2024, 1, 20)),
+                                   ("d", "u", datetime(2024, 1, 2))], "hash string, url string, seen_at timestamp_ntz")
+    ST.append_ledger(marks, path)
+    assert ST.purge_ledger(spark, path, "2024-01-20 12:00:00", days=10) == 2     # b and d; a has a later mark
+    assert {r.hash for r in ST.read_ledger(spark, path).collect()} == {"a", "c"}
+    assert ST.purge_ledger(spark, path, "2024-01-20 12:00:00", days=10) == 0

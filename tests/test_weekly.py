@@ -37,10 +37,10 @@ def test_report_invariants_and_sink(spark, base):
     path = scratch_path(spark, "report-test")
     RP.write_weekly_report(lines, path)
     totals = {r.week: r.n_kept for r in W.week_totals(store).collect()}
-    files = sorted(glob.glob(f"{path}/week=*/part-*"))
+    files = sorted(glob.glob(f"{path}/*.md"))
     by_week = {}
     for f in files:
-        wk = re.search(r"week=([^/]+)/", f).group(1)
+        wk = re.search(r"([^/]+)\.md$", f).group(1)
         by_week[wk] = by_week.get(wk, "") + open(f, encoding="utf-8").read()
     assert set(by_week) == set(totals)
     for wk, doc in by_week.items():
@@ -52,7 +52,7 @@ def test_report_invariants_and_sink(spark, base):
     # overwriting one week leaves the others in place
     one = lines.filter(F.col("week") == sorted(totals)[0])
     RP.write_weekly_report(one, path)
-    assert len(glob.glob(f"{path}/week=*")) == len(totals)
+    assert len(glob.glob(f"{path}/*.md")) == len(totals)
 
 
 def test_category_counts_zero_fill(spark):
