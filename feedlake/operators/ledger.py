@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedlake import vocab
-from feedlake.session import checkpoint_dir
+from feedlake.sources.tables import materialize
 
 
 def new_items(items: DataFrame, ledger: DataFrame) -> DataFrame:
@@ -52,9 +52,9 @@ def new_per_run(pairs: DataFrame, prior_ledger: DataFrame, run_status: DataFrame
     that ``run_status`` does not list has not published, here as in
     ``gated_marks``.
     """
-    # read twice below (first successful run, and the output): computed once
-    checkpoint_dir(pairs.sparkSession)
-    p = new_items(pairs, prior_ledger).checkpoint(eager=True)
+    # read twice below (first successful run: two columns; and the output):
+    # computed once, as a table
+    p = materialize(new_items(pairs, prior_ledger), "new-pairs")
     if run_status is not None:
         p = p.join(run_status.select("run_ts", "ok"), "run_ts", "left")
         ok = F.coalesce(F.col("ok"), F.lit(False))

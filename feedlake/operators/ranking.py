@@ -7,12 +7,12 @@ spread over many tasks, numbers rows inside each range partition with
 the row index, both in sort order), and adds per-(partition, group) offsets
 computed on a small aggregate (one row per group per partition).
 
-The numbered rows are checkpointed to the session's checkpoint folder before
-they are read twice (for the offsets and for the final join): the ids depend
-on physical partitioning, which adaptive execution could otherwise coalesce
-differently in the two branches; read back from the checkpoint they are
-fixed values. The checkpoint also cuts lineage, so a lost
-executor does not send the job back to the source scan.
+The numbered rows are written as Parquet to the session's checkpoint folder
+before they are read twice: the ids depend on physical partitioning, which
+adaptive execution could otherwise coalesce differently in the two branches;
+read back they are fixed values. The offsets read their three columns only,
+and what the caller does not select is not read again. The table also cuts
+lineage, so a lost executor does not send the job back to the source scan.
 
 Top-k per group (``row_number() <= k``) does not need this: Spark plans a
 partial WindowGroupLimit before the shuffle, so each task forwards at most
@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from feedlake.session import checkpoint_dir
+from feedlake.session import scratch_path
 
 _LOW_BITS = 33
 _LOW_MASK = (1 << _LOW_BITS) - 1
@@ -48,12 +48,15 @@ def ordinal(df: DataFrame, group_cols: list[str], order_cols: list, out: str = "
     keys = _sort_cols(group_cols) + _sort_cols(order_cols)
     ranged = (df.repartitionByRange(num_partitions, *keys) if num_partitions
               else df.repartitionByRange(*keys))
-    checkpoint_dir(df.sparkSession)
     tagged = (ranged.sortWithinPartitions(*keys)
               .withColumn("__mid", F.monotonically_increasing_id())
               .withColumn("__part", F.shiftright(F.col("__mid"), _LOW_BITS))
               .withColumn("__idx", F.col("__mid").bitwiseAND(F.lit(_LOW_MASK)))
-              .checkpoint(eager=True))
+              .drop("__mid"))
+    spark = df.sparkSession
+    path = scratch_path(spark, "ordinal")
+    tagged.write.parquet(path)
+    tagged = spark.read.schema(tagged.schema).parquet(path)
     spans = (tagged.groupBy("__part", *group_cols)
              .agg(F.min("__idx").alias("__first"), F.count(F.lit(1)).alias("__n")))
     w = Window.partitionBy(*group_cols).orderBy("__part")
@@ -66,7 +69,7 @@ def ordinal(df: DataFrame, group_cols: list[str], order_cols: list, out: str = "
                                                  for c, a in renamed.items()]
     joined = tagged.join(spans, cond, "inner")
     return (joined.withColumn(out, F.col("__offset") + F.col("__idx") - F.col("__first") + 1)
-            .drop("__mid", "__part", "__idx", "__first", "__offset", "__sp", *renamed.values()))
+            .drop("__part", "__idx", "__first", "__offset", "__sp", *renamed.values()))
 
 
 def top_k(df: DataFrame, group_cols: list[str], order_cols: list, k: int,

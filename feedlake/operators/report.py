@@ -21,7 +21,8 @@ from feedlake.functions import dates as D
 from feedlake.functions import labels as L
 from feedlake.functions import text as T
 from feedlake.operators import weekly as W
-from feedlake.session import checkpoint_dir, delete_path, scratch_path
+from feedlake.session import delete_path, scratch_path
+from feedlake.sources.tables import materialize
 
 # fixed values: report and message texts
 H_TITLE = "# Récap veille — Semaine "
@@ -133,8 +134,7 @@ def weekly_report_lines(store: DataFrame, fields: DataFrame, top: DataFrame | No
     head = (wk.join(top_arr, "week", "left").join(split_arr, "week", "left")
             .join(tk_arr, "week", "left").select("week", head_arr.alias("__head")))
     # one row per week, read twice below: computed once, lineage cut
-    checkpoint_dir(store.sparkSession)
-    head = head.checkpoint(eager=True)
+    head = materialize(head, "report-head")
     head_lines = head.select("week", F.posexplode("__head").alias("__p", "line")).select(
         "week", (F.col("__p") + 1).cast("bigint").alias("line_no"), "line")
 

@@ -99,6 +99,32 @@ def rubric_join(items: DataFrame, text: Column, rules: DataFrame, key: str = "en
             .withColumn("kept", F.col("severity") != F.lit(vocab.DEFAULT_SEVERITY)))
 
 
+def keyword_join(items: DataFrame, text: Column, rules: DataFrame, key: str = "entry_id"
+                 ) -> DataFrame:
+    """Rule table of whole words, for tables of any size: an equi-join on words.
+
+    ``rules``: rule_id, words (lower-case ASCII words), severity, category,
+    weight. Each item's distinct words meet the rules' words on equality, so no
+    row is compared with every rule; the best rule per item (weight, then rule
+    id) is an aggregate that is combined before its shuffle. Same result as
+    ``rubric_score`` with ``word(...)`` patterns; unmatched items are kept.
+    """
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    tokens = F.array_distinct(F.split(F.translate(text, upper, lower), _NW + "+"))
+    by_word = rules.select(F.explode(F.array_distinct("words")).alias("__word"),
+                           F.struct(F.col("weight"), (-F.col("rule_id")).alias("neg"), "rule_id", "severity",
+                                    "category").alias("__rule"))
+    best = (items.select(key, F.explode(tokens).alias("__word")).join(by_word, "__word")
+            .groupBy(key).agg(F.max("__rule").alias("__best")))
+    out = items.join(best, key, "left")
+    return (out.withColumns({
+        "rule_id": F.col("__best.rule_id"),
+        "severity": F.coalesce("__best.severity", F.lit(vocab.DEFAULT_SEVERITY)),
+        "category": F.coalesce("__best.category", F.lit(vocab.DEFAULT_CATEGORY)),
+        "score": clamp_score(F.col("__best.weight")).cast("int")})
+        .withColumn("kept", F.col("severity") != F.lit(vocab.DEFAULT_SEVERITY)).drop("__best"))
+
+
 SCORE_SCHEMA = Ty.StructType([
     Ty.StructField("run_ts", Ty.TimestampNTZType()),
     Ty.StructField("hash", Ty.StringType()),

@@ -54,14 +54,15 @@ FIXTURE_RULES = S.RULES + [
 
 
 def _rubric_sql(out_cols: str = "entry_id", in_cols: str = "entry_id",
-                text_sql: str | None = None, view_name: str = "v_entries") -> str:
+                text_sql: str | None = None, view_name: str = "v_entries",
+                rule_list=tuple(FIXTURE_RULES)) -> str:
     from feedlake.plans.q_scalar import _duck_clean
-    rules = S._ordered(FIXTURE_RULES)
+    rules = S._ordered(rule_list)
     text = text_sql or f"(coalesce(title, '') || ' ' || coalesce({_duck_clean('summary')}, ''))"
     rid = " ".join(f"when regexp_matches(txt, '{r[1]}') then {r[0]}" for r in rules)
 
     def pick(i, default):
-        return ("(case rule_id " + " ".join(f"when {r[0]} then {r[i]!r}" for r in FIXTURE_RULES)
+        return ("(case rule_id " + " ".join(f"when {r[0]} then {r[i]!r}" for r in rules)
                 + f" else {default!r} end)").replace('"', "'")
     return with_views(f"""
 select {out_cols}, rule_id, {pick(2, 'ignore')} as severity, {pick(3, 'general')} as category,
@@ -80,6 +81,25 @@ def q_rubric_score(spark, base):
     return out.select("entry_id", "rule_id", "severity", "category", "score", "kept")
 
 
+# ------------------------------------------------------------------ M6: words of a rule table
+# fixed values: word rules with the words of the fixture rules
+WORD_RULES = [(11, ["the", "that"], "notable", "general", 4),
+              (12, ["der", "die", "und", "sch"], "important", "backend", 5),
+              (13, ["le", "la", "les", "des"], "critical", "security", 3),
+              (14, ["el", "los", "las", "en"], "ignore", "devops", 2)]
+
+
+@register("keyword_rules", _rubric_sql("entry_id", "entry_id, title, summary",
+                                       rule_list=[(i, S.word("|".join(w)), *rest) for i, w, *rest in WORD_RULES]))
+def q_keyword_rules(spark, base):
+    """A rule table of words, joined on words, over every entry."""
+    from feedlake.functions.text import clean_html
+    rules = spark.createDataFrame(WORD_RULES, "rule_id int, words array<string>, severity string, category string, weight int")
+    out = S.keyword_join(fx.entries(spark, base),
+                         S.rule_text(F.col("title"), clean_html(F.col("summary"))), rules)
+    return out.select("entry_id", "rule_id", "severity", "category", "score", "kept")
+
+
 # ------------------------------------------------------------------ M5
 def _score_items_sql() -> str:
     from feedlake.plans.q_scalar import _duck_clean

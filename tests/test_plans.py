@@ -44,3 +44,23 @@ def test_period_scan_prunes_week_partitions(spark, base):
     periods = W.periods(fx.verdicts(spark, base)).filter(F.col("week") == "2024-W02")
     plan = plan_of(W.period_scan(store, periods))
     assert re.search(r"PartitionFilters: \[[^\]]*week#\d+ = 2024-W02", plan)
+
+
+def test_ledger_log_is_read_without_aggregation(spark, base):
+    """With the batch's size unknown to the planner: one exchange of hashes, none below an aggregate of the ledger."""
+    from feedlake.session import scratch_path
+    from feedlake.sources import store as ST
+    path = scratch_path(spark, "plan-ledger")
+    ST.append_ledger(fx.ledger(spark, base), path)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_of(LG.new_items(fx.verdicts(spark, base), ST.read_ledger_log(spark, path)))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "min_by" not in plan and "ReadSchema: struct<hash:string>" in plan
+
+
+def test_word_rules_join_on_words(spark, base):
+    plan = plan_of(E.queries()["keyword_rules"](spark, base))
+    assert "NestedLoopJoin" not in plan and "CartesianProduct" not in plan
