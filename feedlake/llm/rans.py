@@ -5,7 +5,8 @@ Segment layout (little-endian)::
     4s  magic "RTK1"
     u32 probability bits, u32 lanes, u32 block tokens, u32 steps between checkpoints
     u64 tokens, u32 symbols, u32 blocks, u32 points
-    u32[symbols] symbol, u32[symbols] frequency     shared by all blocks
+    u32  size of the table, then zlib of u32[symbols] gaps of symbols and u32[symbols]
+         frequencies, all lowest bytes first, then all second ones, ...; shared by all blocks
     u32[blocks]  crc32 of the block's ids (u32 each)
     u64[points]  word offset, u64[points * lanes] lane states
     u32          crc32 of all bytes so far
@@ -103,7 +104,9 @@ def encode(ids: np.ndarray, lanes: int = LANES, block_tokens: int = BLOCK_TOKENS
     emits = per_block(emits)
     before = np.concatenate(([0], np.cumsum(emits.sum(axis=2).ravel())))[:-1].reshape(n_blocks, steps)
     crcs = [zlib.crc32(ids[k * block:(k + 1) * block].tobytes()) for k in range(n_blocks)]
-    head += [symbols.astype("<u4").tobytes(), freq.astype("<u4").tobytes(), np.array(crcs, "<u4").tobytes(),
+    table = zlib.compress(np.concatenate([np.diff(symbols.astype(np.int64), prepend=0), freq]).astype("<u4")
+                          .view(np.uint8).reshape(-1, 4).T.tobytes())
+    head += [struct.pack("<I", len(table)), table, np.array(crcs, "<u4").tobytes(),
              before[:, ::checkpoint_steps].astype("<u8").tobytes(), per_block(states).astype("<u8").tobytes()]
     top = b"".join(head)
     return top + struct.pack("<I", zlib.crc32(top)) + per_block(words)[emits].astype("<u4").tobytes()
@@ -127,14 +130,20 @@ def decode(data: bytes, first: int = 0, stop: int | None = None) -> np.ndarray:
         at += out.nbytes
         return out
 
-    symbols, freq = take("<u4", n_symbols), take("<u4", n_symbols).astype(np.uint64)
-    crcs, offsets, states = take("<u4", n_blocks), take("<u8", n_points), take("<u8", n_points * lanes)
-    if struct.unpack_from("<I", data, at)[0] != zlib.crc32(data[:at]):
+    try:
+        table = take("u1", int(take("<u4", 1)[0])).tobytes() if n else b""
+        crcs, offsets, states = take("<u4", n_blocks), take("<u8", n_points), take("<u8", n_points * lanes)
+        header = struct.unpack_from("<I", data, at)[0]
+    except (ValueError, struct.error) as short:
+        raise ValueError("token segment: cut off") from short
+    if header != zlib.crc32(data[:at]):
         raise ValueError("token segment: header checksum differs")
     words = np.frombuffer(data, "<u4", offset=at + 4).astype(np.uint64)
     stop = n if stop is None else min(stop, n)
     if first >= stop:
         return np.empty(0, np.uint32)
+    planes = np.ascontiguousarray(np.frombuffer(zlib.decompress(table), np.uint8).reshape(4, -1).T).view("<u4").ravel()
+    symbols, freq = np.cumsum(planes[:n_symbols]).astype(np.uint32), planes[n_symbols:].astype(np.uint64)
     steps = block // lanes
     per_block = n_points // n_blocks
     span = every * lanes
@@ -156,7 +165,10 @@ def decode(data: bytes, first: int = 0, stop: int | None = None) -> np.ndarray:
         state = freq[s] * (state >> shift) + slot - start[s]
         low = state < LOW
         rank = np.cumsum(low, axis=1)
-        state[low] = (state[low] << WORD) | words[(pointer[:, None] + rank - 1)[low]]
+        read = (pointer[:, None] + rank - 1)[low]
+        if len(read) and read.max() >= len(words):
+            raise ValueError("token segment: words run out")
+        state[low] = (state[low] << WORD) | words[read]
         x[on], at_word[on] = state, pointer + rank[:, -1]
     ends = np.arange(lo, hi) % per_block == per_block - 1
     if (x[ends] != LOW).any():

@@ -34,9 +34,8 @@ from feedlake.llm import rans
 from feedlake.llm import words as W
 
 END_ID = 0
-SEGMENT_TOKENS = 4_000_000
-SLICE_BYTES = 8 << 20
-CACHE_CHUNKS = 1_500_000
+SEGMENT_TOKENS = 2_000_000
+CACHE_CHUNKS = 1_000_000
 SEGMENT = "part int, first long, doc_ids array<long>, doc_tokens array<long>, payload binary"
 READ = "doc_id long, start long, n_tokens long, ids_crc32 long"
 
@@ -50,6 +49,14 @@ _ASCII_SPACE = np.zeros(256, dtype=bool)
 _ASCII_SPACE[:0x21] = True
 
 
+def _solid(data: np.ndarray) -> np.ndarray:
+    """Bytes that end a code point that surely isn't white space."""
+    solid = ~_ASCII_SPACE[data]
+    solid[1:] &= ~(_CONTINUES[data[1:]] & _MAYBE_SPACE[data[:-1]])
+    solid[2:] &= ~(_CONTINUES[data[2:]] & _MAYBE_SPACE[data[:-2]])
+    return solid
+
+
 def chunk_starts(texts: W.Flat) -> np.ndarray:
     """Byte offsets at which byte-level BPE surely begins a new piece.
 
@@ -63,10 +70,7 @@ def chunk_starts(texts: W.Flat) -> np.ndarray:
     starts[offsets] = True
     edge = starts.copy()
     if n > 2:
-        # a byte that ends a code point that surely isn't white space
-        solid = ~_ASCII_SPACE[data]
-        solid[1:] &= ~(_CONTINUES[data[1:]] & _MAYBE_SPACE[data[:-1]])
-        solid[2:] &= ~(_CONTINUES[data[2:]] & _MAYBE_SPACE[data[:-2]])
+        solid = _solid(data)
         opens = ~(_ASCII_SPACE[data] | _MAYBE_SPACE[data])
         inner = np.flatnonzero((data[1:-1] == 0x20) | (data[1:-1] == 0x0A)) + 1
         inner = inner[solid[inner - 1] & opens[inner + 1] & ~edge[inner] & ~edge[inner + 1]]
@@ -95,8 +99,9 @@ class Encoder:
         self.count, self.ids = np.empty(0, np.int32), np.empty(0, np.uint16 if len(self.length) <= 1 << 16 else np.uint32)
 
     def _learn(self, data: np.ndarray, hashes: np.ndarray, start: np.ndarray, end: np.ndarray) -> None:
-        """Encode new chunks; those that begin with a space are joined, since each begins a piece."""
-        spaced = data[start] == 0x20
+        """Encode new chunks; those that begin with a space and don't end with one are joined,
+        since then each begins a piece."""
+        spaced = (data[start] == 0x20) & _solid(data)[end - 1]
         order = np.concatenate([np.flatnonzero(spaced), np.flatnonzero(~spaced)])
         hashes, start, end = hashes[order], start[order], end[order]
         n = int(spaced.sum())
@@ -181,7 +186,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str) -> None:
             return row
 
         for batch in batches:
-            for piece in W.slices(batch, limit=SLICE_BYTES):
+            for piece in W.slices(batch):
                 encoded, per_text = own.encode(W.flat(piece.column("text")))
                 ids.append(encoded)
                 doc_ids.append(piece.column("doc_id").cast(pa.int64()))

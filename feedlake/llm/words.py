@@ -8,6 +8,7 @@ Word and window identities are 64-bit hashes of the whole byte string.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -15,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 U64 = np.uint64
 
 
@@ -90,6 +91,16 @@ def flat(column: pa.Array) -> Flat:
     return Flat(data, offsets - offsets[0])
 
 
+_libc = ctypes.CDLL(None)
+
+
+def give_back() -> None:
+    """Return freed memory to the system; workers live as long as the application."""
+    pa.default_memory_pool().release_unused()
+    if hasattr(_libc, "malloc_trim"):
+        _libc.malloc_trim(0)
+
+
 def slices(batch: pa.RecordBatch, column: str = "text", limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
     """Row slices of a batch with at most ``limit`` text bytes each, or one row."""
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
@@ -100,6 +111,7 @@ def slices(batch: pa.RecordBatch, column: str = "text", limit: int = CHUNK_BYTES
         end = max(at + 1, int(np.searchsorted(total, before + limit, side="right")))
         yield batch.slice(at, end - at)
         at = end
+    give_back()
 
 
 def lower_ascii(data: np.ndarray) -> np.ndarray:
@@ -122,8 +134,10 @@ def hash_spans(data: np.ndarray, start: np.ndarray, end: np.ndarray, inside: np.
         span_bytes = data[index]
     else:
         span_bytes = data[inside]
+    place = np.arange(total, dtype=np.int32 if total < 1 << 31 else np.int64)
+    place -= np.repeat(at.astype(place.dtype), lens)
     terms = _VALUE[span_bytes]
-    terms *= _powers(int(lens.max()))[np.arange(total) - np.repeat(at, lens)]
+    terms *= _powers(int(lens.max()))[place]
     return mix(np.add.reduceat(terms, at) + lens.astype(U64))
 
 
