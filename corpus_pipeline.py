@@ -49,11 +49,22 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    per_doc = mixing.mix(docs).groupBy("doc_id").agg(F.sum("size").alias("size"), F.sum("taken").alias("taken"))
-    times = per_doc.select(F.col("doc_id").alias("mix_id"), F.when(F.col("size") == 0, 1).otherwise(
-        F.round(F.col("taken") / F.col("size"))).cast("int").alias("mix_times")).filter("mix_times > 0")
-    return (docs.join(written(times, "times"), F.col("doc_id").eqNullSafe(F.col("mix_id")))
-            .withColumn("mix_copy", F.explode(F.sequence(F.lit(1), "mix_times"))).select(*docs.columns))
+    taken = mixing.mix(docs).filter("size > 0")
+    times = F.round(F.col("taken") / F.col("size")).cast("int")
+    # in a source's shuffled order the documents before one place stand once more
+    # than those after it, so two numbers and that place say it for all of them
+    of_source = taken.withColumns({"mix_times": times, "mix_place": F.struct(*mixing.place())}).groupBy(
+        mixing.source_key().alias("mix_source")).agg(
+        F.min("mix_times").alias("mix_least"), F.max("mix_times").alias("mix_most"),
+        F.max_by("mix_place", F.struct("mix_times", "mix_place")).alias("mix_last"))
+    of_source = written(of_source, "times")
+    small = of_source.count() <= mixing.BROADCAST_SOURCES
+    joined = docs.withColumns({"mix_key": mixing.source_key(), "mix_at": F.struct(*mixing.place())}).join(
+        F.broadcast(of_source) if small else of_source, F.col("mix_key") == F.col("mix_source"), "left")
+    stands = F.when(~F.coalesce(F.col("text").rlike(mixing.WORD), F.lit(False)), 1).when(
+        F.col("mix_at") <= F.col("mix_last"), F.col("mix_most")).otherwise(F.col("mix_least"))
+    return (joined.withColumn("mix_stands", stands).filter("mix_stands > 0")
+            .withColumn("mix_copy", F.explode(F.sequence(F.lit(1), "mix_stands"))).select(*docs.columns))
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -33,20 +33,28 @@ MAX_REPEAT = 3
 BLOCK_WORDS = 1024
 #: Golden-ratio multiplier for points of POINT_BITS bits (2^31 / 1.618..., odd).
 GOLDEN, POINT_BITS = 1327217885, 31
-CHUNK_BITS = 12
+CHUNK_BITS = 9
 #: Documents of a source that one window sums.
 BUCKET_DOCS = 512
 #: Source tables up to this many rows are broadcast; larger ones are left to the planner.
 BROADCAST_SOURCES = 20_000
 
 
+def source_key() -> Column:
+    """Order key of a source: by code point, null last; never null."""
+    return F.when(F.col("source").isNull(), F.lit("~")).otherwise(F.concat(F.lit("="), "source"))
+
+
+def place() -> list[Column]:
+    """A document's place in its source's shuffled order."""
+    return [F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")).alias("h"), F.col("doc_id")]
+
+
 def sized(docs: DataFrame) -> DataFrame:
     """doc_id, source, its order key, size in words, and the shuffling hash."""
     return docs.select(
-        "doc_id", "source",
-        F.when(F.col("source").isNull(), F.lit("~")).otherwise(F.concat(F.lit("="), "source")).alias("skey"),
-        F.regexp_count(F.coalesce("text", F.lit("")), F.lit(WORD)).cast("long").alias("size"),
-        F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")).alias("h"))
+        "source", source_key().alias("skey"),
+        F.regexp_count(F.coalesce("text", F.lit("")), F.lit(WORD)).cast("long").alias("size"), *place())
 
 
 def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = 1.0,
