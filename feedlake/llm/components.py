@@ -2,18 +2,38 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedlake.llm.scratch import written
 
 
+def contracted(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Links of one task as stars: (smallest node of a component, each other node of it)."""
+    nodes, place = np.unique(np.concatenate([a, b]), return_inverse=True)
+    parent = list(range(len(nodes)))
+
+    def root(i: int) -> int:
+        while parent[i] != i:
+            parent[i] = parent[parent[i]]
+            i = parent[i]
+        return i
+
+    for x, y in zip(place[:len(a)].tolist(), place[len(a):].tolist(), strict=True):
+        x, y = root(x), root(y)
+        if x != y:
+            parent[max(x, y)] = min(x, y)
+    least = np.array([root(i) for i in range(len(nodes))], dtype=np.int64)
+    other = np.flatnonzero(least != np.arange(len(nodes)))
+    return nodes[least[other]], nodes[other]
+
+
 def _large_star(edges: DataFrame) -> DataFrame:
     """Every larger neighbour of a node is linked to the node's smallest neighbour (or itself)."""
     both = edges.union(edges.select("b", "a")).toDF("u", "v")
     least = written(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "least")
-    return (both.filter("v > u").join(least, "u").select(F.col("v").alias("a"), F.col("m").alias("b"))
-            .filter("a <> b").distinct())
+    return both.filter("v > u").join(least, "u").select(F.col("v").alias("a"), F.col("m").alias("b")).filter("a <> b")
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
@@ -44,6 +64,8 @@ def components(edges: DataFrame) -> DataFrame:
             break
         before = now
     hung = state.select(F.col("a").alias("node"), F.col("b").alias("component"))
-    roots = state.select(F.col("b").alias("node")).union(alone).distinct()
-    own = roots.join(hung, "node", "left_anti").select("node", F.col("node").alias("component"))
-    return hung.union(own)
+    found = hung.union(state.select("b").distinct().select("b", "b"))  # what hangs on a root is no root
+    alone = written(alone.distinct(), "alone")
+    if not alone.isEmpty():
+        found = found.union(alone.join(found, "node", "left_anti").select("node", "node"))
+    return found

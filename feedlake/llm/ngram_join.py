@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from feedlake.llm import sigtree
 from feedlake.llm import words as W
-from feedlake.llm.components import components
+from feedlake.llm.components import components, contracted
 from feedlake.llm.scratch import written
 
 N = 3
@@ -43,6 +43,8 @@ PERCENT = 90
 #: Parts beyond d + 1, so that a set may have so many without tokens.
 EMPTY = 2
 BLOCK_DOCS = 64
+#: Documents on each side of a unit when what is left over meets all blocks.
+WIDE_DOCS = 256
 BLOCK_TOKENS = 1_000_000
 FLUSH_KEYS = 2_000_000
 
@@ -188,14 +190,13 @@ def _keys(n: int, percent: int, largest: int, shards: int):
 
 
 def _links(table: pa.Table) -> pa.Table:
-    """Links of one shard of keys, besides those its tasks had found."""
+    """Links of one shard of keys and those its tasks had found, as stars."""
     def joined(column: str, kind: type) -> np.ndarray:
         return np.frombuffer(b"".join(table.column(column).to_pylist()), dtype=kind)
 
     _, _, a, b = _star(joined("keys", np.uint64), joined("ids", np.int64))
-    pairs = np.stack([np.concatenate([a, joined("a", np.int64)]), np.concatenate([b, joined("b", np.int64)])], axis=1)
-    pairs = np.unique(pairs, axis=0)
-    return pa.table({"a": np.ascontiguousarray(pairs[:, 0]), "b": np.ascontiguousarray(pairs[:, 1])})
+    root, node = contracted(np.concatenate([a, joined("a", np.int64)]), np.concatenate([b, joined("b", np.int64)]))
+    return pa.table({"a": root, "b": node})
 
 
 def _trees(n: int, percent: int):
@@ -263,8 +264,8 @@ def classes(docs: DataFrame, percent: int = PERCENT, n: int = N) -> DataFrame:
                      .select("node", "component", "n_shingles"), "groups")
 
     total = (groups.groupBy("component").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("tokens"))
-             .select("component", F.ceil(F.greatest(F.col("n") / BLOCK_DOCS, F.col("tokens") / BLOCK_TOKENS))
-                     .cast("long").alias("blocks")))
+             .select("component", *(F.ceil(F.greatest(F.col("n") / size, F.col("tokens") / BLOCK_TOKENS)).cast("long").alias(name)
+                                    for name, size in (("blocks", BLOCK_DOCS), ("wide", WIDE_DOCS)))))
     total = written(total, "blocks")
     blocked = (groups.join(total, "component")
                .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks"))))
@@ -284,16 +285,17 @@ def classes(docs: DataFrame, percent: int = PERCENT, n: int = N) -> DataFrame:
         members = classed.groupBy("component", "class").agg(F.count(F.lit(1)).alias("n"))
         main = members.groupBy("component").agg(F.max_by("class", F.struct("n", "class")).alias("main"),
                                                 F.sum("n").alias("all"), F.max("n").alias("most"))
-        open_ = written(main.filter("all > most").withColumn("turns", F.ceil((F.col("all") - F.col("most")) / BLOCK_DOCS)
+        open_ = written(main.filter("all > most").withColumn("turns", F.ceil((F.col("all") - F.col("most")) / WIDE_DOCS)
                                                              .cast("long")), "open")
         if not open_.isEmpty():
             rest = classed.join(open_, "component")
             turn = F.pmod(F.xxhash64("node", F.lit(1)), F.col("turns"))
             left = rest.filter("class <> main").select(
                 "node", "component", turn.alias("turn"),
-                F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"))
+                F.explode(F.sequence(F.lit(0).cast("long"), F.col("wide") - 1)).alias("block"))
             right = rest.select("node", "component",
-                                F.explode(F.sequence(F.lit(0).cast("long"), F.col("turns") - 1)).alias("turn"), "block")
+                                F.explode(F.sequence(F.lit(0).cast("long"), F.col("turns") - 1)).alias("turn"),
+                                F.pmod(F.xxhash64("node", F.lit(2)), F.col("wide")).alias("block"))
             again = left.unionByName(right).distinct().select(
                 F.col("node").alias("doc_id"), F.xxhash64("component", "turn", "block").alias("unit"))
             found = components(links.union(_traversed(texts, again, n, percent)))
