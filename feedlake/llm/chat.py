@@ -6,7 +6,7 @@ needs (ids of calls whose results the arguments use).  ``results``: conv_id,
 pos, call_id, content.  ``schemas``: name, schema (JSON Schema text).
 
 Linking.  Rows that are equal count once.  Of several calls with one id in a
-conversation the one with the smallest (pos, name, arguments) stands for it, of
+conversation the one with the smallest (pos, name and arguments) stands for it, of
 several results the one with the smallest (pos, content); both are found by
 aggregation, then hash-joined on (conv_id, call_id).  Status: ``linked``;
 ``unanswered`` (call without result); ``orphan`` (result without call);
@@ -41,7 +41,7 @@ from functools import lru_cache
 from typing import Any
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -152,48 +152,51 @@ def _written(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
              pa.array(["; ".join(errors) for _, errors in out], pa.string())], names=[*kept, "json", "errors"])
 
 
-def _first(rows: DataFrame, rank: list[str]) -> DataFrame:
-    """``rows`` with ``first``: whether the row has the smallest rank of its (conv_id, call_id)."""
-    keyed = rows.filter("conv_id is not null and call_id is not null")
-    least = written(keyed.groupBy("conv_id", "call_id").agg(F.min(F.struct(*rank)).alias("least")), "least")
-    return rows.join(least, ["conv_id", "call_id"], "left").withColumn(
-        "first", F.coalesce(F.struct(*rank) == F.col("least"), F.lit(False))).drop("least")
+def _messages(calls: DataFrame, results: DataFrame) -> DataFrame:
+    """All distinct messages with an id: kind, conv_id, call_id, pos, name, needs, tie, body; written once."""
+    none = F.array().cast("array<string>")
+    calls = calls.select("conv_id", "pos", "call_id", "name", F.col("arguments").alias("body"), F.lit("call").alias("kind"),
+                         F.array_sort(F.array_distinct(F.coalesce("needs", none))).alias("needs"))
+    results = results.select("conv_id", "pos", "call_id", F.lit(None).cast("string").alias("name"),
+                             F.col("content").alias("body"), F.lit("result").alias("kind"), none.alias("needs"))
+    tie = F.md5(F.to_json(F.struct("name", "body", "needs")).cast("binary"))
+    return written(calls.unionByName(results).distinct().withColumns({"tie": tie, "id": F.monotonically_increasing_id()}),
+                   "messages")
 
 
-def _linked(calls: DataFrame, results: DataFrame) -> DataFrame:
-    """All messages: kind, conv_id, call_id, pos, name, body, needs, first, status."""
-    calls = _first(calls.select("conv_id", "pos", "call_id", "name", F.col("arguments").alias("body"),
-                                F.array_sort(F.array_distinct(F.coalesce("needs", F.array().cast("array<string>")))).alias("needs"))
-                   .distinct(), ["pos", "name", "body", "needs"])
-    results = _first(results.select("conv_id", "pos", "call_id", F.col("content").alias("body")).distinct(), ["pos", "body"])
-    both = (calls.filter("first").select("conv_id", "call_id", F.lit(1).alias("c"))
-            .join(results.filter("first").select("conv_id", "call_id", F.lit(1).alias("r")), ["conv_id", "call_id"]))
-    paired = written(both.select("conv_id", "call_id", F.lit(True).alias("paired")), "paired")
-    alone = {"call": "unanswered", "result": "orphan"}
-
-    def named(rows: DataFrame, kind: str) -> DataFrame:
-        out = rows.join(paired, ["conv_id", "call_id"], "left").withColumn("kind", F.lit(kind))
-        extra = ~F.col("first") & F.col("conv_id").isNotNull() & F.col("call_id").isNotNull()
-        return out.withColumn("status", F.when(extra, "duplicate").when(F.col("paired"), "linked")
-                              .otherwise(alone[kind])).drop("paired")
+def _linked(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(id, status, node) of every message, and the calls with their results by identifier.
 
-    calls, results = named(calls, "call"), named(results, "result")
-    return calls.unionByName(results, allowMissingColumns=True)
+    Works on the messages without their bodies.
+    """
+    known = rows.filter("conv_id is not null and call_id is not null")
+    first = {kind: known.filter(F.col("kind") == kind).groupBy("conv_id", "call_id")
+             .agg(F.min(F.struct("pos", "tie", "id", "needs")).alias(kind)) for kind in ("call", "result")}
+    pairs = written(first["call"].join(first["result"].hint("shuffle_hash"), ["conv_id", "call_id"], "full_outer"), "pairs")
+    alone = {"call": "unanswered", "result": "orphan"}
+    both = F.col("call").isNotNull() & F.col("result").isNotNull()
+    firsts = [pairs.filter(F.col(kind).isNotNull()).select(
+        F.col(f"{kind}.id").alias("id"), F.when(both, "linked").otherwise(status).alias("status"),
+        F.concat(F.lit(kind[0]), "call_id").alias("node")) for kind, status in alone.items()]
+    named = F.col("conv_id").isNotNull() & F.col("call_id").isNotNull()
+    status = F.coalesce("status", F.when(named, F.lit("duplicate")).when(F.col("kind") == "call", alone["call"])
+                        .otherwise(alone["result"]))
+    return rows.join(firsts[0].union(firsts[1]), "id", "left").withColumn("status", status), pairs
 
 
-def _edges(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _edges(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Dependencies between first messages (conv_id, src, dst by kind and id, with positions), and unmet needs."""
-    first = messages.filter("first")
-    calls = first.filter("kind = 'call'").select("conv_id", "call_id", F.col("pos").alias("call_pos"), "needs")
-    results = first.filter("kind = 'result'").select("conv_id", "call_id", F.col("pos").alias("result_pos"))
-    answered = calls.drop("needs").join(results, ["conv_id", "call_id"])
-    own = answered.select("conv_id", F.concat(F.lit("c"), "call_id").alias("src"), F.col("call_pos").alias("src_pos"),
-                          F.concat(F.lit("r"), "call_id").alias("dst"), F.col("result_pos").alias("dst_pos"))
-    wants = calls.select("conv_id", F.col("call_id").alias("by"), "call_pos", F.explode("needs").alias("call_id"))
-    met = wants.join(results.withColumn("met", F.lit(True)), ["conv_id", "call_id"], "left")
+    answered = pairs.filter(F.col("result").isNotNull())
+    own = answered.filter(F.col("call").isNotNull()).select(
+        "conv_id", F.concat(F.lit("c"), "call_id").alias("src"), F.col("call.pos").alias("src_pos"),
+        F.concat(F.lit("r"), "call_id").alias("dst"), F.col("result.pos").alias("dst_pos"))
+    wants = pairs.filter(F.col("call").isNotNull()).select(
+        "conv_id", F.col("call_id").alias("by"), F.col("call.pos").alias("call_pos"), F.explode("call.needs").alias("call_id"))
+    met = wants.join(answered.select("conv_id", "call_id", F.col("result.pos").alias("result_pos"), F.lit(True).alias("met")),
+                     ["conv_id", "call_id"], "left")
     need = met.filter("met").select("conv_id", F.concat(F.lit("r"), "call_id").alias("src"), F.col("result_pos").alias("src_pos"),
                                     F.concat(F.lit("c"), "by").alias("dst"), F.col("call_pos").alias("dst_pos"))
-    unmet = (met.filter("met is null").groupBy("conv_id", F.col("by").alias("call_id"))
+    unmet = (met.filter("met is null").groupBy("conv_id", F.concat(F.lit("c"), "by").alias("node"))
              .agg(F.array_sort(F.collect_list("call_id")).alias("unmet")))
     return own.unionByName(need), unmet
 
@@ -227,31 +230,30 @@ def format_calls(calls: DataFrame, results: DataFrame, schemas: DataFrame) -> Da
 
     ``place`` numbers a conversation's messages from 0 in dependency order.
     """
-    messages = written(_linked(calls, results), "messages")
-    edges, unmet = _edges(messages)
+    messages = _messages(calls, results)
+    rows, pairs = _linked(messages.drop("body"))
+    edges, unmet = _edges(pairs)
     edges = written(edges, "edges")
     moved = _raised(edges, written(messages.groupBy("conv_id").agg(F.count(F.lit(1)).alias("size")), "sizes"))
-    node: Column = F.when(F.col("first"), F.concat(F.substring("kind", 1, 1), F.col("call_id")))
-    rows = messages.withColumn("node", node)
     if moved is None:
         rows = rows.withColumns({"time": F.lit(None).cast("long"), "steps": F.lit(None).cast("long"), "cyclic": F.lit(False)})
     else:
         rows = rows.join(moved, ["conv_id", "node"], "left")
     stays = F.col("time").isNull() | F.coalesce("cyclic", F.lit(False))
-    rows = rows.withColumns({
-        "cyclic": F.coalesce("cyclic", F.lit(False)),
-        "time": F.when(stays, F.coalesce("pos", F.lit(0))).otherwise(F.col("time")),
-        "steps": F.when(stays, F.lit(0).cast("long")).otherwise(F.col("steps"))})
-    rows = (rows.join(unmet.withColumn("first", F.lit(True)).withColumn("kind", F.lit("call")),
-                      ["conv_id", "call_id", "first", "kind"], "left"))
-    small = schemas.limit(BROADCAST_SCHEMAS + 1).count() <= BROADCAST_SCHEMAS
+    rows = rows.join(unmet, ["conv_id", "node"], "left").select(
+        "id", "conv_id", "kind", "call_id", "pos", "tie", "status", "unmet", F.coalesce("cyclic", F.lit(False)).alias("cyclic"),
+        F.when(stays, F.coalesce("pos", F.lit(0))).otherwise(F.col("time")).alias("time"),
+        F.when(stays, F.lit(0).cast("long")).otherwise(F.col("steps")).alias("steps"),
+        F.coalesce(F.col("conv_id").cast("string"), F.lit("")).alias("group"), F.lit(1).cast("long").alias("one"))
+    rows = written(rows.withColumn("bucket", F.floor(F.col("time") / BUCKET_TIMES)), "ordered")
+    placed = running_sum(rows, ["group"], "bucket", ["time", "steps", "pos", "kind", "call_id", "tie", "id"], "one", "place")
+
     one = schemas.groupBy("name").agg(F.min("schema").alias("schema"))
-    rows = rows.join(F.broadcast(one) if small else one, "name", "left")
-    done = rows.select("conv_id", "pos", "time", "steps", "kind", "call_id", "name", "status", "cyclic", "body", "schema", "unmet")
+    small = schemas.limit(BROADCAST_SCHEMAS + 1).count() <= BROADCAST_SCHEMAS
+    bodies = messages.select("id", "name", "body")
+    done = (placed.select("id", "conv_id", "place", "kind", "call_id", "status", "cyclic", "unmet").join(bodies, "id")
+            .join(F.broadcast(one) if small else one, "name", "left")
+            .select("conv_id", "place", "kind", "call_id", "name", "status", "cyclic", "body", "schema", "unmet"))
     out = T.StructType([f for f in done.schema if f.name not in ("body", "schema", "unmet")]
                        + [T.StructField("json", T.StringType()), T.StructField("errors", T.StringType())])
-    done = written(done.mapInArrow(_written, out), "formatted")
-    placed = done.withColumns({"group": F.coalesce(F.col("conv_id").cast("string"), F.lit("")),
-                               "bucket": F.floor(F.col("time") / BUCKET_TIMES), "one": F.lit(1).cast("long")})
-    placed = running_sum(placed, ["group"], "bucket", ["time", "steps", "pos", "kind", "call_id", "json"], "one", "place")
-    return placed.select("conv_id", "place", "kind", "call_id", "name", "status", "cyclic", "json", "errors")
+    return done.mapInArrow(_written, out)
