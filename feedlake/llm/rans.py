@@ -27,9 +27,9 @@ import zlib
 import numpy as np
 
 MAGIC = b"RTK1"
-LANES = 64
+LANES = 128
 BLOCK_TOKENS = 65_536
-CHECKPOINT_STEPS = 512
+CHECKPOINT_STEPS = 256
 LOW = np.uint64(1 << 31)
 WORD = np.uint64(32)
 _HEAD = struct.Struct("<4sIIIIQIII")
