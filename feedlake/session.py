@@ -56,7 +56,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     current = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not current:
-        if not sc.master.startswith("local["):
+        if sc.master.split("[")[0] != "local":
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         current = tempfile.mkdtemp(prefix="feedlake-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
