@@ -5,7 +5,9 @@ Each stage works on all rows that the one before kept.  Stages but the last
 return the columns of ``documents``:
 
 1. quality rules: documents that the rules reject go.
-2. n-gram Jaccard join: of each class one document stays, the one with the
+2. n-gram Jaccard join: near duplicates are documents whose sets of five-word
+   n-grams have a Jaccard similarity of 0.8 or more (the query op9 has its own
+   values, 3 and 0.9).  Of each class one document stays, the one with the
    class's smallest doc_id (of rows that repeat it, one); rows with null
    doc_id, and documents without words, stay.
 3. benchmark decontamination: documents with an occurrence of a benchmark
@@ -25,6 +27,9 @@ from feedlake.llm import decontam, mixing, ngram_join, quality
 from feedlake.llm.queries import encoded, table
 from feedlake.llm.scratch import written
 
+#: The near-duplicate stage: words of an n-gram, least similarity in percent.
+NEAR_WORDS, NEAR_PERCENT = 5, 80
+
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = quality.train(docs, table(spark, sf_dir, "labels"))
@@ -32,7 +37,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    classes = ngram_join.classes(docs).filter("doc_id is not null")
+    """One document of each class linked by five-word n-grams at 80 % or more; op9's values are its query's only."""
+    classes = ngram_join.classes(docs, percent=NEAR_PERCENT, n=NEAR_WORDS).filter("doc_id is not null")
     rows = classes.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.min("component_id").alias("c"),
                                          F.max("n_shingles").alias("s"))
     # the rows to take out, so that the join's smaller side holds copies only

@@ -1,5 +1,8 @@
 """Exact n-gram Jaccard join: classes of documents linked at ``percent`` or more.
 
+The defaults (3 words, 90 %) are those of the query op9; the pipeline's stage
+gives its own (5 words, 80 %).
+
 1. Sets.  A document's set holds the hashes of its distinct word n-grams.
    Documents with equal sets (size and a 128-bit sum) share a representative.
 2. Size ranges.  Bands of sizes are cut so that two linked sets lie in one band

@@ -54,6 +54,19 @@ def test_duplicate_stage_keeps_one_of_each_class(spark, base, documents):
     assert sorted(left, key=str) == sorted([(3, "A b c d"), (None, "a b c d"), (7, None), (7, None), (8, "")], key=str)
 
 
+def test_duplicate_stage_links_five_words_at_80_percent(spark, base, documents):
+    stage = dict(P.STAGES)["n-gram Jaccard join"]
+    rows = [tuple(r) for r in documents.collect()]
+    want = brute_classes([(r[0], r[1]) for r in rows], 80, 5)
+    assert len(set(want.values())) < len(set(brute_classes([(r[0], r[1]) for r in rows]).values()))
+    assert {r.doc_id for r in stage(spark, documents, base).collect()} == set(want.values())
+    words = [f"w{i}" for i in range(50)]
+    edited = lambda *at: " ".join("x" if i in at else w for i, w in enumerate(words))
+    # one edit: 41 of 51 five-word n-grams (45 of 51 of three words, below 90 %); two more: 36 of 56 and 31 of 61
+    made = [(4, edited(), "en", "s", 1), (5, edited(25), "en", "s", 1), (6, edited(8, 25, 40), "en", "s", 1)]
+    assert sorted(r.doc_id for r in stage(spark, spark.createDataFrame(made, documents.schema), base).collect()) == [4, 6]
+
+
 def test_decontamination_stage(spark, base, documents):
     patterns = {}
     for r in table(spark, base, "benchmark").collect():
