@@ -1,18 +1,19 @@
 """License scans by conditional compression.
 
-A text's candidate blocks are the lines with a cue word and the lines next to
-them; in long lines, the words within reach of a cue.  A block is compressed
+A text's candidate blocks are the words within reach (the longest template's
+words) of a cue, across line ends; ranges that meet are one.  A block is compressed
 alone and with each template as a raw-content zstandard dictionary; templates
 are ranked by the bytes that the dictionary saves, then by the share that these
 are of the template's own compressed size (which must reach ``MIN_SAVED``), then
 by order.  The first of the best ``CONFIRM`` whose wording differs from the block's nearest
 words by no more than ``MAX_DIFFER`` of the template's words (at least one) is
 confirmed, with the exact differences; the block's words before and after it
-are looked at again.  Words are compared without case and edge punctuation.
+are looked at again.  Words are compared without case and edge punctuation;
+those of punctuation only (comment signs, rules) are left out.
 
 Templates are a parameter (name to text) of bounded number, sent to the tasks.
 
-Edge cases: null and empty texts have no blocks; very long lines are cut to
+Edge cases: null and empty texts have no blocks; very long texts are cut to
 what a template can reach around each cue, so nothing with a cue is skipped;
 repeated rows have a result each; without templates nothing is found.
 """
@@ -31,12 +32,14 @@ from pyspark.sql import types as T
 from feedlake.llm import words as W
 from feedlake.llm.license_texts import TEMPLATES
 
-CUE = r"(?i)licen[cs]ed?|copyright|permission|redistribut|warrant|creative commons|cc by|public domain|waived"
+#: Words of a cue may stand on two lines, with comment signs between them.
+CUE = (r"(?i)licen[cs]ed?|copyright|permission|redistribut|warrant|creative[^0-9A-Za-z]+commons|cc[^0-9A-Za-z]+by"
+       r"|public[^0-9A-Za-z]+domain|waived")
 MIN_SAVED = 0.15
 CONFIRM = 5
 MAX_DIFFER = 0.1
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
-_EDGE = "\"'().,;:!?*[]<>"
+_EDGE = "\"'().,;:!?*[]<>#/%=|-"
 _CUE = re.compile(CUE, re.ASCII)
 
 
@@ -107,48 +110,25 @@ def _blocks(found: list[re.Match], cues: list[tuple[int, int]], reach: int) -> I
 def find(text: str, templates: Templates) -> list[dict]:
     """Confirmed licences of a text, by start."""
     out = []
-    for start, end in _lines(text):
-        words = list(WORD.finditer(text, start, end))
-        cues = [m.span() for m in _CUE.finditer(text, start, end)]
-        stack = [tuple(r) for r in _blocks(words, cues, templates.reach)]
-        while stack:
-            a, b = stack.pop()
-            while a < b and not plain(words[a][0]):
-                a += 1
-            block = [plain(w[0]) for w in words[a:b]]
-            if not block or not any(words[a].start() < e and s < words[b - 1].end() for s, e in cues):
-                continue
-            for saved, name in templates.ranked(block)[:CONFIRM]:
-                differ, first, last = templates.differences(name, block)
-                if differ <= max(1, MAX_DIFFER * len(templates.words[name])):
-                    out.append({"license": name, "start": words[a + first].start(), "end": words[a + last - 1].end(),
-                                "saved": saved, "differences": differ})
-                    stack += [(a, a + first), (a + last, b)]
-                    break
+    cues = [m.span() for m in _CUE.finditer(text)]
+    words = [w for w in WORD.finditer(text) if plain(w[0])] if cues else []
+    spelt = [plain(w[0]) for w in words]
+    stack = list(_blocks(words, cues, templates.reach))
+    while stack:
+        a, b = stack.pop()
+        block = spelt[a:b]
+        if not block or not any(words[a].start() < e and s < words[b - 1].end() for s, e in cues):
+            continue
+        for saved, name in templates.ranked(block)[:CONFIRM]:
+            differ, first, last = templates.differences(name, block)
+            if differ <= max(1, MAX_DIFFER * len(templates.words[name])):
+                out.append({"license": name, "start": words[a + first].start(), "end": words[a + last - 1].end(),
+                            "saved": saved, "differences": differ})
+                stack += [(a, a + first), (a + last, b)]
+                break
     return sorted(out, key=lambda x: (x["start"], x["license"]))
 
 
-def _lines(text: str) -> Iterator[tuple[int, int]]:
-    """Runs of lines with a cue, each with the lines next to it."""
-    here, at = None, 0
-    before = (0, 0)
-    carry = False
-    for line in text.split("\n"):
-        span = (at, at + len(line))
-        at += len(line) + 1
-        cue = bool(_CUE.search(line))
-        if cue:
-            here = (here[0] if here else before[0], span[1])
-        elif carry and here:
-            here = (here[0], span[1])
-        elif here:
-            yield here
-            here = None
-        carry, before = cue, span
-    if here:
-        yield here
-
-
 LICENSE = T.StructType([T.StructField("license", T.StringType()), T.StructField("start", T.LongType()),
                         T.StructField("end", T.LongType()), T.StructField("saved", T.DoubleType()),
                         T.StructField("differences", T.LongType())])

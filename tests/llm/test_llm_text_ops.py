@@ -2,6 +2,7 @@
 
 import random
 import re
+import textwrap
 import zlib
 
 import numpy as np
@@ -208,6 +209,24 @@ def test_license_scan(spark):
     assert all(r.licenses == [] for r in license_scan.scan(docs, {}).collect())
 
 
+@pytest.mark.parametrize("name", license_scan.TEMPLATES)
+def test_license_scan_across_lines(name):
+    own = license_scan.Templates(license_scan.TEMPLATES)
+    text = license_scan.TEMPLATES[name]
+    filler = "\n".join(["lorem ipsum dolor sit amet consectetur"] * 60)
+    for width in (*range(72, 80), 20):
+        lines = textwrap.wrap(text, width, break_on_hyphens=False, break_long_words=False)
+        spaced = [x for i, line in enumerate(lines) for x in ([line, ""] if i % 3 == 2 else [line])]
+        forms = [lines, spaced, *([sign + line for line in spaced] for sign in ("# ", " * ", "// ", "; ", "#", "-- "))]
+        for form in forms:
+            block = "\n".join(form)
+            for whole in (block, f"{filler}\n{block}\n{filler}"):
+                got = license_scan.find(whole, own)
+                assert [(x["license"], x["differences"]) for x in got] == [(name, 0)], whole
+                inside = " ".join(filter(None, map(license_scan.plain, whole[got[0]["start"]:got[0]["end"]].split())))
+                assert inside == " ".join(own.words[name])
+
+
 @pytest.fixture(scope="module")
 def pieces():
     import public_tokenizers
