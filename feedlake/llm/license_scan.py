@@ -5,10 +5,15 @@ words) of a cue, across line ends; ranges that meet are one.  A block is compres
 alone and with each template as a raw-content zstandard dictionary; templates
 are ranked by the bytes that the dictionary saves, then by the share that these
 are of the template's own compressed size (which must reach ``MIN_SAVED``), then
-by order.  The first of the best ``CONFIRM`` whose wording differs from the block's nearest
-words by no more than ``MAX_DIFFER`` of the template's words (at least one) is
-confirmed, with the exact differences; the block's words before and after it
-are looked at again.  Words are compared without case and edge punctuation;
+by order.  The first whose wording differs from the block's nearest words by no
+more than ``MAX_DIFFER`` of the template's words (at least one) is confirmed,
+with the exact differences; the block's words before and after it are looked at
+again.  A block where none is confirmed, or that is longer than ``WIDE`` reaches,
+is taken apart: for each cue and template, the words that the template can reach
+from the cue are ranked and confirmed in the same way, best first, where no
+better one stands; the words between are looked at again.  Templates with too few
+words in common with a block to be confirmed are not compressed; no other
+candidate is left out.  Words are compared without case and edge punctuation;
 those of punctuation only (comment signs, rules) are left out.
 
 Templates are a parameter (name to text) of bounded number, sent to the tasks.
@@ -21,7 +26,9 @@ repeated rows have a result each; without templates nothing is found.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from bisect import bisect_left, bisect_right
+from collections import Counter
+from collections.abc import Iterable, Iterator
 from difflib import SequenceMatcher
 
 import pyarrow as pa
@@ -36,8 +43,9 @@ from feedlake.llm.license_texts import TEMPLATES
 CUE = (r"(?i)licen[cs]ed?|copyright|permission|redistribut|warrant|creative[^0-9A-Za-z]+commons|cc[^0-9A-Za-z]+by"
        r"|public[^0-9A-Za-z]+domain|waived")
 MIN_SAVED = 0.15
-CONFIRM = 5
 MAX_DIFFER = 0.1
+#: Blocks of more reaches are taken apart at once, which costs less.
+WIDE = 8
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _EDGE = "\"'().,;:!?*[]<>#/%=|-"
 _CUE = re.compile(CUE, re.ASCII)
@@ -60,15 +68,24 @@ class Templates:
         self.knowing = {name: z.ZstdCompressor(compression_params=own, dict_data=z.ZstdCompressionDict(
             " ".join(words).encode(), dict_type=z.DICT_TYPE_RAWCONTENT)) for name, words in self.words.items() if words}
         self.size = {name: len(self.alone.compress(" ".join(self.words[name]).encode())) for name in self.knowing}
+        self.count = {name: Counter(self.words[name]) for name in self.knowing}
+        self.most = {name: max(1, MAX_DIFFER * len(self.words[name])) for name in self.knowing}
         self.reach = max(map(len, self.words.values()), default=0)
 
-    def ranked(self, words: list[str]) -> list[tuple[float, str]]:
-        """(saved share of the template's size, name) of those with enough, most bytes saved first."""
+    def possible(self, words: Counter[str], names: Iterable[str] | None = None) -> list[str]:
+        """Templates with enough words in common to be confirmed; differences are at least the words that lack."""
+        return [name for name in (self.knowing if names is None else names)
+                if sum((self.count[name] - words).values()) <= self.most[name]]
+
+    def ranked(self, words: list[str], names: list[str]) -> list[tuple[int, float, str]]:
+        """(bytes saved, their share of the template's size, name) of those with enough, most bytes saved first."""
+        if not names:
+            return []
         block = " ".join(words).encode()
         alone = len(self.alone.compress(block))
-        saved = [(alone - len(c.compress(block)), name) for name, c in self.knowing.items()]
+        saved = [(alone - len(self.knowing[name].compress(block)), name) for name in names]
         ranked = sorted(((n, n / self.size[name], name) for n, name in saved), key=lambda s: (-s[0], -s[1]))
-        return [(share, name) for _, share, name in ranked if share >= MIN_SAVED]
+        return [r for r in ranked if r[1] >= MIN_SAVED]
 
     def differences(self, name: str, words: list[str]) -> tuple[int, int, int]:
         """(differing words, first, last + 1): exact alignment of a template with the nearest of ``words``."""
@@ -107,25 +124,58 @@ def _blocks(found: list[re.Match], cues: list[tuple[int, int]], reach: int) -> I
         yield here
 
 
+def _confirmed(templates: Templates, name: str, words: list[str]) -> tuple[int, int, int] | None:
+    differ, first, last = templates.differences(name, words)
+    return (differ, first, last) if first < last and differ <= templates.most[name] else None
+
+
+def _around(templates: Templates, spelt: list[str], cues: list[tuple[int, int]], a: int, b: int) -> list[tuple]:
+    """(saved share, name, differences, first, last + 1) in words a to b, from each cue's reach; without overlaps."""
+    seen, ranked = set(), []
+    names = templates.possible(Counter(spelt[a:b]))
+    for start, end in cues if names else ():
+        longest = Counter(spelt[max(a, start - templates.reach):min(b, end + templates.reach)])
+        for name in templates.possible(longest, names):
+            reach = len(templates.words[name]) + int(templates.most[name])
+            part = (max(a, start - reach), min(b, end + reach))
+            if (name, part) not in seen:
+                seen.add((name, part))
+                ranked += [(*r, part) for r in templates.ranked(spelt[part[0]:part[1]], [name])]
+    out: list[tuple] = []
+    for _, saved, name, (first, last) in sorted(ranked, key=lambda r: (-r[0], -r[1], r[3])):
+        if hit := _confirmed(templates, name, spelt[first:last]):
+            x, y = first + hit[1], first + hit[2]
+            if all(y <= o[3] or o[4] <= x for o in out):
+                out.append((saved, name, hit[0], x, y))
+    return out
+
+
 def find(text: str, templates: Templates) -> list[dict]:
     """Confirmed licences of a text, by start."""
     out = []
-    cues = [m.span() for m in _CUE.finditer(text)]
-    words = [w for w in WORD.finditer(text) if plain(w[0])] if cues else []
+    spans = [m.span() for m in _CUE.finditer(text)]
+    words = [w for w in WORD.finditer(text) if plain(w[0])] if spans else []
     spelt = [plain(w[0]) for w in words]
-    stack = list(_blocks(words, cues, templates.reach))
+    starts, ends = [w.start() for w in words], [w.end() for w in words]
+    cues = [(bisect_right(ends, s), bisect_left(starts, e)) for s, e in spans]
+    stack = list(_blocks(words, spans, templates.reach))
     while stack:
         a, b = stack.pop()
-        block = spelt[a:b]
-        if not block or not any(words[a].start() < e and s < words[b - 1].end() for s, e in cues):
+        own = [(max(a, s), min(b, e)) for s, e in cues if s < b and a < e]
+        if not own:
             continue
-        for saved, name in templates.ranked(block)[:CONFIRM]:
-            differ, first, last = templates.differences(name, block)
-            if differ <= max(1, MAX_DIFFER * len(templates.words[name])):
-                out.append({"license": name, "start": words[a + first].start(), "end": words[a + last - 1].end(),
-                            "saved": saved, "differences": differ})
-                stack += [(a, a + first), (a + last, b)]
-                break
+        found = []
+        if b - a <= WIDE * templates.reach:
+            block = spelt[a:b]
+            for _, saved, name in templates.ranked(block, templates.possible(Counter(block))):
+                if hit := _confirmed(templates, name, block):
+                    found = [(saved, name, hit[0], a + hit[1], a + hit[2])]
+                    break
+        found = sorted(found or _around(templates, spelt, own, a, b), key=lambda f: f[3])
+        for saved, name, differ, first, last in found:
+            out.append({"license": name, "start": starts[first], "end": ends[last - 1], "saved": saved, "differences": differ})
+        if found:
+            stack += zip([a, *(f[4] for f in found)], [*(f[3] for f in found), b], strict=True)
     return sorted(out, key=lambda x: (x["start"], x["license"]))
 
 

@@ -227,6 +227,20 @@ def test_license_scan_across_lines(name):
                 assert inside == " ".join(own.words[name])
 
 
+def test_license_scan_leaves_no_candidate_out():
+    own = license_scan.Templates(license_scan.TEMPLATES)
+    names = lambda text: [(x["license"], x["differences"]) for x in license_scan.find(text, own)]
+    part = lambda name: " ".join(w for i, w in enumerate(license_scan.TEMPLATES[name].split()) if i % 6 != 5)
+    notice = license_scan.TEMPLATES["MIT-notice"]
+    for text in (f"{part('MIT')}\n{notice}", " ".join(map(part, ("MIT", "GPL-3.0-or-later", "BSD-2-Clause"))) + f"\n{notice}"):
+        assert names(text) == [("MIT-notice", 0)]
+        assert names(text + "\n" + license_scan.TEMPLATES["CC-BY-NC-4.0-notice"]) == [("MIT-notice", 0), ("CC-BY-NC-4.0-notice", 0)]
+    # a long run of cues, taken apart
+    many = [n for _ in range(40) for n in ("MIT-notice", "ISC", "Unlicense", "Apache-2.0")]
+    assert names("\n".join(f"{license_scan.TEMPLATES[n]} permission to lorem ipsum" for n in many)) == [(n, 0) for n in many]
+    assert names(" ".join(["license permission"] * 20_000)) == []
+
+
 @pytest.fixture(scope="module")
 def pieces():
     import public_tokenizers
