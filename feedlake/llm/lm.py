@@ -18,7 +18,7 @@ tokens and hands each shard one packed array, so a word or pair, however
 frequent, costs an entry for each task.  Every array grows with the corpus;
 nothing is pruned.  What comes to the driver is one row of totals per shard.
 
-Order 2: a third order's counts and model did not fit the disk limit (README).
+Order 2: a third order was not built; its disk use was only estimated (README).
 
 Edge cases: null and empty texts have the end only; unknown words share the
 uniform part of the unigrams; a model of no texts gives every token 1/(V+1)
