@@ -1,6 +1,22 @@
 """Licence wordings to look for."""
 
 # Public licence notices and texts, in their published wording.
+
+
+def _gnu(licence: str, version: str, work: str = "program") -> str:
+    return (f"This {work} is free software: you can redistribute it and/or modify it under the terms of the GNU {licence} as "
+            f"published by the Free Software Foundation, either version {version} of the License, or (at your option) any later "
+            f"version. This {work} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the "
+            f"implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {licence} for more details.")
+
+
+#: Creative Commons variants with their names in notices.
+CREATIVE_COMMONS = {
+    "BY": "Attribution", "BY-SA": "Attribution-ShareAlike", "BY-ND": "Attribution-NoDerivatives",
+    "BY-NC": "Attribution-NonCommercial", "BY-NC-SA": "Attribution-NonCommercial-ShareAlike",
+    "BY-NC-ND": "Attribution-NonCommercial-NoDerivatives",
+}
+
 TEMPLATES = {
     "MIT-notice": "Released under the MIT License.",
     "Apache-2.0-notice": "Licensed under the Apache License, Version 2.0.",
@@ -43,4 +59,20 @@ TEMPLATES = {
                     "form must reproduce the above copyright notice, this list of conditions and the following disclaimer "
                     "in the documentation and/or other materials provided with the distribution.",
     "Unlicense": "This is free and unencumbered software released into the public domain.",
+    "BSD-3-Clause": "Redistribution and use in source and binary forms, with or without modification, are permitted provided "
+                    "that the following conditions are met: 1. Redistributions of source code must retain the above "
+                    "copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary "
+                    "form must reproduce the above copyright notice, this list of conditions and the following disclaimer "
+                    "in the documentation and/or other materials provided with the distribution. 3. Neither the name of the "
+                    "copyright holder nor the names of its contributors may be used to endorse or promote products derived "
+                    "from this software without specific prior written permission.",
+    "GPL-2.0-or-later": _gnu("General Public License", "2"),
+    "LGPL-2.1-or-later": _gnu("Lesser General Public License", "2.1", "library"),
+    "LGPL-3.0-or-later": _gnu("Lesser General Public License", "3"),
+    "AGPL-3.0-or-later": _gnu("Affero General Public License", "3"),
 }
+# BY-NC's short wording stands above
+TEMPLATES |= {f"CC-{kind}-4.0-short-notice": f"Licensed under CC {kind} 4.0." for kind in CREATIVE_COMMONS if kind != "BY-NC"}
+TEMPLATES |= {f"CC-{kind}-4.0-" + ("long-notice" if kind == "BY-NC" else "notice"):
+              f"This work is licensed under a Creative Commons {spelt} 4.0 International License."
+              for kind, spelt in CREATIVE_COMMONS.items()}

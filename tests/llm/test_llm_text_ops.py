@@ -227,6 +227,23 @@ def test_license_scan_across_lines(name):
                 assert inside == " ".join(own.words[name])
 
 
+@pytest.mark.parametrize("name,text", [
+    ("CC-BY-ND-4.0-short-notice", "These pictures: licensed under CC BY-ND 4.0, see there."),
+    ("CC-BY-NC-SA-4.0-notice", "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike\n4.0 International License."),
+    ("LGPL-2.1-or-later", """This library is free software; you can redistribute it and/or
+ * modify it under the terms of the GNU Lesser General Public
+ * License as published by the Free Software Foundation; either
+ * version 2.1 of the License, or (at your option) any later version.
+ *
+ * This library is distributed in the hope that it will be useful,
+ * but WITHOUT ANY WARRANTY; without even the implied warranty of
+ * MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the GNU
+ * Lesser General Public License for more details."""),
+])
+def test_license_scan_names_other_wordings(name, text):
+    assert [(x["license"], x["differences"]) for x in license_scan.find(text, license_scan.Templates(license_scan.TEMPLATES))] == [(name, 0)]
+
+
 def test_license_scan_leaves_no_candidate_out():
     own = license_scan.Templates(license_scan.TEMPLATES)
     names = lambda text: [(x["license"], x["differences"]) for x in license_scan.find(text, own)]
