@@ -11,9 +11,8 @@ probabilities: the expected number of uses of each piece in each word, over
 all its segmentations, summed by language, mixed with ``UNIFORM`` equal parts.
 
 Words are maximal runs of bytes that are not ASCII other than letters, after
-Unicode lower-casing.  Each distinct word of a run of texts is segmented once;
-runs of more than ``WORD_BYTES`` bytes are taken as consecutive words of so
-many, all of them scored.
+Unicode lower-casing.  Each distinct word of a run of texts is segmented once,
+as a whole; those of more than ``LONG_BYTES`` bytes in the log domain.
 
 Edge cases: a null text or one without a letter is ``und`` with score 0, as is
 every text where nothing was learned; equal likelihoods give the first language
@@ -39,7 +38,10 @@ UNIFORM = 1e-3
 #: Weights are multiplied by this for each byte while summing, against underflow in long words.
 PER_BYTE = 1e3
 MAX_LANGS = 256
-WORD_BYTES = 48
+#: Words of more bytes are summed as logarithms, in tables of mixed lengths.
+LONG_BYTES = 48
+#: Places of long words whose pieces are held at once.
+SEGMENT = 256
 CACHE_WORDS = 500_000
 UNDETERMINED = "und"
 #: Elements of one table of partial probabilities.
@@ -79,17 +81,19 @@ class Lattice:
                     ends.append(-1)
                 at = nodes[at][byte]
             ends[at] = number
-        self.child = np.zeros((len(nodes), int(used.sum())), dtype=np.int32)
+        self.dead = int(used.sum())  # a letter that no piece has
+        self.child = np.zeros((len(nodes), self.dead + 1), dtype=np.int32)
         for at, following in enumerate(nodes):
             for byte, to in following.items():
                 self.child[at, self.letter[byte]] = to
         self.piece = np.array(ends, dtype=np.int32)
         self.longest = max(map(len, self.pieces))
 
-    def spans(self, letters: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-        """(start, end, rows, pieces) of the pieces in words of one length (rows x bytes), by start."""
+    def spans(self, letters: np.ndarray, first: int = 0, last: int | None = None,
+              ) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+        """(start, end, rows, pieces) of the pieces in words (rows x bytes) from start ``first`` to ``last``, by start."""
         n = letters.shape[1]
-        for i in range(n):
+        for i in range(first, n if last is None else last):
             rows, node = np.arange(len(letters)), np.zeros(len(letters), dtype=np.int32)
             for end in range(i + 1, min(n, i + self.longest) + 1):
                 node = self.child[node, letters[rows, end - 1]]
@@ -110,6 +114,39 @@ class Lattice:
             alpha[rows, end] += alpha[rows, i] * weight[piece]
         return alpha
 
+    def log_forward(self, letters: np.ndarray, size: np.ndarray, weight: np.ndarray) -> np.ndarray:
+        """Log probability mass at each row's end (rows x columns of weight), over a window of the longest piece."""
+        log, window = np.log(weight), self.longest + 1
+        alpha = np.full((window, len(letters), weight.shape[1]), -np.inf)
+        alpha[0] = 0
+        out = np.empty((len(letters), weight.shape[1]))
+        at = 0
+        for i, end, rows, piece in self.spans(letters):
+            if i > at:  # every byte is a piece, so places come one by one
+                alpha[at % window] = -np.inf
+                out[size == i] = alpha[i % window][size == i]
+                at = i
+            to = alpha[end % window]
+            to[rows] = np.logaddexp(to[rows], alpha[i % window][rows] + log[piece])
+        last = size == at + 1
+        out[last] = alpha[(at + 1) % window][last]
+        return out
+
+    def log_uses(self, letters: np.ndarray, size: np.ndarray, weight: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(rows, pieces, expected uses) over all segmentations of each row."""
+        log, every = np.log(weight), np.arange(len(letters))
+        alpha = np.full((len(letters), letters.shape[1] + 1), -np.inf)
+        beta = alpha.copy()
+        alpha[:, 0] = beta[every, size] = 0
+        for i, end, rows, piece in self.spans(letters):
+            alpha[rows, end] = np.logaddexp(alpha[rows, end], alpha[rows, i] + log[piece])
+        whole = alpha[every, size]
+        for first in reversed(range(0, letters.shape[1], SEGMENT)):
+            for i, end, rows, piece in reversed(list(self.spans(letters, first, min(first + SEGMENT, letters.shape[1])))):
+                rest = log[piece] + beta[rows, end]
+                beta[rows, i] = np.logaddexp(beta[rows, i], rest)
+                yield rows, piece, np.exp(alpha[rows, i] + rest - whole[rows])
+
 
 _lattices: dict[str, Lattice] = {}
 
@@ -126,32 +163,43 @@ class TextWords:
     def __init__(self, column: pa.Array) -> None:
         texts = W.flat(pc.utf8_lower(column.cast(pa.large_string())))
         words = W.split(texts, LETTER_RUN, hashed=False)
-        parts = -(-(words.end - words.start) // WORD_BYTES)
-        which = np.arange(int(parts.sum())) - np.repeat(np.cumsum(parts) - parts, parts)
-        self.data = texts.data
-        self.start = np.repeat(words.start, parts) + which * WORD_BYTES
-        self.end = np.minimum(np.repeat(words.end, parts), self.start + WORD_BYTES)
-        self.inner = which > 0  # not the beginning of a word
-        self.text = np.repeat(words.text, parts)
+        self.data, self.start, self.end, self.text = texts.data, words.start, words.end, words.text
+        self.inner = np.zeros(len(words.start), dtype=bool)  # words are whole
         self.hash = W.hash_spans(self.data, self.start, self.end)
-        self.hash[self.inner] ^= np.uint64(1)
 
     def tables(self, chosen: np.ndarray, letter: np.ndarray, columns: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """(places in chosen, letters) of the chosen words by length, in tables of bounded size."""
-        begin = np.where(self.inner[chosen], 0, 1)
-        size = self.end[chosen] - self.start[chosen] + begin
-        order = np.lexsort((begin, size))
-        key = size * 2 + begin
-        edges = np.flatnonzero(np.diff(key[order], prepend=-1))
-        for a, b in zip(edges, [*edges[1:], len(order)], strict=True):
-            n, lead = int(size[order[a]]), int(begin[order[a]])
+        size = self.end[chosen] - self.start[chosen] + 1
+        short = np.flatnonzero(size <= LONG_BYTES + 1)
+        order = short[np.argsort(size[short], kind="stable")]
+        edges = np.flatnonzero(np.diff(size[order], prepend=-1))
+        edges = np.append(edges, len(order))
+        for a, b in zip(edges[:-1], edges[1:], strict=True):
+            n = int(size[order[a]])
             step = max(1, TABLE // ((n + 1) * columns))
             for c in range(a, b, step):
                 rows = order[c:min(b, c + step)]
                 out = np.full((len(rows), n), letter[0x20])
-                out[:, lead:] = letter[self.data[self.start[chosen[rows]][:, None] + np.arange(n - lead)]]
+                out[:, 1:] = letter[self.data[self.start[chosen[rows]][:, None] + np.arange(n - 1)]]
                 yield rows, out
 
+    def long_tables(self, chosen: np.ndarray, lattice: Lattice, columns: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(places in chosen, letters, size) of the long ones among the chosen words, filled up with the dead letter."""
+        size = self.end[chosen] - self.start[chosen] + 1
+        order = np.flatnonzero(size > LONG_BYTES + 1)
+        order = order[np.argsort(size[order], kind="stable")]
+        while len(order):
+            n = int(size[order[-1]])
+            step = max(1, TABLE // max(8 * (n + 1), (lattice.longest + 1) * columns))
+            rows, order = order[-step:], order[:-step]
+            lens = size[rows] - 1
+            row = np.repeat(np.arange(len(rows)), lens)
+            place = np.arange(len(row)) - np.repeat(np.cumsum(lens) - lens, lens)
+            out = np.full((len(rows), n), lattice.dead, dtype=np.int16)
+            out[:, 0] = lattice.letter[0x20]
+            out[row, place + 1] = lattice.letter[self.data[self.start[chosen[rows]][row] + place]]
+            yield rows, out, size[rows]
+
 
 def _expected(path: str, langs: list[str]):
     """Map function: expected uses of each piece by language, over a task's texts."""
@@ -182,6 +230,10 @@ def _expected(path: str, langs: list[str]):
                         share = alpha[at, i] * weight[piece, 0] * beta[at, end] / alpha[at, -1]
                         for k in range(len(langs)):
                             total[k] += np.bincount(piece, weights=share * counts[k, rows[at]], minlength=n)
+                for rows, letters, size in words.long_tables(index, pieces, 1):
+                    for at, piece, share in pieces.log_uses(letters, size, weight[:, 0]):
+                        for k in range(len(langs)):
+                            np.add.at(total[k], piece, share * counts[k, rows[at]])
         for k in range(len(langs)):
             used = np.flatnonzero(total[k])
             yield pa.RecordBatch.from_arrays([pa.array([k] * len(used), pa.int32()), pa.array(used.astype(np.int32)),
@@ -212,6 +264,8 @@ class Model:
             found = np.empty((len(chosen), len(self.langs)))
             for rows, letters in words.tables(chosen, pieces.letter, len(self.langs)):
                 found[rows] = np.log(pieces.forward(letters, self.weight)[:, -1]) - letters.shape[1] * np.log(PER_BYTE)
+            for rows, letters, size in words.long_tables(chosen, pieces, len(self.langs)):
+                found[rows] = pieces.log_forward(letters, size, self.weight) - size[:, None] * np.log(PER_BYTE)
             merged = np.concatenate([self.hash, distinct[new]])
             order = np.argsort(merged, kind="stable")
             self.hash, self.log = merged[order], np.concatenate([self.log, found])[order]

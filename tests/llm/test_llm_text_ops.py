@@ -281,6 +281,35 @@ def test_forward_sums_all_segmentations(pieces):
             assert logs[place[i], k] == pytest.approx(np.log(ways[-1]))
 
 
+def test_long_words_are_whole(pieces):
+    lat = langid.lattice(pieces)
+    index = {p: i for i, p in enumerate(lat.pieces)}
+    weight = np.random.default_rng(1).random((len(lat.pieces), 2)) / 100
+    texts = ["日本語の文" * 40, "κ" * 25, "über" * 30 + " " + "x" * 47, "a" * 48, "b" * 49, "донаудампфшифф" * 30]
+    words = langid.TextWords(pa.array(texts))
+    assert len(words.start) == len(texts) + 1
+    logs, place = langid.Model(pieces, ["x", "y"], weight).word_logs(words)
+    flat, uses = -np.log(len(lat.pieces)), np.zeros(len(lat.pieces))
+    for i in range(len(words.start)):
+        word = b" " + words.data[words.start[i]:words.end[i]].tobytes()
+        n = len(word)
+        spans = [(s, e, index[word[s:e]]) for e in range(1, n + 1) for s in range(max(0, e - lat.longest), e) if word[s:e] in index]
+        ways, ahead, back = np.full((n + 1, 2), -np.inf), np.full(n + 1, -np.inf), np.full(n + 1, -np.inf)
+        ways[0] = ahead[0] = back[n] = 0
+        for s, e, piece in spans:
+            ways[e] = np.logaddexp(ways[e], ways[s] + np.log(weight[piece]))
+            ahead[e] = np.logaddexp(ahead[e], ahead[s] + flat)
+        assert logs[place[i]] == pytest.approx(ways[n])
+        for s, e, piece in sorted(spans, reverse=True):
+            back[s] = np.logaddexp(back[s], flat + back[e])
+            uses[piece] += np.exp(ahead[s] + flat + back[e] - ahead[n])
+    batch = pa.RecordBatch.from_arrays([pa.array(texts), pa.array(["x"] * len(texts))], names=["text", "lang"])
+    got = np.zeros(len(uses))
+    for part in langid._expected(pieces, ["x"])(iter([batch])):
+        got[part.column("piece").to_numpy()] += part.column("uses").to_numpy()
+    assert got == pytest.approx(uses, rel=1e-6, abs=1e-9)
+
+
 def test_language_held_out_accuracy_and_edges(spark, base, pieces):
     docs = spark.read.parquet(f"{base}/documents.parquet")
     held = lambda i: zlib.crc32(str(i).encode()) % 5 == 0
