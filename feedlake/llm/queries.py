@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedlake.llm import (
-    chat, decontam, langid, license_scan, lm, mixing, ngram_join, quality, secret_scan, tokens,
+    chat, decontam, langid, license_scan, lm, merkle, mixing, ngram_join, phrases, quality, ring, secret_scan, tokens,
 )
 from feedlake.llm.scratch import fresh_path
 
@@ -153,3 +153,20 @@ def op5_chat_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     calls, results = turn_calls(table(spark, sf_dir, "conversations"))
     schemas = spark.createDataFrame([(k, chat.canonical(v)) for k, v in TURN_TOOLS.items()], "name string, schema string")
     return chat.format_calls(calls, results, schemas)
+
+
+@register("op11_phrase_collocations", phrases.ORACLE_SQL)
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+@register("op12_ring_shards")
+def op12_ring_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = ring.place(table(spark, sf_dir, "documents"))
+    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+                         F.lit(None).cast("int").alias("grown_shard"), F.col("home").alias("home_shard"))
+
+
+@register("op13_merkle_manifest", merkle.ORACLE_SQL)
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.proofs(merkle.build(table(spark, sf_dir, "documents")))

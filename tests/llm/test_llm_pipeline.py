@@ -44,7 +44,7 @@ def test_quality_stage_keeps_what_the_verdict_keeps(spark, base, documents):
 
 def test_duplicate_stage_keeps_one_of_each_class(spark, base, documents):
     rows = [tuple(r) for r in documents.collect()]
-    want = brute_classes([(r[0], r[1]) for r in rows])
+    want = brute_classes([(r[0], r[1]) for r in rows], 80, 5)
     got = P.near_duplicates(spark, documents, base)
     assert {r.doc_id for r in got.collect()} == {i for i, c in want.items() if i == c}
     odd = spark.createDataFrame([(5, "a b c d", "en", "s", 1), (3, "A b c d", "en", "s", 1), (3, "A b c d", "en", "s", 1),
@@ -59,7 +59,6 @@ def test_duplicate_stage_links_five_words_at_80_percent(spark, base, documents):
     rows = [tuple(r) for r in documents.collect()]
     want = brute_classes([(r[0], r[1]) for r in rows], 80, 5)
     assert len(set(want.values())) < len(set(brute_classes([(r[0], r[1]) for r in rows]).values()))
-    assert {r.doc_id for r in stage(spark, documents, base).collect()} == set(want.values())
     words = [f"w{i}" for i in range(50)]
     edited = lambda *at: " ".join("x" if i in at else w for i, w in enumerate(words))
     # one edit: 41 of 51 five-word n-grams (45 of 51 of three words, below 90 %); two more: 36 of 56 and 31 of 61
@@ -119,7 +118,7 @@ def test_whole_run(spark, base, documents):
 def test_every_dealt_operator_is_registered(spark, base):
     import __spark_entry__ as E
 
-    assert {int(k[2:].split("_")[0]) for k in QUERIES} == set(range(1, 11))
+    assert {int(k[2:].split("_")[0]) for k in QUERIES} == set(range(1, 14))
     assert {"pipeline", *QUERIES} <= set(E.queries())
 
 
