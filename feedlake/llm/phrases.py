@@ -1,25 +1,25 @@
 """Phrase collocations by stripes: each prefix keys a counter of next words.
 
-1. Words are counted as strings by language; a word's key is a 64-bit hash of
-   both.  Should two words share a key, all is hashed again with another seed,
-   so keys stand for words exactly.
-2. Stripes.  For a prefix of one, two or three words a task keeps one stripe:
-   how often each word came next, and how often the prefix came at all.  It
-   hands its stripes on in packed columns, and those of one prefix are merged
-   element by element.  A long stripe is split by its next words' keys into
-   SEGMENTS, so that a prefix as frequent as an article is many tasks' work.
-   A phrase counts only if its words do, and longer ones only if their pairs
-   do (no count exceeds a part's): a pass tests that in a bitmap of the pass
-   before, whose false hits cost space but change nothing.
+1. The empty prefix's stripe: words are counted as strings by language.  A word's
+   key is a 64-bit hash of both; should two words share one, all is hashed again
+   with another seed, so keys stand for words exactly.  Words that are frequent
+   enough get numbers, their places in the sorted keys.
+2. Stripes.  For a prefix of one, two or three words a task keeps how often each
+   word came next.  It hands its stripes on in packed columns of numbers, and
+   those of one prefix are merged element by element.  A long stripe is split by
+   its next words into SEGMENTS, so that a prefix as frequent as an article is
+   many tasks' work.  A phrase counts only if its words do, and longer ones only
+   if their pairs do (no count exceeds a part's): the last pass tests that in a
+   bitmap of the frequent pairs, whose false hits cost space but change nothing.
 3. The merged stripes say all the rest: their entries are the candidates with
-   their counts, prefix totals are the counts of a cut's parts, and the largest
-   entries over a phrase's stripe and over those that continue into it are the
-   counts that may subsume it.  (A longer phrase further away can't subsume it
-   unless one of these does.)
+   their counts; a prefix's total is its entry in the stripe one word shorter; and
+   the largest entries over a phrase's stripe and over those that continue into
+   it are the counts that may subsume it.  (A longer phrase further away can't
+   subsume it unless one of these does.)
 
-Bitmaps lie in the shared folder, BITS_PER_KEY bits for each frequent word or
-pair, and are mapped into memory, so the folder must be mounted (checked).
-Shards are set from the number of words, so a task's stripes stay bounded.
+Sorted keys and bitmap lie in the shared folder and are mapped into memory, so
+the folder must be mounted (checked).  Shards are set from the number of words,
+so a task's stripes stay bounded.
 
 Edge cases: null and empty texts, and pieces without words, count nothing; a
 null language is ``und``; ties in score and count are ordered by the phrase's
@@ -51,6 +51,8 @@ SEGMENTS = 64
 WORDS_PER_SHARD = 4_000_000
 FLUSH = 1_000_000
 SLICE_BYTES = 4 << 20
+#: Words of one file of sorted keys.
+FILE_WORDS = 1 << 20
 BITS_PER_KEY = 16
 PIECE_BITS = 27
 U64 = np.uint64
@@ -59,7 +61,7 @@ U64 = np.uint64
 PIECE_END = W._byte_set((0x2C, 0x2C), (0x2E, 0x2E), (0x3A, 0x3B), (0x21, 0x21), (0x3F, 0x3F), (0x0A, 0x0D))
 WORD_END = PIECE_END | W._byte_set((0x20, 0x20), (0x09, 0x09))
 PACKED = "shard int, a binary, b binary, c binary, next binary, n binary"
-STRIPE = "prefix array<long>, total long, next array<long>, n array<long>"
+STRIPE = "prefix array<long>, next array<long>, n array<long>"
 
 
 class Bitmap(NamedTuple):
@@ -108,6 +110,54 @@ def bitmap(keys: DataFrame) -> Bitmap:
     return out
 
 
+class Numbers(NamedTuple):
+    """Files of sorted word keys, by ranges of their highest ``bits`` bits; ``bases``: words before each file."""
+
+    folder: str
+    bits: int
+    bases: tuple[int, ...]
+
+    def of(self, keys: np.ndarray) -> np.ndarray:
+        """Number of each key from 1, 0 if it has none."""
+        out = np.zeros(len(keys), dtype=U64)
+        file = (keys >> U64(64 - self.bits)).astype(np.int64) if self.bits else np.zeros(len(keys), np.int64)
+        for f in np.unique(file).tolist():
+            known = _mapped(f"{self.folder}/keys-{f}.npy")
+            mine = np.flatnonzero(file == f)
+            if len(known):
+                at = np.searchsorted(known, keys[mine])
+                found = known[np.minimum(at, len(known) - 1)] == keys[mine]
+                out[mine[found]] = (at[found] + self.bases[f] + 1).astype(U64)
+        return out
+
+
+def numbered(words: DataFrame) -> tuple[Numbers, DataFrame]:
+    """Numbers of ``words`` (lang, word, key, n), and the words with their ``number``."""
+    spark = words.sparkSession
+    folder = posix_path(fresh_path(spark, "phrase-words"))
+    os.makedirs(folder)
+    bits = max(0, (words.count() // FILE_WORDS).bit_length())
+
+    def key_file(table: pa.Table) -> pa.Table:
+        file = table.column("file")[0].as_py()
+        own = table.filter(table.column("key").is_valid())
+        keys = own.column("key").to_numpy().view(U64)
+        order = np.argsort(keys)
+        save(folder, f"keys-{file}", keys[order])
+        own = own.take(pa.array(order))
+        return own.append_column("place", pa.array(np.arange(len(own))))
+
+    file = F.shiftrightunsigned("key", 64 - bits) if bits else F.lit(0).cast("long")
+    every = spark.range(1 << bits).select(F.col("id").alias("file"))
+    of_file = words.select(file.alias("file"), "lang", "word", "key", "n").unionByName(every, allowMissingColumns=True)
+    schema = "file long, lang string, word string, key long, n long"
+    placed = written(of_file.groupBy("file").applyInArrow(key_file, f"{schema}, place long"), "phrase-numbers")
+    counts = dict(placed.groupBy("file").count().collect())
+    bases = tuple(sum(counts.get(i, 0) for i in range(f)) for f in range(1 << bits))
+    number = F.element_at(F.array(*(F.lit(x).cast("long") for x in bases)), (F.col("file") + 1).cast("int")) + F.col("place") + 1
+    return Numbers(folder, bits, bases), placed.select("lang", "word", "n", number.alias("number"))
+
+
 class Tokens(NamedTuple):
     own: np.ndarray      # per word, its place in the next three
     words: pa.Array      # distinct (language, word) of a slice
@@ -188,23 +238,19 @@ def merged(columns: list[np.ndarray]) -> list[np.ndarray]:
     return [*(c[first] for c in columns[:-1]), np.add.reduceat(columns[-1], first) if len(first) else columns[-1]]
 
 
-def _counted(own: np.ndarray, keys: np.ndarray, at: np.ndarray, length: int, goes_on: np.ndarray) -> list[np.ndarray]:
-    """Stripes of the prefixes that begin at words ``at``; ``goes_on``: which of them have a next word that counts."""
-    size = len(keys) + 1
+def _counted(own: np.ndarray, number: np.ndarray, at: np.ndarray, length: int) -> list[np.ndarray]:
+    """Stripes of the prefixes of ``length`` words that begin at ``at``; a next word follows each."""
+    size = len(number)
     code = own[at]
     for j in range(1, length):
         code = np.unique(code * size + own[at + j], return_inverse=True)[1]
-    out = []
-    following = np.where(goes_on, own[np.minimum(at + length, len(own) - 1)], size - 1)
-    for entry, chosen in ((following, goes_on), (np.full(len(at), size - 1), slice(None))):  # next words, and totals
-        _, first, n = np.unique((code * size + entry)[chosen], return_index=True, return_counts=True)
-        begin, after = at[chosen][first], entry[chosen][first]
-        prefix = [keys[own[begin + j]] if j < length else np.zeros(len(begin), U64) for j in range(3)]
-        out.append([*prefix, np.append(keys, U64(0))[after], n.astype(U64)])
-    return [np.concatenate(c) for c in zip(*out, strict=True)]
+    _, first, n = np.unique(code * size + own[at + length], return_index=True, return_counts=True)
+    begin = at[first]
+    words = [number[own[begin + j]] if j < length else np.zeros(len(begin), U64) for j in range(3)]
+    return [*words, number[own[begin + length]], n.astype(U64)]
 
 
-def _stripes(seed: int, shards: int, words: Bitmap, pairs: Bitmap | None):
+def _stripes(seed: int, shards: int, numbers: Numbers, pairs: Bitmap | None):
     """Packed stripes of prefixes of one word, or where the frequent pairs are known, of two and three."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[list[np.ndarray]] = []
@@ -213,7 +259,7 @@ def _stripes(seed: int, shards: int, words: Bitmap, pairs: Bitmap | None):
             columns = merged([np.concatenate(c) for c in zip(*held, strict=True)])
             held.clear()
             a, b, c, following, _ = columns
-            spread = W.mix(W.mix(W.mix(a) + b) + c + (following >> U64(64 - SEGMENTS.bit_length() + 1)) * U64(0xD6E8FEB86659FD93))
+            spread = W.mix(W.mix(W.mix(a) + b) + c + following % U64(SEGMENTS) * U64(0xD6E8FEB86659FD93))
             shard = ((spread >> U64(32)) * U64(shards) >> U64(32)).astype(np.int64)
             order = np.argsort(shard, kind="stable")
             cut = np.searchsorted(shard[order], np.arange(1, shards))
@@ -229,22 +275,21 @@ def _stripes(seed: int, shards: int, words: Bitmap, pairs: Bitmap | None):
                 t = tokens(part, seed)
                 if not len(t.own):
                     continue
-                often = words.has(t.keys)[t.own]
+                number = numbers.of(t.keys)
+                k = number[t.own]
                 linked = t.follows.copy()
-                linked[:-1] &= often[1:] & often[:-1]
+                linked[:-1] &= (k[1:] > 0) & (k[:-1] > 0)
+                at = np.flatnonzero(linked)
                 if pairs is None:
-                    at = np.flatnonzero(often)
-                    held.append(_counted(t.own, t.keys, at, 1, linked[at]))
+                    held.append(_counted(t.own, number, at, 1))
                 else:
-                    k = t.keys[t.own]
-                    at = np.flatnonzero(linked)
                     linked[at] = pairs.has(pair(k[at], k[at + 1]))
-                    more = np.append(linked[1:], False)
-                    third = np.append(more[1:], False)
-                    two = np.flatnonzero(linked)
-                    three = np.flatnonzero(linked & more)
-                    held.append(_counted(t.own, t.keys, two, 2, more[two]))
-                    held.append(_counted(t.own, t.keys, three, 3, third[three]))
+                    two = linked.copy()
+                    two[:-1] &= linked[1:]
+                    three = two.copy()
+                    three[:-1] &= two[1:]
+                    held.append(_counted(t.own, number, np.flatnonzero(two), 2))
+                    held.append(_counted(t.own, number, np.flatnonzero(three), 3))
                 if sum(len(x[0]) for x in held) >= FLUSH:
                     yield flush()
         if held:
@@ -262,27 +307,21 @@ def _merge(least: int):
         *prefix, following, n = columns
         first = _runs(prefix)
         rows = []
-        for begin, end in zip(first.tolist(), [*first[1:].tolist(), len(n)], strict=True):
-            words = [int(c[begin]) for c in (x.view(np.int64) for x in prefix) if c[begin]]
-            entries = following[begin:end].view(np.int64).tolist(), n[begin:end].astype(np.int64).tolist()
-            total = entries[1].pop(0) if entries[0][0] == 0 else None
-            rows.append((words, total, entries[0][total is not None:], entries[1]))
-        kinds = (pa.list_(pa.int64()), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()))
-        return pa.table([pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)],
-                        names=["prefix", "total", "next", "n"])
+        cuts = np.append(first, len(n))
+        for begin, end in zip(cuts[:-1], cuts[1:], strict=True):
+            rows.append(([int(c[begin]) for c in prefix if c[begin]], following[begin:end].tolist(), n[begin:end].tolist()))
+        return pa.table([pa.array([r[i] for r in rows], pa.list_(pa.int64())) for i in range(3)], names=["prefix", "next", "n"])
 
     return run
 
 
-def stripes(docs: DataFrame, words: DataFrame, seed: int, least: int = MIN_COUNT) -> DataFrame:
-    """Segments of the merged stripes: prefix (keys of 1 to 3 words), total (in one segment of a prefix), next, n."""
-    n_words = words.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+def stripes(docs: DataFrame, numbers: Numbers, seed: int, n_words: int, least: int = MIN_COUNT) -> DataFrame:
+    """Segments of the merged stripes: prefix (numbers of 1 to 3 words), next and n of what came ``least`` times."""
     shards = -(-n_words // WORDS_PER_SHARD) or 1
-    often = bitmap(words.filter(F.col("n") >= least).select("key"))
     texts = docs.select("text", "lang")
 
     def level(pairs: Bitmap | None) -> DataFrame:
-        packed = texts.mapInArrow(_stripes(seed, shards, often, pairs), PACKED)
+        packed = texts.mapInArrow(_stripes(seed, shards, numbers, pairs), PACKED)
         return written(packed.groupBy("shard").applyInArrow(_merge(least), STRIPE), "stripes")
 
     one = level(None)
@@ -299,13 +338,16 @@ def stripes(docs: DataFrame, words: DataFrame, seed: int, least: int = MIN_COUNT
 def collocations(docs: DataFrame, least: int = MIN_COUNT, percent: int = SUBSUMED_PERCENT, top: int = TOP) -> DataFrame:
     """lang, rank, phrase, a, l, r, n, score: each language's first ``top`` phrases of ``docs`` (text, lang)."""
     words, seed = count_words(docs)
-    held = stripes(docs, words, seed, least)
-    totals = held.filter("total is not null").select("prefix", "total")
+    n = written(words.groupBy("lang").agg(F.sum("n").alias("n")), "phrase-totals")
+    numbers, known = numbered(words.filter(F.col("n") >= least))
+    held = stripes(docs, numbers, seed, n.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0], least)
     candidates = written(held.select("prefix", F.explode(F.arrays_zip("next", "n")).alias("e"))
                          .select(F.concat("prefix", F.array("e.next")).alias("phrase"), F.col("e.n").alias("a")), "candidates")
+    totals = known.select(F.array("number").alias("prefix"), F.col("n").alias("total")).unionByName(
+        candidates.filter(F.size("phrase") < LONGEST).select(F.col("phrase").alias("prefix"), F.col("a").alias("total")))
 
     # the longer candidates by one word that hold a phrase: its stripe's largest entry, and of those that end in it
-    around = (held.filter("size(prefix) > 1 and size(n) > 0").select(F.col("prefix").alias("phrase"), F.array_max("n").alias("most"))
+    around = (held.filter("size(prefix) > 1").select(F.col("prefix").alias("phrase"), F.array_max("n").alias("most"))
               .unionByName(candidates.filter("size(phrase) > 2").select(
                   F.expr("slice(phrase, 2, size(phrase) - 1)").alias("phrase"), F.col("a").alias("most")))
               .groupBy("phrase").agg(F.max("most").alias("most")))
@@ -322,14 +364,13 @@ def collocations(docs: DataFrame, least: int = MIN_COUNT, percent: int = SUBSUME
         "(cast(2000000 as decimal(7,0)) * cast(a as decimal(19,0))) div (cast(l as decimal(19,0)) + cast(r as decimal(19,0)))"))
     best = scored.groupBy("phrase", "a").agg(F.min_by(F.struct("l", "r", "score"), F.struct("score", "k")).alias("cut"))
 
-    places = best.select("phrase", F.posexplode("phrase").alias("at", "key"))
-    spelt = (places.join(words.filter(F.col("n") >= least).select("key", "word", "lang"), "key")
+    places = best.select("phrase", F.posexplode("phrase").alias("at", "number"))
+    spelt = (places.join(known.select("number", "word", "lang"), "number")
              .groupBy("phrase").agg(F.array_sort(F.collect_list(F.struct("at", "word"))).alias("words"), F.min("lang").alias("lang")))
     rows = best.join(spelt, "phrase").select(
         "lang", F.array_join(F.transform("words", lambda w: w["word"]), " ").alias("spelt"), "a", "cut.l", "cut.r", "cut.score")
     order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "spelt")
     ranked = rows.withColumn("rank", F.row_number().over(order).cast("long")).filter(F.col("rank") <= top)
-    n = words.groupBy("lang").agg(F.sum("n").alias("n"))
     return ranked.join(n, "lang").select("lang", "rank", F.col("spelt").alias("phrase"), "a", "l", "r", "n", "score")
 
 

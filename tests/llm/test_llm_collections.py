@@ -77,17 +77,21 @@ def test_stripes_of_many_shards_and_segments_merge(spark, monkeypatch):
     monkeypatch.setattr(phrases, "WORDS_PER_SHARD", 500)
     rows = [(" ".join(f"the w{j % 40}" for j in range(i % 7, 400)), "en") for i in range(30)]
     docs = spark.createDataFrame(rows, "text string, lang string").repartition(6)
+    monkeypatch.setattr(phrases, "FILE_WORDS", 10)
     words, seed = phrases.count_words(docs)
-    held = phrases.stripes(docs, words, seed, 30).collect()
-    by_key = {r.key: r.word for r in words.collect()}
+    numbers, known = phrases.numbered(words.filter("n >= 30"))
+    assert len(numbers.bases) > 1
+    held = phrases.stripes(docs, numbers, seed, words.agg(F.sum("n")).first()[0], 30).collect()
+    spelt = {r.number: r.word for r in known.collect()}
+    assert sorted(spelt) == list(range(1, len(spelt) + 1))
     assert max(Counter(tuple(r.prefix) for r in held).values()) > 10  # segments of one stripe
-    totals = {tuple(by_key[k] for k in r.prefix): r.total for r in held if r.total is not None}
+    got = {tuple(spelt[k] for k in [*r.prefix, x]): n for r in held for x, n in zip(r.next, r.n, strict=True)}
     f = Counter()
     for text, _ in rows:
         w = text.split()
-        for k in (1, 2, 3):
+        for k in (2, 3, 4):
             f.update(tuple(w[i:i + k]) for i in range(len(w) - k + 1))
-    assert totals == {p: n for p, n in f.items() if n >= 30}
+    assert got == {p: n for p, n in f.items() if n >= 30}
 
 
 def test_bitmap_of_several_pieces(spark, monkeypatch):
