@@ -2,15 +2,16 @@
 
     python -m feedlake daily  --feeds DIR --sources FILE.csv --ledger DIR --store DIR
                               --out DIR [--runs TS[,TS...]] [--answers DIR] [--status DIR]
-                              [--arrival landed|published] [--hours N]
+                              [--arrival landed|published] [--hours N] [--journal DIR]
     python -m feedlake weekly --store DIR --reports DIR --out DIR [--weeks W[,W...]]
                               [--recaps DIR] [--archive-base URL]
 
 Runs default to the time at which the job begins (one run). Answer documents
 are JSON files with ``run_ts``, ``first_pos`` and ``doc`` fields; weekly answers
-have ``week`` and ``doc``. Payloads are written first, as text by run; ledger and
-store are committed after that, for the runs that ``--status`` (JSON rows
-``run_ts``, ``ok``) reports as published, or all. Entries count from the time
+have ``week`` and ``doc``. Payloads are written first, as text by run; store and
+ledger are committed after that, for the runs that ``--status`` (JSON rows
+``run_ts``, ``ok``) reports as published, or all. ``--journal`` writes that commit
+ahead, so that the next job completes it if this one is killed. Entries count from the time
 their file landed; ``--arrival published`` replays history by publication date.
 Files and entries that could not be read go to ``quarantine``.
 """
@@ -57,7 +58,8 @@ def daily(args) -> None:
         return stamped(args.status)
 
     out = run_daily(spark, feeds, sources, runs, args.ledger, args.store,
-                    answers=stamped(args.answers), hours=args.hours, publish=publish)
+                    answers=stamped(args.answers), hours=args.hours, publish=publish,
+                    journal_path=args.journal)
     out["requests"].write.mode("overwrite").json(f"{args.out}/requests")
     FD.quarantine(landed).write.mode("overwrite").json(f"{args.out}/quarantine/files")
     (out["rejected"].select("source", "file", "entry_pos", "reason", "link", "title")
@@ -89,6 +91,7 @@ def main(argv=None) -> None:
     d.add_argument("--status")
     d.add_argument("--arrival", choices=["landed", "published"], default="landed")
     d.add_argument("--hours", type=int, default=24)
+    d.add_argument("--journal")
     w = sub.add_parser("weekly")
     w.add_argument("--store", required=True)
     w.add_argument("--reports", required=True)

@@ -61,8 +61,12 @@ def fallback_digest(items: DataFrame, group: str = "run_ts",
     """Selection used when the scoring answer is unusable (W4): the first ``n``
     items in arrival order, all kept as ``notable`` with score 5 and the
     category of their source."""
-    first = top_k(items, [group], list(order), n, out="rank")
-    return (first.withColumn("kept", F.lit(True))
+    return fallback_verdicts(top_k(items, [group], list(order), n, out="rank"))
+
+
+def fallback_verdicts(items: DataFrame) -> DataFrame:
+    """Items as the fallback judges them."""
+    return (items.withColumn("kept", F.lit(True))
             .withColumn("severity", F.lit(vocab.FALLBACK_SEVERITY))
             .withColumn("score", F.lit(vocab.FALLBACK_SCORE))
             .withColumn("category", allow_category(F.col("source_category")))

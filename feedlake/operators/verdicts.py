@@ -1,8 +1,12 @@
 """Scoring surface: request packing, answer parsing and validation, matching
-answers to items, coverage check, digest header, fallback switch, upsert."""
+answers to items, coverage check, rounds of asking and the reconciliation of
+requests with answers, digest header, fallback switch, upsert."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -11,6 +15,7 @@ from feedlake.functions import coerce as C
 from feedlake.functions import text as T
 from feedlake.operators import select as sel
 from feedlake.operators.ranking import ordinal, top_k
+from feedlake.sources.tables import materialize
 
 # Keys of answer documents, ours and the original's.
 ITEMS_PATHS = ("$.items", "$.articles_analyses")
@@ -23,6 +28,18 @@ FIELD_KEYS = {"hash": ("hash", "hash_unique"), "severity": ("severity", "critici
 # Placeholder of request templates (fixed value).
 ITEMS_PLACEHOLDER = "{articles_json}"
 DEFAULT_BATCH_ITEMS = 50
+#: Calls for one request before its items go to the fallback.
+ATTEMPTS = 3
+#: Fallback rows of a batch stand after all answered ones of equal rank.
+FALLBACK_POS = 1 << 40
+
+
+def batched(items: DataFrame, group: str = "run_ts", order=("entry_pos",),
+            batch_items: int = DEFAULT_BATCH_ITEMS) -> DataFrame:
+    """Items with ``pos`` (arrival number in their run, from 1) and ``batch_no`` of the
+    request they go out with; the numbering is skew-safe (``ordinal``)."""
+    numbered = ordinal(items, [group], list(order), out="pos")
+    return numbered.withColumn("batch_no", F.floor((F.col("pos") - 1) / batch_items))
 
 
 def pack_requests(items: DataFrame, template: str, group: str = "run_ts",
@@ -33,15 +50,14 @@ def pack_requests(items: DataFrame, template: str, group: str = "run_ts",
     Items are numbered in arrival order per run (skew-safe ordinal) and cut
     into batches of at most ``batch_items``, so no request grows with the
     data. The JSON array keeps the item order; the template's placeholder is
-    replaced by it.
+    replaced by it. Items that ``batched`` has numbered keep their batches.
     """
     fields = fields or {"hash_unique": "hash", "titre": "title", "resume": "summary",
                         "source": "source", "categorie_source": "source_category"}
-    numbered = ordinal(items, [group], list(order), out="__pos")
-    numbered = numbered.withColumn("batch_no", F.floor((F.col("__pos") - 1) / batch_items))
+    numbered = items if "batch_no" in items.columns else batched(items, group, order, batch_items)
     obj = F.struct(*[F.col(src).alias(dst) for dst, src in fields.items()])
     packed = (numbered.groupBy(group, "batch_no")
-              .agg(F.array_sort(F.collect_list(F.struct(F.col("__pos"), obj.alias("o"))))
+              .agg(F.array_sort(F.collect_list(F.struct(F.col("pos"), obj.alias("o"))))
                    .alias("__items"), F.count(F.lit(1)).alias("n_items")))
     payload = F.to_json(F.transform("__items", lambda x: x["o"]))
     prompt = F.replace(F.lit(template), F.lit(ITEMS_PLACEHOLDER), payload)
@@ -101,14 +117,71 @@ def validate(answers: DataFrame, field_names: dict | None = None) -> DataFrame:
     return out
 
 
-def usable(docs: DataFrame, key: str, doc_col: str = "doc") -> DataFrame:
-    """Per key: whether every answer document parsed to a JSON object with a
-    list of items (M4 switch); one unusable batch sends the whole run to the
-    fallback."""
+def is_usable(doc_col: str = "doc") -> Column:
+    """Whether a document is a JSON object with a list of items."""
     v = F.try_parse_json(F.col(doc_col))
-    ok = (v.isNotNull() & F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
-          & _first_of(v, ITEMS_PATHS, "array<variant>").isNotNull())
-    return docs.groupBy(key).agg(F.bool_and(ok).alias("usable"))
+    return (v.isNotNull() & F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
+            & _first_of(v, ITEMS_PATHS, "array<variant>").isNotNull())
+
+
+def usable(docs: DataFrame, key: str, doc_col: str = "doc") -> DataFrame:
+    """Per key: whether every answer document is usable (M4 switch of the whole run)."""
+    return docs.groupBy(key).agg(F.bool_and(is_usable(doc_col)).alias("usable"))
+
+
+def ask_in_rounds(requests: DataFrame, ask: Callable[[DataFrame, int], DataFrame], group: str = "run_ts",
+                  attempts: int = ATTEMPTS) -> tuple[DataFrame, DataFrame]:
+    """Ask for answers until each request has a usable one, ``attempts`` times at most.
+
+    ``ask(requests, attempt)`` gives (group, batch_no, doc) for the requests it
+    is handed; later rounds get those only that are still without a usable
+    answer. Returns the usable answers, with ``attempt``, and the requests left.
+    """
+    pending, found = requests, []
+    for attempt in range(1, attempts + 1):
+        answers = materialize(ask(pending, attempt).filter(is_usable()).select(
+            group, "batch_no", "doc", F.lit(attempt).alias("attempt")).dropDuplicates([group, "batch_no"]), "answers")
+        found.append(answers)
+        pending = materialize(pending.join(answers, [group, "batch_no"], "left_anti"), "unanswered")
+        if pending.isEmpty():
+            break
+    return reduce(DataFrame.unionByName, found), pending
+
+
+def reconcile(sent: DataFrame, answered: DataFrame, group: str = "run_ts") -> DataFrame:
+    """Hashes sent in each request against those answered in its run (M7, M4).
+
+    ``sent``: (group, batch_no, hash); ``answered``: (group, hash) of usable
+    answers. Per request: how many hashes went out, were answered, are missing,
+    were answered more than once; and its status: answered, partial or unanswered.
+    """
+    out = sent.select(group, "batch_no", "hash").distinct()
+    back = answered.groupBy(group, "hash").agg(F.count(F.lit(1)).alias("__n"))
+    n = F.coalesce("__n", F.lit(0))
+    per = out.join(back, [group, "hash"], "left").groupBy(group, "batch_no").agg(
+        F.count(F.lit(1)).alias("n_sent"), F.count_if(n > 0).alias("n_answered"),
+        F.count_if(n == 0).alias("n_missing"), F.count_if(n > 1).alias("n_repeated"))
+    return per.withColumn("status", F.when(F.col("n_missing") == 0, "answered")
+                          .when(F.col("n_answered") == 0, "unanswered").otherwise("partial"))
+
+
+def unanswered(sent: DataFrame, answered: DataFrame, ok_runs: DataFrame, group: str = "run_ts") -> DataFrame:
+    """Stand-in verdicts for the items that no usable answer of their run covers, be it that
+    their request got none or that its answer left them out: all are shown, as the whole
+    run's fallback shows its first ones. Runs without any usable answer are not in it."""
+    lost = (sent.join(ok_runs.filter("usable").select(group), group, "left_semi")
+            .join(answered.select(group, "hash").distinct(), [group, "hash"], "left_anti"))
+    return sel.fallback_verdicts(lost).withColumns(
+        {"response_pos": F.col("pos") + FALLBACK_POS, "translated_title": F.lit(""), "is_fallback": F.lit(True)})
+
+
+def shown_or_answered(new: DataFrame, chosen: DataFrame, ok_runs: DataFrame, group: str = "run_ts") -> DataFrame:
+    """Of the new items those that were answered, or shown by a fallback: a run without any usable
+    answer shows its first items only, and the others are left out here."""
+    whole = run_usable(new, ok_runs, group).filter(~F.col("usable")).select(group)
+    seen = chosen.select(group, "hash").distinct()
+    return new.join(whole, group, "left_anti").unionByName(
+        new.join(whole, group, "left_semi").join(seen, [group, "hash"], "left_semi"))
 
 
 def latest_items(items: DataFrame, group: str = "run_ts", order: str = "entry_pos") -> DataFrame:
@@ -159,7 +232,8 @@ def digest_header(items: DataFrame, verdicts: DataFrame, docs: DataFrame,
     n_scored = items.groupBy(group).agg(F.count(F.lit(1)).alias("n_scored"))
     n_kept = verdicts.groupBy(group).agg(F.count_if(F.col("kept")).alias("n_kept"))
     v = F.try_parse_json(F.col(doc_col))
-    head = docs.select(
+    one = docs.groupBy(group).agg(F.min(doc_col).alias(doc_col))  # of several first documents the smallest
+    head = one.select(
         group,
         C.text_of(_first_of(v, HEADER_KEYS["headline"])).alias("headline"),
         T.default_text(C.text_of(_first_of(v, HEADER_KEYS["summary"])),
@@ -202,8 +276,9 @@ def with_fallback(items: DataFrame, verdicts: DataFrame, ok_runs: DataFrame,
     known = run_usable(items, ok_runs, group)
     good = known.filter(F.col("usable")).select(group)
     bad = known.filter(~F.col("usable")).select(group)
-    chosen = digest_items(verdicts.join(good, group, "left_semi"), group, tiebreak, ident) \
-        .withColumn("is_fallback", F.lit(False))
+    chosen = digest_items(verdicts.join(good, group, "left_semi"), group, tiebreak, ident)
+    if "is_fallback" not in verdicts.columns:  # else rows of unanswered batches say so
+        chosen = chosen.withColumn("is_fallback", F.lit(False))
     fb = (sel.fallback_digest(items.join(bad, group, "left_semi"), group, arrival)
           .withColumn("section", F.lit("other")).withColumn("is_fallback", F.lit(True)))
     return chosen.unionByName(fb, allowMissingColumns=True)

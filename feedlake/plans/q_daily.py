@@ -370,6 +370,10 @@ from (select *, row_number() over (partition by run_ts order by entry_id) as res
       from (select * exclude (response_pos) from v_daily)) a
 join (select run_ts, hash, max(entry_id) as entry_id from v_new_pairs group by run_ts, hash) n
   on n.run_ts = a.run_ts and n.hash = a.hash""", ["v_daily", "v_new_pairs"])
+view("v_unanswered", f"""
+select p.run_ts, {1 << 40} + pos as response_pos, p.hash, 'notable' as severity, 2 as severity_rank, 5 as score, true as kept, p.entry_id
+from (select *, row_number() over (partition by run_ts order by entry_id) as pos from v_new_pairs) p
+anti join v_daily a on a.run_ts = p.run_ts and a.hash = p.hash""", ["v_daily", "v_new_pairs"])
 view("v_job_top", f"""
 select * from (select *, row_number() over (partition by run_ts order by {KEY}) as rank
                from v_job where kept and severity in {PRIO}) t where rank <= 3""", ["v_job"])
@@ -403,15 +407,57 @@ def q_daily_job_marks(spark, base):
 select run_ts, 'top' as section, cast(rank as int) as rank, entry_id, false as is_fallback
 from v_job_top where not {_BAD_RUN}
 union all
-select run_ts, 'other', cast(row_number() over (partition by run_ts order by {KEY}) as int), entry_id, false
-from v_job j anti join v_job_top t on t.run_ts = j.run_ts and t.response_pos = j.response_pos
+select run_ts, 'other', cast(row_number() over (partition by run_ts order by {KEY}) as int), entry_id, response_pos >= {1 << 40}
+from (from v_job union all by name from v_unanswered) j
+anti join v_job_top t on t.run_ts = j.run_ts and t.response_pos = j.response_pos
 where kept and not {_BAD_RUN}
 union all
 select run_ts, 'other', cast(rn as int), entry_id, true
 from (select p.run_ts, p.entry_id, row_number() over (partition by p.run_ts order by v.source, p.entry_id) as rn
       from v_new_pairs p join v_verdicts v on v.entry_id = p.entry_id where {_BAD_RUN.replace('run_ts', 'p.run_ts')}) t
-where rn <= {vocab.FALLBACK_ITEMS}""", "v_job", "v_job_top", "v_new_pairs", "v_verdicts"))
+where rn <= {vocab.FALLBACK_ITEMS}""", "v_job", "v_unanswered", "v_job_top", "v_new_pairs", "v_verdicts"))
 def q_daily_job_digest(spark, base):
     """The job's selection, runs without a usable answer on the fallback."""
     return _daily_job(spark, base)[2]["digest_items"].select(
         "run_ts", "section", F.col("rank").cast("int"), "entry_id", "is_fallback")
+
+
+# ------------------------------------------------------------------ M7, M4: requests against answers
+#: Answers cut off, by (day of month + request number): two in three at first, then one in three, one in six.
+CUT_IN_ROUND = {1: (3, (0, 1)), 2: (3, (0,)), 3: (6, (0,))}
+
+
+@register("answer_reconciliation", with_views(f"""
+with sent as (
+  select *, case when k % 3 = 2 then 1 when k % 3 = 1 then 2 when k % 6 = 3 then 3 end as attempt
+  from (select *, extract(day from run_ts) + batch_no as k
+        from (select *, (row_number() over (partition by run_ts order by entry_id) - 1) // {V.DEFAULT_BATCH_ITEMS} as batch_no
+              from v_daily) d) d),
+answered as (select distinct run_ts, hash from sent where attempt is not null and source <> 'signup')
+select s.run_ts, s.batch_no, count(*) as n_sent, count(a.hash) as n_answered, count(*) - count(a.hash) as n_missing,
+       cast(any_value(s.attempt) as int) as attempt,
+       case when count(a.hash) = count(*) then 'answered' when count(a.hash) = 0 then 'unanswered' else 'partial' end as status
+from (select distinct run_ts, batch_no, hash, attempt from sent) s
+left join answered a on a.run_ts = s.run_ts and a.hash = s.hash
+group by s.run_ts, s.batch_no""", "v_daily"))
+def q_answer_reconciliation(spark, base):
+    """Requests asked for in rounds until their answers can be read, and what those answers left out.
+
+    The answering side leaves the ``signup`` items out and cuts documents off by a rule of day and round.
+    """
+    sent = V.batched(_items(spark, base))
+    requests = V.pack_requests(sent, "{articles_json}")
+
+    def ask(pending, attempt):
+        n, cut = CUT_IN_ROUND[attempt]
+        own = sent.join(pending.select("run_ts", "batch_no"), ["run_ts", "batch_no"], "left_semi")
+        item = F.struct("hash", "severity", "score", "kept", "category")
+        docs = own.groupBy("run_ts", "batch_no").agg(F.to_json(F.struct(
+            F.collect_list(F.when(F.col("source") != "signup", item)).alias("items"))).alias("doc"))
+        broken = ((F.dayofmonth("run_ts") + F.col("batch_no")) % n).isin(*cut)
+        return docs.withColumn("doc", F.when(broken, F.left("doc", F.length("doc") - 3)).otherwise(F.col("doc")))
+
+    found, _ = V.ask_in_rounds(requests, ask)
+    answered = V.validate(V.parse_documents(found, "run_ts"))
+    return (V.reconcile(sent, answered).join(found.select("run_ts", "batch_no", "attempt"), ["run_ts", "batch_no"], "left")
+            .select("run_ts", "batch_no", "n_sent", "n_answered", "n_missing", "attempt", "status"))

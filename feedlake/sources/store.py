@@ -2,7 +2,8 @@
 and the verdict store (partitioned by week, last write wins by upsert).
 
 There is no table format with MERGE here, so the upsert (C3) is: find the
-affected weeks (the batch's weeks plus the stored weeks of the same hashes),
+affected weeks (the batch's weeks plus the stored weeks of the same hashes,
+which a locator table beside the store knows, partitioned by hash prefix),
 read those partitions, union with the batch, keep the latest row per hash,
 write the result to a staging folder, then overwrite exactly those week
 partitions from staging (dynamic partition overwrite). Reading and
@@ -11,6 +12,9 @@ overwriting one path in a single plan never happens.
 
 from __future__ import annotations
 
+import hashlib
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as Ty
@@ -24,6 +28,9 @@ from feedlake.session import delete_path, scratch_path
 #: dealt over several tasks.
 FILES_PER_WEEK = 8
 
+#: Hex digits of the locator's partitions: 256 of them.
+PREFIX = 2
+
 LEDGER_SCHEMA = Ty.StructType([
     Ty.StructField("hash", Ty.StringType(), False),
     Ty.StructField("url", Ty.StringType()),
@@ -56,7 +63,7 @@ def _exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(p)
+    return bool(fs.globStatus(p)) if "*" in path else fs.exists(p)
 
 
 def _conform(df: DataFrame, schema: Ty.StructType) -> DataFrame:
@@ -75,22 +82,66 @@ def read_table(spark: SparkSession, path: str, schema: Ty.StructType) -> DataFra
 
 
 # ------------------------------------------------------------------ ledger
+_BUCKETS = "_buckets="
+
+
+def create_ledger(spark: SparkSession, path: str, buckets: int) -> None:
+    """An empty ledger whose days are bucketed and sorted by hash.
+
+    A batch that is large beside the ledger (a backfill) then joins with it
+    bucket by bucket: the batch is shuffled, the ledger is not. Without this
+    the first ``append_ledger`` makes a plain one.
+    """
+    if _exists(spark, path):
+        raise ValueError(f"{path} exists")
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(f"{path}/{_BUCKETS}{int(buckets)}")
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(p, False).close()
+
+
+def ledger_buckets(spark: SparkSession, path: str) -> int | None:
+    """Number of buckets the ledger was created with, None for a plain one."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(f"{path}/{_BUCKETS}*")
+    found = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(p) or []
+    return int(found[0].getPath().getName()[len(_BUCKETS):]) if len(found) else None
+
+
+def _ledger_table(spark: SparkSession, path: str, buckets: int) -> str:
+    """The bucketed ledger as a table of the session's catalog; bucketing is known to tables only."""
+    name = f"feedlake_ledger_{hashlib.md5(path.encode()).hexdigest()[:16]}"
+    spark.sql(f"drop table if exists {name}")  # an external table: its files stay
+    spark.sql(f"""create table {name} (hash string, url string, seen_at timestamp_ntz, day date) using parquet
+                  partitioned by (day) clustered by (hash) sorted by (hash) into {buckets} buckets
+                  location '{path}'""")
+    spark.sql(f"alter table {name} recover partitions")
+    return name
+
+
 def read_ledger_log(spark: SparkSession, path: str) -> DataFrame:
     """The raw marks; enough to test whether a hash is known, without the
     aggregation of the first-wins view."""
+    buckets = ledger_buckets(spark, path)
+    if buckets:
+        return spark.table(_ledger_table(spark, path, buckets)).select(LEDGER_SCHEMA.names)
     return read_table(spark, path, LEDGER_SCHEMA)
 
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
     """First-write-wins view of the append-only ledger (K1)."""
-    return LG.first_wins(read_table(spark, path, LEDGER_SCHEMA))
+    return LG.first_wins(read_ledger_log(spark, path))
 
 
 def append_ledger(marks: DataFrame, path: str) -> None:
     """Append marks (hash, url, seen_at). Duplicates are harmless: the read
     view keeps the first, which is INSERT OR IGNORE semantics."""
-    (_conform(marks, LEDGER_SCHEMA).withColumn("day", F.col("seen_at").cast("date"))
-     .write.mode("append").partitionBy("day").parquet(path))
+    rows = _conform(marks, LEDGER_SCHEMA).withColumn("day", F.col("seen_at").cast("date"))
+    spark = marks.sparkSession
+    buckets = ledger_buckets(spark, path)
+    if buckets:  # one file for each bucket and day
+        rows.repartition(buckets, "hash").write.insertInto(_ledger_table(spark, path, buckets))
+    else:
+        rows.write.mode("append").partitionBy("day").parquet(path)
 
 
 def purge_ledger(spark: SparkSession, path: str, now, days: int = 90) -> int:
@@ -105,6 +156,9 @@ def purge_ledger(spark: SparkSession, path: str, now, days: int = 90) -> int:
     """
     if not _exists(spark, path):
         return 0
+    buckets = ledger_buckets(spark, path)
+    if buckets and not _exists(spark, f"{path}/day=*"):
+        return 0
     log = spark.read.parquet(path)
     now_c = now if not isinstance(now, str) else F.lit(now).cast("timestamp_ntz")
     cut = spark.range(1).select((now_c - F.expr(f"interval {int(days)} days")).alias("c")).first().c
@@ -117,6 +171,11 @@ def purge_ledger(spark: SparkSession, path: str, now, days: int = 90) -> int:
     staged = spark.read.schema(log.schema).parquet(staging)
     if staged.isEmpty():
         delete_path(spark, f"{path}/day={cut.date()}")
+    elif buckets:
+        staged.createOrReplaceTempView(view := f"purged_{uuid.uuid4().hex}")
+        spark.sql(f"""insert overwrite table {_ledger_table(spark, path, buckets)} partition (day = date '{cut.date()}')
+                      select /*+ repartition({buckets}, hash) */ hash, url, seen_at from {view}""")
+        spark.catalog.dropTempView(view)
     else:
         _overwrite_partitions(spark, staged, "day", path)
     days_gone = [r.day for r in log.filter(F.col("day") < F.lit(cut.date())).select("day").distinct().collect()]
@@ -144,22 +203,70 @@ def read_store(spark: SparkSession, path: str, weeks: list[str] | None = None) -
 
 def upsert_store(spark: SparkSession, batch: DataFrame, path: str) -> None:
     """Last write wins on hash (K3), rewriting only the affected weeks."""
+    staging = scratch_path(spark, "store-staging")
+    stage_upsert(spark, batch, path, staging)
+    apply_upsert(spark, staging, path)
+    delete_path(spark, staging)
+
+
+def locator_path(path: str) -> str:
+    return f"{path.rstrip('/')}.weeks"
+
+
+def _prefix(hash_col: str = "hash"):
+    """Locator partition of a hash: PREFIX hex digits, whatever form the hash has."""
+    return F.left(F.md5(F.col(hash_col).cast("binary")), F.lit(PREFIX))
+
+
+def _append_locator(rows: DataFrame, path: str, mode: str = "append") -> None:
+    (rows.select("hash", "week").distinct().withColumn("prefix", _prefix()).repartition("prefix")
+     .write.mode(mode).partitionBy("prefix").parquet(locator_path(path)))
+
+
+def rebuild_locator(spark: SparkSession, path: str) -> None:
+    """Write the locator anew from the store: after it was lost, or to drop weeks that hashes have left."""
+    _append_locator(read_table(spark, path, STORE_SCHEMA), path, "overwrite")
+
+
+def weeks_of(spark: SparkSession, hashes: DataFrame, path: str) -> DataFrame:
+    """The weeks that hold (or held) ``hashes`` (hash): reads the locator's partitions of these hashes only."""
+    if not _exists(spark, path):
+        return spark.createDataFrame([], "week string")
+    if not _exists(spark, locator_path(path)):
+        rebuild_locator(spark, path)
+    own = hashes.select("hash").distinct()
+    prefixes = [r[0] for r in own.select(_prefix().alias("p")).distinct().collect()]  # 16^PREFIX at most
+    known = spark.read.schema("hash string, week string, prefix string").parquet(locator_path(path))
+    return known.filter(F.col("prefix").isin(prefixes)).join(own, "hash", "left_semi").select("week").distinct()
+
+
+def stage_upsert(spark: SparkSession, batch: DataFrame, path: str, staging: str) -> None:
+    """The affected weeks as the upsert leaves them, below ``staging``; the store is only read.
+
+    The locator learns where the batch's hashes will be before the store has
+    them: an entry too many costs a week's reading, one too few would leave a
+    second row of a hash behind.
+    """
     b = _conform(batch.withColumn("week", week_label(F.col("published_at"))), STORE_SCHEMA)
-    stored = read_table(spark, path, STORE_SCHEMA)
-    touched_hashes = b.select("hash").distinct()
-    # weeks whose partitions change: the batch's, and where its hashes live now
-    weeks = (b.select("week").union(stored.join(touched_hashes, "hash", "left_semi")
-                                    .select("week")).distinct())
-    affected = stored.join(weeks, "week", "left_semi")
+    # weeks whose partitions change: the batch's, and where its hashes live now; as many as the calendar has
+    b.select("week").union(weeks_of(spark, b, path)).distinct().write.mode("overwrite").parquet(f"{staging}/weeks")
+    weeks = [r.week for r in spark.read.schema("week string").parquet(f"{staging}/weeks").collect()]
+    affected = read_store(spark, path, weeks)
     merged = upsert(affected, b, key="hash", order=("recorded_at", "response_pos"))
-    staging = scratch_path(spark, "store-staging")
     dealt = _conform(merged, STORE_SCHEMA).repartition("week", F.pmod(F.xxhash64("hash"), F.lit(FILES_PER_WEEK)))
-    dealt.write.partitionBy("week").parquet(staging)
-    staged = spark.read.schema(STORE_SCHEMA).parquet(staging)
+    dealt.write.mode("overwrite").partitionBy("week").parquet(f"{staging}/rows")
+    staged = spark.read.schema(STORE_SCHEMA).parquet(f"{staging}/rows")
+    _append_locator(staged.join(b.select("hash").distinct(), "hash", "left_semi"), path)
+
+
+def apply_upsert(spark: SparkSession, staging: str, path: str) -> None:
+    """Replace the affected weeks by what ``stage_upsert`` left; it reads nothing of the
+    store, so it can be done again after it broke off at any point."""
+    staged = spark.read.schema(STORE_SCHEMA).parquet(f"{staging}/rows")
+    weeks = spark.read.schema("week string").parquet(f"{staging}/weeks")
     # a week whose rows all moved away must still be rewritten (emptied)
     emptied = weeks.join(staged.select("week").distinct(), "week", "left_anti").collect()
     _overwrite_partitions(spark, staged.repartition("week", F.pmod(F.xxhash64("hash"), F.lit(FILES_PER_WEEK))),
                           "week", path)
     for r in emptied:
         delete_path(spark, f"{path}/week={r.week}")
-    delete_path(spark, staging)
