@@ -41,6 +41,23 @@ def purge(ledger: DataFrame, now, days: int = vocab.LEDGER_RETENTION_DAYS) -> Da
     return ledger.filter(F.col("seen_at") >= now_c - F.expr(f"interval {int(days)} days"))
 
 
+def openings(marks: DataFrame, days: int = vocab.LEDGER_RETENTION_DAYS) -> DataFrame:
+    """Rows that a ledger purged all along would have had (K1 with K2): per
+    hash the first mark, then the first one more than ``days`` after it, and
+    so on. A hash has at most one row per ``days`` of history, and a round
+    settles one for every hash; so rounds follow the length of the history.
+    """
+    keep = F.expr(f"interval {int(days)} days")
+    rest = materialize(marks.select("hash", "url", "seen_at").filter("hash is not null and seen_at is not null"), "open-marks")
+    found = None
+    while not rest.isEmpty():
+        rows = materialize(first_wins(rest), "open-rows")
+        found = rows if found is None else found.unionByName(rows)
+        ends = rows.select("hash", (F.col("seen_at") + keep).alias("__end"))
+        rest = materialize(rest.join(ends, "hash").filter(F.col("seen_at") > F.col("__end")).drop("__end"), "open-marks")
+    return rest if found is None else found
+
+
 def new_per_run(pairs: DataFrame, prior_ledger: DataFrame, run_status: DataFrame | None = None
                 ) -> DataFrame:
     """Multi-run dedup in closed form.

@@ -86,6 +86,8 @@ def with_views(sql: str, *names: str) -> str:
         visit(n)
     ctes = ",\n".join(f"{n} as (\n{VIEWS[n]}\n)" for n in order)
     body = sql.strip()
+    if body.lower().startswith("with recursive "):
+        return f"with recursive {ctes},\n{body[15:]}"
     if body.lower().startswith("with "):
         return f"with {ctes},\n{body[5:]}"
     return f"with {ctes}\n{body}"

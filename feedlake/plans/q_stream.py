@@ -6,11 +6,15 @@ from pyspark.sql import functions as F
 
 from feedlake.functions import coerce as C
 from feedlake.functions.text import item_hash
+from feedlake.operators import ledger as LG
 from feedlake.operators import select as sel
 from feedlake.plans.catalog import register
 from feedlake.plans.oracle_views import with_views
+from feedlake.session import scratch_path
 from feedlake.sources import fixtures as fx
+from feedlake.streaming import ledger as SL
 from feedlake.streaming import stream as ST
+from feedlake.streaming import weeks as SW
 
 
 def _verdict_stream(spark, base):
@@ -56,6 +60,43 @@ def q_stream_dedup(spark, base):
     return spark.read.parquet(out).select("hash")
 
 
+# ------------------------------------------------------------------ T2, K2 with state
+#: Days that the query's ledger keeps a row.
+LEDGER_DAYS = 10
+
+
+def _mark_files(spark, base, n=3):
+    """The verdicts' marks in several files, each with rows of the whole period."""
+    path = scratch_path(spark, "mark-files")
+    marks = fx.verdicts(spark, base).select("hash", F.concat("link", F.lit("#"), F.col("entry_id").cast("string")).alias("url"),
+                                            F.col("published_at").alias("seen_at"))
+    marks.repartition(n, F.xxhash64("url") % n).write.parquet(path)
+    return path
+
+
+@register("stream_ledger", with_views(f"""
+with recursive marks as (
+  select hash, link || '#' || cast(entry_id as varchar) as url, published_at as seen_at from v_verdicts),
+rows_ as (
+  select hash, min(seen_at) as seen_at from marks group by hash
+  union all
+  select m.hash, min(m.seen_at) from rows_ r join marks m on m.hash = r.hash
+  where m.seen_at > r.seen_at + interval {LEDGER_DAYS} days group by m.hash)
+select r.hash, min(m.url) as url, r.seen_at from rows_ r join marks m on m.hash = r.hash and m.seen_at = r.seen_at
+where r.seen_at >= (select max(seen_at) from marks) - interval {LEDGER_DAYS} days
+group by r.hash, r.seen_at""", "v_verdicts"))
+def q_stream_ledger(spark, base):
+    """The ledger kept by a stream over files in any order, stopped and restarted, then read with its purge."""
+    files = _mark_files(spark, base)
+    schema = spark.read.parquet(files).schema
+    keep = scratch_path(spark, "ledger-query")
+    for glob in ("part-00000*.parquet", "*.parquet"):  # the second run goes on after the first
+        live = spark.readStream.schema(schema).option("pathGlobFilter", glob).option("maxFilesPerTrigger", 1).parquet(files)
+        out = SL.run_ledger(live, LEDGER_DAYS, late="60 days", path=keep)
+    now = spark.read.parquet(files).agg(F.max("seen_at")).first()[0]
+    return LG.purge(SL.ledger_rows(spark, out), F.lit(now), LEDGER_DAYS)
+
+
 # ------------------------------------------------------------------ T3
 @register("stream_week_counts", with_views("""
 select date_trunc('week', published_at) as week_start, count(*) as n
@@ -97,6 +138,46 @@ def q_stream_feeds(spark, base):
     return spark.read.parquet(ST.run_to_table(good, "stream-feeds"))
 
 
+# ------------------------------------------------------------------ T5: weeks close on the stream
+@register("stream_week_close", with_views("""
+with rows_ as (
+  select strftime(published_at, '%G-W%V') as week, entry_id, hash, published_at, category, score,
+         case severity when 'critical' then 0 when 'important' then 1 when 'notable' then 2 else 3 end as severity_rank,
+         cast(cast(published_at as date) as timestamp) + interval 27 hours as run_ts,
+         date_trunc('week', published_at) + interval '6 days 15 hours' as due
+  from v_verdicts where kept),
+closed as (select distinct week from rows_ where run_ts <= due and due <= (select max(run_ts) from rows_)),
+editions as (
+  select 'closed' as edition, r.* from rows_ r semi join closed c on c.week = r.week where run_ts <= due
+  union all
+  select 'rebuilt', r.* from rows_ r semi join closed c on c.week = r.week
+  semi join (select week from rows_ where run_ts > due) l on l.week = r.week),
+counted as (
+  select week, edition, cast(sum(n) as bigint) as n_kept, cast(sum(n_late) as bigint) as n_late,
+         string_agg(category || ':' || n, ',' order by category) as counts
+  from (select week, edition, category, count(*) as n, count(*) filter (where run_ts > due) as n_late
+        from editions group by all) c group by week, edition),
+first_ as (
+  select week, edition, string_agg(cast(entry_id as varchar), ',' order by rank) as top
+  from (select *, row_number() over (partition by week, edition order by severity_rank, score desc, published_at, hash, entry_id) as rank
+        from editions) r where rank <= 3 group by week, edition)
+select week, edition, n_kept, n_late, counts, top from counted join first_ using (week, edition)""", "v_verdicts"))
+def q_stream_week_close(spark, base):
+    """Recaps as they close on the stream, one file of several days after the other, and again with their late items."""
+    path = scratch_path(spark, "verdict-files")
+    rows = (fx.daily_verdicts(spark, base).filter("kept")
+            .select("run_ts", "published_at", "hash", "entry_id", "severity", "score", "category"))
+    first, last = rows.agg(F.min("run_ts"), F.max("run_ts")).first()
+    step = (last - first) / 3
+    for k in range(3):  # a file is read after those that landed before it
+        inside = F.col("run_ts") >= F.lit(first + k * step).cast("timestamp_ntz")
+        if k < 2:
+            inside &= F.col("run_ts") < F.lit(first + (k + 1) * step).cast("timestamp_ntz")
+        rows.filter(inside).coalesce(1).write.mode("append").parquet(path)
+    live = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    return SW.read_recaps(spark, SW.run_weeks(live))
+
+
 # ------------------------------------------------------------------ T5 on the stream
 @register("stream_late_items", with_views("""
 select strftime(published_at, '%G-W%V') as week, entry_id, published_at,

@@ -105,7 +105,7 @@ def merge_by_run(select: Callable[[DataFrame], DataFrame], ident: tuple[str, ...
 
 
 def _run_key(group: str):
-    return F.date_format(group, "'r'yyyyMMdd'T'HHmmss")
+    return F.date_format(group, "'r'yyyyMMdd'T'HHmmssSSSSSS")
 
 
 def fresh_rows(batch: DataFrame, ledger_log: DataFrame) -> DataFrame:
@@ -125,8 +125,8 @@ def daily_batch_writer(select: Callable[[DataFrame], DataFrame], ledger_path: st
 
     Per micro-batch, in order: rows that an earlier run has handled are left
     out; the selection of the touched runs is published (``merge_by_run``); only
-    then are the batch's marks appended to the ledger and the touched runs'
-    selection upserted into the store. A batch written again finds its own
+    then is the touched runs' selection upserted into the store, and last are
+    the batch's marks appended to the ledger. A batch written again finds its own
     runs' marks, which don't count, and gives the same result.
     """
     merge = merge_by_run(select, ident)
@@ -140,6 +140,6 @@ def daily_batch_writer(select: Callable[[DataFrame], DataFrame], ledger_path: st
         published = spark.read.parquet(out).drop("run_key").join(
             fresh.select("run_ts").distinct(), "run_ts", "left_semi")
         marks = fresh.select("hash", F.col("link").alias("url"), F.col("run_ts").alias("seen_at"))
-        ST.append_ledger(marks, ledger_path)
         ST.upsert_store(spark, published.withColumn("recorded_at", F.col("run_ts")), store_path)
+        ST.append_ledger(marks, ledger_path)
     return write
