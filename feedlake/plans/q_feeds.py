@@ -35,11 +35,16 @@ def q_feed_entries(spark, base):
 
 # ------------------------------------------------------------------ S4
 @register("feed_quarantine", """
-select distinct regexp_extract(url, '^https?://([^/?#]+)', 1) as source, 'parse_error' as reason
-from pages where page_id % 5 = 0""")
+select source, case when length(source) % 2 = 0 then 'parse_error' end as reason,
+       case when length(source) % 2 = 0 then count(distinct file_no) else 0 end as n_files, count(*) as n_entries
+from (select regexp_extract(url, '^https?://([^/?#]+)', 1) as source, page_id % 4 as file_no from pages) p
+group by source""")
 def q_feed_quarantine(spark, base):
-    """Files that break off, made from the pages: one row for each."""
-    return FD.quarantine(FD.read_feeds(spark, fx.broken_feeds(spark, base))).select("source", "reason")
+    """Files of all pages, some of them broken off: what goes to quarantine, and the entries that are read all the same."""
+    feeds = FD.read_feeds(spark, fx.broken_feeds(spark, base))
+    bad = FD.quarantine(feeds).groupBy("source", "reason").agg(F.count(F.lit(1)).alias("n_files"))
+    return (FD.entries(feeds).groupBy("source").agg(F.count(F.lit(1)).alias("n_entries")).join(bad, "source", "left")
+            .select("source", "reason", F.coalesce("n_files", F.lit(0).cast("bigint")).alias("n_files"), "n_entries"))
 
 
 # ------------------------------------------------------------------ M6

@@ -1,14 +1,16 @@
-"""Feed documents: landed RSS / Atom files read with Spark's XML source.
-
-Parsing problems never fail a run: a file that cannot be parsed yields a
-``_corrupt_record`` row (PERMISSIVE mode) that goes to quarantine, while its
-good entries are kept, as the original reader keeps a malformed feed's
-entries when it has any (S3, S4).
+"""Feed documents: landed RSS / Atom files, read in one scan for both formats.
+
+A file is one fetch, so it is read whole, as one row; its entries are cut out
+and each is parsed by ``from_xml`` with the schema of its format. Parsing
+problems never fail a run: an entry that can't be parsed, or what is left of a
+file that breaks off in one, is a ``_corrupt_record`` row (PERMISSIVE mode) that
+goes to quarantine, while the good entries are kept, as the original reader
+keeps a malformed feed's entries when it has any (S3, S4).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as Ty
 
@@ -26,6 +28,10 @@ RSS_ITEM = Ty.StructType([
     Ty.StructField("_corrupt_record", Ty.StringType()),
 ])
 
+#: An entry of either format, and the beginning of one that may not end.
+_ENTRY = r"(?s)<(item|entry)(?=[\s>])(?![^>]*/>).*?</\1\s*>"
+_OPEN = r"(?s)<(item|entry)(?=[\s>]|$)(?![^>]*/>).*"
+
 #: Tasks (and files) that one source's entries are written by at most.
 FILES_PER_SOURCE = 16
 
@@ -48,72 +54,57 @@ def _source_of_file() -> F.Column:
     return F.regexp_extract(F.input_file_name(), r"source=([^/]+)/", 1)
 
 
-def _read(spark: SparkSession, path: str, row_tag: str, schema, glob: str,
-          stream: bool = False) -> DataFrame:
-    reader = spark.readStream if stream else spark.read
-    return (reader.format("xml").option("rowTag", row_tag).option("mode", "PERMISSIVE")
-            .option("columnNameOfCorruptRecord", "_corrupt_record")
-            .option("pathGlobFilter", glob).option("recursiveFileLookup", "true")
-            .schema(schema).load(path))
-
-
-def read_rss(spark: SparkSession, path: str, stream: bool = False) -> DataFrame:
-    raw = _read(spark, path, "item", RSS_ITEM, FEED_FILES, stream)
-    return raw.select(
-        F.url_decode(_source_of_file()).alias("source"), F.input_file_name().alias("file"),
-        "title", "link", "summary", "description",
-        F.col("pubDate").alias("published"), "updated", "_corrupt_record", *_landing())
-
-
-def read_atom(spark: SparkSession, path: str, stream: bool = False) -> DataFrame:
-    raw = _read(spark, path, "entry", ATOM_ENTRY, FEED_FILES, stream)
-    alt = F.filter("link", lambda l: l["_rel"].isNull() | (l["_rel"] == "alternate"))
-    return raw.select(
-        F.url_decode(_source_of_file()).alias("source"), F.input_file_name().alias("file"),
-        F.col("title._VALUE").alias("title"), F.element_at(alt, 1)["_href"].alias("link"),
-        F.col("summary._VALUE").alias("summary"), F.col("content._VALUE").alias("description"),
-        "published", "updated", "_corrupt_record", *_landing())
-
-
 def read_feeds(spark: SparkSession, path: str, stream: bool = False) -> DataFrame:
     """RSS items and Atom entries of every landed feed file, one schema.
 
-    Both readers scan every file: an RSS file has no ``entry`` rows and an
-    Atom file no ``item`` rows, while a broken file yields a corrupt row in
-    both, which ``quarantine`` folds into one row per file.
+    ``entry_pos`` is an entry's 1-based place in its file. What follows the
+    last whole entry of a file that breaks off is one row of its own.
     """
-    return read_rss(spark, path, stream).unionByName(read_atom(spark, path, stream))
-
-
-def _parsed_ref() -> F.Column:
-    """An always-true predicate on a parsed column. Spark refuses scans that
-    read only the corrupt-record column (e.g. ``count()`` after a filter on
-    it); referencing ``title`` keeps such queries legal under pruning."""
-    return F.length(F.coalesce(F.col("title"), F.lit(""))) >= 0
+    reader = spark.readStream if stream else spark.read
+    files = (reader.format("text").option("wholetext", "true").option("pathGlobFilter", FEED_FILES)
+             .option("recursiveFileLookup", "true").schema("value string").load(path))
+    left_over = F.regexp_extract(F.regexp_replace("value", _ENTRY, " "), _OPEN, 0)
+    found = files.select(
+        F.url_decode(_source_of_file()).alias("source"), F.input_file_name().alias("file"), *_landing(),
+        F.regexp_extract_all("value", F.lit(_ENTRY), F.lit(0)).alias("__whole"), left_over.alias("__rest"))
+    rest = F.when(F.length("__rest") > 0, F.array("__rest")).otherwise(F.array().cast("array<string>"))
+    rows = found.select("source", "file", "fetched_at", F.size("__whole").alias("__n"),
+                        F.posexplode(F.concat("__whole", rest)).alias("__at", "__xml"))
+    whole = F.col("__at") < F.col("__n")
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
+    of = lambda tag, schema: F.from_xml(
+        F.when(whole & F.startswith(F.col("__xml"), F.lit(f"<{tag}")), F.col("__xml")), schema, options)
+    rows = rows.withColumn("__rss", of("item", RSS_ITEM)).withColumn("__atom", of("entry", ATOM_ENTRY))
+    alternate = F.filter("__atom.link", lambda l: l["_rel"].isNull() | (l["_rel"] == "alternate"))
+    return rows.select(
+        "source", "file",
+        F.coalesce("__rss.title", "__atom.title._VALUE").alias("title"),
+        F.coalesce("__rss.link", F.get(alternate, 0)["_href"]).alias("link"),
+        F.coalesce("__rss.summary", "__atom.summary._VALUE").alias("summary"),
+        F.coalesce("__rss.description", "__atom.content._VALUE").alias("description"),
+        F.coalesce("__rss.pubDate", "__atom.published").alias("published"),
+        F.coalesce("__rss.updated", "__atom.updated").alias("updated"),
+        F.when(~whole, F.left("__xml", F.lit(1000))).otherwise(
+            F.coalesce("__rss._corrupt_record", "__atom._corrupt_record")).alias("_corrupt_record"),
+        "fetched_at", (F.col("__at") + 1).cast("bigint").alias("entry_pos"))
 
 
 def entries(feeds: DataFrame) -> DataFrame:
-    """Parsed entries with ``entry_pos``, their 1-based position inside the
-    file, however the file was split (a feed file is one fetch, so bounded)."""
-    ok = feeds.filter(F.col("_corrupt_record").isNull() & _parsed_ref()).drop("_corrupt_record")
-    w = Window.partitionBy("file").orderBy("__block", "__row")
-    return (ok.withColumn("__row", F.monotonically_increasing_id())
-            .withColumn("entry_pos", F.row_number().over(w).cast("bigint"))
-            .drop("__row", "__block"))
+    """Parsed entries, with ``entry_pos``."""
+    return feeds.filter(F.col("_corrupt_record").isNull()).drop("_corrupt_record")
 
 
 def _landing() -> list[F.Column]:
-    """Landing time and split of the file: a ``fetched=<time>`` folder names
+    """Landing time of the file: a ``fetched=<time>`` folder names
     the time, else the file's own modification time stands."""
     named = F.regexp_extract(F.input_file_name(), r"fetched=([^/]+)/", 1)
     return [F.coalesce(F.try_to_timestamp(F.url_decode(F.nullif(named, F.lit("")))).cast("timestamp_ntz"),
-                       F.col("_metadata.file_modification_time").cast("timestamp_ntz")).alias("fetched_at"),
-            F.col("_metadata.file_block_start").alias("__block")]
+                       F.col("_metadata.file_modification_time").cast("timestamp_ntz")).alias("fetched_at")]
 
 
 def quarantine(feeds: DataFrame) -> DataFrame:
     """One row per file that had a parse problem, with an excerpt."""
-    bad = feeds.filter(F.col("_corrupt_record").isNotNull() & _parsed_ref())
+    bad = feeds.filter(F.col("_corrupt_record").isNotNull())
     return (bad.groupBy("source", "file")
             .agg(F.count(F.lit(1)).alias("n_corrupt"),
                  F.count("title").alias("n_partial"),

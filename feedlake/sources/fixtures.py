@@ -167,16 +167,25 @@ def flawed_responses(spark: SparkSession, base: str) -> DataFrame:
             .withColumn("run_ts", run_of(F.col("day"))))
 
 
+#: Files that one host's pages are dealt over.
+FILES_PER_HOST = 4
+
+
 def broken_feeds(spark: SparkSession, base: str) -> str:
-    """Feed files that break off, one for each host of every fifth page: each
-    has its pages as entries, and each entry is followed by one cut short."""
+    """Feed files of all pages, a few for each host; those of hosts whose name
+    has an even length break off in the middle of a last entry."""
     from feedlake.session import scratch_path
     path = scratch_path(spark, "broken-feeds")
-    p = table(spark, base, "pages").filter(F.col("page_id") % 5 == 0)
+    pages = table(spark, base, "pages").select(
+        F.regexp_extract("url", HOST_RE, 1).alias("source"), (F.col("page_id") % FILES_PER_HOST).alias("file_no"), "page_id")
     line = F.concat(F.lit("<item><title>Page "), F.col("page_id").cast("string"),
-                    F.lit("</title><link>https://x.example.org/</link></item><item><title>Cut"))
-    (p.select(F.regexp_extract("url", HOST_RE, 1).alias("source"), line.alias("value"))
-     .repartition("source").write.partitionBy("source").text(path))
+                    F.lit("</title><link>https://x.example.org/</link></item>"))
+    whole = pages.select("source", "file_no", F.lit(0).alias("last"), line.alias("value"))
+    cut = (pages.filter(F.length("source") % 2 == 0).select("source", "file_no").distinct()
+           .select("source", "file_no", F.lit(1).alias("last"), F.lit("<item><title>Cut").alias("value")))
+    order = ["source", "file_no"]
+    (whole.unionByName(cut).repartition(*order).sortWithinPartitions(*order, "last").drop("last")
+     .write.partitionBy(*order).text(path))
     return path
 
 
