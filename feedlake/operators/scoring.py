@@ -4,15 +4,17 @@
   (pattern, severity, category, weight) matched on title and summary. A
   bounded rule list compiles to one CASE expression (first rule in weight
   order wins): a narrow, code-generated projection with no join or shuffle.
-  A rule table given as a DataFrame is joined by ``rlike`` with the table
-  broadcast behind a size check, and the best rule per item is a top-1.
+  A rule table given as a DataFrame, of any size, is joined on the first
+  characters of the strings that its expressions require; ``rlike`` decides.
 * ``score_items`` (M5): a user-supplied pandas scorer run with
   ``mapInPandas`` on Arrow batches; per-row Python stays inside it.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
+from re import _parser as re_parser
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,8 +22,7 @@ from pyspark.sql import types as Ty
 
 from feedlake import vocab
 from feedlake.functions.coerce import clamp_score
-from feedlake.operators.joins import sized_broadcast
-from feedlake.operators.ranking import top_k
+from feedlake.sources.tables import materialize
 
 # Word boundaries are spelled out: Java's \b counts Unicode letters as word
 # characters while RE2's and Python's ASCII mode do not; this class means the
@@ -83,16 +84,78 @@ def rubric_score(items: DataFrame, text: Column, rules=RULES) -> DataFrame:
             .drop("__r"))
 
 
-def rubric_join(items: DataFrame, text: Column, rules: DataFrame, key: str = "entry_id"
-                ) -> DataFrame:
-    """Rule table as data: ``rlike`` join (rules broadcast when small), best
-    rule per item by weight then rule id, unmatched items kept (left join)."""
-    t = items.withColumn("__text", text)
-    r = sized_broadcast(rules)
-    hits = t.select(key, "__text").join(r, F.expr("__text rlike pattern"), "inner")
-    best = top_k(hits, [key], [F.col("weight").desc(), F.col("rule_id")], 1, out="__r") \
-        .select(key, "rule_id", "severity", "category", F.col("weight").alias("score"))
-    out = t.drop("__text").join(best, key, "left")
+def _runs(tree) -> list[list[str]]:
+    """Clauses of a parsed regular expression: of each, at least one string is in every match.
+
+    A run of literal characters is a clause of one string, alternatives are one
+    of their best clauses together. What may be absent gives none.
+    """
+    clauses: list[list[str]] = []
+    run = ""
+    for op, arg in tree:
+        name = str(op)
+        if name == "LITERAL" and arg < 128:
+            run += chr(arg)
+            continue
+        if name == "AT":  # an anchor takes no character, so the run goes on
+            continue
+        clauses += [[run]] if run else []
+        run = ""
+        if name == "SUBPATTERN":
+            clauses += _runs(arg[3])
+        elif name == "BRANCH":
+            best = [_best(_runs(branch)) for branch in arg[1]]
+            clauses += [sorted({s for clause in best for s in clause})] if all(best) else []
+        elif name in ("MAX_REPEAT", "MIN_REPEAT", "POSSESSIVE_REPEAT") and arg[0] > 0:
+            clauses += _runs(arg[2])
+        elif name == "ATOMIC_GROUP":
+            clauses += _runs(arg)
+    return clauses + ([[run]] if run else [])
+
+
+def _best(clauses: list[list[str]]) -> list[str]:
+    """The clause whose shortest string is longest (up to a gram), then the one of fewest strings."""
+    return max(clauses, key=lambda c: (min(min(map(len, c)), GRAM), -len(c)), default=[])
+
+
+def required_strings(pattern: str) -> list[str]:
+    """Lower-case ASCII strings of which every match of ``pattern`` has one; none if it can't be told."""
+    try:
+        return [s.lower() for s in _best(_runs(re_parser.parse(pattern)))]
+    except (re.error, OverflowError, RecursionError):  # a form that only the other dialect has
+        return []
+
+
+#: Characters of a text that rules are looked up by.
+GRAM = 3
+
+
+def rubric_join(items: DataFrame, text: Column, rules: DataFrame, key: str = "entry_id") -> DataFrame:
+    """Best rule per item (weight, then rule id) from a table of regular expressions of any size.
+
+    ``rules``: rule_id, pattern, severity, category, weight; ``key`` is unique
+    in ``items``. A pattern can only match where one of the strings that it
+    requires stands, so items meet rules on equal grams, the first characters
+    of those strings, and ``rlike`` decides for the pairs that this leaves. Rules
+    that require no string are tried on every item, as ``rubric_score`` does.
+    """
+    t = items.select(key, text.alias("__text"))
+    needs = F.udf(required_strings, "array<string>")
+    r = materialize(rules.select("rule_id", "pattern", "weight", needs("pattern").alias("strings")), "rules")
+    grams = r.select("rule_id", "pattern", "weight", F.explode("strings").alias("string")).select(
+        "rule_id", "pattern", "weight", F.left("string", F.lit(GRAM)).alias("gram")).distinct()
+    lengths = sorted(x[0] for x in grams.select(F.length("gram")).distinct().collect())  # at most GRAM
+    lower = F.lower("__text")
+    found = [F.regexp_extract_all(lower, F.lit(f"(?s)(?=(.{{{n}}}))"), F.lit(1)) for n in lengths]
+    met = (t.select(key, F.explode(F.array_distinct(F.concat(*found) if found else F.array().cast("array<string>"))).alias("gram"))
+           .join(grams, "gram").select(key, "rule_id", "pattern", "weight").distinct())
+    hits = met.join(t, key).filter(F.expr("__text rlike pattern")).select(key, "rule_id", "weight")
+    for rule in r.filter(F.size("strings") == 0).select("rule_id", "pattern", "weight").collect():
+        hits = hits.unionByName(t.filter(F.col("__text").rlike(rule.pattern)).select(
+            key, F.lit(rule.rule_id).alias("rule_id"), F.lit(rule.weight).alias("weight")))
+    best = hits.groupBy(key).agg(F.min_by("rule_id", F.struct(-F.col("weight"), F.col("rule_id"))).alias("rule_id"))
+    told = best.join(rules.select("rule_id", "severity", "category", F.col("weight").alias("score")), "rule_id")
+    out = items.join(told, key, "left")
     return (out.withColumn("severity", F.coalesce("severity", F.lit(vocab.DEFAULT_SEVERITY)))
             .withColumn("category", F.coalesce("category", F.lit(vocab.DEFAULT_CATEGORY)))
             .withColumn("score", clamp_score(F.col("score")).cast("int"))
