@@ -82,7 +82,7 @@ def read_table(spark: SparkSession, path: str, schema: Ty.StructType) -> DataFra
 
 
 # ------------------------------------------------------------------ ledger
-_BUCKETS = "_buckets="
+_BUCKETS = "_buckets."  # a name that table scans pass over
 
 
 def create_ledger(spark: SparkSession, path: str, buckets: int) -> None:
