@@ -1,13 +1,15 @@
 """Mixing sources to target weights by a low-discrepancy schedule.
 
 DataFrame functions only.  Each source's documents are shuffled (by a hash of
-doc_id) into one stream of words, cut into blocks of ``block_words``.  The
-schedule draws slot k's point as the fractional part of k times the golden
-ratio, in exact 31-bit integers, and maps it through the sources' cumulative
-weights.  A source's r-th slot takes its stream's r-th block; a stream repeats
-after its end, up to ``max_repeat`` times.  By the three-gap theorem 3 points
-for each slot wanted give every source at least its slots; a source's slots
-beyond those it needs are not used, and its last one ends at the target.
+doc_id) into one stream of words, cut into blocks of equal length.  The schedule
+has a slot for each block of the mix: slot k's point is the fractional part of k
+times the golden ratio, in 31 bits, mapped through the sources' cumulative
+targets.  A source's r-th slot takes its stream's r-th block; a stream repeats
+after its end, up to ``max_repeat`` times.  So the schedule alone says how much of
+a source is taken and where in the mix it stands; the points' low discrepancy
+keeps every prefix of it, and the whole, within a few blocks of the targets.
+Blocks hold BLOCK_WORDS words, or twice that and so on where the schedule would
+have more than MOST_SLOTS slots.
 
 Targets: the weights share ``share`` of all words; a target stops at
 ``max_repeat`` times its source's words and the excess goes to the others by
@@ -30,10 +32,14 @@ from feedlake.llm.scratch import written
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)
 MAX_REPEAT = 3
-BLOCK_WORDS = 1024
+BLOCK_WORDS = 32
+MOST_SLOTS = 1 << 27
+#: Steps of the cumulative targets for each block.
+STEPS = 16
 #: Golden-ratio multiplier for points of POINT_BITS bits (2^31 / 1.618..., odd).
 GOLDEN, POINT_BITS = 1327217885, 31
 CHUNK_BITS = 9
+PART_BITS = 12
 #: Documents of a source that one window sums.
 BUCKET_DOCS = 512
 #: Source tables up to this many rows are broadcast; larger ones are left to the planner.
@@ -78,79 +84,83 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float =
                             F.coalesce(F.col("level") * F.col("weight"), F.col("cap").cast("double"))).alias("target")))
 
 
+def block_length(words: int) -> int:
+    """Words of a block in a mix of so many words."""
+    block = BLOCK_WORDS
+    while words > block * MOST_SLOTS:
+        block *= 2
+    return block
+
+
+def points(slots: DataFrame) -> DataFrame:
+    """``slots`` (id) with ``point``: the golden-ratio sequence in POINT_BITS bits."""
+    return slots.withColumn("point", (F.col("id") * GOLDEN) % (1 << POINT_BITS))
+
+
 def schedule(sources: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """The slots in use: skey, rank (the block of the source's stream), slot (place in the mix).
+    """The slots of the mix: skey, rank (the block of the source's stream), slot (place in the mix).
 
-    ``sources``: skey and want (words to take).
+    ``sources``: skey and want (words to take, as near as the points allow).
     """
     spark = sources.sparkSession
-    need = sources.withColumn("need", F.ceil(F.col("want") / block_words)).filter("need > 0")
-    total = need.agg(F.coalesce(F.sum("need"), F.lit(0))).first()[0]
-    n_slots = 3 * total
+    need = sources.withColumn("need", F.floor(F.col("want") * STEPS / block_words)).filter("need > 0")
+    total, words = need.agg(F.coalesce(F.sum("need"), F.lit(0)), F.coalesce(F.sum("want"), F.lit(0))).first()
+    n_slots = -(-words // block_words)
     if n_slots >= 1 << POINT_BITS:
-        raise ValueError(f"{total} slots of {block_words} words; raise block_words")
+        raise ValueError(f"{n_slots} slots of {block_words} words; raise block_words")
     begin = F.coalesce(F.sum("need").over(Window.orderBy("skey").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     spans = (need.withColumn("begin", begin)
              .withColumn("chunk", F.explode(F.sequence(F.shiftright("begin", CHUNK_BITS),
                                                        F.shiftright(F.col("begin") + F.col("need") - 1, CHUNK_BITS))))
              .select("chunk", F.greatest("begin", F.shiftleft("chunk", CHUNK_BITS)).alias("at"),
-                     F.lit(None).cast("long").alias("slot"), "skey", "need"))
-    point = (F.col("id") * GOLDEN) % (1 << POINT_BITS)
-    slots = (spark.range(n_slots).withColumn("at", F.shiftright(point * total, POINT_BITS))
+                     F.lit(None).cast("long").alias("slot"), "skey"))
+    at = F.floor(F.col("point") * F.lit(total / (1 << POINT_BITS)))
+    slots = (points(spark.range(n_slots)).withColumn("at", at)
              .select(F.shiftright("at", CHUNK_BITS).alias("chunk"), "at", F.col("id").alias("slot"),
-                     F.lit(None).cast("string").alias("skey"), F.lit(None).cast("long").alias("need")))
+                     F.lit(None).cast("string").alias("skey")))
     last = (Window.partitionBy("chunk").orderBy("at", F.col("slot").asc_nulls_first())
             .rowsBetween(Window.unboundedPreceding, 0))
     mapped = (spans.unionByName(slots)
-              .select("slot", F.last("skey", ignorenulls=True).over(last).alias("skey"),
-                      F.last("need", ignorenulls=True).over(last).alias("need"))
+              .select("slot", F.last("skey", ignorenulls=True).over(last).alias("skey"))
               .filter("slot is not null")
-              .withColumn("part", F.shiftright("slot", CHUNK_BITS)).withColumn("one", F.lit(1)))
+              .withColumn("part", F.shiftright("slot", PART_BITS)).withColumn("one", F.lit(1)))
     mapped = written(mapped, "slots")
-    return (running_sum(mapped, ["skey"], "part", ["slot"], "one", "rank")
-            .filter("rank < need").select("skey", "rank", "slot"))
+    return running_sum(mapped, ["skey"], "part", ["slot"], "one", "rank").select("skey", "rank", "slot")
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = 1.0, max_repeat: int = MAX_REPEAT,
-        block_words: int = BLOCK_WORDS) -> DataFrame:
-    """doc_id, source, size, source_size, target, taken: one row for each row of ``docs``."""
+        block_words: int | None = None) -> DataFrame:
+    """doc_id, source, size, source_size, target, taken, slot: one row for each row of ``docs``.
+
+    ``taken``: words of the document in the blocks that its source's slots take;
+    ``slot``: the first slot that holds some of it (null: none).
+    """
     sizes = written(sized(docs), "sizes")
     sources = written(targets(sizes, weights, share, max_repeat).withColumn("want", F.floor("target").cast("long")),
                       "sources")
-    small = sources.count() <= BROADCAST_SOURCES
-    slots = schedule(sources.select("skey", "want"), block_words)
+    n_sources, words = sources.agg(F.count(F.lit(1)), F.coalesce(F.sum("want"), F.lit(0))).first()
+    block = block_words or block_length(words)
+    slots = written(schedule(sources.select("skey", "want"), block), "schedule")
+    drawn = slots.groupBy("skey").agg((F.count(F.lit(1)) * block).alias("drawn"))
+    sources = written(sources.join(drawn, "skey", "left").withColumn(
+        "drawn", F.least(F.coalesce("drawn", F.lit(0)), max_repeat * F.col("source_size"))), "drawn")
     n_buckets = F.ceil(F.col("n_docs") / BUCKET_DOCS)
     prefix = F.conv(F.substring("h", 1, 8), 16, 10).cast("long")
     order = ["h", "doc_id", "size"]
-    placed = (sizes.join(F.broadcast(sources) if small else sources, "skey")
+    placed = (sizes.join(F.broadcast(sources) if n_sources <= BROADCAST_SOURCES else sources, "skey")
               .withColumn("bucket", F.shiftright(prefix * n_buckets, 32))
               .withColumn("row", F.row_number().over(Window.partitionBy("skey", "bucket").orderBy(*order))))
     # rows of equal order keys are equal rows: either may come first
-    placed = running_sum(placed, ["skey"], "bucket", ["row"], "size", "start").withColumn("pieces", _pieces(block_words))
-    pieces = placed.select("skey", "bucket", "row", "doc_id", "source", "size", "source_size", "target",
-                           F.explode_outer("pieces").alias("piece"))
-    taken = pieces.withColumns({"rank": F.col("piece.rank"), "words": F.col("piece.words")}).join(
-        slots, ["skey", "rank"], "left")
-    return (taken.groupBy("skey", "bucket", "row", "doc_id", "source", "size", "source_size", "target")
-            .agg(F.sum(F.when(F.col("slot").isNotNull(), F.col("words")).otherwise(F.lit(0))).alias("taken"))
-            .select("doc_id", "source", "size", "source_size", "target", "taken"))
-
-
-def _pieces(block_words: int) -> Column:
-    """(rank, words) of the blocks that a document's words fall in, over the stream's repeats up to the target."""
-    return F.expr(f"""
-        flatten(transform(
-            filter(transform(sequence(0, if(source_size = 0, 0, cast((want - 1) div source_size as int))),
-                             e -> struct(e * source_size + start as lo,
-                                         least(e * source_size + start + size, want) as hi)),
-                   x -> x.hi > x.lo),
-            x -> transform(sequence(x.lo div {block_words}, (x.hi - 1) div {block_words}),
-                           r -> struct(r as rank,
-                                       least(x.hi, (r + 1) * {block_words}) - greatest(x.lo, r * {block_words}) as words))))
-    """)
-
-
-#: The same targets and takings in closed form, without the schedule.
+    placed = running_sum(placed, ["skey"], "bucket", ["row"], "size", "start")
+    inside = [F.greatest(F.lit(0), F.least(F.col("start") + F.col("size") + e * F.col("source_size"), F.col("drawn"))
+                         - F.col("start") - e * F.col("source_size")) for e in range(max_repeat)]
+    taken = placed.withColumn("taken", sum(inside[1:], inside[0]).cast("long"))
+    first = F.when(F.col("taken") > 0, F.floor(F.col("start") / block))
+    return taken.withColumn("rank", first).join(slots, ["skey", "rank"], "left").select(
+        "doc_id", "source", "size", "source_size", "target", "taken", "slot")
+
+
+#: The same targets, points and slots; BLOCK_WORDS and STEPS as in a small mix.
 ORACLE_SQL = r"""
 with sized as (
   select doc_id, source, md5(coalesce(cast(doc_id as varchar), '')) as h,
@@ -173,14 +183,30 @@ target as (
          least(cast(cap as double),
                max(case when rest * weight <= cap * open then cast(rest as double) / open end) over () * weight) as target
   from levelled),
+spans as (
+  select *, cast(floor(floor(target) * 16 / 32) as bigint) as need,
+         cast(sum(floor(floor(target) * 16 / 32)) over (order by source nulls last) as bigint) as reach from target),
+slots as (
+  select k as slot, cast(floor(((k * 1327217885) % 2147483648) * (total / 2147483648)) as bigint) as spot
+  from (select cast(sum(need) as double) as total, cast(ceil(sum(floor(target)) / 32) as bigint) as n
+        from spans where need > 0) t, range(0, t.n) r(k)),
+ranked as (
+  select source, slot, row_number() over (partition by source order by slot) - 1 as rank
+  from slots join spans on spot >= reach - need and spot < reach),
+drawn as (
+  select t.source, t.source_size, t.target, least(32 * count(r.slot), 3 * t.source_size) as want
+  from target t left join ranked r on r.source is not distinct from t.source
+  group by t.source, t.source_size, t.target),
 placed as (
-  select s.doc_id, s.size, t.source_size, t.target, cast(floor(t.target) as bigint) as want,
+  select s.doc_id, s.size, t.source, t.source_size, t.target, t.want,
          cast(coalesce(sum(s.size) over (partition by s.source order by s.h, s.doc_id, s.size
                                 rows between unbounded preceding and 1 preceding), 0) as bigint) as lo
-  from sized s join target t on s.source is not distinct from t.source)
-select doc_id, size, source_size, target,
-       cast(greatest(0, least(lo + size, want) - lo)
-          + greatest(0, least(source_size + lo + size, want) - (source_size + lo))
-          + greatest(0, least(2 * source_size + lo + size, want) - (2 * source_size + lo)) as bigint) as taken
-from placed
+  from sized s join drawn t on s.source is not distinct from t.source),
+filled as (
+  select *, cast(greatest(0, least(lo + size, want) - lo)
+               + greatest(0, least(source_size + lo + size, want) - (source_size + lo))
+               + greatest(0, least(2 * source_size + lo + size, want) - (2 * source_size + lo)) as bigint) as taken
+  from placed)
+select f.doc_id, f.size, f.source_size, f.target, f.taken, r.slot
+from filled f left join ranked r on r.source is not distinct from f.source and r.rank = f.lo // 32 and f.taken > 0
 """

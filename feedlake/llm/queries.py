@@ -40,7 +40,8 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("op2_mix_sources", mixing.ORACLE_SQL)
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+    return mixing.mix(table(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "source_size", "target", "taken", "slot")
 
 
 @register("op3_decontaminate", decontam.ORACLE_SQL)
