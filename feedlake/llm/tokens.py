@@ -82,12 +82,12 @@ def chunk_starts(texts: W.Flat) -> np.ndarray:
 class Encoder:
     """Byte-level BPE over whole texts, with the chunks seen so far."""
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, special_as_text: bool = False) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = special_as_text
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.length = np.zeros(max(vocabulary.values(), default=0) + 1, dtype=np.int64)
         for token, number in vocabulary.items():
@@ -145,27 +145,29 @@ class Encoder:
         return out, per_text
 
 
-_encoders: dict[str, Encoder] = {}
+_encoders: dict[tuple[str, bool], Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
+def encoder(path: str, special_as_text: bool = False) -> Encoder:
     """The worker's encoder for a vocabulary file, loaded once."""
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
+    if (path, special_as_text) not in _encoders:
+        _encoders[path, special_as_text] = Encoder(path, special_as_text)
+    return _encoders[path, special_as_text]
 
 
-def write_tokens(docs: DataFrame, path: str, tokenizer: str) -> None:
+def write_tokens(docs: DataFrame, path: str, tokenizer: str, special_as_text: bool = False) -> None:
     """Write all ids of ``docs`` (doc_id, text) in ascending doc_id order to ``path``.
 
     ``tokenizer``: path of a byte-level BPE file, the same on every worker.
+    ``special_as_text``: strings of special tokens in a text are ordinary text;
+    else they become those tokens, as the library does by itself.
     """
     tie = F.xxhash64("text")
     ordered = (docs.select("doc_id", "text").repartitionByRange("doc_id", tie)
                .sortWithinPartitions("doc_id", tie, "text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, part, first = encoder(tokenizer), TaskContext.get().partitionId(), 0
+        own, part, first = encoder(tokenizer, special_as_text), TaskContext.get().partitionId(), 0
         ids: list[np.ndarray] = []
         doc_ids: list[np.ndarray] = []
         counts: list[np.ndarray] = []

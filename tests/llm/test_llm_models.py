@@ -64,19 +64,25 @@ def direct(vocabulary):
     from tokenizers import Tokenizer
 
     own = Tokenizer.from_file(vocabulary)
-    own.encode_special_tokens = True
     return lambda text: own.encode(text or "", add_special_tokens=False).ids + [0]
 
 
-ODD = ["", None, " ", "  a  b ", "a\n\nb", "a \n b", "x  y", "x 　y  z", "don't  we'll\tgo", "日本 語\n字", "a <|endoftext|> b",
+ODD = ["", None, " ", "  a  b ", "a\n\nb", "a \n b", "x  y", "x 　y  z", "don't  we'll\tgo", "日本 語\n字", "a <|endoftext|> b", "<|endoftext|>",
+       "x<|endoftext|>y <|endoftext|>  z\n<|endoftext|>\nw <|endoftext|><|endoftext|> hi", "<|endoftext|> hi", " a <|endoftext|>",
        "\x1c a \x1f b \x0b c", "end\n", "  a", "a  ", "😀 😀\n😀", "a\x85 b", "word " * 30_000]
 
 
-def test_chunks_encode_as_whole_texts(vocabulary, direct):
+@pytest.mark.parametrize("special_as_text", [False, True])
+def test_chunks_encode_as_whole_texts(vocabulary, special_as_text):
+    from tokenizers import Tokenizer
+
+    whole = Tokenizer.from_file(vocabulary)
+    whole.encode_special_tokens = special_as_text
+    direct = lambda text: whole.encode(text or "", add_special_tokens=False).ids + [0]
     rng = random.Random(1)
     alphabet = [" ", "\n", "a", "b", "é", " ", "'s", "1", "!", "　", "\t", "日", "\x0c", "  ", "ll", "\r", " ", " "]
     texts = ODD + ["".join(rng.choices(alphabet, k=rng.randrange(30))) for _ in range(1500)]
-    own = tokens.Encoder(vocabulary)
+    own = tokens.Encoder(vocabulary, special_as_text)
     for part in (texts, texts[::-1]):  # the second time from what was seen
         ids, counts = own.encode(W.flat(pa.array(part, pa.string())))
         assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == [direct(t) for t in part]
