@@ -63,6 +63,8 @@ def q_stream_dedup(spark, base):
 # ------------------------------------------------------------------ T2, K2 with state
 #: Days that the query's ledger keeps a row.
 LEDGER_DAYS = 10
+#: Parts of the queries' state; a job on a cluster gives its own.
+STATE_PARTITIONS = 8
 
 
 def _mark_files(spark, base, n=3):
@@ -92,7 +94,7 @@ def q_stream_ledger(spark, base):
     keep = scratch_path(spark, "ledger-query")
     for glob in ("part-00000*.parquet", "*.parquet"):  # the second run goes on after the first
         live = spark.readStream.schema(schema).option("pathGlobFilter", glob).option("maxFilesPerTrigger", 1).parquet(files)
-        out = SL.run_ledger(live, LEDGER_DAYS, late="60 days", path=keep)
+        out = SL.run_ledger(live, LEDGER_DAYS, late="60 days", path=keep, partitions=STATE_PARTITIONS)
     now = spark.read.parquet(files).agg(F.max("seen_at")).first()[0]
     return LG.purge(SL.ledger_rows(spark, out), F.lit(now), LEDGER_DAYS)
 
@@ -175,7 +177,7 @@ def q_stream_week_close(spark, base):
             inside &= F.col("run_ts") < F.lit(first + (k + 1) * step).cast("timestamp_ntz")
         rows.filter(inside).coalesce(1).write.mode("append").parquet(path)
     live = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
-    return SW.read_recaps(spark, SW.run_weeks(live))
+    return SW.read_recaps(spark, SW.run_weeks(live, partitions=STATE_PARTITIONS))
 
 
 # ------------------------------------------------------------------ T5 on the stream

@@ -117,23 +117,31 @@ def ledger_snapshots(marks: DataFrame, days: int = vocab.LEDGER_RETENTION_DAYS,
 
 
 @contextmanager
-def rocksdb(spark: SparkSession) -> Iterator[None]:
-    """The state store that keeps state on disk, for the queries started within."""
-    provider = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(provider, None)
-    spark.conf.set(provider, STATE_STORE)
+def rocksdb(spark: SparkSession, partitions: int | None = None) -> Iterator[None]:
+    """The state store that keeps state on disk, for the queries started within.
+
+    ``partitions``: parts of the state, which a query keeps from its first start on.
+    """
+    wanted = {"spark.sql.streaming.stateStore.providerClass": STATE_STORE}
+    if partitions:
+        wanted["spark.sql.shuffle.partitions"] = str(partitions)
+    before = {k: spark.conf.get(k, None) for k in wanted}
+    for k, v in wanted.items():
+        spark.conf.set(k, v)
     try:
         yield
     finally:
-        if before is None:
-            spark.conf.unset(provider)
-        else:
-            spark.conf.set(provider, before)
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
 
 
-def run_ledger(marks: DataFrame, days: int = vocab.LEDGER_RETENTION_DAYS, late: str = "1 day", path: str | None = None) -> str:
+def run_ledger(marks: DataFrame, days: int = vocab.LEDGER_RETENTION_DAYS, late: str = "1 day", path: str | None = None,
+               partitions: int | None = None) -> str:
     """Consume the marks there are (AvailableNow) and return the folder of snapshots, one subfolder per micro-batch."""
-    with rocksdb(marks.sparkSession):
+    with rocksdb(marks.sparkSession, partitions):
         return ST.run_to_table(ledger_snapshots(marks, days, late), "stream-ledger", output_mode="update", path=path,
                                batch_fn=lambda b, i, out: b.write.mode("overwrite").parquet(f"{out}/batch={i}"))
 

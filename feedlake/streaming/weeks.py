@@ -132,6 +132,8 @@ def recap_writer(n_top: int = vocab.RECAP_TOP):
         spark = batch.sparkSession
         batch.write.mode("overwrite").partitionBy("week").parquet(f"{out}/events/batch={batch_id}")
         touched = read_events(spark, out).filter(F.col("batch") == batch_id).select("week").distinct()
+        if touched.isEmpty():
+            return
         events = read_events(spark, out).filter(F.col("batch") <= batch_id).join(touched, "week", "left_semi")
         staging = scratch_path(spark, "week-recaps")
         recaps(events, n_top).write.parquet(staging)
@@ -147,9 +149,10 @@ def read_events(spark: SparkSession, out: str) -> DataFrame:
     return spark.read.option("basePath", f"{out}/events").schema(f"{OUT}, batch bigint").parquet(f"{out}/events")
 
 
-def run_weeks(verdicts: DataFrame, late: str = "0 seconds", path: str | None = None, n_top: int = vocab.RECAP_TOP) -> str:
+def run_weeks(verdicts: DataFrame, late: str = "0 seconds", path: str | None = None, n_top: int = vocab.RECAP_TOP,
+              partitions: int | None = None) -> str:
     """Consume the verdicts there are (AvailableNow); returns the folder of ``events`` and ``recaps``."""
-    with rocksdb(verdicts.sparkSession):
+    with rocksdb(verdicts.sparkSession, partitions):
         return ST.run_to_table(week_events(verdicts, late, n_top), "stream-weeks-close", output_mode="update",
                                batch_fn=recap_writer(n_top), path=path)
 
