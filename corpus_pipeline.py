@@ -8,7 +8,7 @@ return the columns of ``documents``:
 2. n-gram Jaccard join: near duplicates are documents whose sets of five-word
    n-grams have a Jaccard similarity of 0.8 or more (the query op9 has its own
    values, 3 and 0.9).  Of each class one document stays, the one with the
-   class's smallest doc_id (of rows that repeat it, one); rows with null
+   class's smallest doc_id (of rows that repeat it, one for each text); rows with null
    doc_id, and documents without words, stay.
 3. benchmark decontamination: documents with an occurrence of a benchmark
    window go.
@@ -46,7 +46,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
                   "copies")
     kept = docs.join(out, "doc_id", "left_anti")
     if not out.filter("one").isEmpty():
-        kept = kept.unionByName(docs.join(out.filter("one"), "doc_id", "left_semi").dropDuplicates(["doc_id"]))
+        rest = [c for c in docs.columns if c not in ("doc_id", "text")]
+        repeats = docs.join(out.filter("one"), "doc_id", "left_semi").groupBy("doc_id", "text")
+        kept = kept.unionByName(repeats.agg(F.min(F.struct(*rest, F.lit(0))).alias("least")).select(
+            "doc_id", "text", *(F.col("least")[c].alias(c) for c in rest)))
     return kept.select(*docs.columns)
 
 
