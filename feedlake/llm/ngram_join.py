@@ -5,21 +5,26 @@ gives its own (5 words, 80 %).
 
 1. Sets.  A document's set holds the hashes of its distinct word n-grams.
    Documents with equal sets (size and a 128-bit sum) share a representative.
-2. Size ranges.  Bands of sizes are cut so that two linked sets lie in one band
-   or in neighbours.  For a pair of bands, sets that link differ in at most d
-   tokens, so of d + 1 + EMPTY hashed parts of the tokens at least 1 + EMPTY
-   are equal.  Each part's sum is a key; linked sets share a key (parts without
-   tokens count only for the few sets that have more than EMPTY of them).
-3. Candidates.  Tasks sort their keys and hand on one document for each, with a
+2. Token counts.  Tokens are counted over all sets by cells, CELLS or more for
+   each token, into files of the counts' magnitudes (bit lengths).
+3. Rare prefixes.  Two sets that link share ``percent`` of the larger one's tokens
+   at least, so by any common order of the tokens the first ``size - needed + 1``
+   of both hold a token of both.  The order is by magnitude, rare tokens first, so
+   a passage that many documents share is seldom in it; a token that only one set
+   has (magnitude 1) is no key, and a set of which all of the prefix is such links
+   with nothing.  Tokens that share a cell only move each other in that order.
+   Bands of sizes are cut so that two linked sets lie in one band or in
+   neighbours; a key is a prefix token with a pair of neighbouring bands.
+4. Candidates.  Tasks sort their keys and hand on one document for each, with a
    link to each other one of their own; so a key, however frequent, has one
    entry for each task.  Components of these links hold every linked pair.
-4. Signature trees.  Each component's sets are read in blocks of bounded size;
+5. Signature trees.  Each component's sets are read in blocks of bounded size;
    a tree over two blocks (see sigtree.py) finds the exact links by dual
    traversal.  First, every block meets the first one.  Where that leaves more
    than one class in a component, the documents outside its largest class
    meet all blocks.  So a group of copies costs rows in proportion to its size,
    and pairs are only taken in full among documents that don't hang together.
-5. Components of the links found give the classes.
+6. Components of the links found give the classes.
 
 Edge cases: null or empty texts have the empty set and link with nothing; a
 text with fewer words than n is one n-gram; rows with null doc_id link with
@@ -29,7 +34,9 @@ its own result row; other columns are ignored; an empty table gives no rows.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -39,17 +46,23 @@ from pyspark.sql import functions as F
 from feedlake.llm import sigtree
 from feedlake.llm import words as W
 from feedlake.llm.components import components, contracted
-from feedlake.llm.scratch import written
+from feedlake.llm.lm import _mapped, merge, pack, pack_sorted, save, unpack, unpack_sorted
+from feedlake.llm.scratch import fresh_path, posix_path, written
 
 N = 3
 PERCENT = 90
-#: Parts beyond d + 1, so that a set may have so many without tokens.
-EMPTY = 2
 BLOCK_DOCS = 64
 #: Documents on each side of a unit when what is left over meets all blocks.
 WIDE_DOCS = 256
 BLOCK_TOKENS = 1_000_000
 FLUSH_KEYS = 2_000_000
+#: Cells for each token of the corpus, at least; bits of the cells of one file.
+CELLS = 4
+FILE_BITS = 24
+#: Tokens of the corpus for each shard of keys.
+TOKENS_PER_SHARD = 4_000_000
+#: Set identities that a task remembers, to pass over its copies.
+SEEN = 1_000_000
 
 
 def _sum64(values: np.ndarray, bins: np.ndarray, n: int) -> np.ndarray:
@@ -94,42 +107,70 @@ class Sets:
         return np.split(self.token[order], np.cumsum(self.size)[:-1])
 
 
+class Distinct:
+    """Which sets of a run a task has not had yet; it may forget, which only costs space."""
+
+    def __init__(self) -> None:
+        self.seen: set[tuple[int, int]] = set()
+
+    def __call__(self, sets: Sets) -> np.ndarray:
+        if len(self.seen) > SEEN:
+            self.seen.clear()
+        new = np.zeros(sets.n, dtype=bool)
+        for i, identity in enumerate(zip(*(x.tolist() for x in sets.sums()), strict=True)):
+            if identity not in self.seen:
+                self.seen.add(identity)
+                new[i] = True
+        return new
+
+
+class Counts(NamedTuple):
+    """Magnitudes of the cells' counts (a token's cell: its highest ``bits`` bits), four bits each, in files."""
+
+    folder: str
+    bits: int
+
+    @property
+    def file_bits(self) -> int:
+        return min(self.bits, FILE_BITS)
+
+    def of(self, token: np.ndarray) -> np.ndarray:
+        cell = token >> np.uint64(64 - self.bits)
+        order = np.argsort(cell)
+        number = (cell[order] >> np.uint64(self.file_bits)).astype(np.int64)
+        place = (cell[order] & np.uint64((1 << self.file_bits) - 1)).astype(np.int64)
+        cuts = [0, *(np.flatnonzero(number[1:] != number[:-1]) + 1).tolist(), len(number)]
+        found = np.zeros(len(number), dtype=np.uint8)
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            if a < b:
+                at = place[a:b]
+                found[a:b] = _mapped(f"{self.folder}/counts-{number[a]}.npy")[at >> 1] >> (4 * (at & 1)).astype(np.uint8) & 15
+        out = np.empty(len(token), dtype=np.uint8)
+        out[order] = found
+        return out
+
+
 class Bands:
-    """Size bands and, for each pair of neighbours, the number of parts."""
+    """Size bands, and the keys of sets: tokens of their rare prefixes with pairs of bands."""
 
     def __init__(self, percent: int, largest: int) -> None:
+        self.percent = percent
         bounds = [1]
         while bounds[-1] <= largest:
             bounds.append(100 * bounds[-1] // percent + 1)
-        bounds.append(100 * bounds[-1] // percent + 1)
         self.bounds = np.array(bounds)
-        top = self.bounds[1:] - 1
-        differ = (100 - percent) * (top + 100 * top // percent) // (100 + percent)
-        self.parts = np.where(differ > 0, differ + 1 + EMPTY, 0)  # 0: only equal sets link
-
-    def keys(self, sets: Sets, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(key, text) of the parts of the chosen texts."""
-        band = np.searchsorted(self.bounds, sets.size, side="right") - 1
-        keys, texts = [], []
-        for lower in (0, 1):
-            group = band - lower
-            parts = np.where(chosen & (sets.size > 0) & (group >= 0), self.parts[np.maximum(group, 0)], 0)
-            first = np.concatenate(([0], np.cumsum(parts)))
-            mine = parts[sets.text] > 0
-            token, text = sets.token[mine], sets.text[mine]
-            spread = W.mix(token + np.uint64(0x632BE59BD9B4E019))
-            part = ((spread >> np.uint64(32)) * parts[text].astype(np.uint64) >> np.uint64(32)).astype(np.int64)
-            n = int(first[-1])
-            total = _sum64(spread, first[text] + part, n)
-            count = np.bincount(first[text] + part, minlength=n)
-            owner = np.repeat(np.arange(sets.n), parts)
-            which = (np.arange(n) - first[owner]).astype(np.uint64)
-            empty = np.bincount(owner[count == 0], minlength=sets.n)
-            used = (count > 0) | (empty[owner] > EMPTY)
-            place = W.mix((group[owner].astype(np.uint64) << np.uint64(32)) + which + np.uint64(1))
-            keys.append(W.mix(total + count.astype(np.uint64) ^ place)[used])
-            texts.append(owner[used])
-        return np.concatenate(keys), np.concatenate(texts)
+
+    def keys(self, sets: Sets, chosen: np.ndarray, magnitude: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(key, text) of the chosen texts; ``magnitude``: of each token's count."""
+        order = np.lexsort((sets.token, magnitude, sets.text))
+        text = sets.text[order]
+        place = np.arange(len(text)) - np.searchsorted(text, np.arange(sets.n))[text]
+        prefix = sets.size + (-self.percent * sets.size // 100) + 1  # size less the least overlap, and one
+        taken = order[chosen[text] & (place < prefix[text]) & (magnitude[order] > 1)]
+        token, text = sets.token[taken], sets.text[taken]
+        band = (np.searchsorted(self.bounds, sets.size, side="right") - 1)[text]
+        pairs = [W.mix(token + W.mix((band - lower + 2).astype(np.uint64))) for lower in (0, 1)]
+        return np.concatenate(pairs), np.concatenate([text, text])
 
 
 def _identities(n: int):
@@ -157,9 +198,66 @@ def _star(keys: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np
     return keys[new], ids[new], links[:, 0], links[:, 1]
 
 
-def _keys(n: int, percent: int, largest: int, shards: int):
+def _cells(n: int, counts: Counts):
+    """A task's cells by file: those of one token, and those of more with their counts."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        distinct = Distinct()
+        held: list[np.ndarray] = []
+
+        def flush() -> pa.RecordBatch:
+            cells, n_tokens = np.unique(np.concatenate(held), return_counts=True)
+            held.clear()
+            number = (cells >> np.uint64(counts.file_bits)).astype(np.int64)
+            first = np.flatnonzero(np.concatenate(([True], number[1:] != number[:-1]))) if len(cells) else np.empty(0, np.int64)
+            cuts = np.append(first, len(cells))
+            rows = [(cells[a:b], n_tokens[a:b], n_tokens[a:b] > 1) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+            return pa.RecordBatch.from_arrays(
+                [pa.array(number[first]), pa.array([pack_sorted(c[~m]) for c, _, m in rows], pa.binary()),
+                 pa.array([pack_sorted(c[m]) for c, _, m in rows], pa.binary()),
+                 pa.array([pack(k[m]) for _, k, m in rows], pa.binary())], names=["file", "one", "more", "n"])
+
+        for batch in batches:
+            for part in W.slices(batch):
+                sets = Sets(part.column("text"), n)
+                held.append(sets.token[distinct(sets)[sets.text]] >> np.uint64(64 - counts.bits))
+                if sum(map(len, held)) >= FLUSH_KEYS:
+                    yield flush()
+        if held:
+            yield flush()
+
+    return run
+
+
+def token_counts(docs: DataFrame, n: int, n_tokens: int) -> Counts:
+    """Count the tokens of ``docs`` (text) by cells; ``n_tokens``: about as many as there are."""
+    spark = docs.sparkSession
+    folder = posix_path(fresh_path(spark, "token-counts"))
+    os.makedirs(folder)
+    counts = Counts(folder, max(16, (CELLS * n_tokens).bit_length()))
+
+    def file_of(table: pa.Table) -> pa.Table:
+        number = table.column("file")[0].as_py()
+        table = table.filter(table.column("one").is_valid())
+        one, more = ([unpack_sorted(x) for x in table.column(c).to_pylist()] for c in ("one", "more"))
+        cells, sums = merge([*one, *more], [*(np.ones(len(x), np.uint64) for x in one),
+                                            *(unpack(x) for x in table.column("n").to_pylist())])
+        magnitude = np.zeros(1 << counts.file_bits, dtype=np.uint8)
+        magnitude[(cells & np.uint64((1 << counts.file_bits) - 1)).astype(np.int64)] = np.minimum(
+            np.log2(np.maximum(sums, 1).astype(np.float64)).astype(np.int64) + 1, 15)
+        save(folder, f"counts-{number}", magnitude[::2] | magnitude[1::2] << np.uint8(4))
+        return pa.table({"file": [number]})
+
+    counted = docs.select("text").mapInArrow(_cells(n, counts), "file long, one binary, more binary, n binary")
+    nothing = F.lit(None).cast("binary")
+    every = spark.range(1 << (counts.bits - counts.file_bits)).select(
+        F.col("id").alias("file"), *(nothing.alias(c) for c in ("one", "more", "n")))
+    counted.unionByName(every).groupBy("file").applyInArrow(file_of, "file long").agg(F.count("file")).collect()
+    return counts
+
+
+def _keys(n: int, percent: int, largest: int, shards: int, counts: Counts):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bands, seen = Bands(percent, largest), set()
+        bands, distinct = Bands(percent, largest), Distinct()
         held: list[tuple[np.ndarray, np.ndarray]] = []
 
         def flush() -> pa.RecordBatch:
@@ -177,12 +275,8 @@ def _keys(n: int, percent: int, largest: int, shards: int):
             for part in W.slices(batch):
                 sets = Sets(part.column("text"), n)
                 ids = part.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64)
-                chosen = np.zeros(sets.n, dtype=bool)
-                for i, identity in enumerate(zip(*(x.tolist() for x in sets.sums()), strict=True)):
-                    if identity not in seen:  # an equal set of this task has the same keys
-                        seen.add(identity)
-                        chosen[i] = True
-                key, text = bands.keys(sets, chosen)
+                chosen = distinct(sets)  # an equal set of this task has the same keys
+                key, text = bands.keys(sets, chosen, counts.of(sets.token))
                 held.append((key, ids[text]))
                 if sum(len(k) for k, _ in held) >= FLUSH_KEYS:
                     yield flush()
@@ -247,9 +341,12 @@ def classes(docs: DataFrame, percent: int = PERCENT, n: int = N) -> DataFrame:
     same = written(real.groupBy("n_shingles", "f1", "f2").agg(F.min("doc_id").alias("rep")), "same")
     largest = same.agg(F.coalesce(F.max("n_shingles"), F.lit(1))).first()[0]
 
-    shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    packed = docs.filter("doc_id is not null").mapInArrow(
-        _keys(n, percent, largest, shards), "shard int, keys binary, ids binary, a binary, b binary")
+    n_tokens = same.agg(F.coalesce(F.sum("n_shingles"), F.lit(0))).first()[0]
+    shards = max(1, -(-n_tokens // TOKENS_PER_SHARD))
+    known = docs.filter("doc_id is not null")
+    counts = token_counts(known, n, n_tokens)
+    packed = known.mapInArrow(
+        _keys(n, percent, largest, shards, counts), "shard int, keys binary, ids binary, a binary, b binary")
     near = written(packed.groupBy("shard").applyInArrow(_links, "a long, b long"), "near")
     # links of repeated doc_ids and of equal sets, then one node for each set
     repeated = written(real.groupBy("doc_id").agg(F.count_distinct("n_shingles", "f1", "f2").alias("k")).filter("k > 1"),

@@ -4,7 +4,9 @@ import json
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from feedlake.llm import chat, mixing, ngram_join, sigtree
 from feedlake.llm.components import components
@@ -63,9 +65,31 @@ def test_bands_hold_every_linking_pair():
         for x in range(1, 2000, 7):
             y = 100 * x // percent
             assert band(y) - band(x) in (0, 1)
-            differ = (100 - percent) * (x + y) // (100 + percent)
-            parts = bands.parts[band(x)]
-            assert parts == 0 and differ == 0 or parts >= differ + 1 + ngram_join.EMPTY
+
+
+@pytest.mark.parametrize(("n", "percent"), [(3, 90), (5, 80), (1, 60)])
+def test_linked_sets_share_a_key(n, percent):
+    """Also when their lone tokens are taken out; pairs of any size, edited up to the limit."""
+    rng, linked = random.Random(n), 0
+    for _ in range(120):
+        size = rng.choice([8, 20, 40, 100, 300, 900])
+        one = [f"w{rng.randrange(10**6)}" for _ in range(size)]
+        two = list(one)
+        for _ in range(rng.randrange(size * (100 - percent) // 100 // n + 2)):
+            two[rng.randrange(size)] = f"x{rng.randrange(10**6)}"
+        two = two[:rng.randrange(size * percent // 100, size) + 1]
+        sets = ngram_join.Sets(pa.array([" ".join(one), " ".join(two)]), n)
+        a, b = (set(x.tolist()) for x in sets.each())
+        if a == b or 100 * len(a & b) < percent * len(a | b):
+            continue
+        linked += 1
+        bands = ngram_join.Bands(percent, 2000)
+        common = np.isin(sets.token, np.array(list(a & b), np.uint64))
+        for lone in (2, 1):  # tokens of one set only may count as rare, or as lone
+            magnitude = np.where(common, 2 + sets.token % np.uint64(5), lone)
+            key, text = bands.keys(sets, np.ones(2, bool), magnitude)
+            assert set(key[text == 0].tolist()) & set(key[text == 1].tolist())
+    assert linked > 20
 
 
 @pytest.mark.parametrize("seed", range(4))
@@ -103,11 +127,11 @@ def mixed_rows(seed=1):
                    (2000, "q " * 70_000, "long")]
 
 
-@pytest.mark.parametrize("block", [1, 16, 1024])
+@pytest.mark.parametrize("block", [8, 37])
 def test_mixing_meets_targets(spark, block):
     rows = mixed_rows()
     docs = spark.createDataFrame([(*r, 5) for r in rows], "doc_id long, text string, source string, target int")
-    out = mixing.mix(docs, block_words=block if block > 1 else 37).collect()
+    out = mixing.mix(docs, block_words=block).collect()
     assert len(out) == len(rows)
     sizes, taken, target = {}, {}, {}
     for r in out:
@@ -130,8 +154,17 @@ def test_mixing_meets_targets(spark, block):
         fixed |= above
     want = {s: fixed.get(s, level * weight[s]) for s in order}
     assert target == pytest.approx(want)
-    assert taken == {s: int(target[s]) for s in order}
-    again = mixing.mix(docs.repartition(7), block_words=block if block > 1 else 37).collect()
+    # what the slots of a source take, which is near its target
+    n_slots = -(-sum(int(t) for t in target.values()) // block)
+    reach = np.cumsum([int(target[s]) * 16 // block for s in order])
+    points = (np.arange(n_slots) * 1327217885) % (1 << 31)
+    of_slot = np.searchsorted(reach, np.floor(points * (reach[-1] / (1 << 31))), side="right")
+    assert taken == {s: min(block * int((of_slot == i).sum()), cap[s]) for i, s in enumerate(order)}
+    assert all(abs(taken[s] - target[s]) <= 4 * block for s in order)
+    firsts = [r.slot for r in out if r.taken]
+    assert all(of_slot[r.slot] == order.index(r.source) for r in out if r.taken) and max(firsts) < n_slots
+    assert all((r.slot is None) == (r.taken == 0) for r in out)
+    again = mixing.mix(docs.repartition(7), block_words=block).collect()
     assert sorted(map(repr, again)) == sorted(map(repr, out))
 
 
@@ -142,12 +175,29 @@ def test_mixing_without_rows_or_words(spark):
     assert [(r.size, r.taken, r.target) for r in empty] == [(0, 0, 0.0)] * 2
 
 
+def test_the_schedule_decides(spark, monkeypatch):
+    """Other points, other result; points in order give each source the slots of its span."""
+    docs = spark.createDataFrame(mixed_rows(), "doc_id long, text string, source string")
+    own = sorted(map(repr, mixing.mix(docs, block_words=8).collect()))
+    monkeypatch.setattr(mixing, "points", lambda slots: slots.withColumn("point", (F.col("id") * 7919) % (1 << 31)))
+    assert sorted(map(repr, mixing.mix(docs, block_words=8).collect())) != own
+    monkeypatch.setattr(mixing, "points", lambda slots: slots.withColumn("point", F.lit(0).cast("long")))
+    only = {r.source for r in mixing.mix(docs, block_words=8).collect() if r.taken}
+    assert only == {"a"}  # all points fall to the first source
+
+
+def test_blocks_grow_with_the_mix():
+    assert mixing.block_length(10**6) == 32 and mixing.block_length(32 << 27) == 32 and mixing.block_length((32 << 27) + 1) == 64
+    assert 3 * 10**13 / mixing.block_length(3 * 10**13) <= mixing.MOST_SLOTS
+
+
 def test_schedule_is_low_discrepancy(spark):
     need = {"=a": 500, "=b": 200, "=c": 3, "=d": 1, "~": 96}
-    rows = mixing.schedule(spark.createDataFrame([(k, n * 10 - 1) for k, n in need.items()], "skey string, want long"), 10).collect()
+    rows = mixing.schedule(spark.createDataFrame([(k, n * 10) for k, n in need.items()], "skey string, want long"), 10).collect()
+    assert sorted(r.slot for r in rows) == list(range(800))
     for k, n in need.items():
         own = sorted((r.slot, r.rank) for r in rows if r.skey == k)
-        assert [r for _, r in own] == list(range(n))
+        assert [r for _, r in own] == list(range(len(own))) and abs(len(own) - n) <= 3
         for share in (0.25, 0.5, 0.75):  # any prefix of the schedule holds its share, within a few slots
             prefix = sum(slot < share * 800 for slot, _ in own)
             assert abs(prefix - share * n) <= 4

@@ -106,7 +106,6 @@ def test_whole_run(spark, base, documents):
     for _, stage in P.STAGES[:-1]:
         docs = stage(spark, docs, base)
     own = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    own.encode_special_tokens = True
     at, want = 0, []
     for r in sorted(docs.collect(), key=lambda r: r.doc_id):
         ids = own.encode(r.text or "", add_special_tokens=False).ids + [0]
