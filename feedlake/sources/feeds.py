@@ -1,7 +1,7 @@
 """Feed documents: landed RSS / Atom files, read in one scan for both formats.
 
-A file is one fetch, so it is read whole, as one row; its entries are cut out
-and each is parsed by ``from_xml`` with the schema of its format. Parsing
+A file is one fetch, so it is read whole, as one row (the writers here bound a
+file's entries); its entries are cut out and each is parsed by ``from_xml`` with the schema of its format. Parsing
 problems never fail a run: an entry that can't be parsed, or what is left of a
 file that breaks off in one, is a ``_corrupt_record`` row (PERMISSIVE mode) that
 goes to quarantine, while the good entries are kept, as the original reader
@@ -32,8 +32,10 @@ RSS_ITEM = Ty.StructType([
 _ENTRY = r"(?s)<(item|entry)(?=[\s>])(?![^>]*/>).*?</\1\s*>"
 _OPEN = r"(?s)<(item|entry)(?=[\s>]|$)(?![^>]*/>).*"
 
-#: Tasks (and files) that one source's entries are written by at most.
-FILES_PER_SOURCE = 16
+#: Tasks that one source's entries are written by at most.
+TASKS_PER_SOURCE = 16
+#: Entries of one file at most. A file is read whole, as one row, so it must not grow with the source.
+ENTRIES_PER_FILE = 500
 
 _TEXT = Ty.StructType([Ty.StructField("_VALUE", Ty.StringType()),
                        Ty.StructField("_type", Ty.StringType())])
@@ -68,8 +70,9 @@ def read_feeds(spark: SparkSession, path: str, stream: bool = False) -> DataFram
         F.url_decode(_source_of_file()).alias("source"), F.input_file_name().alias("file"), *_landing(),
         F.regexp_extract_all("value", F.lit(_ENTRY), F.lit(0)).alias("__whole"), left_over.alias("__rest"))
     rest = F.when(F.length("__rest") > 0, F.array("__rest")).otherwise(F.array().cast("array<string>"))
-    rows = found.select("source", "file", "fetched_at", F.size("__whole").alias("__n"),
-                        F.posexplode(F.concat("__whole", rest)).alias("__at", "__xml"))
+    # the number is taken before: a row of the explode that had the array beside it would carry the whole file
+    cut = found.select("source", "file", "fetched_at", F.size("__whole").alias("__n"), F.concat("__whole", rest).alias("__all"))
+    rows = cut.select("source", "file", "fetched_at", "__n", F.posexplode("__all").alias("__at", "__xml"))
     whole = F.col("__at") < F.col("__n")
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
     of = lambda tag, schema: F.from_xml(
@@ -112,6 +115,11 @@ def quarantine(feeds: DataFrame) -> DataFrame:
             .withColumn("reason", F.lit("parse_error")))
 
 
+def _dealt(out: DataFrame) -> DataFrame:
+    """A busy source's entries dealt over several tasks, by all their columns: copies of a link don't pile up in one."""
+    return out.repartition("source", F.pmod(F.xxhash64(*out.columns), F.lit(TASKS_PER_SOURCE)))
+
+
 def write_atom(entries_df: DataFrame, path: str) -> None:
     """Land entries as Atom files, one directory per source: title and
     summary carry a type attribute, the link is an attribute list."""
@@ -122,8 +130,7 @@ def write_atom(entries_df: DataFrame, path: str) -> None:
         .alias("link"),
         F.struct(F.lit("html").alias("_type"), F.col("summary").alias("_VALUE")).alias("summary"),
         F.date_format("published_at", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("published"))
-    # a busy source is dealt over several files
-    (out.repartition("source", F.pmod(F.xxhash64("link"), F.lit(FILES_PER_SOURCE))).write.mode("append").format("xml")
+    (_dealt(out).write.mode("append").format("xml").option("maxRecordsPerFile", ENTRIES_PER_FILE)
      .option("rootTag", "feed").option("rowTag", "entry")
      .partitionBy("source").save(path))
 
@@ -134,8 +141,7 @@ def write_rss(entries_df: DataFrame, path: str) -> None:
     out = entries_df.select(
         "source", "title", "link", F.col("summary").alias("description"),
         F.date_format("published_at", "EEE, dd MMM yyyy HH:mm:ss 'GMT'").alias("pubDate"))
-    # a busy source is dealt over several files
-    (out.repartition("source", F.pmod(F.xxhash64("link"), F.lit(FILES_PER_SOURCE))).write.mode("overwrite").format("xml")
+    (_dealt(out).write.mode("overwrite").format("xml").option("maxRecordsPerFile", ENTRIES_PER_FILE)
      .option("rootTag", "channel").option("rowTag", "item")
      .partitionBy("source").save(path))
     # the XML writer names files part-*.xml

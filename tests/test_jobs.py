@@ -124,6 +124,34 @@ def test_cut_off_feed_keeps_good_entries(spark, base):
     assert [r.reason for r in rej] == ["missing_link"]
 
 
+def test_no_feed_file_grows_with_its_source(spark):
+    """Files are read whole: a busy source, its links repeated or not, fills many bounded ones of either format."""
+    from feedlake.sources import feeds as FD
+    n = 5 * FD.ENTRIES_PER_FILE // 2
+    df = spark.range(n).select(
+        F.lit("busy.example.org").alias("source"), F.concat(F.lit("Title "), F.col("id").cast("string")).alias("title"),
+        F.concat(F.lit("https://busy.example.org/"), (F.col("id") % 7).cast("string")).alias("link"),
+        F.lit("text").alias("summary"), F.lit("2024-01-08 10:00:00").cast("timestamp_ntz").alias("published_at"))
+    for write in (FD.write_rss, FD.write_atom):
+        path = scratch_path(spark, "busy")
+        write(df, path)
+        found = FD.entries(FD.read_feeds(spark, path))
+        sizes = [r["count"] for r in found.groupBy("file").count().collect()]
+        assert max(sizes) <= FD.ENTRIES_PER_FILE and sum(sizes) == n
+        assert found.select("title").distinct().count() == n
+
+
+def test_an_entry_does_not_carry_its_file(spark, base):
+    """The rows of the explode hold their own entry only; with the file's beside it a file would cost its square."""
+    import re
+
+    from feedlake.sources import feeds as FD
+    plan = FD.read_feeds(spark, fx.feed_docs(spark, base))._jdf.queryExecution().executedPlan().toString()
+    beside = re.search(r"Generate posexplode\(.*\), \[([^\]]*)\], false", plan).group(1)
+    assert {c.split("#")[0] for c in beside.split(", ")} == {"source", "file", "fetched_at", "__n"}
+
+
+
 def _landed(spark, n=6):
     """RSS and Atom files of a few entries that rules match, dated now."""
     from datetime import datetime, timedelta, timezone
