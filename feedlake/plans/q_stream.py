@@ -65,14 +65,18 @@ def q_stream_dedup(spark, base):
 LEDGER_DAYS = 10
 #: Parts of the queries' state; a job on a cluster gives its own.
 STATE_PARTITIONS = 8
+#: Parts of the ledger query's state, and about as many marks as one of its buckets gets.
+LEDGER_PARTITIONS, BUCKET_MARKS = 16, 2000
+#: Files of the ledger query's marks, and as many of them as one micro-batch reads.
+MARK_FILES, FILES_PER_BATCH = 12, 4
 
 
-def _mark_files(spark, base, n=3):
+def _mark_files(spark, base, n=MARK_FILES):
     """The verdicts' marks in several files, each with rows of the whole period."""
     path = scratch_path(spark, "mark-files")
     marks = fx.verdicts(spark, base).select("hash", F.concat("link", F.lit("#"), F.col("entry_id").cast("string")).alias("url"),
                                             F.col("published_at").alias("seen_at"))
-    marks.repartition(n, F.xxhash64("url") % n).write.parquet(path)
+    marks.repartition(n, "url").write.parquet(path)
     return path
 
 
@@ -90,12 +94,14 @@ group by r.hash, r.seen_at""", "v_verdicts"))
 def q_stream_ledger(spark, base):
     """The ledger kept by a stream over files in any order, stopped and restarted, then read with its purge."""
     files = _mark_files(spark, base)
-    schema = spark.read.parquet(files).schema
+    landed = spark.read.parquet(files)
+    now, n = landed.agg(F.max("seen_at"), F.count(F.lit(1))).first()
     keep = scratch_path(spark, "ledger-query")
-    for glob in ("part-00000*.parquet", "*.parquet"):  # the second run goes on after the first
-        live = spark.readStream.schema(schema).option("pathGlobFilter", glob).option("maxFilesPerTrigger", 1).parquet(files)
-        out = SL.run_ledger(live, LEDGER_DAYS, late="60 days", path=keep, partitions=STATE_PARTITIONS)
-    now = spark.read.parquet(files).agg(F.max("seen_at")).first()[0]
+    for glob in (f"part-0000[0-{FILES_PER_BATCH - 1}]*.parquet", "*.parquet"):  # the second run goes on after the first
+        live = (spark.readStream.schema(landed.schema).option("pathGlobFilter", glob)
+                .option("maxFilesPerTrigger", FILES_PER_BATCH).parquet(files))
+        out = SL.run_ledger(live, LEDGER_DAYS, late="60 days", path=keep, partitions=LEDGER_PARTITIONS,
+                            buckets=max(4 * LEDGER_PARTITIONS, n // BUCKET_MARKS))
     return LG.purge(SL.ledger_rows(spark, out), F.lit(now), LEDGER_DAYS)
 
 

@@ -12,6 +12,13 @@ marks that open none are kept as long as that can matter: only those further
 ahead of the watermark than the retention. Behind that point the row that
 covers a mark can't move past it.
 
+A call into Python, its state and its timer cost the same for one hash as for
+many, so the state is kept by buckets of hashes: a value holds the marks of all
+hashes of its bucket. A micro-batch reads and writes the buckets that it touches
+or that a timer is due in. ``buckets`` goes with the hashes that the retention
+holds, so that a bucket has some thousands; it is fixed by a query's first start,
+as its state's parts are.
+
 Each change of a hash's rows is written as a snapshot of them; a micro-batch
 that is written again replaces its own folder. ``ledger_rows`` reads the last
 snapshot of each hash.
@@ -32,7 +39,10 @@ from feedlake.operators.ranking import top_k
 from feedlake.streaming import stream as ST
 
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-STATE = "seen array<bigint>, url array<string>, timer bigint"
+#: The marks of a bucket, in order, one entry each.
+STATE = "hash array<string>, seen array<bigint>, url array<string>, timer bigint"
+#: Buckets of a state that names none.
+BUCKETS = 1024
 SNAPSHOT = "hash string, seen array<bigint>, url array<string>"
 DAY_US = 86_400_000_000
 
@@ -56,7 +66,7 @@ def still_needed(marks: list[Mark], retention: int, watermark: int) -> list[Mark
 
 
 class LedgerProcessor(StatefulProcessor):
-    """Rows of one hash; times are microseconds, timers milliseconds."""
+    """Rows of the hashes of one bucket; times are microseconds, timers milliseconds."""
 
     def __init__(self, retention_us: int) -> None:
         self.retention = retention_us
@@ -65,54 +75,70 @@ class LedgerProcessor(StatefulProcessor):
         self.handle = handle
         self.marks = handle.getValueState("marks", STATE)
 
-    def _held(self) -> tuple[list[Mark], int | None]:
+    def _held(self) -> tuple[dict[str, list[Mark]], int | None]:
         state = self.marks.get()
         if state is None:
-            return [], None
-        seen, url, timer = state
-        return list(zip(seen, url, strict=True)), timer
-
-    def _renewed(self, key, before: list[Mark], timer: int | None, marks: list[Mark], watermark_ms: int) -> Iterator[pd.DataFrame]:
-        kept = still_needed(marks, self.retention, watermark_ms * 1000)
-        wanted = (kept[0][0] + self.retention) // 1000 + 1 if kept else None
+            return {}, None
+        held: dict[str, list[Mark]] = {}
+        for h, s, u in zip(*state[:3], strict=True):
+            held.setdefault(h, []).append((s, u))
+        return held, state[3]
+
+    def _renewed(self, before: dict[str, list[Mark]], timer: int | None, come: dict[str, list[Mark]],
+                 watermark_ms: int) -> Iterator[pd.DataFrame]:
+        """``come``: the marks of the hashes that got some, with those held before."""
+        watermark, held, changed = watermark_ms * 1000, {}, []
+        for h, marks in (before | come).items():
+            if h in come or marks[0][0] + self.retention < watermark:
+                kept = still_needed(marks, self.retention, watermark)
+                rows = opening(kept, self.retention)
+                if rows != opening(before.get(h, []), self.retention):
+                    changed.append((h, [s for s, _ in rows], [u for _, u in rows]))
+                marks = kept
+            if marks:
+                held[h] = marks
+        wanted = (min(m[0][0] for m in held.values()) + self.retention) // 1000 + 1 if held else None
         if wanted != timer:
             if timer is not None and timer > watermark_ms:
                 self.handle.deleteTimer(timer)
             if wanted is not None:
                 self.handle.registerTimer(wanted)
-        if not kept:
+        if not held:
             self.marks.clear()
-        elif kept != before:
-            self.marks.update(([s for s, _ in kept], [u for _, u in kept], wanted))
-        rows, old = opening(kept, self.retention), opening(before, self.retention)
-        if rows != old:
-            yield pd.DataFrame({"hash": [key[0]], "seen": [[s for s, _ in rows]], "url": [[u for _, u in rows]]})
+        elif held != before:
+            flat = [(h, s, u) for h, marks in held.items() for s, u in marks]
+            self.marks.update((*map(list, zip(*flat, strict=True)), wanted))
+        if changed:
+            yield pd.DataFrame(changed, columns=["hash", "seen", "url"])
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         before, timer = self._held()
-        first: dict[int, str] = dict(before)
+        first: dict[str, dict[int, str]] = {}
         for batch in rows:
-            for s, u in batch.groupby("seen_us")["url"].min().items():
-                first[int(s)] = min(u, first.get(int(s), u))
-        yield from self._renewed(key, before, timer, sorted(first.items()), timerValues.getCurrentWatermarkInMs())
+            for h, s, u in zip(batch["hash"], batch["seen_us"].tolist(), batch["url"], strict=True):
+                own = first.setdefault(h, dict(before.get(h, ())))
+                own[s] = min(u, own.get(s, u))
+        come = {h: sorted(own.items()) for h, own in first.items()}
+        yield from self._renewed(before, timer, come, timerValues.getCurrentWatermarkInMs())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         before, timer = self._held()
-        yield from self._renewed(key, before, timer, before, timerValues.getCurrentWatermarkInMs())
+        yield from self._renewed(before, timer, {}, timerValues.getCurrentWatermarkInMs())
 
     def close(self) -> None:
         pass
 
 
-def ledger_snapshots(marks: DataFrame, days: int = vocab.LEDGER_RETENTION_DAYS, late: str = "1 day") -> DataFrame:
+def ledger_snapshots(marks: DataFrame, days: int = vocab.LEDGER_RETENTION_DAYS, late: str = "1 day",
+                     buckets: int = BUCKETS) -> DataFrame:
     """Snapshots of the rows of each hash whose rows change. ``marks``: streaming (hash, url, seen_at).
 
     ``late``: how far behind the latest mark one may arrive; later ones are dropped.
     """
     keyed = (marks.select("hash", F.coalesce("url", F.lit("")).alias("url"), F.col("seen_at").cast("timestamp").alias("seen_at"))
              .filter("hash is not null and seen_at is not null").withWatermark("seen_at", late)
-             .withColumn("seen_us", F.unix_micros("seen_at")))
-    return keyed.groupBy("hash").transformWithStateInPandas(
+             .withColumns({"seen_us": F.unix_micros("seen_at"), "bucket": F.pmod(F.xxhash64("hash"), F.lit(buckets))}))
+    return keyed.groupBy("bucket").transformWithStateInPandas(
         statefulProcessor=LedgerProcessor(days * DAY_US), outputStructType=SNAPSHOT, outputMode="Update", timeMode="EventTime")
 
 
@@ -139,10 +165,10 @@ def rocksdb(spark: SparkSession, partitions: int | None = None) -> Iterator[None
 
 
 def run_ledger(marks: DataFrame, days: int = vocab.LEDGER_RETENTION_DAYS, late: str = "1 day", path: str | None = None,
-               partitions: int | None = None) -> str:
+               partitions: int | None = None, buckets: int = BUCKETS) -> str:
     """Consume the marks there are (AvailableNow) and return the folder of snapshots, one subfolder per micro-batch."""
     with rocksdb(marks.sparkSession, partitions):
-        return ST.run_to_table(ledger_snapshots(marks, days, late), "stream-ledger", output_mode="update", path=path,
+        return ST.run_to_table(ledger_snapshots(marks, days, late, buckets), "stream-ledger", output_mode="update", path=path,
                                batch_fn=lambda b, i, out: b.write.mode("overwrite").parquet(f"{out}/batch={i}"))
 
 

@@ -40,6 +40,70 @@ def test_openings_do_not_depend_on_the_order_of_arrival():
         assert live(SL.opening(held, retention)) == live(SL.opening(marks, retention))
 
 
+class _Handle:
+    """Stands for Spark's handle: one value, and the timers."""
+
+    def __init__(self):
+        self.value, self.timers = None, set()
+
+    def getValueState(self, name, schema):
+        return self
+
+    def get(self):
+        return self.value
+
+    def update(self, value):
+        self.value = value
+
+    def clear(self):
+        self.value = None
+
+    def registerTimer(self, at):
+        self.timers.add(at)
+
+    def deleteTimer(self, at):
+        self.timers.remove(at)
+
+
+def _fed(batches, retention, watermarks):
+    """Last snapshot of each hash of one bucket, and what the state holds at the end."""
+    from types import SimpleNamespace
+
+    import pandas as pd
+    handle, last = _Handle(), {}
+    ledger = SL.LedgerProcessor(retention)
+    ledger.init(handle)
+    for batch, at in zip(batches, watermarks, strict=True):
+        now = SimpleNamespace(getCurrentWatermarkInMs=lambda at=at: at)
+        out = list(ledger.handleInputRows((0,), iter([pd.DataFrame(batch, columns=["hash", "url", "seen_us"])]), now)) if batch else []
+        for t in sorted(t for t in handle.timers if t <= at):
+            handle.timers.remove(t)
+            out += ledger.handleExpiredTimer((0,), now, None)
+        for r in (r for d in out for r in d.itertuples()):
+            last[r.hash] = list(zip(r.seen, r.url))
+    return last, sorted(zip(*handle.value[:3])) if handle.value else [], handle.timers
+
+
+def test_hashes_of_a_bucket_are_kept_as_those_of_buckets_of_their_own():
+    rng = random.Random(11)
+    for _ in range(60):
+        marks = [(rng.choice("pqrs"), rng.choice("ab"), 1000 * rng.randrange(200)) for _ in range(rng.randrange(1, 50))]
+        marks.sort(key=lambda m: m[2] + 1000 * rng.randrange(30))
+        batches = [marks[i:i + 6] for i in range(0, len(marks), 6)] + [[]]
+        watermarks, at = [], 0
+        for b in batches:
+            watermarks.append(at)
+            at = max([at, *(m[2] // 1000 - 30 for m in b)])
+        watermarks[-1] = at
+        retention = 1000 * rng.randrange(1, 60)
+        last, held, timers = _fed(batches, retention, watermarks)
+        alone = [_fed([[m for m in b if m[0] == h] for b in batches], retention, watermarks) for h in "pqrs"]
+        assert last == {h: rows for x in alone for h, rows in x[0].items()}
+        opens = lambda held, h: SL.opening([m[1:] for m in held if m[0] == h], retention)
+        assert all(opens(held, h) == opens(x[1], h) for h, x in zip("pqrs", alone, strict=True))
+        assert timers == ({min(t for x in alone for t in x[2])} if held else set())
+
+
 def _land(spark, path, rows):
     spark.createDataFrame(rows, MARKS).coalesce(1).write.mode("append").parquet(path)
 
