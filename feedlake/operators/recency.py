@@ -6,6 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedlake import vocab
+from feedlake.sources.tables import materialize
+
+
+#: Windows beyond this are expanded from items dealt out evenly.
+DEALT_FROM_HOURS = 72
 
 
 def recent(items: DataFrame, now, hours: int = vocab.RECENCY_HOURS) -> DataFrame:
@@ -26,7 +31,15 @@ def items_per_run(items: DataFrame, runs: DataFrame, hours: int = vocab.RECENCY_
     residual predicate instead of a nested loop. A window of any length and
     an item dated any time ahead are expanded in full; an item's days outside
     the first and last run can pair with nothing and are left out.
+
+    The runs are written first, so that the planner knows their size and can
+    broadcast them: the expanded items are not shuffled by the day then, of
+    which there are few. Items that a long window makes many rows of are dealt
+    out evenly before, since a few tasks may read them all.
     """
+    runs = materialize(runs, "runs")
+    if hours > DEALT_FROM_HOURS:
+        items = items.hint("rebalance")
     window = F.expr(f"interval {int(hours)} hours")
     first, last = (runs.agg(f("run_ts").cast("date")).scalar() for f in (F.min, F.max))
     expanded = (items.withColumns({

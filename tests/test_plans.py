@@ -27,6 +27,18 @@ def test_range_join_is_an_equi_join(spark, base):
     assert "__day" in plan
 
 
+def test_expanded_items_are_not_shuffled_by_day(spark, base):
+    """Runs that the planner can't tell to be few (they come from a table that it takes for large) are broadcast all the same."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "4k")
+    try:
+        for name in ("items_per_run", "items_per_run_fetched"):
+            plan = plan_of(E.queries()[name](spark, base))
+            assert re.search(r"BroadcastHashJoin \[__day#\d+\]", plan) and "hashpartitioning(__day" not in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
 def test_ledger_filtered_by_broadcast_batch_hashes(spark, base):
     plan = plan_of(LG.new_items(fx.verdicts(spark, base), fx.ledger(spark, base)))
     assert re.search(r"BroadcastHashJoin \[hash#\d+\], \[hash#\d+\], LeftSemi", plan)
