@@ -69,24 +69,26 @@ def new_per_run(pairs: DataFrame, prior_ledger: DataFrame, run_status: DataFrame
     that ``run_status`` does not list has not published, here as in
     ``gated_marks``.
     """
-    # read twice below (first successful run: two columns; and the output):
-    # computed once, as a table
-    p = materialize(new_items(pairs, prior_ledger), "new-pairs")
+    # by hash first, in narrow rows; the items themselves are shuffled once
     if run_status is not None:
-        p = p.join(run_status.select("run_ts", "ok"), "run_ts", "left")
+        # a row for each run: written, so that the planner knows that they are few
+        pairs = pairs.join(materialize(run_status.select("run_ts", "ok"), "run-status"), "run_ts", "left")
         ok = F.coalesce(F.col("ok"), F.lit(False))
     else:
         ok = F.lit(True)
-    first_ok = (p.filter(ok).groupBy("hash").agg(F.min("run_ts").alias("__first_ok")))
-    out = p.join(first_ok, "hash", "left").filter(
-        F.col("__first_ok").isNull() | (F.col("run_ts") <= F.col("__first_ok")))
-    return out.drop("__first_ok")
+    hashes = pairs.groupBy("hash").agg(F.min(F.when(ok, F.col("run_ts"))).alias("__first_ok"))
+    fresh = new_items(hashes.filter("hash is not null"), prior_ledger).withColumn("__fresh", F.lit(True))
+    # an item without a hash is in no ledger and no run marks it
+    out = pairs.join(fresh, "hash", "left").filter(
+        (F.col("hash").isNull() | F.col("__fresh"))
+        & (F.col("__first_ok").isNull() | (F.col("run_ts") <= F.col("__first_ok"))))
+    return out.drop("__first_ok", "__fresh")
 
 
 def gated_marks(new_pairs: DataFrame, run_status: DataFrame) -> DataFrame:
     """Ledger rows written by the runs that published (K6): a failed run
     writes neither marks nor verdicts."""
-    ok_runs = run_status.filter(F.col("ok")).select("run_ts")
+    ok_runs = materialize(run_status.filter(F.col("ok")).select("run_ts"), "ok-runs")  # few, as the planner then knows
     return (new_pairs.join(ok_runs, "run_ts", "left_semi")
             .select("run_ts", "hash", F.col("link").alias("url"))
             .distinct())

@@ -25,13 +25,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedlake.session import scratch_path
+from feedlake.sources.tables import materialize
 
 _LOW_BITS = 33
 _LOW_MASK = (1 << _LOW_BITS) - 1
-# The offsets table has one row per (range partition, group). No hint is
-# given: adaptive execution broadcasts it when its measured size is under
-# spark.sql.autoBroadcastJoinThreshold, else joins on (partition, group) with
-# a shuffle, which is skew-free since a hot group spans many partitions.
+# The offsets table has one row per (range partition, group). It is written, so
+# that the planner knows its size before it shuffles the numbered rows: it is
+# broadcast under spark.sql.autoBroadcastJoinThreshold, else joined on (partition,
+# group) with a shuffle, which is skew-free since a hot group spans many partitions.
 
 
 def _sort_cols(cols) -> list[Column]:
@@ -65,6 +66,7 @@ def ordinal(df: DataFrame, group_cols: list[str], order_cols: list, out: str = "
     renamed = {c: f"__g{i}" for i, c in enumerate(group_cols)}
     spans = spans.select(F.col("__part").alias("__sp"),
                          *[F.col(c).alias(a) for c, a in renamed.items()], "__first", "__offset")
+    spans = materialize(spans, "ordinal-spans")
     cond = [F.col("__part") == F.col("__sp")] + [F.col(c).eqNullSafe(F.col(a))
                                                  for c, a in renamed.items()]
     joined = tagged.join(spans, cond, "inner")

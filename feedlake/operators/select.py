@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from feedlake import vocab
 from feedlake.functions.coerce import allow_category, severity_rank
 from feedlake.operators.ranking import ordinal, top_k
+from feedlake.sources.tables import materialize
 
 
 def sort_key(tiebreak: list) -> list[Column]:
@@ -51,7 +52,8 @@ def daily_other(verdicts: DataFrame, group: str = "run_ts", tiebreak=("response_
     Overflow of the priority cap and kept ``ignore`` rows land here.
     """
     ident = [ident] if isinstance(ident, str) else list(ident)
-    top = daily_top(verdicts, group, tiebreak, cap).select(group, *ident)
+    # at most ``cap`` rows a run: written, so that the planner knows it and leaves the verdicts where they are
+    top = materialize(daily_top(verdicts, group, tiebreak, cap).select(group, *ident), "daily-top")
     rest = verdicts.filter(F.col("kept")).join(top, [group, *ident], "left_anti")
     return ordinal(rest, [group], sort_key(list(tiebreak)), out="rank")
 

@@ -262,7 +262,7 @@ def digest_header(items: DataFrame, verdicts: DataFrame, docs: DataFrame,
 def digest_items(verdicts: DataFrame, group: str = "run_ts", tiebreak=("response_pos",),
                  ident="response_pos") -> DataFrame:
     """Long form of a digest: section top / other with ranks."""
-    top = sel.daily_top(verdicts, group, tiebreak).withColumn("section", F.lit("top"))
+    top = materialize(sel.daily_top(verdicts, group, tiebreak).withColumn("section", F.lit("top")), "digest-top")
     other = sel.daily_other(verdicts, group, tiebreak, ident=ident) \
         .withColumn("section", F.lit("other"))
     return top.unionByName(other, allowMissingColumns=True)
@@ -273,14 +273,14 @@ def with_fallback(items: DataFrame, verdicts: DataFrame, ok_runs: DataFrame,
                   ident="response_pos", arrival=("source", "entry_pos")) -> DataFrame:
     """Fallback switch (M4): runs with a usable answer get their selection,
     the others the first items in arrival order, flagged ``is_fallback``."""
-    known = run_usable(items, ok_runs, group)
+    known = materialize(run_usable(items, ok_runs, group), "known-runs")  # a row for each run
     good = known.filter(F.col("usable")).select(group)
     bad = known.filter(~F.col("usable")).select(group)
     chosen = digest_items(verdicts.join(good, group, "left_semi"), group, tiebreak, ident)
     if "is_fallback" not in verdicts.columns:  # else rows of unanswered batches say so
         chosen = chosen.withColumn("is_fallback", F.lit(False))
-    fb = (sel.fallback_digest(items.join(bad, group, "left_semi"), group, arrival)
-          .withColumn("section", F.lit("other")).withColumn("is_fallback", F.lit(True)))
+    fb = materialize(sel.fallback_digest(items.join(bad, group, "left_semi"), group, arrival)
+                     .withColumn("section", F.lit("other")).withColumn("is_fallback", F.lit(True)), "digest-fallback")
     return chosen.unionByName(fb, allowMissingColumns=True)
 
 

@@ -25,6 +25,7 @@ from feedlake.operators import scoring as S
 from feedlake.operators import verdicts as V
 from feedlake.sources import journal as J
 from feedlake.sources import store as ST
+from feedlake.sources.tables import materialize
 
 DEFAULT_TEMPLATE = "Articles : {articles_json}"
 
@@ -72,22 +73,27 @@ def run_daily(spark: SparkSession, entries: DataFrame, sources: DataFrame, runs:
     arrival = "fetched_at" if "fetched_at" in items.columns else "published_at"
     pairs = R.items_per_run(items, runs, hours, fetched_col=arrival)
     status = run_status if run_status is not None else runs.withColumn("ok", F.lit(True))
+    # what is read several times below is written once: the new items (by their numbering), the
+    # usable answers, the verdicts, and what has a row for each run, which joins can then broadcast
+    status = materialize(status.select("run_ts", "ok"), "job-status")
     new = LG.new_per_run(pairs, ST.read_ledger_log(spark, ledger_path), status)
     if collapse_in_batch:          # Q3: the original keeps both copies
         new = LG.in_batch_collapse(new)
     sent = V.batched(new)
+    new = sent.select(*new.columns)
     requests = V.pack_requests(sent, template)
 
     if ask is not None:
         found, _ = V.ask_in_rounds(requests, ask)
         answers = found.withColumn("first_pos", F.col("batch_no") * V.DEFAULT_BATCH_ITEMS)
     if answers is not None:
-        good = answers.filter(V.is_usable())
+        good = materialize(answers.filter(V.is_usable()), "usable-answers")
         parsed = V.validate(V.parse_documents(good, "run_ts", offset_col="first_pos"))
-        ok = good.select("run_ts").distinct().withColumn("usable", F.lit(True))
+        ok = materialize(good.select("run_ts").distinct().withColumn("usable", F.lit(True)), "usable-runs")
         verdicts = V.match(parsed, new).withColumn("is_fallback", F.lit(False))
         if show_unanswered:
             verdicts = verdicts.unionByName(V.unanswered(sent, parsed, ok), allowMissingColumns=True)
+        verdicts = materialize(verdicts, "job-verdicts")
         head_docs = good.filter(F.col("first_pos") == 0)
     else:
         text = S.rule_text(F.col("title"), F.col("summary"))
@@ -125,7 +131,7 @@ def run_daily(spark: SparkSession, entries: DataFrame, sources: DataFrame, runs:
         if publish is not None:
             outcome = publish(payload)
             if outcome is not None:
-                published = outcome.select("run_ts", "ok")
+                published = materialize(outcome.select("run_ts", "ok"), "job-outcome")
         if commit:
             ST.upsert_store(spark, kept.join(published.filter("ok").select("run_ts"), "run_ts", "left_semi"), store_path)
             ST.append_ledger(LG.gated_marks(to_mark, published).withColumn("seen_at", F.col("run_ts")), ledger_path)

@@ -39,6 +39,17 @@ def test_expanded_items_are_not_shuffled_by_day(spark, base):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
 
+def test_daily_job_is_not_computed_again_for_each_reader(spark, base):
+    """The selection that commit and result read is made of written tables, and their small ones are broadcast."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "16k")
+    try:
+        plan = plan_of(E.queries()["daily_job_digest"](spark, base))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "partitioning(" not in plan and "from_json" not in plan and "parse_json" not in plan
+
+
 def test_ledger_filtered_by_broadcast_batch_hashes(spark, base):
     plan = plan_of(LG.new_items(fx.verdicts(spark, base), fx.ledger(spark, base)))
     assert re.search(r"BroadcastHashJoin \[hash#\d+\], \[hash#\d+\], LeftSemi", plan)
